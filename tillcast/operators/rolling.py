@@ -6,7 +6,7 @@ split key.  The block is then read 30 days later, so a row sees nothing of the l
 Cost.  A RANGE frame re-aggregated per row would cost N updates per row and statistic.
 Here each row pays a constant for counts and moments (a running total minus the running
 total at the frame's lower edge) and one primitive sort per horizon for the percentiles:
-the running list of values is cut to the frame by position.  Everything is one shuffle by
+the group's list of values is cut to the frame by position.  Everything is one shuffle by
 store, then windows inside the partition.  A store has at most one row per calendar day,
 so no window holds more than the calendar.
 
@@ -53,7 +53,7 @@ def _percentile(ordered: str, fraction: float) -> str:
 
 
 def _statistics(h: str) -> dict[str, str]:
-    """The eight statistics of one horizon from the columns ``_split_block`` prepares."""
+    """The eight statistics of one horizon from the columns ``_frame_statistics`` prepares."""
     mean, median, std, ordered = f"_mean_{h}", f"_median_{h}", f"_std_{h}", f"_sorted_{h}"
     return {
         "mean": mean,
@@ -68,26 +68,26 @@ def _statistics(h: str) -> dict[str, str]:
     }
 
 
-def _split_block(df: DataFrame, split: str, target: str, shift: int) -> DataFrame:
-    """Add ``_recent_<split>``: one struct holding the split's statistics for all horizons.
+def _frame_statistics(parts: DataFrame, shift: int) -> DataFrame:
+    """Add ``_stats``: one struct ``<horizon>_<statistic>`` per row of a (Store, _split, _key) group.
 
-    ``shift`` moves the upper edge of the frame that many days into the past.
+    ``shift`` moves the upper edge of the frames that many days into the past.
     """
-    keys = SPLITS[split]
-    group = "PARTITION BY " + ", ".join(["Store", *keys])
+    group = "PARTITION BY Store, _split, _key"
     running = f"OVER ({group} ORDER BY _day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    nonzero = f"nullif({target}, 0)"
+    whole = f"OVER ({group} ORDER BY _day ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    nonzero = "nullif(_value, 0)"
     # Deviations from a whole number near the mean keep the running squares small.
-    deviation = f"({target} - _centre)"
+    deviation = "(_value - _centre)"
 
     def total_until(days_ago: int) -> str:
         return f"last(_total) OVER ({group} ORDER BY _day RANGE BETWEEN UNBOUNDED PRECEDING AND {days_ago} PRECEDING)"
 
-    totals = df.selectExpr("*", f"round(avg({target}) OVER ({group})) AS _centre").selectExpr(
+    totals = parts.selectExpr("*", f"round(avg(_value) OVER ({group})) AS _centre").selectExpr(
         "*",
         f"""named_struct(
-            'n', int(count({target}) {running}),
-            'sum', sum({target}) {running},
+            'n', int(count(_value) {running}),
+            'sum', sum(_value) {running},
             'dev', sum({deviation}) {running},
             'dev2', sum({deviation} * {deviation}) {running},
             'inverse', sum(1 / {nonzero}) {running},
@@ -97,14 +97,15 @@ def _split_block(df: DataFrame, split: str, target: str, shift: int) -> DataFram
         "*",
         *[f"{total_until(shift + days)} AS _low_{h}" for h, days in HORIZONS.items()],
         f"{total_until(shift) if shift else '_total'} AS _high",
-        f"collect_list({target}) {running} AS _values",
+        # The group's values in day order, collected once per group.
+        f"collect_list(_value) {whole} AS _values",
     )
 
     def in_frame(field: str, h: str) -> str:
         return f"coalesce(_high.{field}, 0) - coalesce(_low_{h}.{field}, 0) AS _{field}_{h}"
 
     frames = edges.selectExpr(
-        *df.columns,
+        *parts.columns,
         *[in_frame(f, h) for f in ("n", "sum", "dev", "dev2", "inverse", "nonzero") for h in HORIZONS],
         *[
             f"sort_array(slice(_values, coalesce(_low_{h}.n, 0) + 1, coalesce(_high.n, 0) - coalesce(_low_{h}.n, 0)))"
@@ -122,42 +123,54 @@ def _split_block(df: DataFrame, split: str, target: str, shift: int) -> DataFram
             ("median", _percentile(f"_sorted_{h}", 0.5)),
         ):
             moments.append(f"CASE WHEN _n_{h} >= {MIN_PERIODS} THEN {value} END AS _{name}_{h}")
-    named = [
-        f"'recent_{h}_{split}_{stat}', {text}"
-        for h in HORIZONS
-        for stat, text in _statistics(h).items()
-        if stat in SPLIT_STATS[split]
-    ]
-    known = " AND ".join([f"{k} IS NOT NULL" for k in keys]) or "true"
-    block = f"CASE WHEN {known} THEN named_struct({', '.join(named)}) END AS _recent_{split}"
-    return frames.selectExpr("*", *moments).selectExpr(*df.columns, block)
+    named = [f"'{h}_{stat}', {text}" for h in HORIZONS for stat, text in _statistics(h).items()]
+    # Rows with an absent split key belong to no group.
+    stats = f"CASE WHEN _key IS NOT NULL THEN named_struct({', '.join(named)}) END AS _stats"
+    return frames.selectExpr("*", *moments).selectExpr(*parts.columns, stats)
 
 
 def recent_blocks(
     placed: DataFrame, target: str, splits: list[str] | None, split_key: str, lag_days: int
 ) -> DataFrame:
-    """The work of ``add_recent_features`` on rows already placed by store."""
-    chosen = [s for s in reversed(SPLITS) if not splits or s in splits]  # the store-only split last
+    """The work of ``add_recent_features`` on rows already placed by store.
+
+    Every row becomes one part per split, all inside its partition; the parts go through
+    one pipeline, and one RANGE lookup brings the five blocks back to the row.  The columns
+    that take no part travel as a struct on the first part only.
+    """
+    chosen = [s for s in SPLITS if not splits or s in splits]
     lagged = split_key == "source_row"
     keyed = placed.withColumns({"is_holiday": holiday_flag("StateHoliday"), "_day": epoch_day("Date")})
-    # All other columns travel as one struct, so the window steps handle few columns.
-    needed = ["Store", "DayOfWeek", "Promo", "is_holiday", "_day", target]
-    out = keyed.select(*needed, F.struct(*placed.columns).alias("_row"))
-    for split in chosen:
-        out = _split_block(out, split, target, 0 if lagged else lag_days)
-    blocks = [f"_recent_{s}" for s in chosen]
-    if lagged:
-        at_lag = Window.partitionBy("Store").orderBy("_day").rangeBetween(-lag_days, -lag_days)
-        out = out.withColumn("_lagged", F.first(F.struct(*blocks)).over(at_lag))
-    prefix = "_lagged." if lagged else ""
+    # concat is null as soon as one key is absent.
+    key_texts = {s: ", '|', ".join([*SPLITS[s], "''"]) for s in chosen}
+    entries = [f"named_struct('split', '{s}', 'key', concat({text}))" for s, text in key_texts.items()]
+    parts = keyed.select(
+        "Store",
+        "_day",
+        F.col(target).cast("double").alias("_value"),
+        F.struct(*placed.columns, "is_holiday").alias("_row"),
+        F.expr(f"explode(array({', '.join(entries)}))").alias("_part"),
+    ).selectExpr(
+        "Store",
+        "_day",
+        "_value",
+        "_part.split AS _split",
+        "_part.key AS _key",
+        f"CASE WHEN _part.split = '{chosen[0]}' THEN _row END AS _row",
+    )
+    stats = _frame_statistics(parts, 0 if lagged else lag_days)
+    ago = lag_days if lagged else 0
+    at_lag = Window.partitionBy("Store").orderBy("_day").rangeBetween(-ago, -ago)
+    looked_up = stats.withColumns(
+        {f"_at_{s}": F.first(F.when(F.col("_split") == s, F.col("_stats")), ignorenulls=True).over(at_lag) for s in chosen}
+    )
     names = [
-        f"{prefix}_recent_{s}.recent_{h}_{s}_{stat}"
+        f"_at_{s}.{h}_{stat} AS recent_{h}_{s}_{stat}"
         for h in HORIZONS
-        for s in SPLITS
-        if s in chosen
+        for s in chosen
         for stat in SPLIT_STATS[s]
     ]
-    return out.selectExpr("_row.*", "is_holiday", *names)
+    return looked_up.where(F.col("_split") == chosen[0]).selectExpr("_row.*", *names)
 
 
 def add_recent_features(
