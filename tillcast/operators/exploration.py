@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,23 +108,38 @@ def opening_times(df: DataFrame) -> DataFrame:
     )
 
 
+def _pairwise(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Correlations of pairs where a value may be absent, over the rows that have both."""
+
+    def r(a: str, b: str) -> Column:
+        return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
+
+    rows = [F.struct(F.lit(a).alias("column_1"), F.lit(b).alias("column_2"), r(a, b).alias("r")) for a, b in pairs]
+    return df.agg(F.array(*rows).alias("_pairs")).select(F.inline("_pairs"))
+
+
 def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Strict lower triangle of the Pearson matrix, ``(column_1, column_2, r)``.
 
-    One aggregate computes every pair; a constant column gives null.
+    Columns without absent values go through MLlib's distributed Gram matrix, the rest pair
+    by pair.  A constant column gives null.  What reaches the driver is the matrix itself,
+    columns by columns.
     """
     columns = columns or [c for c in numeric_columns(df) if c != "Open"]
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    profile = doubles.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    complete = [c for c in columns if profile[c] == 0]
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-
-    def r(a: str, b: str) -> Column:
-        # Pairwise-complete rows, as both sides must be present.
-        x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-        y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-    row = df.agg(
-        F.array(
-            *[F.struct(F.lit(a).alias("column_1"), F.lit(b).alias("column_2"), r(a, b).alias("r")) for a, b in pairs]
-        ).alias("_pairs")
-    )
-    return row.select(F.inline("_pairs"))
+    found = []
+    if len(complete) > 1:
+        vectors = VectorAssembler(inputCols=complete, outputCol="_v").transform(doubles).select("_v")
+        matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
+        at = {c: i for i, c in enumerate(complete)}
+        for a, b in pairs:
+            if a in at and b in at:
+                value = float(matrix[at[a], at[b]])
+                found.append((a, b, None if math.isnan(value) else value))
+    done = {(a, b) for a, b, _ in found}
+    out = df.sparkSession.createDataFrame(found, "column_1 string, column_2 string, r double")
+    rest = [p for p in pairs if p not in done]
+    return out.unionByName(_pairwise(doubles, rest)) if rest else out

@@ -83,7 +83,7 @@ def _frame_statistics(parts: DataFrame, shift: int) -> DataFrame:
     def total_until(days_ago: int) -> str:
         return f"last(_total) OVER ({group} ORDER BY _day RANGE BETWEEN UNBOUNDED PRECEDING AND {days_ago} PRECEDING)"
 
-    totals = parts.selectExpr("*", f"round(avg(_value) OVER ({group})) AS _centre").selectExpr(
+    totals = parts.selectExpr("*", f"round(avg(_value) {whole}) AS _centre").selectExpr(
         "*",
         f"""named_struct(
             'n', int(count(_value) {running}),
