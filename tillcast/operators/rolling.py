@@ -118,7 +118,8 @@ def _frame_statistics(parts: DataFrame, shift: int) -> DataFrame:
         constant = f"get(_sorted_{h}, 0) = get(_sorted_{h}, _n_{h} - 1)"
         variance = f"greatest(try_divide(_dev2_{h} - try_divide(_dev_{h} * _dev_{h}, _n_{h}), _n_{h} - 1), 0D)"
         for name, value in (
-            ("mean", f"try_divide(_sum_{h}, _n_{h})"),
+            # A constant frame takes its value as it is, free of what the running totals round off.
+            ("mean", f"CASE WHEN {constant} THEN get(_sorted_{h}, 0) ELSE try_divide(_sum_{h}, _n_{h}) END"),
             ("std", f"CASE WHEN {constant} THEN 0D ELSE sqrt({variance}) END"),
             ("median", _percentile(f"_sorted_{h}", 0.5)),
         ):
