@@ -177,23 +177,32 @@ def add_temporal_features(df: DataFrame, origin: Column | None = None) -> DataFr
 def temporal_blocks(df: DataFrame, origin: Column) -> DataFrame:
     """The work of ``add_temporal_features`` on rows already placed by store.
 
+    The windows handle a few narrow columns while the row itself travels as one struct.
     Steps are ordered by reading direction, so a store's rows are sorted three times:
     forward, backward, forward.
     """
+    inputs = [c for c in ("Promo", "Promo2", "SchoolHoliday", "StateHoliday", "Open") if c in df.columns]
+    rows = df.select("Store", epoch_day("Date").alias("_day"), *inputs, F.struct(*df.columns).alias("_row"))
     promo = F.col("Promo") == 1
     school = F.col("SchoolHoliday") == 1
-    out = competition(summer(promo_cycles(calendar_parts(with_day(df)), origin)))
+    refurb = F.col("is_refurb_closure") == 1
+    has_open = "Open" in df.columns
+
     forward = {"days_since_promo": days_since(promo), "days_since_school_holiday": days_since(school)}
     if "Promo2" in df.columns:
         forward["days_since_promo2"] = days_since(F.col("Promo2") == 1)
-    out = holiday_weeks(out.withColumns(forward))
-    if "Open" in df.columns:
-        out = closure_starts(out)
+    rows = holiday_weeks(rows.withColumns(forward))
+    if has_open:
+        rows = closure_starts(rows)
     backward = {"days_until_promo": days_until(promo), "days_until_school_holiday": days_until(school)}
-    if "Open" in df.columns:
-        backward["days_until_refurb"] = days_until(F.col("is_refurb_closure") == 1)
-    out = out.withColumns(backward)
-    if "Open" in df.columns:
-        out = out.withColumn("days_since_refurb", days_since(F.col("is_refurb_closure") == 1))
+    if has_open:
+        backward["days_until_refurb"] = days_until(refurb)
+    rows = rows.withColumns(backward)
+    if has_open:
+        rows = rows.withColumn("days_since_refurb", days_since(refurb))
+
+    windowed = [c for c in (*TEMPORAL_COLUMNS, "state_holiday_flag") if c in rows.columns]
+    out = rows.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns if c not in windowed], *windowed)
+    out = competition(summer(promo_cycles(calendar_parts(out), origin)))
     added = [c for c in (*TEMPORAL_COLUMNS, "state_holiday_flag") if c in out.columns]
     return out.select(*[c for c in df.columns if c not in added], *added)

@@ -46,15 +46,15 @@ def _with_month_start(df: DataFrame) -> DataFrame:
 def _history(df: DataFrame) -> DataFrame:
     """Rows with positive sales, once per month whose look-back ranges contain them."""
     starts = F.collect_list(F.when(F.col("_opens_month"), F.col("_day"))).over(Window.partitionBy("Store"))
-    day = F.col("_day")
 
     def contains(start: Column) -> Column:
-        return (day < start - GAP) & (day >= start - YOY_FROM)
+        return (start > F.col("_reaches_after")) & (start <= F.col("_reaches_to"))
 
     return (
         df.select("Store", "_day", "Sales", "DayOfWeek", "Promo", "_opens_month")
         .withColumn("_starts", starts)
         .where("Sales > 0")
+        .withColumns({"_reaches_after": F.col("_day") + GAP, "_reaches_to": F.col("_day") + YOY_FROM})
         .select(
             "Store",
             F.explode(F.filter("_starts", contains)).alias("_month_start"),
@@ -166,7 +166,16 @@ def month_coefficients(df: DataFrame) -> DataFrame:
 
 def trend_blocks(placed: DataFrame, origin: Column) -> DataFrame:
     """The work of ``add_trend_features`` on rows already placed by store."""
-    dated = _with_month_start(placed.withColumn("_day", epoch_day("Date")))
+    narrow = placed.select(
+        "Store",
+        epoch_day("Date").alias("_day"),
+        "Date",
+        "Sales",
+        "DayOfWeek",
+        "Promo",
+        F.struct(*placed.columns).alias("_row"),
+    )
+    dated = _with_month_start(narrow)
     joined = dated.join(month_coefficients(dated), ["Store", "_month_start"], "left")
 
     def fitted(tf: str) -> str:
@@ -175,7 +184,7 @@ def trend_blocks(placed: DataFrame, origin: Column) -> DataFrame:
             f" AS trend_{tf}_pred"
         )
 
-    kept = [c for c in placed.columns if c != "day_number"]
+    kept = [F.col(f"_row.{c}").alias(c) for c in placed.columns if c != "day_number"]
     return joined.selectExpr("*", *[fitted(tf) for tf in RIDGE_DAYS]).select(
         *kept,
         F.datediff(F.col("Date"), origin).cast("double").alias("day_number"),
