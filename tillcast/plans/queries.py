@@ -459,9 +459,8 @@ def log_sales_split(spark, folder):
 # ---------------------------------------------------------------- feature names and codes
 
 
-def _featured_joined(spark, folder) -> DataFrame:
-    first_day, _ = source.calendar_bounds(spark, folder)
-    return build.add_features(_joined(spark, folder), first_day)
+def _candidates(spark, folder) -> DataFrame:
+    return features.feature_candidates(_joined(spark, folder), columns=build.feature_columns())
 
 
 @query
@@ -472,11 +471,11 @@ def category_codes(spark, folder):
 
 @query
 def feature_candidates(spark, folder):
-    return features.feature_candidates(_featured_joined(spark, folder)).select("feature")
+    return _candidates(spark, folder).select("feature")
 
 
 def _subsets(spark, folder, n_models: int) -> DataFrame:
-    return features.random_subsets(features.feature_candidates(_featured_joined(spark, folder)), n_models)
+    return features.random_subsets(_candidates(spark, folder), n_models)
 
 
 @query
