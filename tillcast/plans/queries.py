@@ -6,7 +6,6 @@ Rounding happens here only, for comparison with an engine that adds in another o
 from __future__ import annotations
 
 import functools
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,7 +15,7 @@ from tillcast.functions.scalars import harmonic_of
 from tillcast.operators import ensemble, events, exploration, features, ranks, rolling, split, trend
 from tillcast.plans import build, jobs, standins
 from tillcast.plans import train as training
-from tillcast.session import by_store, cut_lineage, tune
+from tillcast.session import by_store, cut_lineage, shared_folder, tune
 from tillcast.sources import panel as source
 from tillcast.sources import schema
 
@@ -63,19 +62,8 @@ def _explored(spark: SparkSession, folder: str) -> DataFrame:
     return exploration.opening_times(source.join_store(rows, _filled_stores(spark, folder), "inner"))
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A folder every executor can reach: the cluster's checkpoint folder, else a fresh local one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="tillcast-scratch-")
-    return f"{shared}/tillcast-{spark.sparkContext.applicationId}-{next(_counter)}"
-
-
-_counter = iter(range(10**9))
-
-
 def _csv_round_trip(spark: SparkSession, df: DataFrame, table_schema) -> DataFrame:
-    path = _scratch(spark)
+    path = shared_folder(spark, "csv")
     ordered = df.select(*[F.col(f.name).cast(f.dataType) for f in table_schema.fields])
     ordered.write.mode("overwrite").option("header", True).csv(f"{path}/table")
     return schema.read_csv(spark, f"{path}/table", table_schema)
@@ -598,7 +586,7 @@ def _featured_tables(spark, folder) -> dict[str, DataFrame]:
         _, last_day = source.calendar_bounds(spark, folder)
         panel = cut_lineage(_panel(spark, folder))
         history, scoring = source.scoring_split(panel, last_day)
-        out = _scratch(spark)
+        out = shared_folder(spark, "featured")
         build.build_features(history, scoring, _stores(spark, folder), out)
         _featured[key] = schema.read_featured(spark, out)
     return _featured[key]

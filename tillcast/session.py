@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,16 +54,37 @@ def by_store(df: DataFrame) -> DataFrame:
     return df.repartition(shuffle_width(df.sparkSession), "Store")
 
 
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder for intermediate data that the driver and every executor can reach.
+
+    It lies in the folder named by ``spark.checkpoint.dir``.  Only a local master, whose
+    executors are threads of the driver, may do without that setting and gets a temporary
+    folder; elsewhere a missing setting is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"spark.checkpoint.dir must name a folder shared by all executors of {master}")
+        root = tempfile.mkdtemp(prefix="tillcast-")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a result that several later jobs read.
 
-    The files go to the shared folder named by ``spark.checkpoint.dir``, so a lost
-    executor costs a re-read and not a recompute.  Only where that setting is absent
-    (tests, a laptop) a fresh local folder is used.
+    The files go to the shared folder, so a lost executor costs a re-read and not a recompute.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tillcast-checkpoint-"))
+        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(configured or shared_folder(df.sparkSession, "checkpoint"))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written once as Parquet in the shared folder and read back: column pruning
+    and true sizes for what follows, and no recomputation when an executor is lost."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
