@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillcast.llm import host_rules
+from tillcast.llm import bpe, host_rules, packing, token_files
 from tillcast.llm.tables import table
+from tillcast.session import shared_folder
+
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_FILE = "word_bpe_49k.json"
+
+
+def op1_byte_bpe(spark, folder):
+    path = public_tokenizers.path(BYTE_RANKS)
+    return bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
 def op5_host_rules(spark, folder):
     return host_rules.judge(table(spark, folder, "documents")).withColumn("host_rate", F.round("host_rate", 9))
 
 
-QUERIES = {f.__name__: f for f in (op5_host_rules,)}
+def op6_token_files(spark, folder):
+    path = shared_folder(spark, "token-file")
+    token_files.write(table(spark, folder, "documents"), path, public_tokenizers.path(WORD_FILE), end_id=1)
+    return token_files.read_digests(spark, path)
+
+
+def op10_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORD_FILE), end_id=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op5_host_rules, op6_token_files, op10_packing)}
 ORACLES = {"op5_host_rules": host_rules.ORACLE}
