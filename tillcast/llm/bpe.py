@@ -130,41 +130,36 @@ class ByteBpe:
         self.ranks = read_ranks(path)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.pieces = Memo(lambda words: [self._ids(w) for w in words], memo)
-        self.parts = Memo(self._parts, memo)
+        self.pieces = Memo(self._ids, memo)
+        self.parts = Memo(self._part, memo)
 
     def _ids(self, piece: str) -> bytes:
         return np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
 
-    def _split_all(self, texts: list[str]) -> list[bytes]:
-        split = [self.split(text) for text in texts]
-        known = self.pieces.holding(piece for pieces in split for piece in pieces)
-        return [b"".join([known[piece] for piece in pieces]) for pieces in split]
-
-    def _parts(self, parts: list[str]) -> list[bytes | None]:
-        """Ids of parts as they stand after a space, or None where the cut isn't safe."""
-        out: list[bytes | None] = [None] * len(parts)
-        safe = [i for i, part in enumerate(parts) if part not in ("", "\n") and not part[-1].isspace()
-                and not (part[1] if part[0] == "\n" else part[0]).isspace()]
-        texts = [parts[i] if parts[i][0] == "\n" else " " + parts[i] for i in safe]
-        for i, ids in zip(safe, self._split_all(texts)):
-            out[i] = ids
-        return out
+    def _split(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def _part(self, part: str) -> bytes | bool:
+        """Ids of a part as it stands after a space, or False where the cut isn't safe."""
+        if part in ("", "\n") or part[-1].isspace() or part[1 if part[0] == "\n" else 0].isspace():
+            return False
+        return self._split(part if part[0] == "\n" else " " + part)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed."""
-        cut = [text.replace("\n", " \n").split(" ") for text in texts]
-        known = self.parts.holding(part for parts in cut for part in parts[1:])
+        self.pieces.turn()
+        self.parts.turn()
+        known = self.parts.__getitem__
         out = []
-        for text, parts in zip(texts, cut):
+        for text in texts:
+            parts = text.replace("\n", " \n").split(" ")
             head = parts[0]
             try:
                 if not head or head[-1].isspace():
                     raise TypeError
-                rest = b"".join([known[part] for part in parts[1:]])
-                out.append(self._split_all([head])[0] + rest)
-            except TypeError:  # a part of None: white space stands in runs or at an end
-                out.append(self._split_all([text])[0])
+                out.append(self._split(head) + b"".join(map(known, parts[1:])))
+            except TypeError:  # a part of False: white space stands in runs or at an end
+                out.append(self._split(text))
         return out
 
     def decode(self, ids: bytes) -> bytes:

@@ -1,37 +1,32 @@
-"""A bounded memo of computed bytes for words, in two generations."""
+"""A bounded memo of values computed for words, in two generations."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from typing import Any
 
 
-class Memo:
-    """Words to bytes; a generation that is full becomes the old one, so memory stays bounded.
+class Memo(dict):
+    """Words to computed values; ``turn`` makes a full generation the old one, so memory stays bounded.
 
     Only time depends on the bound: a forgotten word is computed again.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list[bytes | None]], limit: int):
-        self.compute, self.limit = compute, limit
-        self.young: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
-
-    def holding(self, wanted: Iterable[str]) -> dict[str, bytes | None]:
-        """A dictionary that holds all the wanted words."""
-        young, old = self.young, self.old
-        if len(young) > self.limit:
-            self.old, self.young = young, {}
-            young, old = self.young, self.old
-        missing = set(wanted).difference(young)
-        fresh = []
-        for word in missing:
-            if word in old:
-                young[word] = old[word]
-            else:
-                fresh.append(word)
-        if fresh:
-            young.update(zip(fresh, self.compute(fresh)))
-        return young
+    def __init__(self, compute: Callable[[str], Any], limit: int):
+        super().__init__()
+        self.compute, self.limit, self.old = compute, limit, {}
+
+    def __missing__(self, word: str) -> Any:
+        value = self.old.get(word)
+        if value is None:
+            value = self.compute(word)
+        self[word] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
 
 
 def by_size(texts: list[str], most: int = 1_000_000) -> Iterable[range]:

@@ -9,7 +9,7 @@ block each id is predicted by three contexts:
 
 The mixture weighs the three predictions and the uniform distribution.  Its weights are
 adaptive frequencies, one set for each pair of confidences of the order-2 and order-1
-predictions, learned inside the block.  A range coder (64-bit state, 16-bit output) codes which
+predictions, learned inside the block.  A range coder (64-bit state, 32-bit output) codes which
 part of the mixture holds the id and, where that leaves a choice, the choice itself.
 
 Blocks are coded side by side, one NumPy lane each, so the cost per id is that of a few array
@@ -23,172 +23,185 @@ import zlib
 import numpy as np
 
 BLOCK = 4096
-_ORDER2, _ORDER1, _ORDER0 = 11, 10, 8  # log2 of table sizes of a lane
-_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-_LOW32, _WORD, _LAST = np.uint64((1 << 32) - 1), np.uint64(16), np.uint64(48)
-_FIRST_WEIGHTS = np.array([2, 2, 8, 8], np.uint32)
+ID_BITS = 20  # ids below 2^20; fewer bits where the caller knows fewer
+_ORDER2, _ORDER1, _ORDER0 = 10, 9, 8  # log2 of table sizes of a lane
+_FIRST_WEIGHTS = (2, 2, 8, 8)
 _STEP, _LIMIT = 16, 2000
-# Bits of the choice that each part of the mixture leaves: none, none, a table slot, a whole id.
-_CHOICE = np.array([0, 0, _ORDER0, 32], np.uint64)
+_MIX1, _MIX2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
+# A span of 2^32 and more leaves 21 bits below the weights, enough for any choice.
+_BOTTOM, _LOW32, _WORD = np.uint64(1 << 32), np.uint64((1 << 32) - 1), np.uint64(32)
 
 
 class _Model:
     """Prediction tables and mixture weights of all lanes; both directions update it alike."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.at2, self.at1, self.at0 = (self.lane << bits for bits in (_ORDER2, _ORDER1, _ORDER0))
+        lane = np.arange(lanes)
+        self.at2, self.at1, self.at0 = (lane << bits for bits in (_ORDER2, _ORDER1, _ORDER0))
         # An entry is (id + 1) * 8 + confidence; zero is empty.
-        self.table2 = np.zeros(lanes << _ORDER2, np.uint64)
-        self.table1 = np.zeros(lanes << _ORDER1, np.uint64)
-        self.table0 = np.zeros(lanes << _ORDER0, np.uint64)
-        self.weights = np.tile(_FIRST_WEIGHTS, (lanes * 64, 1))
-        self.weight_row = self.lane * 64
-        self.slot2, self.slot1 = self.at2.copy(), self.at1.copy()
-        self.before = np.zeros(lanes, np.uint64)
+        self.table2 = np.zeros(lanes << _ORDER2, np.uint32)
+        self.table1 = np.zeros(lanes << _ORDER1, np.uint32)
+        self.table0 = np.zeros(lanes << _ORDER0, np.uint32)
+        self.rows = lanes * 64
+        self.weights = np.repeat(np.array(_FIRST_WEIGHTS, np.uint32), self.rows)
+        self.first_row = lane * 64
+        self.slot2, self.slot1 = self.at2, self.at1
+        self.before = np.zeros(lanes, np.uint32)
 
     def predict(self) -> None:
-        self.entry2, self.entry1 = self.table2[self.slot2], self.table1[self.slot1]
-        self.guess2, self.guess1 = self.entry2 >> np.uint64(3), self.entry1 >> np.uint64(3)
-        self.sure2, self.sure1 = self.entry2 & np.uint64(7), self.entry1 & np.uint64(7)
-        self.row = self.weight_row + (self.sure2 * np.uint64(8) + self.sure1).astype(np.int64)
-        self.ends = np.cumsum(self.weights[self.row], axis=1, dtype=np.uint64)
+        """Both guesses (id + 1), and weights and running sums of the mixture's four parts."""
+        self.entry2, self.entry1 = self.table2.take(self.slot2), self.table1.take(self.slot1)
+        self.guess2, self.guess1 = self.entry2 >> 3, self.entry1 >> 3
+        self.sure2, self.sure1 = self.entry2 & 7, self.entry1 & 7
+        self.row = self.first_row + (self.sure2 << 3) + self.sure1
+        row, n, take = self.row, self.rows, self.weights.take
+        w0, w1, w2, w3 = take(row), take(row + n), take(row + 2 * n), take(row + 3 * n)
+        e1 = w0 + w1
+        e2 = e1 + w2
+        self.weight, self.end = (w0, w1, w2, w3), (w0, e1, e2, e2 + w3)
 
     @staticmethod
     def slot0(key: np.ndarray) -> np.ndarray:
-        return (key * np.uint64(0x9E3779B1) >> np.uint64(20)) & np.uint64((1 << _ORDER0) - 1)
+        return (key * _MIX1 >> 16) & ((1 << _ORDER0) - 1)
 
-    def learn(self, key: np.ndarray, slot: np.ndarray, part: np.ndarray) -> None:
-        """key: the id + 1 of each lane, slot: its place in the order-0 table, part: where the mixture held it."""
-        self.weights[self.row, part] += _STEP
-        full = np.flatnonzero(self.ends[:, 3] > _LIMIT)
+    def learn(self, key: np.ndarray, place0: np.ndarray, part: np.ndarray, weight: np.ndarray) -> None:
+        """key: id + 1, place0: its place in the order-0 table, part: where the mixture held it, at which weight."""
+        self.weights[part * self.rows + self.row] = weight + _STEP
+        full = (self.end[3] > _LIMIT).nonzero()[0]
         if full.size:
-            rows = self.row[full]
+            rows = (self.row[full] + np.arange(4)[:, None] * self.rows).ravel()
             self.weights[rows] = (self.weights[rows] >> 1) | 1
-        base = key << np.uint64(3)
-        for table, at, entry, guess, sure in (
+        fresh = (key << 3) | 1
+        for table, slot, entry, guess, sure in (
             (self.table2, self.slot2, self.entry2, self.guess2, self.sure2),
             (self.table1, self.slot1, self.entry1, self.guess1, self.sure1),
         ):
-            hit = base | np.minimum(sure + np.uint64(1), np.uint64(7))
-            doubted = (guess << np.uint64(3)) | (sure >> np.uint64(1))
-            missed = np.where(sure > 1, doubted, base | np.uint64(1))
-            table[at] = np.where(guess == key, hit, missed)
-        self.table0[self.at0 + slot.astype(np.int64)] = key
-        mixed = key * np.uint64(0x9E3779B1)
-        self.slot1 = self.at1 + ((mixed >> np.uint64(15)) & np.uint64((1 << _ORDER1) - 1)).astype(np.int64)
-        both = mixed + self.before * np.uint64(0x85EBCA6B)
-        self.slot2 = self.at2 + ((both >> np.uint64(17)) & np.uint64((1 << _ORDER2) - 1)).astype(np.int64)
+            missed = np.where(sure > 1, entry - ((sure + 1) >> 1), fresh)
+            table[slot] = np.where(guess == key, np.minimum(entry + 1, entry | 7), missed)
+        self.table0[place0] = key
+        mixed = key * _MIX1
+        self.slot1 = self.at1 + ((mixed >> 15) & ((1 << _ORDER1) - 1))
+        self.slot2 = self.at2 + ((mixed + self.before * _MIX2 >> 17) & ((1 << _ORDER2) - 1))
         self.before = key
 
 
-def _due(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Lanes that must move a word; the span of a lane that straddles a boundary is cut to it."""
-    settled = (low ^ (low + span)) < _TOP
-    small = span < _BOTTOM
-    if small.any():
-        straddling = np.flatnonzero(small & ~settled)
-        if straddling.size:
-            span[straddling] = (np.uint64(0) - low[straddling]) & _LOW32
-            settled[straddling] = True
-    return np.flatnonzero(settled)
-
-
 def _columns(ids: np.ndarray) -> tuple[np.ndarray, int]:
-    """Ids + 1 as (step, lane), the last block filled up with the first id's value 1."""
+    """Ids + 1 as (step, lane); the last block is filled up with ones."""
     blocks = max(1, -(-len(ids) // BLOCK))
     steps = BLOCK if blocks > 1 else len(ids)
-    keys = np.ones(blocks * steps, np.uint64)
+    keys = np.ones(blocks * steps, np.uint32)
     keys[: len(ids)] = ids
-    keys[: len(ids)] += np.uint64(1)
+    keys[: len(ids)] += 1
     return np.ascontiguousarray(keys.reshape(blocks, steps).T), blocks
 
 
-def encode(ids: np.ndarray, id_bits: int = 16) -> tuple[bytes, np.ndarray, np.ndarray]:
+def _cut(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Spans below 2^32 whose interval straddles a boundary of the output word, cut to it."""
+    return np.where((low ^ (low + span)) < _BOTTOM, span, (np.uint64(0) - low) & _LOW32)
+
+
+def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray, np.ndarray]:
     """Payload, bytes of each block in it, and CRC-32 of each block's ids as uint32."""
     if not len(ids):
         return b"", np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if id_bits > ID_BITS or int(ids.max()) >> id_bits:
+        raise ValueError(f"ids must lie below 2^{min(id_bits, ID_BITS)}")
     columns, lanes = _columns(ids)
     model = _Model(lanes)
-    choice = _CHOICE.copy()
-    choice[3] = id_bits
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    # At most 11 + id_bits bits an id, and what cutting a span loses.
-    room = len(columns) * 3 + 16
-    out, filled = np.zeros((lanes, room), "<u2"), np.zeros(lanes, np.int64)
-
-    def move(lane: np.ndarray) -> None:
-        out[lane, filled[lane]] = low[lane] >> _LAST
-        filled[lane] += 1
-        low[lane] <<= _WORD
-        span[lane] <<= _WORD
-
+    # A word holds 32 bits, and no id takes more than one.
+    room = len(columns) + 4
+    out = np.zeros(lanes * room, "<u4")
+    place = np.arange(lanes) * room
     for key in columns:
         model.predict()
         slot = model.slot0(key)
-        known = model.table0[model.at0 + slot.astype(np.int64)] == key
-        part = np.where(model.guess2 == key, 0, np.where(model.guess1 == key, 1, np.where(known, 2, 3)))
-        ends = model.ends
-        weight = model.weights[model.row, part].astype(np.uint64)
-        share = span // ends[:, 3]
-        low += share * (ends[model.lane, part] - weight)
+        place0 = model.at0 + slot
+        is2, is1, is0 = model.guess2 == key, model.guess1 == key, model.table0.take(place0) == key
+        (w0, w1, w2, w3), (e0, e1, e2, e3) = model.weight, model.end
+        part = np.where(is2, 0, np.where(is1, 1, np.where(is0, 2, 3)))
+        weight = np.where(is2, w0, np.where(is1, w1, np.where(is0, w2, w3)))
+        start = np.where(is2, np.uint32(0), np.where(is1, e0, np.where(is0, e1, e2)))
+        share = span // e3
+        low += share * start
         span = share * weight
-        bits = choice[part]
-        span >>= bits
-        low += span * np.where(part == 3, key - np.uint64(1), np.where(part == 2, slot, np.uint64(0)))
-        model.learn(key, slot, part)
-        while (lane := _due(low, span)).size:
-            move(lane)
-    for _ in range(4):
-        move(model.lane)
-    sizes = filled * 2
+        chosen = (part == 3).nonzero()[0]
+        unit = span[chosen] >> np.uint64(id_bits)
+        low[chosen] += unit * (key[chosen] - 1)
+        span[chosen] = unit
+        chosen = (part == 2).nonzero()[0]
+        unit = span[chosen] >> np.uint64(_ORDER0)
+        low[chosen] += unit * slot[chosen]
+        span[chosen] = unit
+        model.learn(key, place0, part, weight)
+        due = (span < _BOTTOM).nonzero()[0]
+        if due.size:
+            at, wide = low[due], span[due]
+            span[due] = _cut(at, wide) << _WORD
+            spot = place[due]
+            out[spot] = at >> _WORD
+            place[due] = spot + 1
+            low[due] = at << _WORD
+    for _ in range(2):
+        out[place] = low >> _WORD
+        place += 1
+        low <<= _WORD
+    filled = place - np.arange(lanes) * room
+    rows = out.reshape(lanes, room)
     raw = ids.astype("<u4")
     checks = [zlib.crc32(raw[i : i + BLOCK].tobytes()) for i in range(0, len(ids), BLOCK)]
-    return b"".join([out[i, : filled[i]].tobytes() for i in range(lanes)]), sizes, np.array(checks, np.int64)
+    return b"".join([rows[i, : filled[i]].tobytes() for i in range(lanes)]), filled * 4, np.array(checks, np.int64)
 
 
-def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id_bits: int = 16) -> np.ndarray:
+def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id_bits: int = ID_BITS) -> np.ndarray:
     """The ids (uint32); a block whose CRC differs is an error."""
     if not count:
         return np.zeros(0, "<u4")
     lanes = len(sizes)
     steps = BLOCK if lanes > 1 else count
     model = _Model(lanes)
-    choice = _CHOICE.copy()
-    choice[3] = id_bits
-    words = np.concatenate([np.frombuffer(payload, "<u2"), np.zeros(4, "<u2")]).astype(np.uint64)
-    ends_of = np.cumsum(np.asarray(sizes, np.int64) // 2)
-    at = np.concatenate([[0], ends_of[:-1]])
-    low, span, code = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64), np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = (code << _WORD) | words[at]
-        at += 1
-    out = np.empty((steps, lanes), "<u4")
+    words = np.concatenate([np.frombuffer(payload, "<u4"), np.zeros(4, "<u4")])
     last = words.size - 1
+    place = np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64) // 4)[:-1]])
+    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    code = (words[place].astype(np.uint64) << _WORD) | words[np.minimum(place + 1, last)]
+    place += 2
+    out = np.empty((steps, lanes), "<u4")
+    top_id, top_slot = np.uint64((1 << id_bits) - 1), np.uint64((1 << _ORDER0) - 1)
     for step in range(steps):
         model.predict()
-        ends = model.ends
-        share = span // ends[:, 3]
-        target = np.minimum((code - low) // share, ends[:, 3] - np.uint64(1))
-        part = (target[:, None] >= ends[:, :3]).sum(axis=1)
-        weight = model.weights[model.row, part].astype(np.uint64)
-        low += share * (ends[model.lane, part] - weight)
+        (w0, w1, w2, w3), (e0, e1, e2, e3) = model.weight, model.end
+        share = span // e3
+        target = (code - low) // share
+        is2, is1, is0 = target < e0, target < e1, target < e2
+        part = np.where(is2, 0, np.where(is1, 1, np.where(is0, 2, 3)))
+        weight = np.where(is2, w0, np.where(is1, w1, np.where(is0, w2, w3)))
+        start = np.where(is2, np.uint32(0), np.where(is1, e0, np.where(is0, e1, e2)))
+        low += share * start
         span = share * weight
-        bits = choice[part]
-        span >>= bits
-        value = np.minimum((code - low) // span, (np.uint64(1) << bits) - np.uint64(1))
-        low += span * value
-        key = np.where(part == 3, value + np.uint64(1), np.where(part == 0, model.guess2, model.guess1))
-        held = np.flatnonzero(part == 2)
-        if held.size:
-            key[held] = model.table0[model.at0[held] + value[held].astype(np.int64)]
-        out[step] = key - np.uint64(1)
-        model.learn(key, model.slot0(key), part)
-        while (lane := _due(low, span)).size:
-            code[lane] = (code[lane] << _WORD) | words[np.minimum(at[lane], last)]
-            at[lane] += 1
-            low[lane] <<= _WORD
-            span[lane] <<= _WORD
+        key = np.where(is2, model.guess2, model.guess1)
+        chosen = (part == 3).nonzero()[0]
+        unit = span[chosen] >> np.uint64(id_bits)
+        value = np.minimum((code[chosen] - low[chosen]) // unit, top_id)
+        low[chosen] += unit * value
+        span[chosen] = unit
+        key[chosen] = value + np.uint64(1)
+        chosen = (part == 2).nonzero()[0]
+        unit = span[chosen] >> np.uint64(_ORDER0)
+        value = np.minimum((code[chosen] - low[chosen]) // unit, top_slot)
+        low[chosen] += unit * value
+        span[chosen] = unit
+        key[chosen] = model.table0[model.at0[chosen] + value.view(np.int64)]
+        out[step] = key - 1
+        model.learn(key, model.at0 + model.slot0(key), part, weight)
+        due = (span < _BOTTOM).nonzero()[0]
+        if due.size:
+            at, wide = low[due], span[due]
+            span[due] = _cut(at, wide) << _WORD
+            spot = place[due]
+            code[due] = (code[due] << _WORD) | words[np.minimum(spot, last)]
+            place[due] = spot + 1
+            low[due] = at << _WORD
     ids = np.ascontiguousarray(out.T).reshape(-1)[:count]
     for block, check in enumerate(np.asarray(checks).tolist()):
         if zlib.crc32(ids[block * BLOCK : (block + 1) * BLOCK].tobytes()) != check:

@@ -62,7 +62,7 @@ def write(
 
         def closed() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(held), words.dtype)
-            id_bits = 8 * words.dtype.itemsize
+            id_bits = min(8 * words.dtype.itemsize, range_coder.ID_BITS)
             payload, sizes, checks = range_coder.encode(ids, id_bits)
             counts = np.array([len(x) // words.dtype.itemsize for x in held], "<u4")
             row = (
@@ -93,32 +93,39 @@ def write(
     rows.mapInArrow(run, _SEGMENTS).write.parquet(path)
 
 
-def _segments(spark: SparkSession, path: str) -> DataFrame:
-    """Segments with the number of ids before them.
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_SEGMENTS).parquet(path)
 
-    Totals of the parts are added up on the driver: one number for each task of the writer.
+
+def _placed(rows: DataFrame, segments: DataFrame) -> DataFrame:
+    """Rows with their place in the whole file, from the ids before their segment.
+
+    Payloads stay where they are read; only the rows made of them are joined.  Totals of the
+    parts are added up on the driver: one number for each task of the writer.
     """
-    read = spark.read.schema(_SEGMENTS).parquet(path)
-    totals = read.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
+    totals = segments.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
     before, starts = 0, []
     for row in totals:
         starts.append((row["part"], before))
         before += row["n"]
-    parts = spark.createDataFrame(starts, "part int, part_start long")
+    parts = rows.sparkSession.createDataFrame(starts, "part int, part_start long")
     earlier = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    places = read.select("part", "segment", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).alias("inner"))
-    places = places.join(parts, "part").select("part", "segment", (F.col("part_start") + F.col("inner")).alias("start"))
-    return read.join(places, ["part", "segment"])
+    places = segments.select("part", "segment", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).alias("inner"))
+    places = places.join(parts, "part").select("part", "segment", (F.col("part_start") + F.col("inner")).alias("before"))
+    joined = rows.join(places, ["part", "segment"]).withColumn("start", F.col("before") + F.col("start"))
+    return joined.drop("part", "segment", "before")
 
 
-def _decoded(batch: pa.RecordBatch) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray, int]]:
-    """Document ids, token counts, all ids and the start of each segment."""
+def _decoded(batch: pa.RecordBatch) -> Iterator[tuple[list[pa.Array], np.ndarray, np.ndarray]]:
+    """Part, segment, document ids, starts in the segment; then counts and all ids of each segment."""
     for row in batch.to_pylist():
         ids = range_coder.decode(
             row["payload"], np.array(row["sizes"], np.int64), row["checks"], row["n_tokens"], row["id_bits"]
         )
         keys = [k if known else None for k, known in zip(np.frombuffer(row["doc_ids"], "<i8").tolist(), row["doc_known"])]
-        yield keys, np.frombuffer(row["doc_tokens"], "<u4").astype(np.int64), ids, row["start"]
+        counts = np.frombuffer(row["doc_tokens"], "<u4").astype(np.int64)
+        place = [pa.array(np.full(len(counts), row[c], np.int32)) for c in ("part", "segment")]
+        yield [*place, pa.array(keys, pa.int64()), pa.array(np.cumsum(counts) - counts)], counts, ids
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -126,16 +133,18 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, counts, ids, start in _decoded(batch):
-                ends = np.cumsum(counts)
+            for place, counts, ids in _decoded(batch):
+                ends = np.cumsum(counts).tolist()
                 raw = memoryview(ids.astype("<u4").tobytes())
-                checks = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), counts.tolist())]
+                checks = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends, counts.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(ends - counts + start), pa.array(counts), pa.array(checks, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    [*place, pa.array(counts), pa.array(checks, pa.int64())],
+                    ["part", "segment", "doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return _segments(spark, path).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    segments = _read(spark, path)
+    digests = "part int, segment int, doc_id long, start long, n_tokens long, ids_crc32 long"
+    return _placed(segments.mapInArrow(run, digests), segments).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -143,11 +152,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, counts, ids, start in _decoded(batch):
-                ends = np.cumsum(counts)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(ends - counts + start), lists], ["doc_id", "start", "ids"]
-                )
-
-    return _segments(spark, path).mapInArrow(run, "doc_id long, start long, ids array<long>")
+            for place, counts, ids in _decoded(batch):
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([*place, lists], ["part", "segment", "doc_id", "start", "ids"])
+
+    segments = _read(spark, path)
+    rows = segments.mapInArrow(run, "part int, segment int, doc_id long, start long, ids array<long>")
+    return _placed(rows, segments).select("doc_id", "start", "ids")

@@ -6,16 +6,31 @@ import os
 from functools import lru_cache
 
 import numpy as np
+import regex
 
 from tillcast.llm.memo import Memo
 
+#: How the tokenizer's file splits a text that is lower case already (a fixed value of its format).
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Below this character each one is lowered alone and composition changes nothing.
+_PLAIN = "ɐ"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves."""
+    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
 
 class WordIds:
-    """A tokenizer file whose pre-tokenizer drops white space.
+    """A tokenizer file whose pre-tokenizer drops white space, with lower-casing and word ends.
 
     No token of such a vocabulary spans a blank, and its normalizer works on each side of one
-    alone, so the words between spaces and line breaks are encoded by the library once and
-    looked up in a bounded memo afterwards.  Ids are packed as unsigned little-endian integers.
+    alone, so the words between spaces and line breaks are encoded once and looked up in a
+    bounded memo afterwards.  A new word of plain letters is split as the file says and the
+    library's model encodes the pieces that are new too; any other word goes through the whole
+    library.  Ids are packed as unsigned little-endian integers.
     """
 
     def __init__(self, path: str, memo: int = 400_000):
@@ -24,17 +39,32 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memo = Memo(self._compute, memo)
+        self.letters = _byte_letters()
+        self.pieces = Memo(self._piece_ids, memo)
+        self.words = Memo(self._word_ids, memo)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return b"".join([i.to_bytes(self.dtype.itemsize, "little") for i in ids])
+
+    def _piece_ids(self, piece: str) -> bytes:
+        if not (piece.isascii() and piece.isprintable()):
+            piece = "".join([self.letters[b] for b in piece.encode()])
+        return self._packed([token.id for token in self.model.tokenize(piece)])
 
-    def _compute(self, words: list[str]) -> list[bytes]:
-        encodings = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encodings]
+    def _word_ids(self, word: str) -> bytes:
+        if not word:
+            return b""
+        if word.isascii() or max(word) < _PLAIN:
+            return b"".join([self.pieces[piece] for piece in PIECES.findall(word.lower())])
+        return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        known = self.memo.holding(word for words in split for word in words)
-        return [b"".join([known[word] for word in words]) for words in split]
+        self.words.turn()
+        self.pieces.turn()
+        known = self.words.__getitem__
+        return [b"".join(map(known, text.replace("\n", " ").split(" "))) for text in texts]
 
 
 @lru_cache(maxsize=2)
