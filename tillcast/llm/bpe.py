@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.memo import Memo, by_size
+from tillcast.llm.memo import Memo, parts
 
 _WORD = 256  # bits of a lower bitmap word
 
@@ -179,10 +179,9 @@ def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(path, pattern)
         for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
             rows = []
-            for part in by_size(texts):
-                for ids in bpe.encode(texts[part.start : part.stop]):
+            for part in parts(batch, most=1_000_000):
+                for ids in bpe.encode([text or "" for text in part.column(1).to_pylist()]):
                     decoded = hashlib.sha256(bpe.decode(ids)).hexdigest()
                     rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded))
             counts, hashes, back = zip(*rows) if rows else ((), (), ())
@@ -191,7 +190,7 @@ def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
@@ -201,12 +200,10 @@ def encoded(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(path, pattern)
         for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for part in by_size(texts):
-                ids = [np.frombuffer(x, "<u4").astype("int64") for x in bpe.encode(texts[part.start : part.stop])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.start, len(part)), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "ids"]
-                )
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+            for part in parts(batch, most=1_000_000):
+                packed = bpe.encode([text or "" for text in part.column(1).to_pylist()])
+                ids = [np.frombuffer(x, "<u4").astype("int64") for x in packed]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<long>")

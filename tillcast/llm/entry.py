@@ -2,35 +2,109 @@
 
 from __future__ import annotations
 
+import functools
+import os
+from collections.abc import Callable
+
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, host_rules, packing, token_files
+import corpus_pipeline
+from tillcast.llm import bpe, host_rules, licences, one_bit, packing, prob_minhash, pseudonyms, shards, site_bayes, token_files
 from tillcast.llm.tables import table
 from tillcast.session import shared_folder
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_FILE = "word_bpe_49k.json"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers that run beside the driver import this package from where it lies.
+
+    On a cluster the package is installed or sent with the job, and this changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, root) if p)
+
+
+def query(name: str):
+    def register(fn):
+        @functools.wraps(fn)
+        def prepared(spark: SparkSession, folder: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, folder)
 
+        QUERIES[name] = prepared
+        return prepared
 
-def op1_byte_bpe(spark, folder):
+    return register
+
+
+@query("op1_byte_bpe")
+def byte_bpe(spark, folder):
     path = public_tokenizers.path(BYTE_RANKS)
     return bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
-def op5_host_rules(spark, folder):
+@query("op2_prob_minhash")
+def near_duplicates(spark, folder):
+    return prob_minhash.classes(table(spark, folder, "documents")).select("doc_id", "class_id")
+
+
+@query("op3_site_bayes")
+def quality(spark, folder):
+    return site_bayes.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op4_pseudonyms")
+def personal_data(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.replace(docs, key="query-key", count="n_values")
+
+
+@query("op5_host_rules")
+def rules(spark, folder):
     return host_rules.judge(table(spark, folder, "documents")).withColumn("host_rate", F.round("host_rate", 9))
 
 
-def op6_token_files(spark, folder):
+@query("op6_token_files")
+def token_file(spark, folder):
     path = shared_folder(spark, "token-file")
     token_files.write(table(spark, folder, "documents"), path, public_tokenizers.path(WORD_FILE), end_id=1)
     return token_files.read_digests(spark, path)
 
 
-def op10_packing(spark, folder):
+@query("op7_licence_index")
+def licence_labels(spark, folder):
+    return licences.scan(table(spark, folder, "documents"))
+
+
+@query("op8_one_bit_codes")
+def nearest(spark, folder):
+    rows = one_bit.vectors(table(spark, folder, "embeddings"))
+    return one_bit.search(one_bit.build(rows), rows.where(F.col("vec_id") % 100 == 0))
+
+
+@query("op9_virtual_slots")
+def sharded(spark, folder):
+    return shards.assign(table(spark, folder, "documents"))
+
+
+@query("op10_packing")
+def packed(spark, folder):
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORD_FILE), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op5_host_rules, op6_token_files, op10_packing)}
+@query("pipeline")
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
+
+
 ORACLES = {"op5_host_rules": host_rules.ORACLE}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute as pc
+
 
 class Memo(dict):
     """Words to computed values; ``turn`` makes a full generation the old one, so memory stays bounded.
@@ -29,13 +32,20 @@ class Memo(dict):
             self.clear()
 
 
-def by_size(texts: list[str], most: int = 1_000_000) -> Iterable[range]:
-    """Ranges of consecutive texts of about ``most`` characters; a longer text stands alone."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > most:
-            yield range(start, i)
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield range(start, len(texts))
+def by_size(sizes: Iterable[int], most: int) -> Iterable[range]:
+    """Ranges of consecutive rows of about ``most`` bytes; a longer row stands alone."""
+    start = total = i = 0
+    for i, size in enumerate(sizes, 1):
+        if i - 1 > start and total + size > most:
+            yield range(start, i - 1)
+            start, total = i - 1, 0
+        total += size
+    if start < i:
+        yield range(start, i)
+
+
+def parts(batch: pa.RecordBatch, text: int = 1, most: int = 8_000_000) -> Iterable[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes of text."""
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
+    for rows in by_size(sizes, most):
+        yield batch.slice(rows.start, len(rows))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.memo import by_size
+from tillcast.llm.memo import parts
 from tillcast.llm.word_ids import loaded
 from tillcast.session import stored
 
@@ -148,24 +148,25 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = loaded(tokenizer)
-        end = np.array([end_id], words.dtype).tobytes()
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            rows = []
-            for part in by_size(texts):
-                for i, packed in zip(part, words.encode(texts[part.start : part.stop])):
-                    ids = np.frombuffer(packed + end, words.dtype).astype("<u4")
-                    raw = memoryview(ids.tobytes())
-                    for start in range(0, len(ids), capacity):
-                        length = min(capacity, len(ids) - start)
-                        rows.append((keys[i], start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), len(ids)))
-            columns = zip(*rows) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            )
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+            for part in parts(batch):
+                ids, edges = words.encode(part.column(1), end_id)
+                sizes = np.diff(edges)
+                # One row for each piece: its document's place in the part and its start there.
+                number = -(-sizes // capacity)
+                row = np.repeat(np.arange(len(sizes)), number)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)) * capacity
+                length = np.minimum(sizes[row] - start, capacity)
+                first = ((edges[row] + start) * 4).tolist()
+                raw = memoryview(ids.astype("<u4").tobytes())
+                checks = [zlib.crc32(raw[i : i + 4 * n]) for i, n in zip(first, length.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row)), pa.array(start), pa.array(length),
+                     pa.array(checks, pa.int64()), pa.array(sizes[row])],
+                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                )
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 

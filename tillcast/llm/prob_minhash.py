@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.llm.components import components
-from tillcast.llm.memo import by_size
+from tillcast.llm.memo import parts
 from tillcast.session import stored
 
 WORDS, SIMILARITY = 5, 0.8
@@ -172,9 +172,8 @@ def _sketched(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Hasher()
         for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for part in by_size(texts):
-                split = [words_of(text) for text in texts[part.start : part.stop]]
+            for part in parts(batch, most=1_000_000):
+                split = [words_of(text) for text in part.column(1).to_pylist()]
                 flat = hashed([word for words in split for word in words])
                 ends = np.cumsum([len(words) for words in split])
                 sets = [shingles(flat[e - len(words) : e]) for e, words in zip(ends, split)]
@@ -182,7 +181,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 nodes = [_node(words) if words else None for words in split]
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.start, len(part)), pa.array(nodes, pa.binary()), lists],
+                    [part.column(0), pa.array(nodes, pa.binary()), lists],
                     ["doc_id", "node", "keys"],
                 )
 

@@ -25,9 +25,10 @@ import numpy as np
 BLOCK = 4096
 ID_BITS = 20  # ids below 2^20; fewer bits where the caller knows fewer
 _ORDER2, _ORDER1, _ORDER0 = 10, 9, 8  # log2 of table sizes of a lane
-_FIRST_WEIGHTS = (2, 2, 8, 8)
-_STEP, _LIMIT = 16, 2000
 _MIX1, _MIX2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
+# Four 16-bit weights lie in one integer, the first one lowest; times _SUMS gives their running sums.
+_FIRST, _SUMS, _ONES = np.uint64(8 << 48 | 8 << 32 | 2 << 16 | 2), np.uint64(0x0001000100010001), np.uint64(0x0001000100010001)
+_HALVES, _WEIGHT, _STEP, _LIMIT = np.uint64(0x7FFF7FFF7FFF7FFF), np.uint64(0xFFFF), np.uint64(16), 2000
 # A span of 2^32 and more leaves 21 bits below the weights, enough for any choice.
 _BOTTOM, _LOW32, _WORD = np.uint64(1 << 32), np.uint64((1 << 32) - 1), np.uint64(32)
 
@@ -42,47 +43,43 @@ class _Model:
         self.table2 = np.zeros(lanes << _ORDER2, np.uint32)
         self.table1 = np.zeros(lanes << _ORDER1, np.uint32)
         self.table0 = np.zeros(lanes << _ORDER0, np.uint32)
-        self.rows = lanes * 64
-        self.weights = np.repeat(np.array(_FIRST_WEIGHTS, np.uint32), self.rows)
+        self.weights = np.full(lanes * 64, _FIRST)
         self.first_row = lane * 64
         self.slot2, self.slot1 = self.at2, self.at1
         self.before = np.zeros(lanes, np.uint32)
 
     def predict(self) -> None:
-        """Both guesses (id + 1), and weights and running sums of the mixture's four parts."""
+        """Entries of both guesses, and the weights of the mixture's four parts with their running sums."""
         self.entry2, self.entry1 = self.table2.take(self.slot2), self.table1.take(self.slot1)
-        self.guess2, self.guess1 = self.entry2 >> 3, self.entry1 >> 3
         self.sure2, self.sure1 = self.entry2 & 7, self.entry1 & 7
-        self.row = self.first_row + (self.sure2 << 3) + self.sure1
-        row, n, take = self.row, self.rows, self.weights.take
-        w0, w1, w2, w3 = take(row), take(row + n), take(row + 2 * n), take(row + 3 * n)
-        e1 = w0 + w1
-        e2 = e1 + w2
-        self.weight, self.end = (w0, w1, w2, w3), (w0, e1, e2, e2 + w3)
-
-    @staticmethod
-    def slot0(key: np.ndarray) -> np.ndarray:
-        return (key * _MIX1 >> 16) & ((1 << _ORDER0) - 1)
-
-    def learn(self, key: np.ndarray, place0: np.ndarray, part: np.ndarray, weight: np.ndarray) -> None:
-        """key: id + 1, place0: its place in the order-0 table, part: where the mixture held it, at which weight."""
-        self.weights[part * self.rows + self.row] = weight + _STEP
-        full = (self.end[3] > _LIMIT).nonzero()[0]
+        self.row = self.first_row + ((self.sure2 << 3) + self.sure1)
+        self.weight = self.weights.take(self.row)
+        self.sums = self.weight * _SUMS
+        self.total = self.sums >> 48
+
+    def share(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shift of each lane's part, its weight, and the sum of the weights before it."""
+        shift = part << 4
+        weight = (self.weight >> shift) & _WEIGHT
+        return shift, weight, ((self.sums >> shift) & _WEIGHT) - weight
+
+    def learn(self, key: np.ndarray, mixed: np.ndarray, place0: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, shift: np.ndarray) -> None:
+        """key: id + 1, mixed: its hash, place0: its place in the order-0 table, hits: the guesses that were right."""
+        self.weights[self.row] = self.weight + (_STEP << shift)
+        full = (self.total > _LIMIT).nonzero()[0]
         if full.size:
-            rows = (self.row[full] + np.arange(4)[:, None] * self.rows).ravel()
-            self.weights[rows] = (self.weights[rows] >> 1) | 1
+            rows = self.row[full]
+            self.weights[rows] = ((self.weights[rows] >> 1) & _HALVES) | _ONES
         fresh = (key << 3) | 1
-        for table, slot, entry, guess, sure in (
-            (self.table2, self.slot2, self.entry2, self.guess2, self.sure2),
-            (self.table1, self.slot1, self.entry1, self.guess1, self.sure1),
+        for table, slot, entry, sure, hit in (
+            (self.table2, self.slot2, self.entry2, self.sure2, hit2),
+            (self.table1, self.slot1, self.entry1, self.sure1, hit1),
         ):
-            missed = np.where(sure > 1, entry - ((sure + 1) >> 1), fresh)
-            table[slot] = np.where(guess == key, np.minimum(entry + 1, entry | 7), missed)
+            table[slot] = np.where(hit, entry + (sure < 7), np.where(sure > 1, entry - 2, fresh))
         self.table0[place0] = key
-        mixed = key * _MIX1
-        self.slot1 = self.at1 + ((mixed >> 15) & ((1 << _ORDER1) - 1))
-        self.slot2 = self.at2 + ((mixed + self.before * _MIX2 >> 17) & ((1 << _ORDER2) - 1))
-        self.before = key
+        self.slot1 = self.at1 + (mixed >> (32 - _ORDER1))
+        self.slot2 = self.at2 + ((mixed + self.before) >> (32 - _ORDER2))
+        self.before = mixed * _MIX2
 
 
 def _columns(ids: np.ndarray) -> tuple[np.ndarray, int]:
@@ -100,6 +97,11 @@ def _cut(low: np.ndarray, span: np.ndarray) -> np.ndarray:
     return np.where((low ^ (low + span)) < _BOTTOM, span, (np.uint64(0) - low) & _LOW32)
 
 
+def _choices(id_bits: int) -> np.ndarray:
+    """Bits of the choice that each part of the mixture leaves: none, none, a table slot, a whole id."""
+    return np.array([0, 0, _ORDER0, id_bits], np.uint64)
+
+
 def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray, np.ndarray]:
     """Payload, bytes of each block in it, and CRC-32 of each block's ids as uint32."""
     if not len(ids):
@@ -107,33 +109,30 @@ def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray,
     if id_bits > ID_BITS or int(ids.max()) >> id_bits:
         raise ValueError(f"ids must lie below 2^{min(id_bits, ID_BITS)}")
     columns, lanes = _columns(ids)
-    model = _Model(lanes)
+    model, bits = _Model(lanes), _choices(id_bits)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     # A word holds 32 bits, and no id takes more than one.
     room = len(columns) + 4
     out = np.zeros(lanes * room, "<u4")
     place = np.arange(lanes) * room
+    parts = [np.uint64(i) for i in range(4)]
     for key in columns:
         model.predict()
-        slot = model.slot0(key)
+        mixed = key * _MIX1
+        slot = mixed >> (32 - _ORDER0)
         place0 = model.at0 + slot
-        is2, is1, is0 = model.guess2 == key, model.guess1 == key, model.table0.take(place0) == key
-        (w0, w1, w2, w3), (e0, e1, e2, e3) = model.weight, model.end
-        part = np.where(is2, 0, np.where(is1, 1, np.where(is0, 2, 3)))
-        weight = np.where(is2, w0, np.where(is1, w1, np.where(is0, w2, w3)))
-        start = np.where(is2, np.uint32(0), np.where(is1, e0, np.where(is0, e1, e2)))
-        share = span // e3
-        low += share * start
-        span = share * weight
-        chosen = (part == 3).nonzero()[0]
-        unit = span[chosen] >> np.uint64(id_bits)
-        low[chosen] += unit * (key[chosen] - 1)
-        span[chosen] = unit
-        chosen = (part == 2).nonzero()[0]
-        unit = span[chosen] >> np.uint64(_ORDER0)
-        low[chosen] += unit * slot[chosen]
-        span[chosen] = unit
-        model.learn(key, place0, part, weight)
+        # The id matches where nothing but the confidence differs; no key is zero, so no empty entry does.
+        mark = key << 3
+        hit2, hit1 = (model.entry2 ^ mark) < 8, (model.entry1 ^ mark) < 8
+        hit0 = model.table0.take(place0) == key
+        part = np.where(hit2, parts[0], np.where(hit1, parts[1], np.where(hit0, parts[2], parts[3])))
+        shift, weight, start = model.share(part)
+        span //= model.total
+        low += span * start
+        span *= weight
+        span >>= bits.take(part.view(np.int64))
+        low += span * np.where(part < 2, 0, np.where(hit0, slot, key - 1))
+        model.learn(key, mixed, place0, hit2, hit1, shift)
         due = (span < _BOTTOM).nonzero()[0]
         if due.size:
             at, wide = low[due], span[due]
@@ -159,7 +158,8 @@ def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id
         return np.zeros(0, "<u4")
     lanes = len(sizes)
     steps = BLOCK if lanes > 1 else count
-    model = _Model(lanes)
+    model, bits = _Model(lanes), _choices(id_bits)
+    most = (np.uint64(1) << bits) - np.uint64(1)
     words = np.concatenate([np.frombuffer(payload, "<u4"), np.zeros(4, "<u4")])
     last = words.size - 1
     place = np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64) // 4)[:-1]])
@@ -167,33 +167,28 @@ def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id
     code = (words[place].astype(np.uint64) << _WORD) | words[np.minimum(place + 1, last)]
     place += 2
     out = np.empty((steps, lanes), "<u4")
-    top_id, top_slot = np.uint64((1 << id_bits) - 1), np.uint64((1 << _ORDER0) - 1)
     for step in range(steps):
         model.predict()
-        (w0, w1, w2, w3), (e0, e1, e2, e3) = model.weight, model.end
-        share = span // e3
-        target = (code - low) // share
-        is2, is1, is0 = target < e0, target < e1, target < e2
-        part = np.where(is2, 0, np.where(is1, 1, np.where(is0, 2, 3)))
-        weight = np.where(is2, w0, np.where(is1, w1, np.where(is0, w2, w3)))
-        start = np.where(is2, np.uint32(0), np.where(is1, e0, np.where(is0, e1, e2)))
-        low += share * start
-        span = share * weight
-        key = np.where(is2, model.guess2, model.guess1)
-        chosen = (part == 3).nonzero()[0]
-        unit = span[chosen] >> np.uint64(id_bits)
-        value = np.minimum((code[chosen] - low[chosen]) // unit, top_id)
-        low[chosen] += unit * value
-        span[chosen] = unit
-        key[chosen] = value + np.uint64(1)
-        chosen = (part == 2).nonzero()[0]
-        unit = span[chosen] >> np.uint64(_ORDER0)
-        value = np.minimum((code[chosen] - low[chosen]) // unit, top_slot)
-        low[chosen] += unit * value
-        span[chosen] = unit
-        key[chosen] = model.table0[model.at0[chosen] + value.view(np.int64)]
-        out[step] = key - 1
-        model.learn(key, model.at0 + model.slot0(key), part, weight)
+        span //= model.total
+        target = (code - low) // span
+        sums = model.sums
+        part = (target >= (sums & _WEIGHT)).astype(np.uint64)
+        part += target >= ((sums >> 16) & _WEIGHT)
+        part += target >= ((sums >> 32) & _WEIGHT)
+        shift, weight, start = model.share(part)
+        low += span * start
+        span *= weight
+        kind = part.view(np.int64)
+        span >>= bits.take(kind)
+        value = np.minimum((code - low) // span, most.take(kind))
+        low += span * value
+        guess2, guess1 = model.entry2 >> 3, model.entry1 >> 3
+        key = np.where(part == 0, guess2, np.where(part == 1, guess1, (value + np.uint64(1)).astype(np.uint32)))
+        held = (part == 2).nonzero()[0]
+        key[held] = model.table0[model.at0[held] + value[held].view(np.int64)]
+        out[step] = key
+        mixed = key * _MIX1
+        model.learn(key, mixed, model.at0 + (mixed >> (32 - _ORDER0)), guess2 == key, guess1 == key, shift)
         due = (span < _BOTTOM).nonzero()[0]
         if due.size:
             at, wide = low[due], span[due]
@@ -202,7 +197,7 @@ def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id
             code[due] = (code[due] << _WORD) | words[np.minimum(spot, last)]
             place[due] = spot + 1
             low[due] = at << _WORD
-    ids = np.ascontiguousarray(out.T).reshape(-1)[:count]
+    ids = np.ascontiguousarray(out.T).reshape(-1)[:count] - np.uint32(1)
     for block, check in enumerate(np.asarray(checks).tolist()):
         if zlib.crc32(ids[block * BLOCK : (block + 1) * BLOCK].tobytes()) != check:
             raise ValueError(f"block {block}: the checksum of its ids differs")

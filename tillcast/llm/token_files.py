@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 from tillcast.llm import range_coder
 from tillcast.llm.columns import whole
-from tillcast.llm.memo import by_size
+from tillcast.llm.memo import parts
 from tillcast.llm.word_ids import loaded
 
-SEGMENT = 1 << 22
+SEGMENT = 1 << 23
 
 _SEGMENTS = (
     "part int, segment int, doc_ids binary, doc_known binary, doc_tokens binary, n_tokens long, "
@@ -54,39 +54,36 @@ def write(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = loaded(tokenizer)
-        end = np.array([end_id], words.dtype).tobytes()
+        id_bits = min(8 * words.dtype.itemsize, range_coder.ID_BITS)
         part, segment = TaskContext.get().partitionId(), 0
-        doc_ids: list[int | None] = []
-        held: list[bytes] = []
-        size = 0
+        keys: list[pa.Array] = []
+        counts: list[np.ndarray] = []
+        held: list[np.ndarray] = []
 
         def closed() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), words.dtype)
-            id_bits = min(8 * words.dtype.itemsize, range_coder.ID_BITS)
+            ids = np.concatenate(held)
             payload, sizes, checks = range_coder.encode(ids, id_bits)
-            counts = np.array([len(x) // words.dtype.itemsize for x in held], "<u4")
+            known = pa.concat_arrays(keys)
             row = (
-                part, segment, np.array([x or 0 for x in doc_ids], "<i8").tobytes(),
-                bytes(x is not None for x in doc_ids), counts.tobytes(), len(ids), id_bits,
-                sizes, checks, payload,
+                part, segment, known.fill_null(0).to_numpy().astype("<i8").tobytes(),
+                known.is_valid().to_numpy(zero_copy_only=False).tobytes(), np.concatenate(counts).astype("<u4").tobytes(),
+                len(ids), id_bits, sizes, checks, payload,
             )
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _ARROW.types)], schema=_ARROW)
 
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for rows in by_size(texts):
-                for i, ids in zip(rows, words.encode(texts[rows.start : rows.stop])):
-                    doc_ids.append(keys[i])
-                    held.append(ids + end)
-                    size += len(held[-1]) // words.dtype.itemsize
-                    if size >= segment_ids:
-                        yield closed()
-                        doc_ids, held, size, segment = [], [], 0, segment + 1
+            for rows in parts(batch):
+                ids, edges = words.encode(rows.column(1), end_id)
+                keys.append(rows.column(0))
+                counts.append(np.diff(edges))
+                held.append(ids)
+                if sum(map(len, held)) >= segment_ids:
+                    yield closed()
+                    keys, counts, held, segment = [], [], [], segment + 1
         if held:
             yield closed()
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     # The hash spreads the rows of one document id too.
     order = ["doc_id", F.xxhash64(whole(F.col("text")))]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 from tillcast.llm.memo import Memo
@@ -33,7 +36,7 @@ class WordIds:
     library.  Ids are packed as unsigned little-endian integers.
     """
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
@@ -41,12 +44,13 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.letters = _byte_letters()
         self.pieces = Memo(self._piece_ids, memo)
         self.words = Memo(self._word_ids, memo)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return b"".join([i.to_bytes(self.dtype.itemsize, "little") for i in ids])
+        return array(self.code, ids).tobytes()
 
     def _piece_ids(self, piece: str) -> bytes:
         if not (piece.isascii() and piece.isprintable()):
@@ -60,11 +64,27 @@ class WordIds:
             return b"".join([self.pieces[piece] for piece in PIECES.findall(word.lower())])
         return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty), each followed by ``end_id``, and the places between texts.
+
+        Arrow numbers the distinct words of the texts; only these are looked up one by one.
+        """
         self.words.turn()
         self.pieces.turn()
-        known = self.words.__getitem__
-        return [b"".join(map(known, text.replace("\n", " ").split(" "))) for text in texts]
+        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        numbered = split.flatten().dictionary_encode()
+        packed = list(map(self.words.__getitem__, numbered.dictionary.to_pylist()))
+        ids = np.frombuffer(b"".join(packed), self.dtype)
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        number = numbered.indices.to_numpy()
+        taken = sizes[number]
+        ends = np.cumsum(taken)
+        from_ = np.repeat(starts[number] - (ends - taken), taken)
+        from_ += np.arange(len(from_))
+        between = split.offsets.to_numpy() - split.offsets[0].as_py()
+        edges = np.concatenate([[0], ends])[between]
+        return np.insert(ids[from_], edges[1:], end_id), edges + np.arange(len(edges))
 
 
 @lru_cache(maxsize=2)
