@@ -36,7 +36,7 @@ class WordIds:
     library.  Ids are packed as unsigned little-endian integers.
     """
 
-    def __init__(self, path: str, memo: int = 800_000):
+    def __init__(self, path: str, memo: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
