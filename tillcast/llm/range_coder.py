@@ -22,7 +22,7 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
+BLOCK = 2048
 ID_BITS = 20  # ids below 2^20; fewer bits where the caller knows fewer
 _ORDER2, _ORDER1, _ORDER0 = 10, 9, 8  # log2 of table sizes of a lane
 _MIX1, _MIX2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
@@ -86,10 +86,18 @@ def _columns(ids: np.ndarray) -> tuple[np.ndarray, int]:
     """Ids + 1 as (step, lane); the last block is filled up with ones."""
     blocks = max(1, -(-len(ids) // BLOCK))
     steps = BLOCK if blocks > 1 else len(ids)
-    keys = np.ones(blocks * steps, np.uint32)
-    keys[: len(ids)] = ids
-    keys[: len(ids)] += 1
-    return np.ascontiguousarray(keys.reshape(blocks, steps).T), blocks
+    keys = np.ones((steps, blocks), np.uint32)
+    whole = len(ids) // steps
+    keys[:, :whole] = ids[: whole * steps].reshape(whole, steps).T
+    keys[: len(ids) - whole * steps, whole:] = ids[whole * steps :, None]
+    keys[:, :whole] += np.uint32(1)
+    keys[: len(ids) - whole * steps, whole:] += np.uint32(1)
+    return keys, blocks
+
+
+def _check(ids: np.ndarray) -> list[int]:
+    """CRC-32 of each block's ids."""
+    return [zlib.crc32(ids[i : i + BLOCK].astype("<u4").tobytes()) for i in range(0, len(ids), BLOCK)]
 
 
 def _cut(low: np.ndarray, span: np.ndarray) -> np.ndarray:
@@ -147,9 +155,8 @@ def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray,
         low <<= _WORD
     filled = place - np.arange(lanes) * room
     rows = out.reshape(lanes, room)
-    raw = ids.astype("<u4")
-    checks = [zlib.crc32(raw[i : i + BLOCK].tobytes()) for i in range(0, len(ids), BLOCK)]
-    return b"".join([rows[i, : filled[i]].tobytes() for i in range(lanes)]), filled * 4, np.array(checks, np.int64)
+    payload = b"".join([rows[i, : filled[i]].tobytes() for i in range(lanes)])
+    return payload, filled * 4, np.array(_check(ids), np.int64)
 
 
 def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id_bits: int = ID_BITS) -> np.ndarray:
@@ -197,8 +204,9 @@ def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id
             code[due] = (code[due] << _WORD) | words[np.minimum(spot, last)]
             place[due] = spot + 1
             low[due] = at << _WORD
-    ids = np.ascontiguousarray(out.T).reshape(-1)[:count] - np.uint32(1)
-    for block, check in enumerate(np.asarray(checks).tolist()):
-        if zlib.crc32(ids[block * BLOCK : (block + 1) * BLOCK].tobytes()) != check:
+    out -= np.uint32(1)
+    ids = out.T.reshape(-1)[:count]
+    for block, (found, check) in enumerate(zip(_check(ids), np.asarray(checks).tolist())):
+        if found != check:
             raise ValueError(f"block {block}: the checksum of its ids differs")
     return ids

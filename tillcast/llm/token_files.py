@@ -33,7 +33,7 @@ from tillcast.llm.columns import whole
 from tillcast.llm.memo import parts
 from tillcast.llm.word_ids import loaded
 
-SEGMENT = 1 << 23
+SEGMENT = 1 << 22
 
 _SEGMENTS = (
     "part int, segment int, doc_ids binary, doc_known binary, doc_tokens binary, n_tokens long, "
