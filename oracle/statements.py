@@ -264,8 +264,30 @@ pairs AS (
            AS rmspe_ensemble
   FROM tp a JOIN tp b ON b.row_id = a.row_id AND a.rk < b.rk GROUP BY ALL)"""
 
+# The names of the featured frame, built from their parts; a text stays with at most 100 values.
 _CANDIDATES = """
-cand AS (SELECT unnest([{names}]) AS feature)"""
+shown_texts AS (SELECT p.StateHoliday, s.StoreType, s.Assortment, s.PromoInterval, strftime(p.Date, '%Y-%m-%d') AS DayText
+                FROM panel p LEFT JOIN stores s ON s.Store = p.Store),
+texts AS (SELECT unnest(['StateHoliday', 'StoreType', 'Assortment', 'PromoInterval', 'DayText']) AS feature,
+                 unnest([count(DISTINCT StateHoliday), count(DISTINCT StoreType), count(DISTINCT Assortment),
+                         count(DISTINCT PromoInterval), count(DISTINCT DayText)]) AS n FROM shown_texts),
+named AS (
+  SELECT column_name AS feature FROM (DESCRIBE SELECT * EXCLUDE (Sales, Customers, Open, Store, Date) FROM panel)
+  UNION ALL SELECT column_name FROM (DESCRIBE SELECT * EXCLUDE (Store) FROM stores)
+  UNION ALL SELECT unnest(['DayText', 'is_holiday', 'day_number'])
+  UNION ALL SELECT 'recent_' || h || '_' || s || '_' || t
+    FROM (SELECT unnest(['q', 'h', 'y', 'y2']) AS h), (SELECT unnest(['all', 'dow', 'promo', 'holiday', 'dow_promo']) AS s),
+         (SELECT unnest(['mean', 'median', 'std', 'skew', 'p10', 'p90', 'cv', 'harmonic_mean']) AS t)
+    WHERE s <> 'dow_promo' OR t IN ('mean', 'median', 'std', 'skew')
+  UNION ALL SELECT 'trend_' || unnest(['q_pred', 'y_pred', 'q_slope', 'y_slope', 'q_dow_coef', 'q_promo_coef', 'yoy'])
+  UNION ALL SELECT 'day_of_' || unnest(['week', 'month', 'year'])
+  UNION ALL SELECT unnest(['week_of_year', 'month', 'year', 'is_summer', 'days_into_summer', 'is_refurb_closure'])
+  UNION ALL SELECT 'day_in_' || unnest(['promo', 'promo2']) || '_cycle'
+  UNION ALL SELECT 'days_since_' || unnest(['promo', 'promo2', 'school_holiday', 'refurb', 'competition'])
+  UNION ALL SELECT 'days_until_' || unnest(['promo', 'school_holiday', 'refurb'])
+  UNION ALL SELECT k || '_' || w || '_week' FROM (SELECT unnest(['holidays', 'school_holidays']) AS k),
+         (SELECT unnest(['this', 'last', 'next']) AS w)),
+cand AS (SELECT feature FROM named WHERE feature NOT IN (SELECT feature FROM texts WHERE n > 100))"""
 
 _SUBSETS = """
 , sizes AS (SELECT m AS model_id, 20 + CAST('0x' || substr(md5('42|' || m), 1, 8) AS BIGINT) % 41 AS wanted
@@ -329,12 +351,11 @@ def _mean(value: str, keys: str, error: bool = True) -> str:
     return f"SELECT {keys}, round(avg({value}), 4) AS mean_{value}, count({value}) AS n{se} FROM explored GROUP BY ALL"
 
 
-def statements(feature_columns: list[str]) -> dict[str, str]:
-    """``feature_columns``: names of the featured frame in order, for the queries on feature names."""
-    candidates = _CANDIDATES.format(names=", ".join(f"'{c}'" for c in feature_columns))
+def statements() -> dict[str, str]:
+    candidates = _CANDIDATES
     train, dim = ", ".join(f"p.{c}" for c in _TRAIN), ", ".join(f"s.{c}" for c in _DIM)
     subsets = _SUBSETS.format(n=500)
-    pred_subsets = _PRED + _PAIRS + "," + candidates + _SUBSETS.format(n=LAGS)
+    pred_subsets = _PRED + _PAIRS + "," + STORES + "," + candidates + _SUBSETS.format(n=LAGS)
     top_ids = """
 , best AS (SELECT * FROM pairs ORDER BY rmspe_ensemble, model_1, model_2 LIMIT 10),
 ids AS (SELECT model_1 AS model_id FROM best UNION SELECT model_2 FROM best),
@@ -513,9 +534,8 @@ FROM explored""",
         + " SELECT j.Store, j.Date, "
         + ", ".join(f"k_{c}.code AS {c}" for c in ("StateHoliday", "StoreType", "Assortment", "PromoInterval"))
         + f" FROM joined j {code_joins}",
-        "feature_candidates": "WITH" + candidates + " SELECT feature FROM cand",
-        "random_feature_subsets": "WITH"
-        + candidates
+        "feature_candidates": _with(PANEL, STORES, candidates) + " SELECT feature FROM cand",
+        "random_feature_subsets": _with(PANEL, STORES, candidates)
         + subsets
         + """ SELECT model_id, CAST(count(*) AS INTEGER) AS n_features, string_agg(feature, ',' ORDER BY feature) AS features
 FROM subsets GROUP BY model_id""",

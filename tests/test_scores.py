@@ -90,8 +90,10 @@ def test_sale_per_customer_without_customers(raw):
 def test_codes_and_candidates(spark):
     df = spark.createDataFrame([("b", "x0", 1), (None, "x1", 2), ("a", "x2", 3), ("b", "x3", 4)], "t string, u string, Sales int")
     assert [r.t for r in features.category_codes(df, ["t"]).orderBy("Sales").collect()] == [2, 0, 1, 2]
-    with pytest.raises(Exception, match="too many categories"):
-        features.category_codes(df, ["u"], max_categories=2).collect()
+    many = spark.createDataFrame([(f"v{i:03d}" if i % 5 else None, i) for i in range(150)], "t string, n int")
+    order = sorted({r.t or "-999" for r in many.collect()})
+    coded = features.category_codes(many, ["t"]).join(many.withColumnRenamed("t", "was"), "n").collect()
+    assert len(coded) == 150 and all(order[r.t] == (r.was or "-999") for r in coded)
     assert features.candidate_list(df, max_distinct=3) == ["t"]
     assert features.present(["t", "w"], df) == (["t"], ["w"])
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tillcast.operators import features
 from tillcast.plans import jobs
 from tillcast.plans import train as training
 
@@ -48,11 +49,29 @@ def test_family_end_to_end(spark, tables, tmp_path):
     assert len(forecast) == 120 and all((v == 0) == (i % 5 == 0) for i, v in forecast.items())
 
     training.save_family(run, str(tmp_path / "m"))
-    encoder, members = training.load_family(spark, str(tmp_path / "m"))
-    loaded = training.FamilyRun("x", training.Matrix(encoder, run.matrix.candidates, run.matrix.texts), run.scores, run.pairs, members, run.rmspe)
+    loaded = training.load_family(spark, str(tmp_path / "m"))
+    assert loaded.rmspe == run.rmspe and loaded.scores.count() == 3
     again = {r.Id: r.Sales for r in training.forecast(loaded, tables["test_featured"]).collect()}
     assert again == pytest.approx(forecast)
 
+    for name in ("train", "holdout", "test"):
+        tables[f"{name}_featured"].write.parquet(f"{tmp_path}/featured/{name}_featured")
+    training.save_family(runs["leafwise"], f"{tmp_path}/n")
+    score = jobs.cross_from_saved(
+        spark, f"{tmp_path}/featured", f"{tmp_path}/m", f"{tmp_path}/n", f"{tmp_path}/out", "r"
+    )
+    assert score == pytest.approx(next(r.rmspe for r in scores.collect() if r.model == "cross"))
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out/submission_cross").count() == 120
+
+
+def test_absent_features_count_as_missing(spark, tables):
+    matrix = training.fit_matrix(tables["train_featured"], ["x0", "x1", "kind"])
+    with pytest.warns(UserWarning, match="x1"):
+        row = matrix.rows(tables["test_featured"].drop("x1"), "Id").first()
+    assert row[training.VECTOR][1] == features.MISSING_NUMBER
+    with pytest.warns(UserWarning, match="gone"):
+        assert matrix.slicer(["x0", "gone"]).getIndices() == [0]
+
 
 def test_prefix_of_rounds_is_a_shorter_fit(spark, tables):
     matrix = training.fit_matrix(tables["train_featured"], ["x0", "kind"])

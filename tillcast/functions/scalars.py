@@ -76,7 +76,8 @@ def harmonic_pair(a: Column, b: Column) -> Column:
 
 
 def floored(pred: Column) -> Column:
-    return F.greatest(pred, F.lit(PREDICTION_FLOOR))
+    """The prediction or the floor; an absent prediction stays absent."""
+    return F.when(pred.isNotNull(), F.greatest(pred, F.lit(PREDICTION_FLOOR)))
 
 
 def harmonic_of(preds: list[Column]) -> Column:
@@ -91,5 +92,4 @@ def harmonic_agg(pred: str | Column = "pred") -> Column:
 
 
 def weighted_harmonic(a: Column, b: Column, weight_a: float) -> Column:
-    weight_b = 1.0 - weight_a
-    return (weight_a + weight_b) / (weight_a / floored(a) + weight_b / floored(b))
+    return 1 / (weight_a / floored(a) + (1.0 - weight_a) / floored(b))

@@ -99,8 +99,8 @@ def total_score(ensemble: DataFrame, name: str) -> DataFrame:
 def recommend(scores: DataFrame, preference: list[str]) -> DataFrame:
     """Mark the best score; equal scores go to the earlier name in ``preference``."""
     order = F.array_position(F.array(*[F.lit(p) for p in preference]), F.col("model"))
-    best = scores.agg(F.min_by("model", F.struct("rmspe", order))).scalar()
-    return scores.withColumn("recommended", (F.col("model") == best).cast("int"))
+    place = F.row_number().over(Window.orderBy(F.asc_nulls_last("rmspe"), order))  # a few rows
+    return scores.withColumn("recommended", (place == 1).cast("int"))
 
 
 def close_stores(scored: DataFrame) -> DataFrame:

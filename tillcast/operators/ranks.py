@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from tillcast.session import cut_lineage, shuffle_width
 
-MAX_BUCKETS = 4096
+def _bucketed(df: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
+    """Add ``_bucket``, increasing with ``value``.
 
-
-def _bucketed(df: DataFrame, value: str) -> DataFrame:
-    """Add ``_bucket``, increasing with ``value``; the cut points are at most MAX_BUCKETS numbers."""
-    buckets = max(2, min(MAX_BUCKETS, 4 * shuffle_width(df.sparkSession)))
+    There are four buckets for each shuffle partition unless ``buckets`` says otherwise, so
+    their number follows the width that the session was given for its data.
+    """
+    buckets = buckets or max(2, 4 * shuffle_width(df.sparkSession))
     cuts = df.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.25 / buckets)
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     if len(splits) == 2:  # no values at all
@@ -33,7 +34,7 @@ def ecdf(df: DataFrame, column: str) -> DataFrame:
         df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("x")).count()
     )
     placed = _bucketed(counts, "x")
-    in_order = Window.orderBy("_bucket")  # at most MAX_BUCKETS rows
+    in_order = Window.orderBy("_bucket")  # one row per bucket
     offsets = (
         placed.groupBy("_bucket")
         .agg(F.sum("count").alias("_in_bucket"))
@@ -44,7 +45,7 @@ def ecdf(df: DataFrame, column: str) -> DataFrame:
         )
     )
     running = F.sum("count").over(Window.partitionBy("_bucket").orderBy("x"))
-    return placed.join(F.broadcast(offsets), "_bucket").select(
+    return placed.join(offsets, "_bucket").select(
         "x", ((F.col("_before") + running) / F.col("_total")).alias("y")
     )
 

@@ -44,7 +44,7 @@ def train_families(
     listed = features.feature_candidates(train)
     candidates = [r.feature for r in listed.orderBy("position").collect()]
     matrix = training.fit_matrix(train, candidates)
-    keyed = [df.withColumn("row_id", F.xxhash64("Store", "Date")) for df in (train, holdout)]
+    keyed = [df.withColumn("row_id", F.struct("Store", "Date")) for df in (train, holdout)]
     fit_rows, check_rows = [
         training.labelled(matrix, df, "row_id", "Date").persist(StorageLevel.MEMORY_AND_DISK) for df in keyed
     ]
@@ -52,32 +52,52 @@ def train_families(
         listed, options.n_models, options.min_features, min(options.max_features, len(candidates)), options.seed
     )
     runs = {}
-    for name in names:
-        base = training.FAMILIES[name]
-        runs[name] = training.run_family(
-            name,
-            matrix,
-            fit_rows,
-            check_rows,
-            subsets,
-            training.replace(base, rounds=options.rounds),
-            options.probe_rounds,
-            options.top_models,
-            options.top_pairs,
-            options.parallel,
-        )
-    scores = [(name, float(run.rmspe)) for name, run in runs.items()]
-    if len(runs) == 2:
-        first, second = runs.values()
-        crossed = training.cross_predictions(check_rows, first, second, options.weight_first)
-        scores.append(("cross", float(crossed.agg(rmspe().alias("r")).first().r)))
-    fit_rows.unpersist()
-    check_rows.unpersist()
+    try:
+        for name in names:
+            base = training.FAMILIES[name]
+            runs[name] = training.run_family(
+                name,
+                matrix,
+                fit_rows,
+                check_rows,
+                subsets,
+                training.replace(base, rounds=options.rounds),
+                options.probe_rounds,
+                options.top_models,
+                options.top_pairs,
+                options.parallel,
+            )
+        scores = [(name, float(run.rmspe)) for name, run in runs.items()]
+        if len(runs) == 2:
+            scores.append(("cross", cross_score(check_rows, *runs.values(), options.weight_first)))
+    finally:
+        fit_rows.unpersist()
+        check_rows.unpersist()
     table = spark.createDataFrame(scores, "model string, rmspe double")
     preference = ["cross", *reversed(list(runs))]
     return runs, recommend(table, preference)
 
 
+def cross_score(
+    rows: DataFrame, first: training.FamilyRun, second: training.FamilyRun, weight_first: float = 0.5
+) -> float:
+    crossed = training.cross_predictions(rows, first, second, weight_first)
+    return float(crossed.agg(rmspe().alias("r")).first().r)
+
+
+def cross_from_saved(
+    spark: SparkSession, featured: str, first: str, second: str, out: str, run_id: str, weight_first: float = 0.5
+) -> float:
+    """Second step on its own: score and submission of two saved families, from their folders alone."""
+    tables = read_featured(spark, featured)
+    a, b = training.load_family(spark, first), training.load_family(spark, second)
+    holdout = training.labelled(a.matrix, tables["holdout_featured"])
+    score = cross_score(holdout, a, b, weight_first)
+    write_submission(training.cross_forecast(a, b, tables["test_featured"], weight_first), f"{out}/submission_cross")
+    append_score(spark, f"{out}/scores", run_id, "cross", score)
+    return score
+
+
 def train_and_submit(
     spark: SparkSession, featured: str, out: str, run_id: str, options: TrainOptions = TrainOptions()
 ) -> DataFrame:
@@ -94,4 +114,7 @@ def train_and_submit(
     )
     for row in scores.collect():  # three rows
         append_score(spark, f"{out}/scores", run_id, row.model, row.rmspe)
+    for name, run in runs.items():
+        for member in run.members:
+            append_score(spark, f"{out}/scores", run_id, f"{name}/{member.kind}", member.rmspe)
     return scores

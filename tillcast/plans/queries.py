@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import harmonic_of
 from tillcast.operators import ensemble, events, exploration, features, ranks, rolling, split, trend
-from tillcast.plans import build, jobs, standins
-from tillcast.plans import train as training
+from tillcast.plans import build, standins
 from tillcast.session import by_store, cut_lineage, shared_folder, tune
 from tillcast.sources import panel as source
 from tillcast.sources import schema
@@ -448,7 +447,9 @@ def log_sales_split(spark, folder):
 
 
 def _candidates(spark, folder) -> DataFrame:
-    return features.feature_candidates(_joined(spark, folder), columns=build.feature_columns())
+    """Candidates of the featured frame with one more text, which has a value for every day."""
+    rows = _joined(spark, folder).withColumn("DayText", F.date_format("Date", "yyyy-MM-dd"))
+    return features.feature_candidates(rows, columns=[*build.feature_columns(), "DayText"])
 
 
 @query
@@ -570,50 +571,3 @@ def submission(spark, folder):
 
     rows = split.with_context(history, split.open_by_default(scoring), forecast)
     return ensemble.close_stores(split.scoring_rows(rows)).select("Id", "Sales").orderBy("Id")
-
-
-# ---------------------------------------------------------------- fitted models
-
-# The registered runs fit few and short models; every size is an option of the job.
-_SHORT_RUN = jobs.TrainOptions(n_models=4, top_models=4, top_pairs=2, probe_rounds=4, rounds=6, parallel=2)
-_featured: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
-def _featured_tables(spark, folder) -> dict[str, DataFrame]:
-    """The three featured tables of a folder, written once per application."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _featured:
-        _, last_day = source.calendar_bounds(spark, folder)
-        panel = cut_lineage(_panel(spark, folder))
-        history, scoring = source.scoring_split(panel, last_day)
-        out = shared_folder(spark, "featured")
-        build.build_features(history, scoring, _stores(spark, folder), out)
-        _featured[key] = schema.read_featured(spark, out)
-    return _featured[key]
-
-
-@query
-def mllib_probe_scores(spark, folder):
-    tables = _featured_tables(spark, folder)
-    runs, _ = jobs.train_families(tables, ["depthwise"], _SHORT_RUN)
-    return runs["depthwise"].scores.select("model_id", "n_features", "rmspe")
-
-
-@query
-def mllib_specialists(spark, folder):
-    runs, _ = jobs.train_families(_featured_tables(spark, folder), ["leafwise"], _SHORT_RUN)
-    rows = [(m.kind, len(m.features), m.rmspe) for m in runs["leafwise"].members]
-    return spark.createDataFrame(rows, "kind string, n_features int, rmspe double")
-
-
-@query
-def mllib_score_comparison(spark, folder):
-    _, scores = jobs.train_families(_featured_tables(spark, folder), ["depthwise", "leafwise"], _SHORT_RUN)
-    return scores
-
-
-@query
-def mllib_forecast(spark, folder):
-    tables = _featured_tables(spark, folder)
-    runs, _ = jobs.train_families(tables, ["depthwise", "leafwise"], _SHORT_RUN)
-    return training.cross_forecast(*runs.values(), tables["test_featured"]).orderBy("Id")

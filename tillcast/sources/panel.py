@@ -1,9 +1,10 @@
 """Daily store panel, store attributes and scoring rows derived from order lines.
 
-``Store`` is the supplier and ``Date`` the ship date.  The lines of a store-day are
-combined map-side before the shuffle, so a store holding a large share of all lines
-never meets in one task; afterwards a store has at most one row per calendar day,
-which bounds every per-store window in this package by the length of the calendar.
+``Store`` is the supplier and ``Date`` the ship date.  Lines are added up per store, day and
+order first (the distinct orders need that), then per store and day; both steps combine
+map-side and deal by more than the store, so a store with a large share of all lines never
+meets in one task.  Afterwards a store has at most one row per calendar day, which bounds
+every per-store window in this package by the length of the calendar.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillcast.session import by_store
+
 PROMO_DISCOUNT = 8  # percent
 SCORING_DAYS = 42
 
@@ -58,7 +61,8 @@ def densify(daily: DataFrame, first_day: Column, last_day: Column) -> DataFrame:
     observed day; the first row also generates the days before it.  No calendar join.
     """
     by_day = Window.partitionBy("Store").orderBy("Date")
-    spans = daily.withColumns(
+    # Placed here, the panel and all per-store windows on it keep this explicit width.
+    spans = by_store(daily).withColumns(
         {
             "from_day": F.when(F.lag("Date").over(by_day).isNull(), first_day).otherwise(F.col("Date")),
             "to_day": F.coalesce(F.date_sub(F.lead("Date").over(by_day), 1), last_day),
@@ -132,9 +136,13 @@ def store_attributes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def join_store(facts: DataFrame, stores: DataFrame, how: str = "left") -> DataFrame:
-    """Attach store attributes.  The store table grows with the data, so nothing forces a
-    broadcast: Spark picks one only below its own size threshold."""
-    return facts.join(stores, "Store", how)
+    """Attach store attributes.
+
+    Facts are placed by store already, so the join hashes the store rows of each partition.
+    Naming that side also keeps the optimizer from broadcasting the facts, whose size it
+    can't see behind the generated calendar days.
+    """
+    return facts.join(stores.hint("shuffle_hash"), "Store", how)
 
 
 def scoring_split(panel: DataFrame, last_day: Column, days: int = SCORING_DAYS) -> tuple[DataFrame, DataFrame]:
