@@ -534,6 +534,19 @@ FROM explored""",
         + " SELECT j.Store, j.Date, "
         + ", ".join(f"k_{c}.code AS {c}" for c in ("StateHoliday", "StoreType", "Assortment", "PromoInterval"))
         + f" FROM joined j {code_joins}",
+        "training_matrix": _with(PANEL, STORES)
+        + f", joined AS (SELECT {train}, {dim} FROM panel p LEFT JOIN stores s ON s.Store = p.Store"
+        + " WHERE p.Open = 1 AND p.Sales > 0)"
+        + code_tables
+        + " SELECT j.Store, j.Date, round(ln(1 + j.Sales), 8) AS log_Sales, "
+        + ", ".join(f"k_{c}.code AS {c}" for c in ("StateHoliday", "StoreType", "Assortment", "PromoInterval"))
+        + ", "
+        + ", ".join(
+            f"coalesce(CAST(j.{c} AS DOUBLE), -999.0) AS {c}"
+            for c in ("DayOfWeek", "Promo", "SchoolHoliday", "CompetitionDistance", "CompetitionOpenSinceMonth",
+                      "CompetitionOpenSinceYear", "Promo2", "Promo2SinceWeek", "Promo2SinceYear")
+        )
+        + f" FROM joined j {code_joins}",
         "feature_candidates": _with(PANEL, STORES, candidates) + " SELECT feature FROM cand",
         "random_feature_subsets": _with(PANEL, STORES, candidates)
         + subsets

@@ -36,3 +36,9 @@ def test_flagship(spark):
 def test_query_matches_other_engine(spark, db, name):
     left = entry.queries()[name](spark, FOLDER).toPandas()
     assert differences(left, db.sql(entry.oracle_sql()[name]).df()) == ""
+
+
+def test_public_names():
+    import tillcast
+
+    assert all(callable(getattr(tillcast, name)) for name in tillcast.__all__)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tillcast.functions.scalars import harmonic_of
 from tillcast.operators import ensemble, events, exploration, features, ranks, rolling, split, trend
 from tillcast.plans import build, standins
+from tillcast.plans import train as training
 from tillcast.session import by_store, cut_lineage, shared_folder, tune
 from tillcast.sources import panel as source
 from tillcast.sources import schema
@@ -458,6 +459,16 @@ def category_codes(spark, folder):
     return features.category_codes(_joined(spark, folder), texts).select("Store", "Date", *texts)
 
 
+@query
+def training_matrix(spark, folder):
+    """Model inputs of the trainable rows before they become vectors."""
+    rows = split.trainable(_joined(spark, folder))
+    candidates = [c for c in rows.columns if c not in features.EXCLUDED]
+    texts = [c for c in exploration.string_columns(rows) if c in candidates]
+    coded = features.category_codes(training.filled(rows, candidates, texts), texts)
+    return coded.select("Store", "Date", F.round(F.log1p("Sales"), 8).alias("log_Sales"), *candidates)
+
+
 @query
 def feature_candidates(spark, folder):
     return _candidates(spark, folder).select("feature")
