@@ -523,6 +523,13 @@ SELECT StoreType, round(avg(Sales), 4) AS Sales, round(avg(Customers), 6) AS Cus
         "ecdf_customers": _with(PANEL) + _SHOWN + _ecdf("Customers"),
         "ecdf_sale_per_customer": _with(PANEL) + _SHOWN + _ecdf("SalePerCustomer"),
         "corr_lower_triangle": _ALL + corr_rows,
+        "explored_zero_filled": _ALL
+        + "SELECT Store, Date, coalesce(PromoInterval, '0') AS PromoInterval, "
+        + ", ".join(
+            f"round(coalesce(CAST({c} AS DOUBLE), 0), 6) AS {c}"
+            for c in ("SalePerCustomer", "CompetitionDistance", "CompetitionOpen", "CompetitionOpenKnown", "PromoOpen")
+        )
+        + " FROM explored",
         "log_sales_split": _ALL
         + """
 , b AS (SELECT max(Date) - 42 AS e FROM explored)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillcast.operators import split
-from tillcast.plans import build
+from tillcast.plans import build, explore
 from tillcast.sources import panel, schema, sinks
 
 
@@ -112,3 +112,15 @@ def test_feature_job(spark, raw, day, tmp_path):
 
 def np_mean(low, high):
     return (low + high) / 2
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_exploration_job(spark, raw, tmp_path, fmt):
+    train = raw([(s, n, dict(Sales=float(n % 4), Customers=n % 3)) for s in (1, 2) for n in range(60)])
+    rows = [(1, "a", "a", None, None, None, 0, None, None, None), (2, "b", "c", 5.0, 3, 2010, 1, 4, 2012, "Jan")]
+    store = spark.createDataFrame(rows, schema.STORE)
+    paths = explore.build_exploration(train, store, str(tmp_path), fmt)
+    tables = [spark.read.option("header", True).format(fmt).load(p) for p in paths.values()]
+    whole, fit, holdout = (t.count() for t in tables)
+    assert whole == 2 * 45 and fit + holdout == whole and holdout == 2 * sum(n % 4 > 0 for n in range(18, 60))
+    assert all(v is not None for row in tables[0].collect() for v in row)

@@ -10,6 +10,7 @@ _PUBLIC = {
     "read_scores": "tillcast.sources.sinks",
     "build_features": "tillcast.plans.build",
     "add_features": "tillcast.plans.build",
+    "build_exploration": "tillcast.plans.explore",
     "TrainOptions": "tillcast.plans.jobs",
     "train_and_submit": "tillcast.plans.jobs",
     "cross_from_saved": "tillcast.plans.jobs",

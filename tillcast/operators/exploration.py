@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tillcast.functions.scalars import months_between_opening, promo_age
 from tillcast.operators.ranks import exact_median
+from tillcast.session import stored
 
 UNKNOWN = "Unknown"
 
@@ -90,6 +91,11 @@ def mean_by(df: DataFrame, value: str, keys: list[str], error: bool = True) -> D
     return df.groupBy(*keys).agg(*aggregates)
 
 
+def zero_filled(df: DataFrame) -> DataFrame:
+    """Every absent value of the table as 0, in texts as '0'."""
+    return df.fillna(0, subset=numeric_columns(df)).fillna("0", subset=string_columns(df))
+
+
 def opening_times(df: DataFrame) -> DataFrame:
     """Months since the competitor opened and since the long promotion began.
 
@@ -126,7 +132,8 @@ def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     columns by columns.
     """
     columns = columns or [c for c in numeric_columns(df) if c != "Open"]
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    # Written once, so that profile, matrix and pairs don't build the rows again.
+    doubles = stored(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "correlations")
     profile = doubles.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
     complete = [c for c in columns if profile[c] == 0]
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]

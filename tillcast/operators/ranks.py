@@ -12,7 +12,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.session import cut_lineage, shuffle_width
+from tillcast.session import cut_lineage, shuffle_width, stored
 
 def _bucketed(df: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
     """Add ``_bucket``, increasing with ``value``.
@@ -105,7 +105,8 @@ def describe(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     """Count, mean, standard deviation, extremes and quartiles of a column, overall or per group."""
     label = by or "scope"
     grouped = df if by else df.withColumn(label, F.lit("all"))
-    grouped = grouped.select(label, F.col(column).cast("double").alias("_x"))
+    # Three passes over one narrow column: cut points, bucket sizes with the summary, chosen buckets.
+    grouped = stored(grouped.select(label, F.col(column).cast("double").alias("_x")), "describe")
     summary = grouped.groupBy(label).agg(
         F.count("_x").alias("count"),
         F.avg("_x").alias("mean"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import harmonic_of
 from tillcast.operators import ensemble, events, exploration, features, ranks, rolling, split, trend
-from tillcast.plans import build, standins
+from tillcast.plans import build, explore, standins
 from tillcast.plans import train as training
 from tillcast.session import by_store, cut_lineage, shared_folder, tune
 from tillcast.sources import panel as source
@@ -58,8 +58,7 @@ def _filled_stores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _explored(spark: SparkSession, folder: str) -> DataFrame:
-    rows = split.explored(exploration.date_parts(_panel(spark, folder)))
-    return exploration.opening_times(source.join_store(rows, _filled_stores(spark, folder), "inner"))
+    return explore.explored_rows(_panel(spark, folder), _stores(spark, folder))
 
 
 def _csv_round_trip(spark: SparkSession, df: DataFrame, table_schema) -> DataFrame:
@@ -436,6 +435,13 @@ def corr_lower_triangle(spark, folder):
     return _round(exploration.correlations(explored), r=6)
 
 
+@query
+def explored_zero_filled(spark, folder):
+    names = ["SalePerCustomer", "CompetitionDistance", "CompetitionOpen", "CompetitionOpenKnown", "PromoOpen"]
+    table = exploration.zero_filled(_explored(spark, folder))
+    return _round(table.select("Store", "Date", "PromoInterval", *names), **{c: 6 for c in names})
+
+
 @query
 def log_sales_split(spark, folder):
     explored = _explored(spark, folder)
