@@ -439,7 +439,8 @@ def corr_lower_triangle(spark, folder):
 def explored_zero_filled(spark, folder):
     names = ["SalePerCustomer", "CompetitionDistance", "CompetitionOpen", "CompetitionOpenKnown", "PromoOpen"]
     table = exploration.zero_filled(_explored(spark, folder))
-    return _round(table.select("Store", "Date", "PromoInterval", *names), **{c: 6 for c in names})
+    doubles = [F.col(c).cast("double").alias(c) for c in names]
+    return _round(table.select("Store", "Date", "PromoInterval", *doubles), **{c: 6 for c in names})
 
 
 @query
