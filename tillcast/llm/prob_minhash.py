@@ -1,8 +1,9 @@
 """Near-duplicate classes by ProbMinHash.
 
-A document is the weighted set of its shingles of five words, weighted by their counts, and two
+A document is the weighted set of its shingles of five words, each weighing 1 + ln(count), and two
 documents are linked when the probability Jaccard similarity of these sets is 0.8 or more.  With
-equal weights that is the ordinary Jaccard similarity.
+equal weights that is the ordinary Jaccard similarity; the logarithm keeps a phrase that a text
+repeats over and over from outweighing the rest of it.
 
 * Sketch: every shingle is a Poisson process whose rate is its weight; its arrivals fall on
   registers at random, and a register keeps the shingle that came first.  A document stops as
@@ -13,6 +14,10 @@ equal weights that is the ordinary Jaccard similarity.
   on with pivots of their smallest components, until no bucket holds an untested pair of
   different components.  So a large group of copies costs one comparison for each member, no
   bucket is capped, and no link between components is left out.
+* Filters before a comparison: bitmaps of the shingles bound the number that two texts without
+  repeats share from above, so pairs below 0.8 are excluded for certain; and two bits of each
+  register of both documents must differ in at most 60 registers of 200 (30 are expected at 0.8;
+  a pair at 0.8 fails with probability 1e-7, as in banding).
 
 Equal texts (by their words) are one node from the start.
 
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.llm.components import components
@@ -40,7 +45,16 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
 #: Pivots a bucket tests in one pass; more passes follow while pairs are left.
-PIVOTS = 8
+PIVOTS = 256
+#: Registers whose two bits may differ.
+MOST_DIFFERENT = 60
+#: Bits of a shingle bitmap.
+OUTLINE = 2048
+#: Shingles of texts compared lately that a task keeps.
+REMEMBERED = 2_000_000
+_PLANES = -(-REGISTERS // 64)  # longs of a bit plane
+
+_MEASURES = ("size", "plain", "spare", "map")
 
 _BLANK = " \t\n\x0b\x0c\r"
 _TO_SPACE = str.maketrans({c: " " for c in _BLANK})
@@ -75,7 +89,7 @@ class Hasher:
 
 
 def shingles(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles (sorted) of a document's word hashes and their counts."""
+    """Distinct shingles (sorted) of a document's word hashes and their weights."""
     n = len(hashes)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0)
@@ -85,7 +99,7 @@ def shingles(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rolled = rolled * _BASE + hashes[j : n - width + 1 + j]
     rolled = np.sort(_mix(rolled + np.uint64(width)))
     first = np.flatnonzero(np.concatenate([[True], rolled[1:] != rolled[:-1]]))
-    return rolled[first], np.diff(np.append(first, len(rolled))).astype(float)
+    return rolled[first], 1 + np.log(np.diff(np.append(first, len(rolled))))
 
 
 def sketch(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = REGISTERS) -> np.ndarray:
@@ -140,9 +154,32 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def bit_planes(sketches: np.ndarray) -> np.ndarray:
+    """Two bits of each register as (documents, longs): the planes of the one, then those of the other."""
+    planes = []
+    for shift in (7, 29):
+        bits = ((sketches >> np.uint64(shift)) & np.uint64(1)).astype(np.uint8)
+        padded = np.zeros((len(sketches), _PLANES * 64), np.uint8)
+        padded[:, : bits.shape[1]] = bits
+        planes.append(np.packbits(padded, axis=1).view(np.int64))
+    return np.concatenate(planes, axis=1)
+
+
+def _alike(a: Column, b: Column) -> Column:
+    """Whether few enough registers differ in their two bits."""
+    differ = F.lit(0)
+    for i in range(_PLANES):
+        one, two = (a[j].bitwiseXOR(b[j]) for j in (i, i + _PLANES))
+        differ = differ + F.bit_count(one.bitwiseOR(two))
+    return differ <= MOST_DIFFERENT
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Exact probability Jaccard similarity of two weighted sets."""
     (items_a, x_a), (items_b, x_b) = a, b
+    if len(items_a) + len(items_b) == x_a.sum() + x_b.sum():  # all weights are one
+        shared = len(np.intersect1d(items_a, items_b, assume_unique=True))
+        return shared / max(1, len(items_a) + len(items_b) - shared)
     items = np.union1d(items_a, items_b)
     if not len(items):
         return 0.0
@@ -167,7 +204,7 @@ def _node(words: list[str]) -> bytes:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, node (null without words) and band keys of every document."""
+    """doc_id, node (null without words), band keys and bit planes of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Hasher()
@@ -177,15 +214,19 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 flat = hashed([word for words in split for word in words])
                 ends = np.cumsum([len(words) for words in split])
                 sets = [shingles(flat[e - len(words) : e]) for e, words in zip(ends, split)]
-                keys = band_keys(sketch(sets))
+                sketches = sketch(sets)
+                keys, bits = band_keys(sketches), bit_planes(sketches)
                 nodes = [_node(words) if words else None for words in split]
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
+                lists = [
+                    pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.int64()))
+                    for x in (keys, bits)
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(nodes, pa.binary()), lists],
-                    ["doc_id", "node", "keys"],
+                    [part.column(0), pa.array(nodes, pa.binary()), *lists],
+                    ["doc_id", "node", "keys", "bits"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, node binary, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, node binary, keys array<long>, bits array<long>")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -206,15 +247,29 @@ def _linked(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Hasher()
-        last: tuple[bytes, tuple[np.ndarray, np.ndarray]] | None = None
+        known: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        held = 0
+
+        def weighted(node: bytes, text: str) -> tuple[np.ndarray, np.ndarray]:
+            nonlocal held
+            found = known.get(node)
+            if found is None:
+                found = shingles(hashed(words_of(text)))
+                held += len(found[0])
+                if held > REMEMBERED:
+                    known.clear()
+                    held = len(found[0])
+                known[node] = found
+            return found
+
         for batch in batches:
+            u, v, a, b = (batch.column(i) for i in range(4))
             linked = []
-            for u, a, b in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
-                if last is None or last[0] != u:
-                    last = (u, shingles(hashed(words_of(a))))
-                linked.append(similarity(last[1], shingles(hashed(words_of(b)))) >= least - 1e-12)
-            chosen = batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
-            yield chosen
+            for u_i, v_i, a_i, b_i in zip(u.to_pylist(), v.to_pylist(), a, b):
+                one = known.get(u_i) or weighted(u_i, a_i.as_py())
+                two = known.get(v_i) or weighted(v_i, b_i.as_py())
+                linked.append(similarity(one, two) >= least - 1e-12)
+            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
     left = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
     right = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
@@ -222,26 +277,78 @@ def _linked(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return joined.mapInArrow(run, "u binary, v binary")
 
 
-def _pivots(buckets: DataFrame) -> DataFrame:
-    """(key, pivot, pivot_root): nodes of the smallest components of each bucket that holds several.
+def _outlines(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """For each node the number of its shingles, whether all weigh one, a bitmap of them, and how many
+    of them the bitmap doesn't show apart."""
 
-    One node stands for each of up to ``PIVOTS`` components, never for the largest one.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = Hasher()
+        for batch in batches:
+            sets = [shingles(hashed(words_of(text))) for text in batch.column(1).to_pylist()]
+            shown = np.zeros((len(sets), OUTLINE), np.uint8)
+            for row, (items, _) in zip(shown, sets):
+                row[(items >> np.uint64(64 - int(OUTLINE).bit_length() + 1)).astype(np.int64)] = 1
+            size = np.array([len(items) for items, _ in sets], np.int64)
+            maps = np.packbits(shown, axis=1).view(np.int64)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(maps.reshape(-1)), maps.shape[1]).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(size), pa.array([bool((w == 1).all()) for _, w in sets], pa.bool_()),
+                 pa.array(size - shown.sum(axis=1, dtype=np.int64)), lists],
+                ["node", "size", "plain", "spare", "map"],
+            )
+
+    wanted = texts.join(nodes, "node", "left_semi").select("node", "text")
+    return wanted.mapInArrow(run, "node binary, size long, plain boolean, spare long, map array<long>")
+
+
+def _may_reach(least: float) -> Column:
+    """Whether a node and a pivot may reach the similarity, by the most shingles they can share.
+
+    Shared shingles set the same bits; beyond one for each common bit there are at most as many
+    as either bitmap doesn't show.
     """
-    groups = buckets.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot"))
-    least = groups.groupBy("key").agg(
-        F.count(F.lit(1)).alias("groups"), F.max(F.struct("n", "root")).alias("largest")
-    )
-    open_ = groups.join(least.where(F.col("groups") > 1), "key").where(F.col("root") != F.col("largest")["root"])
-    rank = F.row_number().over(_by_key())
-    return open_.withColumn("rank", rank).where(F.col("rank") <= PIVOTS).select(
-        "key", "pivot", F.col("root").alias("pivot_root")
+    common = F.least("spare", "pivot_spare")
+    for i in range(OUTLINE // 64):
+        common = common + F.bit_count(F.col("map")[i].bitwiseAND(F.col("pivot_map")[i]))
+    enough = common >= (least - 1e-9) * (F.col("size") + F.col("pivot_size") - common)
+    return ~(F.col("plain") & F.col("pivot_plain")) | enough
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components."""
+    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return rooted.join(several.where(F.col("low") != F.col("high")).select("key"), "key", "left_semi")
+
+
+def _pivots(rooted: DataFrame) -> DataFrame:
+    """(key, pivot_node, pivot_root, ...): up to ``PIVOTS`` nodes of each bucket outside its largest
+    component, those of small components first."""
+    sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"))
+    others = rooted.join(sizes.join(most, "key").where(F.col("root") != F.col("most")["root"]).drop("most"), ["key", "root"])
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("n", "root", "node"))
+    return others.withColumn("rank", rank).where(F.col("rank") <= PIVOTS).select(
+        "key", *[F.col(c).alias(f"pivot_{c}") for c in ("node", "root", "bits", *_MEASURES)]
     )
 
 
-def _by_key():
-    from pyspark.sql import Window
+def _tests(rooted: DataFrame, pivots: DataFrame, least: float) -> DataFrame:
+    """Distinct pairs (u, v) of a pivot and a node of another component that may be linked."""
+    possible = (
+        (F.col("key") == F.col("pivot_key"))
+        & (F.col("root") != F.col("pivot_root"))
+        & _alike(F.col("bits"), F.col("pivot_bits"))
+        & _may_reach(least)
+    )
+    pairs = rooted.join(pivots.withColumnRenamed("key", "pivot_key"), possible)
+    return pairs.select(F.least("pivot_node", "node").alias("u"), F.greatest("pivot_node", "node").alias("v")).distinct()
+
 
-    return Window.partitionBy("key").orderBy("n", "root")
+def _rooted(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows with the root of their node's component."""
+    named = roots.select(F.col("u").alias("node"), F.col("v").alias("_root"))
+    joined = buckets.join(named, "node", "left")
+    return joined.withColumn("root", F.coalesce("_root", "node")).drop("_root")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -257,30 +364,33 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     several = stored(several.where(F.col("pivot") != F.col("top")).select("key", "pivot"), "buckets")
     buckets = stored(banded.join(several, "key").select("key", "node", "pivot").distinct(), "buckets")
 
-    first_rows = worded.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = stored(_texts(rows, first_rows.join(buckets.select("node").distinct(), "node", "left_semi")), "texts")
+    nodes = stored(worded.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bits").alias("bits")), "nodes")
+    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
+    texts = stored(_texts(rows, wanted), "texts")
 
-    pairs = buckets.where(F.col("node") != F.col("pivot")).select(F.col("pivot").alias("u"), F.col("node").alias("v"))
-    tested = stored(pairs.distinct(), "pairs")
+    pairs = buckets.where(F.col("node") != F.col("pivot"))
+    pairs = pairs.select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
+    for side in ("u", "v"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("bits").alias(f"bits_{side}")), side)
+    tested = stored(pairs.where(_alike(F.col("bits_u"), F.col("bits_v"))).select("u", "v"), "pairs")
     roots = components(_linked(tested, texts, least))
-    open_buckets = buckets.where(F.col("node") != F.col("pivot")).select("key", "node")
+    open_ = _mixed(_rooted(buckets.where(F.col("node") != F.col("pivot")).select("key", "node"), roots))
+    open_ = stored(open_, "open")
+    outlines = stored(_outlines(texts, open_.select("node").distinct()), "outlines")
+    open_ = open_.join(outlines.join(nodes.select("node", "bits"), "node"), "node")
     while True:
-        rooted = open_buckets.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-        rooted = rooted.select("key", "node", F.coalesce("root", "node").alias("root"))
-        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        rooted = stored(rooted.join(mixed.where(F.col("low") != F.col("high")).select("key"), "key", "left_semi"), "open")
-        if rooted.isEmpty():
+        open_ = stored(_mixed(open_), "open")
+        if open_.isEmpty():
             break
-        pivots = stored(_pivots(rooted), "pivots")
-        tests = rooted.join(pivots, "key").where(F.col("root") != F.col("pivot_root"))
-        tests = tests.select(F.least("pivot", "node").alias("u"), F.greatest("pivot", "node").alias("v")).distinct()
-        fresh = stored(tests.join(tested, ["u", "v"], "left_anti"), "pairs")
+        pivots = stored(_pivots(open_), "pivots")
+        fresh = stored(_tests(open_, pivots, least).join(tested, ["u", "v"], "left_anti"), "pairs")
         links = stored(_linked(fresh, texts, least), "links")
         tested = tested.unionByName(fresh)
         if not links.isEmpty():
             roots = components(roots.unionByName(links))
-        used = pivots.select("key", F.col("pivot").alias("node"))
-        open_buckets = rooted.select("key", "node").join(used, ["key", "node"], "left_anti")
+        used = pivots.select("key", F.col("pivot_node").alias("node"))
+        rest = open_.join(used, ["key", "node"], "left_anti").drop("root")
+        open_ = _rooted(rest, roots)
 
     placed = members.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
     placed = placed.select("doc_id", "node", F.coalesce("root", "node").alias("root"))
