@@ -15,7 +15,7 @@ from tillcast.functions.scalars import harmonic_of
 from tillcast.operators import ensemble, events, exploration, features, ranks, rolling, split, trend
 from tillcast.plans import build, explore, standins
 from tillcast.plans import train as training
-from tillcast.session import by_store, cut_lineage, shared_folder, tune
+from tillcast.session import by_store, cut_lineage, shared_folder, stored, tune
 from tillcast.sources import panel as source
 from tillcast.sources import schema
 
@@ -445,7 +445,8 @@ def explored_zero_filled(spark, folder):
 
 @query
 def log_sales_split(spark, folder):
-    explored = _explored(spark, folder)
+    # Read for the last day and for both parts.
+    explored = stored(_explored(spark, folder).select("Store", "Date", "Sales"), "explored")
     train, holdout = split.time_split(explored, boundary="train")
     parts = train.withColumn("part", F.lit("train")).unionByName(holdout.withColumn("part", F.lit("holdout")))
     return parts.select("Store", "Date", F.round(F.log1p("Sales"), 8).alias("Sales"), "part")
