@@ -1,8 +1,10 @@
 import re
 
+import duckdb
 import pytest
 
 from tillcast.llm import entry, licences
+from tools.check import differences
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 LOWER = str.maketrans(licences.UPPER, licences.UPPER.lower())
@@ -35,6 +37,23 @@ def test_query(spark, folder, documents):
         assert bool(labels) == (rows[doc_id]["score"] > 0)
 
 
+def test_query_matches_other_engine(spark, folder):
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    got = entry.QUERIES["op7_licence_index"](spark, folder).toPandas()
+    assert differences(got, db.sql(entry.ORACLES["op7_licence_index"]).df()) == ""
+
+
+def test_other_engine_agrees_on_odd_texts(spark, found):
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", [[i, t] for i, t in enumerate(TEXTS)])
+    rows = db.sql(licences.oracle()).df().set_index("doc_id")
+    for i, row in found.items():
+        assert (rows.loc[i].labels, rows.loc[i].base_labels) == (row["labels"], row["base_labels"])
+        assert rows.loc[i].score == pytest.approx(row["score"], abs=1e-8)
+
+
 TEXTS = [
     "This work is LICENSED under the GNU General-Public License, version 3.",
     "It mentions the gnu and the general public and a license version.",

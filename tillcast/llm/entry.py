@@ -81,7 +81,7 @@ def token_file(spark, folder):
 
 @query("op7_licence_index")
 def licence_labels(spark, folder):
-    return licences.scan(table(spark, folder, "documents"))
+    return licences.scan(table(spark, folder, "documents")).withColumn("score", F.round("score", 9))
 
 
 @query("op8_one_bit_codes")
@@ -105,6 +105,6 @@ def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
 
 
-ORACLES = {"op5_host_rules": host_rules.ORACLE}
+ORACLES = {"op5_host_rules": host_rules.ORACLE, "op7_licence_index": licences.oracle()}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -252,3 +252,50 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     return rows.select(
         "doc_id", "n_words", *[F.col("found")[c].alias(c) for c in ("n_base", "first_word", "last_word", "base_labels", "labels", "score")]
     )
+
+
+def _sql_list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def oracle(templates: tuple[Template, ...] = TEMPLATES) -> str:
+    """The same scan for DuckDB, by joins of word positions; scores are rounded to nine digits."""
+    bodies = ", ".join(
+        f"({n}, '{t.label}', {_sql_list(t.text.split())}, {_sql_list(t.key.split())})" for n, t in enumerate(templates)
+    )
+    phrases = ", ".join(f"('{label}', {_sql_list(phrase.split())})" for phrase, label in PHRASES.items())
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id,
+    list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{SEPARATORS}'),
+                lambda x: x <> '') AS ws FROM documents),
+templates(num, label, body, key) AS (VALUES {bodies}),
+phrases(label, parts) AS (VALUES {phrases}),
+places AS (SELECT num, label, key, unnest(range(len(body))) AS pos, unnest(body) AS word FROM templates),
+vocabulary AS (SELECT DISTINCT word FROM places),
+tokens AS (SELECT rid, unnest(range(len(ws))) AS i, unnest(ws) AS word FROM docs),
+known AS (SELECT t.* FROM tokens t SEMI JOIN vocabulary v ON t.word = v.word),
+idf AS (SELECT word, ln(((SELECT count(*) FROM docs) + 1) / (count(DISTINCT rid) + 1)) + 1e-6 AS idf
+        FROM vocabulary LEFT JOIN known USING (word) GROUP BY word),
+weighted AS (SELECT p.*, idf / sum(idf) OVER (PARTITION BY num) AS share FROM places p JOIN idf USING (word)),
+rare AS (SELECT num, word FROM (SELECT num, word, row_number() OVER (PARTITION BY num ORDER BY idf DESC, word) AS r
+         FROM (SELECT DISTINCT num, word FROM places) JOIN idf USING (word)) WHERE r <= {ANCHORS}),
+agreed AS (SELECT rid, num, i - pos AS start FROM known JOIN rare USING (word) JOIN places USING (num, word)
+           GROUP BY rid, num, start HAVING count(*) >= 2),
+covered AS (SELECT a.rid, a.num, a.start, least(sum(w.share), 1.0) AS score
+            FROM agreed a JOIN weighted w USING (num) JOIN known k ON k.rid = a.rid AND k.word = w.word AND k.i = a.start + w.pos
+            GROUP BY ALL),
+starts AS (SELECT num, label, key, min(place) AS place FROM (
+             SELECT num, label, key, body, unnest(range(len(body))) AS place FROM templates)
+           WHERE body[place + 1:place + len(key)] = key GROUP BY num, label, key),
+labelled AS (SELECT c.rid, s.label, c.score FROM covered c JOIN starts s USING (num) JOIN docs d USING (rid)
+             WHERE c.score >= {COVERAGE} AND c.start + s.place >= 0 AND d.ws[c.start + s.place + 1:c.start + s.place + len(s.key)] = s.key),
+base AS (SELECT t.rid, p.label, t.i FROM tokens t JOIN phrases p ON p.parts[1] = t.word JOIN docs d USING (rid)
+         WHERE d.ws[t.i + 1:t.i + len(p.parts)] = p.parts),
+counted AS (SELECT rid, count(*) AS n, min(i) AS first, max(i) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS names
+            FROM base GROUP BY rid),
+merged AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS names, max(score) AS score
+           FROM (SELECT rid, label, score FROM labelled UNION ALL SELECT rid, label, 1.0 FROM base) GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, coalesce(c.n, 0) AS n_base, c.first AS first_word, c.last AS last_word,
+       coalesce(c.names, '') AS base_labels, coalesce(m.names, '') AS labels, round(coalesce(m.score, 0.0), 9) AS score
+FROM docs LEFT JOIN counted c USING (rid) LEFT JOIN merged m USING (rid)
+"""
