@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillcast.llm import entry, one_bit
+from tools.check import differences
 
 
 def brute(ids, x, query, k=10):
@@ -31,7 +32,14 @@ def test_query_recall(spark, folder):
     assert got.keys() == expected.keys()
     hits = sum(len({v for v, _ in got[q]} & {v for v, _ in expected[q]}) for q in expected)
     assert hits / sum(map(len, expected.values())) >= 0.9
-    assert all(dict(expected[q]).get(v, s) == s for q in got for v, s in got[q])
+    assert all(dict(expected[q]).get(v, s) == pytest.approx(s) for q in got for v, s in got[q])
+
+
+def test_query_matches_other_engine(spark, folder):
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet'")
+    got = entry.QUERIES["op8_one_bit_codes"](spark, folder).toPandas()
+    assert differences(got, db.sql(entry.ORACLES["op8_one_bit_codes"]).df()) == ""
 
 
 def test_recall_on_random_vectors(spark, monkeypatch):

@@ -105,6 +105,10 @@ def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
 
 
-ORACLES = {"op5_host_rules": host_rules.ORACLE, "op7_licence_index": licences.oracle()}
+ORACLES = {
+    "op5_host_rules": host_rules.ORACLE,
+    "op7_licence_index": licences.oracle(),
+    "op8_one_bit_codes": one_bit.ORACLE,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -108,6 +108,14 @@ def build(rows: DataFrame) -> Index:
     return Index(stored(rows.mapInArrow(run, _INDEX), "one-bit-index"), centre, turn)
 
 
+def _distance(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances, the squares added up in the order of the components."""
+    total = np.zeros(len(x))
+    for part in (x - q).T:
+        total += part * part
+    return np.sqrt(total)
+
+
 def _best(
     ids: np.ndarray, bits: np.ndarray, norm: np.ndarray, dot: np.ndarray, x: np.ndarray,
     query_ids: np.ndarray, q: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int,
@@ -135,9 +143,9 @@ def _best(
             near = others
             if len(others) > k:
                 first = others[np.argpartition(guess[others, j], k - 1)[:k]]
-                edge = ((x[first] - part[j]) ** 2).sum(axis=1).max()
+                edge = _distance(x[first], part[j]).max() ** 2
                 near = others[lowest[others, j] <= edge]
-            distance = np.sqrt(((x[near] - part[j]) ** 2).sum(axis=1))
+            distance = _distance(x[near], part[j])
             order = np.lexsort((ids[near], distance))[:k]
             yield start + j, ids[near][order], distance[order]
 
@@ -182,3 +190,20 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
     nearest = Window.partitionBy("query_id", "query_no").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+#: The exact answer by DuckDB, which the search reaches where no bound is exceeded.
+ORACLE = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (SELECT len(e) AS n FROM v GROUP BY 1 ORDER BY count(*) DESC, n DESC LIMIT 1),
+u AS (SELECT v.* FROM v JOIN d ON len(e) = n),
+q AS (SELECT vec_id, e, min(rid) AS rid FROM u WHERE vec_id % 100 = 0 GROUP BY vec_id, e),
+s AS (SELECT q.rid, q.vec_id AS query_id, u.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1),
+        lambda i: (u.e[i] - q.e[i]) * (u.e[i] - q.e[i])), lambda a, b: a + b)) AS score
+      FROM q JOIN u ON u.vec_id <> q.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY rid ORDER BY score, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
