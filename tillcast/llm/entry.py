@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import os
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tillcast.llm import bpe, host_rules, licences, one_bit, packing, prob_minhash, pseudonyms, shards, site_bayes, token_files
 from tillcast.llm.tables import table
+from tillcast.llm.workers import importable
 from tillcast.session import shared_folder
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -20,18 +20,6 @@ WORD_FILE = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers that run beside the driver import this package from where it lies.
-
-    On a cluster the package is installed or sent with the job, and this changes nothing.
-    """
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, root) if p)
-
-
 def query(name: str):
     def register(fn):
         @functools.wraps(fn)

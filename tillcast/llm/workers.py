@@ -1,0 +1,19 @@
+"""What Python workers need beside the session."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import SparkSession
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers that run beside the driver import this package from where it lies.
+
+    On a cluster the package is installed or sent with the job, and this changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, root) if p)
