@@ -8,9 +8,10 @@ block each id is predicted by three contexts:
 * order 0: the ids seen lately, in a small table addressed by the id itself.
 
 The mixture weighs the three predictions and the uniform distribution.  Its weights are
-adaptive frequencies, one set for each pair of confidences of the order-2 and order-1
-predictions, learned inside the block.  A range coder (64-bit state, 32-bit output) codes which
-part of the mixture holds the id and, where that leaves a choice, the choice itself.
+adaptive frequencies, one set for each confidence of the order-2 prediction and each part of
+the mixture that held the id before, learned inside the block.  A range coder (64-bit state,
+32-bit output) codes which part of the mixture holds the id and, where that leaves a choice, the
+choice itself.
 
 Blocks are coded side by side, one NumPy lane each, so the cost per id is that of a few array
 operations.  Every block carries a CRC of its ids.
@@ -39,44 +40,45 @@ class _Model:
     def __init__(self, lanes: int):
         lane = np.arange(lanes)
         self.at2, self.at1, self.at0 = (lane << bits for bits in (_ORDER2, _ORDER1, _ORDER0))
-        # An entry is (id + 1) * 8 + confidence; zero is empty.
+        # Keys are ids + 1, and zero is empty.  An order-2 entry is key * 8 + confidence.
         self.table2 = np.zeros(lanes << _ORDER2, np.uint32)
         self.table1 = np.zeros(lanes << _ORDER1, np.uint32)
         self.table0 = np.zeros(lanes << _ORDER0, np.uint32)
-        self.weights = np.full(lanes * 64, _FIRST)
-        self.first_row = lane * 64
+        self.weights = np.full(lanes * 32, _FIRST)
+        self.first_row = lane * 32
         self.slot2, self.slot1 = self.at2, self.at1
         self.before = np.zeros(lanes, np.uint32)
+        self.part = np.zeros(lanes, np.uint8)
+        self.step = 0
 
     def predict(self) -> None:
-        """Entries of both guesses, and the weights of the mixture's four parts with their running sums."""
-        self.entry2, self.entry1 = self.table2.take(self.slot2), self.table1.take(self.slot1)
-        self.sure2, self.sure1 = self.entry2 & 7, self.entry1 & 7
-        self.row = self.first_row + ((self.sure2 << 3) + self.sure1)
+        """Both guesses, and the weights of the mixture's four parts with their running sums."""
+        self.entry2, self.guess1 = self.table2.take(self.slot2), self.table1.take(self.slot1)
+        self.sure = self.entry2 & 7
+        self.row = self.first_row + ((self.sure << 2) + self.part)
         self.weight = self.weights.take(self.row)
         self.sums = self.weight * _SUMS
         self.total = self.sums >> 48
 
     def share(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Shift of each lane's part, its weight, and the sum of the weights before it."""
-        shift = part << 4
+        shift = part.astype(np.uint64) << 4
         weight = (self.weight >> shift) & _WEIGHT
         return shift, weight, ((self.sums >> shift) & _WEIGHT) - weight
 
-    def learn(self, key: np.ndarray, mixed: np.ndarray, place0: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, shift: np.ndarray) -> None:
-        """key: id + 1, mixed: its hash, place0: its place in the order-0 table, hits: the guesses that were right."""
+    def learn(self, key: np.ndarray, mixed: np.ndarray, place0: np.ndarray, hit2: np.ndarray, part: np.ndarray, shift: np.ndarray) -> None:
+        """mixed: the key's hash, place0: its place in the order-0 table, part: what held it, at which shift."""
         self.weights[self.row] = self.weight + (_STEP << shift)
-        full = (self.total > _LIMIT).nonzero()[0]
-        if full.size:
+        self.step += 1
+        if not self.step & 15:
+            full = (self.total > _LIMIT).nonzero()[0]
             rows = self.row[full]
             self.weights[rows] = ((self.weights[rows] >> 1) & _HALVES) | _ONES
-        fresh = (key << 3) | 1
-        for table, slot, entry, sure, hit in (
-            (self.table2, self.slot2, self.entry2, self.sure2, hit2),
-            (self.table1, self.slot1, self.entry1, self.sure1, hit1),
-        ):
-            table[slot] = np.where(hit, entry + (sure < 7), np.where(sure > 1, entry - 2, fresh))
+        missed = np.where(self.sure > 1, self.entry2 - 2, (key << 3) | 1)
+        self.table2[self.slot2] = np.where(hit2, self.entry2 + (self.sure < 7), missed)
+        self.table1[self.slot1] = key
         self.table0[place0] = key
+        self.part = part
         self.slot1 = self.at1 + (mixed >> (32 - _ORDER1))
         self.slot2 = self.at2 + ((mixed + self.before) >> (32 - _ORDER2))
         self.before = mixed * _MIX2
@@ -123,24 +125,23 @@ def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray,
     room = len(columns) + 4
     out = np.zeros(lanes * room, "<u4")
     place = np.arange(lanes) * room
-    parts = [np.uint64(i) for i in range(4)]
+    one = np.uint8(1)
     for key in columns:
         model.predict()
         mixed = key * _MIX1
         slot = mixed >> (32 - _ORDER0)
         place0 = model.at0 + slot
-        # The id matches where nothing but the confidence differs; no key is zero, so no empty entry does.
-        mark = key << 3
-        hit2, hit1 = (model.entry2 ^ mark) < 8, (model.entry1 ^ mark) < 8
+        # Nothing but the confidence may differ; no key is zero, so no empty entry matches.
+        hit2, hit1 = (model.entry2 ^ (key << 3)) < 8, model.guess1 == key
         hit0 = model.table0.take(place0) == key
-        part = np.where(hit2, parts[0], np.where(hit1, parts[1], np.where(hit0, parts[2], parts[3])))
+        part = ~hit2 * (one + ~hit1 * (one + ~hit0))
         shift, weight, start = model.share(part)
         span //= model.total
         low += span * start
         span *= weight
-        span >>= bits.take(part.view(np.int64))
-        low += span * np.where(part < 2, 0, np.where(hit0, slot, key - 1))
-        model.learn(key, mixed, place0, hit2, hit1, shift)
+        span >>= bits.take(part)
+        low += span * (np.where(hit0, slot, key - 1) * (part > 1))
+        model.learn(key, mixed, place0, hit2, part, shift)
         due = (span < _BOTTOM).nonzero()[0]
         if due.size:
             at, wide = low[due], span[due]
@@ -179,23 +180,21 @@ def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id
         span //= model.total
         target = (code - low) // span
         sums = model.sums
-        part = (target >= (sums & _WEIGHT)).astype(np.uint64)
-        part += target >= ((sums >> 16) & _WEIGHT)
-        part += target >= ((sums >> 32) & _WEIGHT)
+        part = (target >= (sums & _WEIGHT)).view(np.uint8)
+        part = part + (target >= ((sums >> 16) & _WEIGHT)) + (target >= ((sums >> 32) & _WEIGHT))
         shift, weight, start = model.share(part)
         low += span * start
         span *= weight
-        kind = part.view(np.int64)
-        span >>= bits.take(kind)
-        value = np.minimum((code - low) // span, most.take(kind))
+        span >>= bits.take(part)
+        value = np.minimum((code - low) // span, most.take(part))
         low += span * value
-        guess2, guess1 = model.entry2 >> 3, model.entry1 >> 3
-        key = np.where(part == 0, guess2, np.where(part == 1, guess1, (value + np.uint64(1)).astype(np.uint32)))
+        hit2 = part == 0
+        key = np.where(hit2, model.entry2 >> 3, np.where(part == 1, model.guess1, (value + np.uint64(1)).astype(np.uint32)))
         held = (part == 2).nonzero()[0]
         key[held] = model.table0[model.at0[held] + value[held].view(np.int64)]
         out[step] = key
         mixed = key * _MIX1
-        model.learn(key, mixed, model.at0 + (mixed >> (32 - _ORDER0)), guess2 == key, guess1 == key, shift)
+        model.learn(key, mixed, model.at0 + (mixed >> (32 - _ORDER0)), hit2, part, shift)
         due = (span < _BOTTOM).nonzero()[0]
         if due.size:
             at, wide = low[due], span[due]

@@ -62,8 +62,8 @@ class WordIds:
     def _word_ids(self, word: str) -> bytes:
         if not word:
             return b""
-        if word.isalpha() and word.isascii() and word.islower():
-            return self._piece_ids(word)
+        if word.isascii() and word.isalpha() and word.islower():
+            return array(self.code, [token.id for token in self.model.tokenize(word)]).tobytes()
         if (word.isascii() or max(word) < _PLAIN) and "\u0130" not in word:
             return b"".join([self._piece_ids(piece) for piece in PIECES.findall(word.lower())])
         return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
