@@ -5,12 +5,12 @@ from tillcast.llm import entry, site_bayes
 from tillcast.llm.tables import table
 
 
-def test_held_out_accuracy(spark, folder):
+def test_held_out_accuracy(spark):
     """Fitted on the labels of even documents, judged on the odd ones."""
-    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    docs, labels = (table(spark, "/root/testdata/sf0.01", name) for name in ("documents", "labels"))
     judged = site_bayes.judge(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id")
     rows = judged.select("kept", "quality").collect()
-    assert len(rows) > 20
+    assert len(rows) > 100
     assert sum(r["kept"] == bool(r["quality"]) for r in rows) / len(rows) >= 0.95
 
 

@@ -189,14 +189,17 @@ def keep(
 
     The second pass measures again instead of moving or storing whole texts.
     """
-    judged = docs.select(_host(F.col(host)).alias("host"), rule_failed(measures(F.col(text)), rules).alias("failed"))
+    # Inside one expression the measures are taken once, whatever the optimizer moves.
+    verdict = let(
+        measures(F.col(text)),
+        lambda m: F.struct(base_failed(m, rules).alias("base"), rule_failed(m, rules).alias("failed")),
+    )
+    judged = docs.select(_host(F.col(host)).alias("host"), verdict["failed"].alias("failed"))
     verdicts = host_verdicts(judged, "host", "failed", rules).select("host", "host_trusted")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("row"), _host(F.col(host)).alias("host"), measures(F.col(text)).alias("m"))
-    rows = rows.where(~base_failed(F.col("m"), rules)).select(
-        "row", "host", rule_failed(F.col("m"), rules).alias("failed")
-    )
-    return rows.join(verdicts, "host").where(F.col("host_trusted") | ~F.col("failed")).select("row.*")
+    rows = docs.select(row.alias("row"), _host(F.col(host)).alias("host"), verdict.alias("v"))
+    passes = F.when(F.col("v")["base"], F.lit(False)).otherwise(F.col("host_trusted") | ~F.col("v")["failed"])
+    return rows.join(verdicts, "host").where(passes).select("row.*")
 
 
 #: The same counts and verdicts for DuckDB.

@@ -34,6 +34,8 @@ class Settings:
     iterations: int = 40
     #: Documents whose posterior is below go.
     threshold: float = 0.5
+    #: Whether both kinds of labels weigh alike in the fit; otherwise their shares are the prior.
+    balanced: bool = False
     #: Share of the path's log-odds that is added to the document's evidence.
     site_weight: float = 1.0
 
@@ -101,9 +103,9 @@ def fit(measured: DataFrame, labels: DataFrame, doc_id: str = "doc_id", quality:
     counts = {row["label"]: row["n"] for row in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return Evidence([0.0] * len(FEATURES), 0.0)
-    # Both kinds weigh alike, so a half is the fair border whatever their shares.
     total = sum(counts.values())
-    weight = F.when(F.col("label") == 1, total / (2 * counts[1.0])).otherwise(total / (2 * counts[0.0]))
+    share = {label: total / (2 * n) if settings.balanced else 1.0 for label, n in counts.items()}
+    weight = F.when(F.col("label") == 1, share[1.0]).otherwise(share[0.0])
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows.withColumn("weight", weight))
     model = LogisticRegression(
         featuresCol="x", labelCol="label", weightCol="weight", maxIter=settings.iterations, regParam=settings.regularisation
@@ -131,7 +133,8 @@ def sites(scored: DataFrame) -> tuple[DataFrame, float]:
     hosts = hosts.withColumn("host_rate", (F.col("host_s") + mean * of_hosts) / (F.col("host_n") + of_hosts))
     joined = paths.join(hosts, "host")
     rate = (F.col("s") + F.col("host_rate") * of_paths) / (F.col("n") + of_paths)
-    return joined.select("host", "path", "host_rate", rate.alias("path_rate")), mean
+    # Written, so that joins of whole documents with it are planned by its true size.
+    return stored(joined.select("host", "path", "host_rate", rate.alias("path_rate")), "rates"), mean
 
 
 def _logit(p: Column) -> Column:
