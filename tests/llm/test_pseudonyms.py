@@ -66,6 +66,70 @@ def test_text_around_stays(change):
     assert re.fullmatch(r"Öffnen Sie\n\t[a-z]{2}\.\d@[a-z]\.[a-z]{7}\.org; danach [\d.]+ — ende\.", new)
 
 
+def shape(text):
+    return re.sub("[0-9]", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", text)))
+
+
+def day_of(text):
+    """The day by the documented order: a dot puts the day first, - and / the month, if the calendar allows it."""
+    a, b, c = re.split("[-./]", text)
+    if len(a) == 4:
+        return dt.date(int(a), int(b), int(c))
+    day_first = int(b) <= 12 if "." in text else int(a) > 12
+    return dt.date(int(c), *((int(b), int(a)) if day_first else (int(a), int(b))))
+
+
+def test_date_layouts(change):
+    texts = [
+        "12/31/1999", "31/12/1999", "31-12-1999", "12-31-1999", "31.12.1999", "1999-12-31", "1999.12.31",
+        "1.2.1999", "01.02.1999", "1999-02-01", "2/1/1999", "2-1-1999", "1999/2/1", "1.02.1999", "13/5/2001", "29/2/2000",
+    ]
+    out = change(*texts)
+    assert all(n == 1 and new != old and shape(new) == shape(old) for old, (new, n) in zip(texts, out))
+    # Every layout of a day shows the same pseudonym.
+    for group in (range(7), range(7, 14)):
+        assert len({day_of(out[i][0]) for i in group}) == 1
+    assert change("born 12/31/1999, moved 1.2.1999.")[0][1] == 2
+    stay = ["31/31/1999", "30/2/2000", "29.2.1999", "0/5/1999", "13.13.2001", "1/2/1799", "1.2.3.1999", "1/2/99"]
+    assert change(*stay) == [(t, 0) for t in stay]
+
+
+def test_dates_with_the_year_last_are_one_to_one(spark):
+    days = spark.range(146_097).select(F.date_add(F.lit("1800-01-01"), F.col("id").cast("int")).alias("d"))
+    for layout in ("d.M.yyyy", "M/d/yyyy"):
+        texts = days.select(F.date_format("d", layout).alias("v"))
+        new = texts.select("v", F.transform(F.array("v"), lambda v: pseudonyms._date(v, F.lit("k")))[0].alias("w"))
+        assert new.distinct().count() == new.select("w").distinct().count() == 146_097
+        assert new.where(F.length("v") != F.length("w")).count() == 0
+    late = days.where("day(d) > 12").select(F.date_format("d", "dd/MM/yyyy").alias("v"))
+    new = late.select(F.transform(F.array("v"), lambda v: pseudonyms._date(v, F.lit("k")))[0].alias("w"))
+    assert new.where("int(left(w, 2)) > 12").distinct().count() == late.count()
+
+
+def test_ibans_in_groups(change):
+    texts = ["DE89 3704 0044 0532 0130 00", "GB29-NWBK-6016-1331-9268-19", "NO93 8601 1117 947", "AT61\u00a01904\u00a03002\u00a03457\u00a03201"]
+    out = change(*texts)
+    assert all(n == 1 and new != old and shape(new) == shape(old) for old, (new, n) in zip(texts, out))
+    bare = change(*[re.sub("[^A-Z0-9]", "", t) for t in texts])
+    assert [re.sub("[^A-Z0-9]", "", new) for new, _ in out] == [new for new, _ in bare]
+    assert all(mod97(new) == 1 for new, _ in bare)
+    # Words and numbers around it are no groups of it; a card in what is no IBAN still goes.
+    (new, n), = change("IBAN AT61 1904 3002 3457 3201 BIC4 1234, DE89 3704 0044 0532 0130 00 2500 EUR")
+    assert n == 2 and new.startswith("IBAN AT") and " BIC4 1234, DE" in new and new.endswith(" 2500 EUR")
+    (new, n), = change("DE12 4111 1111 1111 1111 22")
+    assert n == 1 and new.startswith("DE12 ") and new.endswith(" 22") and luhn(new[5:24].replace(" ", ""))
+    assert "4111" not in change("NR12 4111 1111 1111 1111 X")[0][0]
+    assert change("DE88 3704 0044 0532 0130 00") == [("DE88 3704 0044 0532 0130 00", 0)]
+
+
+def test_mails_after_punctuation(change):
+    mail = change("john@x.com")[0][0]
+    texts = ["-john@x.com", "_john@x.com_", "--john@x.com", "**_john@x.com_**", "+john@x.com", "%john@x.com", "...john@x.com"]
+    assert change(*texts) == [(t.replace("john@x.com", mail), 1) for t in texts]
+    (whole, n), = change("a.-john@x.com")
+    assert n == 1 and "john" not in whole and not whole.startswith("a.-" + mail)
+
+
 def test_permutations_are_one_to_one(spark):
     days = spark.range(146_097).select(F.date_add(F.lit("1800-01-01"), F.col("id").cast("int")).cast("string").alias("v"))
     new = days.select(F.transform(F.array("v"), lambda v: pseudonyms._date(v, F.lit("k")))[0].alias("w"))

@@ -5,13 +5,23 @@ valid value is permuted inside its own format by a keyed Feistel network whose t
 added modulo the size of their part, so the permutation is one-to-one on exactly the valid values:
 
 * card numbers keep length and separators and stay Luhn-valid,
-* dates stay dates of the same 400-year cycle (146,097 days = 189 * 773) and keep their layout,
+* dates from 1800 to 2199 stay such dates and keep their layout,
 * IPv4 addresses, US social security numbers, IBANs and phone numbers stay well formed,
 * e-mail addresses keep the class of each character (letters and digits move inside their class).
 
 Equal values get equal pseudonyms in every document, and only holders of the key can go back.
 Invalid candidates, such as a digit run that fails Luhn, are left as they are.
 
+Layouts: dates are three numbers with -, / or . between them, the year (four digits) first or last,
+days and months of one or two digits.  With the year last, a dot puts the day first and - or / the
+month, unless only the other order is in the calendar.  A day of 1 to 9, 10 to 12 or from 13 on and
+a month of 1 to 9 or from 10 on stay in that range, so that every layout of a day can show the same
+pseudonym and each text is read the way it was written; this much of a date is visible.  IBANs are
+unbroken or in groups of four with one blank or - between them, those in groups by the lengths of
+``IBAN_LENGTHS``.  Not found: dates with month names, two-digit years or no marks, dates that touch a
+further number with -, / or . (such as ranges without blanks) or follow one of these marks, IBANs in
+small letters.
+
 Defined results: null stays null and has no values; an empty text stays empty; repeated rows
 are treated alike; an empty table gives an empty result; other columns pass through.
 """
@@ -28,26 +38,56 @@ from tillcast.llm.columns import let
 ROUNDS = 8
 _EDGE, _NO_MORE = r"(?<![0-9A-Za-z.+-])", r"(?![0-9A-Za-z])"
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+#: Begins after any punctuation that no letter or digit precedes, as in _john@x.com_.
+EMAIL = (
+    r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}"
+    r"@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+)
+#: Countries by the length of their IBANs, those outside the registry included.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _grouped(length: int, countries: str) -> str:
+    groups, last = divmod(length - 4, 4)
+    end = rf"\k<gap>[A-Z0-9]{{{last}}}" if last else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\k<gap>[A-Z0-9]{{4}}){{{groups}}}{end}"
+
+
+#: Exactly as many groups as the country has, so that no word after the number is taken for one.
+IBAN_GROUPS = (
+    _EDGE
+    + r"(?=[A-Z]{2}[0-9]{2}(?<gap>[ \u00a0-]))(?:"
+    + "|".join(_grouped(length, countries) for length, countries in IBAN_LENGTHS.items())
+    + ")"
+    + _NO_MORE
+)
 IBAN = _EDGE + r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}" + _NO_MORE
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
-DATE = r"(?<![0-9./-])(?:[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![./-]?[0-9])"
+DATE = (
+    r"(?<![0-9./-])(?:[0-9]{4}(?<mark>[-/.])[0-9]{1,2}\k<mark>[0-9]{1,2}"
+    r"|[0-9]{1,2}(?<sign>[-/.])[0-9]{1,2}\k<sign>[0-9]{4})(?![./-]?[0-9])"
+)
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])"
 PHONE = (
     r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}"
-    r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}([-.])[0-9]{3}\2[0-9]{4})(?![0-9])"
+    r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}(?<dash>[-.])[0-9]{3}\k<dash>[0-9]{4})(?![0-9])"
 )
-CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5})(?![0-9])"
-#: Back references count through the whole alternation, so the order is part of the pattern.
-ANY = "|".join((DATE, PHONE, CARD, EMAIL, IBAN, IPV4, SSN))
-
-
-#: The same patterns alone, where their groups count from one.
-_ALONE = {PHONE: PHONE.replace(r"\2", r"\1"), CARD: CARD.replace(r"\3", r"\1").replace(r"\4", r"\2")}
+CARD = (
+    r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?<four>[ -])[0-9]{4}\k<four>[0-9]{4}\k<four>[0-9]{4}"
+    r"|[0-9]{4}(?<six>[ -])[0-9]{6}\k<six>[0-9]{5})(?![0-9])"
+)
+#: Back references go by name, so that each pattern is the same alone and in the alternation.
+ANY = "|".join((DATE, PHONE, CARD, EMAIL, IBAN, IBAN_GROUPS, IPV4, SSN))
 
 
 def _is(value: Column, pattern: str) -> Column:
-    return value.rlike(f"^(?:{_ALONE.get(pattern, pattern)})$")
+    return value.rlike(f"^(?:{pattern})$")
 
 
 def _drawn(key: Column, *parts: Column) -> Column:
@@ -84,19 +124,19 @@ def _digits(value: Column, key: Column, kind: str) -> Column:
     )
 
 
-def _refill(value: Column, digits: Column) -> Column:
-    """The digits of ``value`` replaced in order."""
+def _refill(value: Column, chars: Column, kind: str = "[0-9]") -> Column:
+    """The characters of ``value`` that match ``kind`` replaced in order."""
 
     def step(state: Column, c: Column) -> Column:
         return F.when(
-            c.rlike("[0-9]"),
+            c.rlike(kind),
             F.struct(
                 F.concat(state["out"], F.substring(state["rest"], 1, 1)).alias("out"),
                 F.substring(state["rest"], F.lit(2), F.length(state["rest"])).alias("rest"),
             ),
         ).otherwise(F.struct(F.concat(state["out"], c).alias("out"), state["rest"].alias("rest")))
 
-    start = F.struct(F.lit("").alias("out"), digits.alias("rest"))
+    start = F.struct(F.lit("").alias("out"), chars.alias("rest"))
     return F.aggregate(F.split(value, ""), start, step)["out"]
 
 
@@ -120,30 +160,65 @@ def _card(value: Column, key: Column) -> Column:
     ).otherwise(value)
 
 
-def _date(value: Column, key: Column) -> Column:
-    dotted = value.rlike(r"^[0-9]{2}\.")
-    mark = F.substring(value, 5, 1)
-    iso = F.when(dotted, F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2))).otherwise(
-        F.regexp_replace(value, "/", "-")
-    )
-    cycle = F.to_date(F.lit("1800-01-01"))
-
-    def moved(day: Column) -> Column:
-        n = F.datediff(day, cycle).cast("long")
-        halves = _feistel(F.floor(n / 773), n % 773, F.lit(189), F.lit(773), key, "date")
-        new = let(halves, lambda x: F.date_add(cycle, (x["a"] * 773 + x["b"]).cast("int")))
-        return F.when(dotted, F.date_format(new, "dd.MM.yyyy")).otherwise(
-            F.concat(F.date_format(new, "yyyy"), mark, F.date_format(new, "MM"), mark, F.date_format(new, "dd"))
+def _days(year: Column, month: Column) -> Column:
+    """Days of the month."""
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    return F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+
+
+def _moved_date(year: Column, month: Column, day: Column, key: Column) -> Column:
+    """Struct of year, month and day, permuted among the dates of the cycle whose day and month lie in the same ranges."""
+    early = month <= 9
+    first_month, months = F.when(early, 1).otherwise(10), F.when(early, 9).otherwise(3)
+    first_day = F.when(day <= 9, 1).when(day <= 12, 10).otherwise(13)
+    days = F.when(day <= 9, 9).when(day <= 12, 3).otherwise(19)
+    ranges = F.struct(*[c.alias(n) for c, n in ((first_month, "month"), (months, "months"), (first_day, "day"), (days, "days"))])
+
+    def permuted(at: Column) -> Column:
+        def date(x: Column) -> Column:
+            parts = (x["a"] + 1800, F.floor(x["b"] / at["days"]) + at["month"], x["b"] % at["days"] + at["day"])
+            return F.struct(*[p.cast("int").alias(n) for p, n in zip(parts, ("year", "month", "day"))])
+
+        def turn(x: Column) -> Column:
+            return _feistel(x["a"], x["b"], F.lit(400), at["months"] * at["days"], key, "date")
+
+        # The 31st of a short month isn't a date: the permutation goes on from it, at most 3.4% of the time.
+        def on(x: Column, _: Column) -> Column:
+            return F.when(let(date(x), lambda d: d["day"] <= _days(d["year"], d["month"])), x).otherwise(turn(x))
+
+        start = F.struct(
+            (year - 1800).cast("long").alias("a"), ((month - at["month"]) * at["days"] + day - at["day"]).cast("long").alias("b")
         )
+        return let(F.aggregate(F.sequence(F.lit(1), F.lit(24)), let(start, turn), on), date)
+
+    return let(ranges, permuted)
 
-    day = F.try_to_date(iso, "yyyy-MM-dd")
-    return let(
-        day,
-        lambda d: F.when(
-            d.isNotNull() & (d >= cycle) & (d < F.to_date(F.lit("2200-01-01"))) & (F.date_format(d, "yyyy-MM-dd") == iso),
-            moved(d),
-        ).otherwise(value),
-    )
+
+def _date(value: Column, key: Column) -> Column:
+    mark = F.substring(F.regexp_replace(value, "[0-9]", ""), 1, 1)
+
+    def read(p: Column) -> Column:
+        first, second = p[0].cast("int"), p[1].cast("int")
+        day_first = F.when(mark == ".", second <= 12).otherwise(first > 12)
+
+        def parts(*order: int) -> Column:
+            return F.struct(*[p[i].alias(n) for i, n in zip(order, ("year", "month", "day"))], F.lit(order[2]).alias("at"))
+
+        return F.when(F.length(p[0]) == 4, parts(0, 1, 2)).when(day_first, parts(2, 1, 0)).otherwise(parts(2, 0, 1))
+
+    def replaced_in(old: Column) -> Column:
+        year, month, day = (old[n].cast("int") for n in ("year", "month", "day"))
+        valid = year.between(1800, 2199) & month.between(1, 12) & (day >= 1) & (day <= _days(year, month))
+
+        def written(new: Column) -> Column:
+            y, m, d = (F.lpad(new[n].cast("string"), F.length(old[n]), "0") for n in ("year", "month", "day"))
+            return F.when(old["at"] == 2, F.concat(y, mark, m, mark, d)).when(
+                old["at"] == 0, F.concat(d, mark, m, mark, y)
+            ).otherwise(F.concat(m, mark, d, mark, y))
+
+        return F.when(valid, let(_moved_date(year, month, day, key), written)).otherwise(value)
+
+    return let(let(F.split(value, "[-./]"), read), replaced_in)
 
 
 def _ipv4(value: Column, key: Column) -> Column:
@@ -233,13 +308,20 @@ def _mod97(value: Column) -> Column:
 
 
 def _iban(value: Column, key: Column) -> Column:
-    country, body = F.substring(value, 1, 2), F.substring(value, F.lit(5), F.length(value))
+    def moved(whole: Column) -> Column:
+        country, body = F.substring(whole, 1, 2), F.substring(whole, F.lit(5), F.length(whole))
 
-    def closed(new: Column) -> Column:
-        return F.concat(country, F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0"), new)
+        def closed(new: Column) -> Column:
+            check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+            return _refill(value, F.concat(country, check, new), "[0-9A-Z]")
 
-    valid = _mod97(F.concat(body, F.substring(value, 1, 4))) == 1
-    return F.when(valid, let(_classed(body, key, "iban"), closed)).otherwise(value)
+        valid = _mod97(F.concat(body, F.substring(whole, 1, 4))) == 1
+        # Groups that are no IBAN may still hold a card number.
+        return F.when(valid, let(_classed(body, key, "iban"), closed)).when(
+            whole != value, _substituted(value, CARD, lambda card: _card(card, key))["text"]
+        ).otherwise(value)
+
+    return let(F.regexp_replace(value, "[^0-9A-Z]", ""), moved)
 
 
 _KINDS: tuple[tuple[str, str, Callable[[Column, Column], Column]], ...] = (
@@ -249,7 +331,7 @@ _KINDS: tuple[tuple[str, str, Callable[[Column, Column], Column]], ...] = (
     ("ssn", SSN, _ssn),
     ("phone", PHONE, _phone),
     ("card", CARD, _card),
-    ("iban", IBAN, _iban),
+    ("iban", f"{IBAN}|{IBAN_GROUPS}", _iban),
 )
 
 
@@ -262,25 +344,26 @@ def pseudonym(value: Column, key: str) -> Column:
     return chosen.otherwise(value)
 
 
-def replaced(text: Column, key: str) -> Column:
-    """Struct of the new text and the number of values replaced."""
+def _substituted(text: Column, pattern: str, new: Callable[[Column], Column]) -> Column:
+    """Struct of the text with each match replaced by ``new`` of it, and how many have changed."""
 
     def rebuilt(found: Column) -> Column:
-        new = F.transform(found, lambda value: pseudonym(value, key))
-
         def joined(names: Column) -> Column:
-            gaps = F.split(text, ANY, -1)
+            gaps = F.split(text, pattern, -1)
             return F.struct(
                 F.array_join(F.flatten(F.transform(gaps, lambda gap, i: F.array_compact(F.array(gap, F.get(names, i))))), "").alias("text"),
                 F.size(F.filter(F.arrays_zip(found.alias("a"), names.alias("b")), lambda x: x["a"] != x["b"])).cast("long").alias("n"),
             )
 
-        return let(new, joined)
+        return let(F.transform(found, new), joined)
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), rebuilt)
 
+
+def replaced(text: Column, key: str) -> Column:
+    """Struct of the new text and the number of values replaced."""
     unchanged = F.struct(text.alias("text"), F.lit(0).cast("long").alias("n"))
-    return F.when(
-        text.rlike("[0-9@]"), let(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), rebuilt)
-    ).otherwise(unchanged)
+    return F.when(text.rlike("[0-9@]"), _substituted(text, ANY, lambda value: pseudonym(value, key))).otherwise(unchanged)
 
 
 def replace(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
