@@ -67,6 +67,25 @@ def test_large_group_and_common_passage(made):
     assert all(got[i] == i for i, _ in docs if i >= 2000)
 
 
+def test_short_pairs_are_not_lost_to_their_bits(made):
+    """4 shingles and the same with one more: similarity 0.8, but the bits of 62 registers differ."""
+    for number in (15602, 16007):
+        words = [f"w{number}x{i}" for i in range(9)]
+        hashed = Hasher()
+        sets = [shingles(hashed(w)) for w in (words[:8], words)]
+        one, two = prob_minhash.bit_planes(sketch(sets)).reshape(2, 2, -1)
+        assert similarity(*sets) == pytest.approx(0.8)
+        assert sum(int(x).bit_count() for x in (one ^ two).view(np.uint64)[0] | (one ^ two).view(np.uint64)[1]) == 62
+        got = prob_minhash.classes(made([(1, " ".join(words[:8])), (2, " ".join(words))])).collect()
+        assert {r["doc_id"]: r["class_id"] for r in got} == {1: 1, 2: 1}
+
+
+def test_few_shingles():
+    assert prob_minhash._is_few(np.ones(31)) and not prob_minhash._is_few(np.ones(32))
+    # A phrase that outweighs the rest makes a text of many shingles one of few.
+    assert prob_minhash._is_few(np.append(np.ones(48), 12.0))
+
+
 def test_query(spark, folder, documents):
     got = {r["doc_id"]: r["class_id"] for r in entry.QUERIES["op2_prob_minhash"](spark, folder).collect()}
     assert got == brute_classes(documents)

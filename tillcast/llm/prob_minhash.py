@@ -16,8 +16,11 @@ repeats over and over from outweighing the rest of it.
   bucket is capped, and no link between components is left out.
 * Filters before a comparison: bitmaps of the shingles bound the number that two texts without
   repeats share from above, so pairs below 0.8 are excluded for certain; and two bits of each
-  register of both documents must differ in at most 60 registers of 200 (30 are expected at 0.8;
-  a pair at 0.8 fails with probability 1e-7, as in banding).
+  register of both documents must differ in at most 60 registers of 200 (30 are expected at 0.8).
+  Registers that differ hold the same shingles many times over in a short text, so their bits
+  aren't independent: a pair at 0.8 of 4 shingles and the same 4 with one more would fail with
+  probability 9e-5.  Texts of fewer than 32 evenly weighing shingles therefore skip the bits; from
+  there on a pair at 0.8 fails with probability 5.5e-8 or less.
 
 Equal texts (by their words) are one node from the start.
 
@@ -48,6 +51,8 @@ REGISTERS = BANDS * ROWS
 PIVOTS = 256
 #: Registers whose two bits may differ.
 MOST_DIFFERENT = 60
+#: Texts of fewer shingles skip the filter by these bits; unequal weights count as (sum)^2 / sum of squares.
+FEW = 32
 #: Bits of a shingle bitmap.
 OUTLINE = 2048
 #: Shingles of texts compared lately that a task keeps.
@@ -166,7 +171,7 @@ def bit_planes(sketches: np.ndarray) -> np.ndarray:
 
 
 def _alike(a: Column, b: Column) -> Column:
-    """Whether few enough registers differ in their two bits."""
+    """Whether few enough registers differ in their two bits (for texts of at least ``FEW`` shingles)."""
     differ = F.lit(0)
     for i in range(_PLANES):
         one, two = (a[j].bitwiseXOR(b[j]) for j in (i, i + _PLANES))
@@ -199,12 +204,16 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float((x[shared] / (up_to[edge] + beyond[edge] / t)).sum())
 
 
+def _is_few(weights: np.ndarray) -> bool:
+    return bool(weights.sum() ** 2 < FEW * (weights**2).sum())
+
+
 def _node(words: list[str]) -> bytes:
     return hashlib.md5(" ".join(words).encode(), usedforsecurity=False).digest()
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, node (null without words), band keys and bit planes of every document."""
+    """doc_id, node (null without words), band keys, bit planes and whether the shingles are few of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Hasher()
@@ -222,11 +231,11 @@ def _sketched(docs: DataFrame) -> DataFrame:
                     for x in (keys, bits)
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(nodes, pa.binary()), *lists],
-                    ["doc_id", "node", "keys", "bits"],
+                    [part.column(0), pa.array(nodes, pa.binary()), *lists, pa.array([_is_few(w) for _, w in sets], pa.bool_())],
+                    ["doc_id", "node", "keys", "bits", "few"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, node binary, keys array<long>, bits array<long>")
+    return docs.mapInArrow(run, "doc_id long, node binary, keys array<long>, bits array<long>, few boolean")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -328,7 +337,7 @@ def _pivots(rooted: DataFrame) -> DataFrame:
     others = rooted.join(sizes.join(most, "key").where(F.col("root") != F.col("most")["root"]).drop("most"), ["key", "root"])
     rank = F.row_number().over(Window.partitionBy("key").orderBy("n", "root", "node"))
     return others.withColumn("rank", rank).where(F.col("rank") <= PIVOTS).select(
-        "key", *[F.col(c).alias(f"pivot_{c}") for c in ("node", "root", "bits", *_MEASURES)]
+        "key", *[F.col(c).alias(f"pivot_{c}") for c in ("node", "root", "bits", "few", *_MEASURES)]
     )
 
 
@@ -337,7 +346,7 @@ def _tests(rooted: DataFrame, pivots: DataFrame, least: float) -> DataFrame:
     possible = (
         (F.col("key") == F.col("pivot_key"))
         & (F.col("root") != F.col("pivot_root"))
-        & _alike(F.col("bits"), F.col("pivot_bits"))
+        & (F.col("few") | F.col("pivot_few") | _alike(F.col("bits"), F.col("pivot_bits")))
         & _may_reach(least)
     )
     pairs = rooted.join(pivots.withColumnRenamed("key", "pivot_key"), possible)
@@ -364,20 +373,21 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     several = stored(several.where(F.col("pivot") != F.col("top")).select("key", "pivot"), "buckets")
     buckets = stored(banded.join(several, "key").select("key", "node", "pivot").distinct(), "buckets")
 
-    nodes = stored(worded.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bits").alias("bits")), "nodes")
+    nodes = stored(worded.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bits").alias("bits"), F.first("few").alias("few")), "nodes")
     wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
     texts = stored(_texts(rows, wanted), "texts")
 
     pairs = buckets.where(F.col("node") != F.col("pivot"))
     pairs = pairs.select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
     for side in ("u", "v"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("bits").alias(f"bits_{side}")), side)
-    tested = stored(pairs.where(_alike(F.col("bits_u"), F.col("bits_v"))).select("u", "v"), "pairs")
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("bits", "few")]), side)
+    likely = F.col("few_u") | F.col("few_v") | _alike(F.col("bits_u"), F.col("bits_v"))
+    tested = stored(pairs.where(likely).select("u", "v"), "pairs")
     roots = components(_linked(tested, texts, least))
     open_ = _mixed(_rooted(buckets.where(F.col("node") != F.col("pivot")).select("key", "node"), roots))
     open_ = stored(open_, "open")
     outlines = stored(_outlines(texts, open_.select("node").distinct()), "outlines")
-    open_ = open_.join(outlines.join(nodes.select("node", "bits"), "node"), "node")
+    open_ = open_.join(outlines.join(nodes.select("node", "bits", "few"), "node"), "node")
     while True:
         open_ = stored(_mixed(open_), "open")
         if open_.isEmpty():
