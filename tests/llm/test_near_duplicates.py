@@ -147,3 +147,19 @@ def test_edges(edges, nothing):
     assert kept.columns == edges.columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 2, 3, 4, 6, 7, 8]
     assert prob_minhash.classes(nothing).count() == 0 and prob_minhash.keep(nothing).count() == 0
+
+
+def test_rows_are_kept_by_id_and_text(made):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [
+        (7, one), (7, two), (7, one), (8, two), (None, one), (None, three), (None, three), (None, three + " more"),
+        (9, ""), (9, None), (9, ""), (None, None), (None, " "), (5, "z"), (5, ""),
+    ]
+    kept = sorted(map(str, prob_minhash.keep(made(rows)).collect()))
+    named = [(7, one), (7, two), (9, ""), (9, None), (None, None), (None, " "), (5, "z"), (5, "")]
+    either = [(None, three), (None, three + " more")]
+    texts = [sorted(map(str, made([*named, row]).collect())) for row in either]
+    assert kept in texts
+    classed = prob_minhash.all_classes(made(rows)).collect()
+    assert len(classed) == len(rows) and [r["class_id"] for r in classed if r["doc_id"] is None].count(7) == 1
+    assert {(r["doc_id"], r["class_id"]) for r in classed if r["doc_id"] is not None} == {(7, 7), (8, 7), (9, 9), (5, 5)}

@@ -41,7 +41,7 @@ def byte_bpe(spark, folder):
 
 @query("op2_prob_minhash")
 def near_duplicates(spark, folder):
-    return prob_minhash.classes(table(spark, folder, "documents")).select("doc_id", "class_id")
+    return prob_minhash.all_classes(table(spark, folder, "documents")).select("doc_id", "class_id")
 
 
 @query("op3_site_bayes")

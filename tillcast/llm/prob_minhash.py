@@ -25,8 +25,10 @@ repeats over and over from outweighing the rest of it.
 Equal texts (by their words) are one node from the start.
 
 Defined results: a text without words (null, empty or blank) is a class of its own; a text of one
-to four words is one shingle; rows with a null document id take no part and are kept by ``keep``;
-repeated rows share a class, and ``keep`` leaves one of them; an empty table gives an empty result.
+to four words is one shingle; rows are classed and kept by their id and text, so unrelated texts under
+one id both stay, and rows with a null document id take part like others (``classes`` leaves them out,
+``all_classes`` doesn't); repeated rows share a class, and ``keep`` leaves one of them, but rows with
+neither id nor words all stay; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -213,13 +215,13 @@ def _node(words: list[str]) -> bytes:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, node (null without words), band keys, bit planes and whether the shingles are few of every document."""
+    """doc_id, hash, node (null without words), band keys, bit planes and whether the shingles are few of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Hasher()
         for batch in batches:
-            for part in parts(batch, most=1_000_000):
-                split = [words_of(text) for text in part.column(1).to_pylist()]
+            for part in parts(batch, text=2, most=1_000_000):
+                split = [words_of(text) for text in part.column(2).to_pylist()]
                 flat = hashed([word for words in split for word in words])
                 ends = np.cumsum([len(words) for words in split])
                 sets = [shingles(flat[e - len(words) : e]) for e, words in zip(ends, split)]
@@ -231,15 +233,20 @@ def _sketched(docs: DataFrame) -> DataFrame:
                     for x in (keys, bits)
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(nodes, pa.binary()), *lists, pa.array([_is_few(w) for _, w in sets], pa.bool_())],
-                    ["doc_id", "node", "keys", "bits", "few"],
+                    [part.column(0), part.column(1), pa.array(nodes, pa.binary()), *lists, pa.array([_is_few(w) for _, w in sets], pa.bool_())],
+                    ["doc_id", "hash", "node", "keys", "bits", "few"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, node binary, keys array<long>, bits array<long>, few boolean")
+    return docs.mapInArrow(run, "doc_id long, hash long, node binary, keys array<long>, bits array<long>, few boolean")
+
+
+def _at() -> Column:
+    """Where a row is found: its id, or the hash of its text."""
+    return F.coalesce("doc_id", "hash")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and text of the wanted (doc_id, node), one row each."""
+    """node and text of the wanted (at, node), one row each."""
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,7 +254,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             same = [_node(words_of(text)) == node for text, node in zip(texts, batch.column(0).to_pylist())]
             yield batch.filter(pa.array(same, pa.bool_()))
 
-    rows = docs.join(wanted, "doc_id").select("node", "text").mapInArrow(own, "node binary, text string")
+    rows = docs.withColumn("at", _at()).join(wanted, "at").select("node", "text").mapInArrow(own, "node binary, text string")
     return rows.dropDuplicates(["node"])
 
 
@@ -360,12 +367,12 @@ def _rooted(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.withColumn("root", F.coalesce("_root", "node")).drop("_root")
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (smallest document id of the class) and node of every document with an id."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.where(F.col("doc_id").isNotNull())
+def _placed(docs: DataFrame, doc_id: str, text: str, least: float) -> DataFrame:
+    """doc_id, hash of the text, node and root of every row; without words node and root are null."""
+    value = F.col(f"`{text}`").cast("string")
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(value).alias("hash"), value.alias("text"))
     sketched = stored(_sketched(rows), "sketches")
-    members = sketched.select("doc_id", "node")
+    members = sketched.select("doc_id", "hash", "node")
     worded = sketched.where(F.col("node").isNotNull())
 
     banded = worded.select("node", F.explode("keys").alias("key"))
@@ -373,8 +380,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     several = stored(several.where(F.col("pivot") != F.col("top")).select("key", "pivot"), "buckets")
     buckets = stored(banded.join(several, "key").select("key", "node", "pivot").distinct(), "buckets")
 
-    nodes = stored(worded.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bits").alias("bits"), F.first("few").alias("few")), "nodes")
-    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
+    nodes = stored(worded.groupBy("node").agg(F.min(_at()).alias("at"), F.first("bits").alias("bits"), F.first("few").alias("few")), "nodes")
+    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "at")
     texts = stored(_texts(rows, wanted), "texts")
 
     pairs = buckets.where(F.col("node") != F.col("pivot"))
@@ -403,20 +410,38 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
         open_ = _rooted(rest, roots)
 
     placed = members.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-    placed = placed.select("doc_id", "node", F.coalesce("root", "node").alias("root"))
+    return placed.select("doc_id", "hash", "node", F.coalesce("root", "node").alias("root"))
+
+
+def all_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id (smallest document id of the class, null where none has one) and node of every row."""
+    placed = stored(_placed(docs, doc_id, text, least), "placed")
     least_ids = placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return placed.join(least_ids, "root", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "node"
     )
 
 
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """The rows of ``all_classes`` with an id."""
+    return all_classes(docs, doc_id, text, least).where(F.col("doc_id").isNotNull())
+
+
 def keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """One document of each class, that of the smallest id, with its own columns."""
-    chosen = classes(docs, doc_id, text, least).where(F.col("doc_id") == F.col("class_id"))
-    chosen = chosen.select(F.col("doc_id").alias("chosen")).distinct()
+    """One row of each class, that of the smallest id, with its own columns."""
+    placed = stored(_placed(docs, doc_id, text, least), "placed")
+    # Rows without an id come last in their class.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), _at().alias("at"), "node", "hash")).alias("first")
+    worded = placed.where(F.col("root").isNotNull()).groupBy("root").agg(first).select("first.at", "first.hash")
+    blank = placed.where(F.col("root").isNull() & F.col("doc_id").isNotNull()).select(_at().alias("at"), "hash")
+    chosen = worded.unionByName(blank).distinct()
+
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("row"), F.col(doc_id).cast("long").alias("id"))
-    kept = rows.where(F.col("id").isNotNull()).join(chosen, F.col("id") == F.col("chosen"), "left_semi")
-    # Repeated rows of one id: the one of the smallest text stays.
-    once = kept.groupBy("id").agg(F.min_by("row", F.xxhash64(F.col("row")[text])).alias("row"))
-    return once.select("row").unionByName(rows.where(F.col("id").isNull()).select("row")).select("row.*")
+    rows = docs.select(
+        row.alias("row"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")
+    ).withColumn("hash", F.xxhash64("text"))
+    kept = rows.withColumn("at", _at()).join(chosen, ["at", "hash"], "left_semi")
+    # Repeated rows of one id and text: one stays.
+    once = kept.groupBy("at", "hash").agg(F.first("row").alias("row"))
+    no_words = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return once.select("row").unionByName(rows.where(F.col("doc_id").isNull() & no_words).select("row")).select("row.*")
