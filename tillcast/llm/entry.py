@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import bpe, host_rules, licences, one_bit, packing, prob_minhash, pseudonyms, shards, site_bayes, token_files
+from tillcast.llm import alignment, bpe, host_rules, licences, one_bit, packing, prob_minhash, pseudonyms, shards, site_bayes, token_files
 from tillcast.llm.tables import table
 from tillcast.llm.workers import importable
 from tillcast.session import shared_folder
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_FILE = "word_bpe_49k.json"
+BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -88,6 +89,12 @@ def packed(spark, folder):
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORD_FILE), end_id=2)
 
 
+@query("op11_shared_cuts")
+def shared_cuts(spark, folder):
+    left, right = public_tokenizers.path(BYTE_FILE), public_tokenizers.path(PIECE_FILE)
+    return alignment.digests(table(spark, folder, "documents"), left, right, public_tokenizers.PATTERN)
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
