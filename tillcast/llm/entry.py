@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import alignment, bpe, host_rules, licences, one_bit, packing, prob_minhash, pseudonyms, shards, site_bayes, token_files
+from tillcast.llm import alignment, bpe, hard_negatives, host_rules, licences, one_bit, packing, prob_minhash, pseudonyms, shards, site_bayes, token_files
 from tillcast.llm.tables import table
 from tillcast.llm.workers import importable
 from tillcast.session import shared_folder
@@ -95,6 +95,13 @@ def shared_cuts(spark, folder):
     return alignment.digests(table(spark, folder, "documents"), left, right, public_tokenizers.PATTERN)
 
 
+@query("op12_hard_negatives")
+def negatives(spark, folder):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantized(table(spark, folder, "embeddings"), label, scale=256)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
@@ -104,6 +111,7 @@ ORACLES = {
     "op5_host_rules": host_rules.ORACLE,
     "op7_licence_index": licences.oracle(),
     "op8_one_bit_codes": one_bit.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
