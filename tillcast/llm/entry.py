@@ -10,7 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillcast.llm import alignment, bpe, hard_negatives, host_rules, licences, one_bit, packing, prob_minhash, pseudonyms, shards, site_bayes, token_files
+from tillcast.llm import (
+    alignment,
+    bpe,
+    hard_negatives,
+    host_rules,
+    licences,
+    one_bit,
+    packing,
+    prob_minhash,
+    pseudonyms,
+    shards,
+    simhash,
+    site_bayes,
+    token_files,
+)
 from tillcast.llm.tables import table
 from tillcast.llm.workers import importable
 from tillcast.session import shared_folder
@@ -102,6 +116,11 @@ def negatives(spark, folder):
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
 
 
+@query("op13_simhash_pivots")
+def fingerprint_classes(spark, folder):
+    return simhash.classes(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
