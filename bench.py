@@ -40,7 +40,7 @@ def fit_five_rounds(spark, folder: str) -> float:
     candidates = [c for c in rows.columns if c not in EXCLUDED]
     matrix = training.fit_matrix(train, candidates)
     fit_rows, check_rows = (training.labelled(matrix, df) for df in (train, holdout))
-    return training.fit_trees(matrix, fit_rows, check_rows, candidates, training.TreeParams(rounds=5))[1]
+    return training.fit_trees(matrix, fit_rows, check_rows, candidates, training.TreeParams(rounds=5)).rmspe
 
 
 def main() -> None:

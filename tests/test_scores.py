@@ -2,34 +2,65 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillcast.operators import ensemble, exploration, features, ranks
+from tillcast.operators import bootstrap, ensemble, exploration, features, ranks
 
-PRED = "row_id long, model_id int, y double, pred double"
+PACKED = "row_id long, y double, preds array<double>"
 
 
 def test_harmonic_pairs_and_ties(spark):
-    rows = [(1, 0, 100.0, 50.0), (1, 1, 100.0, 100.0), (1, 2, 100.0, 0.0), (1, 3, 100.0, 50.0), (2, 0, 0.0, 9.0)]
-    preds = spark.createDataFrame(rows, PRED)
-    scores = ensemble.model_scores(preds.where("y > 0"))
+    packed = spark.createDataFrame([(1, 100.0, [50.0, 100.0, 0.0, 50.0]), (2, 0.0, [9.0, None, None, None])], PACKED)
+    models = [0, 1, 2, 3]
+    scores = ensemble.model_scores(packed, models)
     assert [r.model_id for r in ensemble.top_models(scores, 4).collect()] == [1, 0, 3, 2]
-    pairs = {(r.model_1, r.model_2): r for r in ensemble.best_pairs(preds, scores, 4).collect()}
+    pairs = {(r.model_1, r.model_2): r for r in ensemble.best_pairs(packed, models, scores, 4).collect()}
     assert len(pairs) == 6
     assert pairs[1, 0].rmspe_ensemble == pytest.approx(1 - 0.6666666667)
     assert pairs[0, 2].rmspe_ensemble == 1.0 and pairs[0, 2].rmspe_single2 == 1.0
-    assert {r.model_id for r in ensemble.models_of_pairs(ensemble.best_pairs(preds, scores, 4), 1).collect()} == {0, 1}
+    best = ensemble.best_pairs(packed, models, scores, 4)
+    assert {r.model_id for r in ensemble.models_of_pairs(best, 1).collect()} == {0, 1}
+
+
+def test_pairs_against_each_row(spark):
+    """Top models only, ids that aren't places, several tasks, absent predictions."""
+    rng = np.random.default_rng(8)
+    y, preds = rng.uniform(50, 150, 700), rng.uniform(0, 200, (700, 6))
+    preds[::50, 2] = np.nan
+    rows = [(i, float(y[i]), [None if np.isnan(p) else float(p) for p in preds[i]]) for i in range(700)]
+    models = [40, 10, 30, 20, 60, 50]
+    packed = spark.createDataFrame(rows, PACKED).repartition(3)
+    scores = ensemble.model_scores(packed, models)
+    single = {m: np.sqrt(np.nanmean(((y - preds[:, i]) / y) ** 2)) for i, m in enumerate(models)}
+    assert {r.model_id: pytest.approx(r.rmspe) for r in scores.collect()} == single
+    top = sorted(single, key=single.get)[:4]
+    got = ensemble.best_pairs(packed, models, scores, 4).collect()
+    assert [(r.model_1, r.model_2) for r in sorted(got, key=lambda r: (top.index(r.model_1), top.index(r.model_2)))] == [
+        (a, b) for i, a in enumerate(top) for b in top[i + 1 :]
+    ]
+    for r in got:
+        a, b = preds[:, models.index(r.model_1)], preds[:, models.index(r.model_2)]
+        assert r.rmspe_ensemble == pytest.approx(np.sqrt(np.nanmean(((y - 2 / (1 / a + 1 / b)) / y) ** 2)))
+        assert (r.rmspe_single1, r.rmspe_single2) == pytest.approx((single[r.model_1], single[r.model_2]))
+    assert [r.rmspe_ensemble for r in got] == sorted(r.rmspe_ensemble for r in got)
 
 
 def test_zero_targets_are_ignored(spark):
-    preds = spark.createDataFrame([(1, 0, 0.0, 5.0), (2, 0, 10.0, 5.0)], PRED)
-    assert ensemble.model_scores(preds).first().rmspe == 0.5
+    packed = spark.createDataFrame([(1, 0.0, [5.0]), (2, 10.0, [5.0])], PACKED)
+    assert ensemble.model_scores(packed, [0]).first().rmspe == 0.5
 
 
 def test_final_and_cross(spark):
-    a = spark.createDataFrame([(1, 0, 10.0, 0.0), (1, 1, 10.0, 100.0), (2, 0, 10.0, 50.0)], PRED)
-    got = {r.row_id: r.pred for r in ensemble.final_ensemble(a).collect()}
-    assert got[1] == pytest.approx(0.985 * 2 / (1e6 + 0.01)) and got[2] == pytest.approx(49.25)
-    fifty, hundred = (spark.createDataFrame([(1, 0, 1.0, v)], PRED) for v in (50.0, 100.0))
-    assert ensemble.cross_ensemble(fifty, hundred).first().pred == pytest.approx(0.985 * 200 / 3)
+    a = spark.createDataFrame([(1, 10.0, [0.0, 100.0]), (2, 10.0, [50.0, None]), (3, 1.0, [None, None])], PACKED)
+    got = {r.row_id: r.pred for r in ensemble.final_ensemble(a, [7, 8]).collect()}
+    assert got[1] == pytest.approx(0.985 * 2 / (1e6 + 0.01)) and got[2] == pytest.approx(49.25) and got[3] is None
+    both = spark.createDataFrame([(1, 1.0, [50.0, 9.0, 100.0])], PACKED)
+    assert ensemble.cross_ensemble(both, [0, 1, 2], [0], [2]).first().pred == pytest.approx(0.985 * 200 / 3)
+    totals = ensemble.total_scores(both, {"a": F.lit(2.0), "b": F.lit(1.5)})
+    assert {r.model: r.rmspe for r in totals.collect()} == {"a": 1.0, "b": 0.5}
+
+
+def test_forecast_summary(spark):
+    rows = spark.createDataFrame([(1, 0.0), (2, 5.0), (3, 2.0)], "Id int, Sales double")
+    assert tuple(ensemble.forecast_summary(rows).first()) == (3, 1, 0.0, 5.0)
 
 
 def test_recommendation_and_closed(spark):
@@ -73,6 +104,50 @@ def test_correlations(spark):
     assert got["c", "a"] is None and got["d", "c"] is None
 
 
+def test_correlations_far_from_zero(spark):
+    """A large offset, an outlier and a column that is constant where the other is known."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=400)
+    y = 1e9 + x + rng.normal(size=400)
+    y[0] = 1e9 + 1000
+    z = [0.1 if i % 2 else None for i in range(400)]
+    rows = [(float(a), float(b), c, float(a) if c is None else None) for a, b, c in zip(x, y, z)]
+    df = spark.createDataFrame(rows, "x double, y double, z double, w double").repartition(5)
+    got = {(r.column_1, r.column_2): r.r for r in exploration.correlations(df).collect()}
+    assert got["y", "x"] == pytest.approx(np.corrcoef(x, y)[0, 1], rel=1e-7)
+    assert got["w", "x"] == pytest.approx(1) and got["z", "x"] is None and got["z", "y"] is None and got["w", "z"] is None
+
+
+def test_bootstrap_intervals(spark):
+    """Weights are Poisson, replicates agree with plain weighted means, intervals with the spread of the mean."""
+    rng = np.random.default_rng(6)
+    drawn = bootstrap.weights(rng.integers(0, bootstrap.PRIME, 3000), 200)
+    assert drawn.mean() == pytest.approx(1, abs=0.01) and drawn.var() == pytest.approx(1, abs=0.02)
+    assert abs(np.corrcoef(drawn[:, 3], drawn[:, 4])[0, 1]) < 0.08
+    values = rng.normal(20, 4, 900)
+    rows = [(i, "b" if i % 3 else None, None if i == 7 else float(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "i long, k string, v double").repartition(3)
+    means = bootstrap.replicate_means(df, "v", ["k"], ["i"], 40).collect()
+    assert len(means) == 80
+    hashes = df.select("i", bootstrap.row_hash("i").alias("h")).collect()
+    weight = {r.i: bootstrap.weights(np.array([r.h]), 40)[0].tolist() for r in hashes}
+    for r in means:
+        own = [(weight[i][r.replicate], v) for i, k, v in rows if k == r.k and v is not None]
+        assert r.mean == pytest.approx(sum(w * v for w, v in own) / sum(w for w, _ in own))
+    for r in bootstrap.mean_intervals(df, "v", ["k"], ["i"]).collect():
+        own = [v for _, k, v in rows if k == r.k and v is not None]
+        error = np.std(own, ddof=1) / np.sqrt(len(own))
+        assert (r.ci_low, r.ci_high) == pytest.approx((np.mean(own) - 1.96 * error, np.mean(own) + 1.96 * error), abs=0.4 * error)
+
+
+def test_means_with_intervals(spark):
+    rows = [(1, "a", 2.0), (2, "a", 4.0), (3, "b", 5.0)]
+    df = spark.createDataFrame(rows, "Store int, k string, v double")
+    got = {r.k: r for r in exploration.mean_by(df, "v", ["k"], identity=("Store",)).collect()}
+    assert (got["a"].mean_v, got["a"].n, got["a"].se_v) == (3.0, 2, 1.0) and 2 <= got["a"].ci_low <= got["a"].ci_high <= 4
+    assert (got["b"].ci_low, got["b"].ci_high, got["b"].se_v) == (5.0, 5.0, None)
+
+
 def test_fills_and_implication(spark):
     df = spark.createDataFrame([(1, None, 1, None), (2, 4.0, 0, "x"), (3, 8.0, 0, "x")], "Store int, d double, Promo2 int, t string")
     assert [r.d for r in exploration.impute_median(df, "d").orderBy("Store").collect()] == [6.0, 4.0, 8.0]
@@ -95,6 +170,11 @@ def test_codes_and_candidates(spark):
     coded = features.category_codes(many, ["t"]).join(many.withColumnRenamed("t", "was"), "n").collect()
     assert len(coded) == 150 and all(order[r.t] == (r.was or "-999") for r in coded)
     assert features.candidate_list(df, max_distinct=3) == ["t"]
+    # One text far beyond the limit, one just beyond, one at it; texts of a dimension are counted there.
+    texts = spark.createDataFrame([(f"v{i}", f"v{i % 11}", f"v{i % 10}") for i in range(3000)], "a string, b string, c string")
+    assert features.candidate_list(texts, max_distinct=10) == ["c"]
+    both = features.feature_candidates(df, 10, columns=["n", "a", "c", "t"], text_sources=[df, texts]).orderBy("position")
+    assert [r.feature for r in both.collect()] == ["n", "c", "t"]
     assert features.present(["t", "w"], df) == (["t"], ["w"])
 
 

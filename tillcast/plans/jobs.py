@@ -35,9 +35,13 @@ class TrainOptions:
 
 
 def train_families(
-    tables: dict[str, DataFrame], names: list[str], options: TrainOptions = TrainOptions()
+    tables: dict[str, DataFrame], names: list[str], options: TrainOptions = TrainOptions(), progress: str | None = None
 ) -> tuple[dict[str, training.FamilyRun], DataFrame]:
-    """Fit the named families on the featured tables; returns the runs and the score table."""
+    """Fit the named families on the featured tables; returns the runs and the score table.
+
+    With a folder for ``progress``, a job that is started again with the same tables and options fits
+    only what it hadn't fitted before.
+    """
     train = require_columns(tables["train_featured"], NEEDED, "train_featured")
     holdout = require_columns(tables["holdout_featured"], NEEDED, "holdout_featured")
     spark = train.sparkSession
@@ -51,6 +55,7 @@ def train_families(
     subsets = features.random_subsets(
         listed, options.n_models, options.min_features, min(options.max_features, len(candidates)), options.seed
     )
+    records = training.Progress(spark, progress) if progress else None
     runs = {}
     try:
         for name in names:
@@ -66,6 +71,7 @@ def train_families(
                 options.top_models,
                 options.top_pairs,
                 options.parallel,
+                records,
             )
         scores = [(name, float(run.rmspe)) for name, run in runs.items()]
         if len(runs) == 2:
@@ -104,7 +110,7 @@ def train_and_submit(
     """Both families, their submissions and the weighted one, models, scores; returns the comparison."""
     tables = read_featured(spark, featured)
     test = tables["test_featured"]
-    runs, scores = train_families(tables, list(training.FAMILIES), options)
+    runs, scores = train_families(tables, list(training.FAMILIES), options, f"{out}/progress/{run_id}")
     for name, run in runs.items():
         write_submission(training.forecast(run, test), f"{out}/submission_{name}")
         training.save_family(run, f"{out}/models/{name}")

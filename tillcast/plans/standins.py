@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import epoch_day
-from tillcast.operators.split import time_split, trainable
+from tillcast.operators.split import HOLDOUT_WEEKS, time_split, trainable
 from tillcast.session import by_store
 
 MODELS = 60
@@ -16,35 +16,32 @@ FAMILY_A = (0, 1, 2, 50, 51)
 FAMILY_B = (3, 4, 5, 52, 53)
 
 
-def stand_in(model: int) -> Column:
+def _stand_in(model: int) -> Column:
     """Models 0..49: the last sale above zero at least 30 + 7 m days back; from 50 on: the
-    sales exactly 28 + m days back.  0 where there is none."""
+    sales exactly 28 + m days back.  0 where there is none.  The panel has a row per day, so days are rows."""
     by_day = Window.partitionBy("Store").orderBy("_day")
-    if model < 50:
-        until = by_day.rangeBetween(Window.unboundedPreceding, -(30 + 7 * model))
-        value = F.last(F.nullif("Sales", F.lit(0.0)), ignorenulls=True).over(until)
-    else:
-        value = F.first("Sales").over(by_day.rangeBetween(-(28 + model), -(28 + model)))
-    return F.coalesce(value, F.lit(0.0))
+    value = F.lag("_last_sale", 30 + 7 * model) if model < 50 else F.lag("Sales", 28 + model)
+    return F.coalesce(value.over(by_day), F.lit(0.0))
 
 
-def with_stand_ins(panel: DataFrame, models: list[int]) -> DataFrame:
-    """One array column ``preds`` with the forecasts of the given models."""
-    placed = by_store(panel).withColumn("_day", epoch_day("Date"))
-    return placed.withColumn("preds", F.array(*[stand_in(m) for m in models]))
+def with_stand_ins(panel: DataFrame, models: list[int], first_day: Column | None = None) -> DataFrame:
+    """One array column ``preds`` with the forecasts of the given models.
+
+    Rows long before ``first_day``, from which on forecasts are wanted, are dropped once their last sale is known.
+    """
+    running = Window.partitionBy("Store").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    last_sale = F.last(F.nullif("Sales", F.lit(0.0)), ignorenulls=True).over(running)
+    placed = by_store(panel).withColumn("_day", epoch_day("Date")).withColumn("_last_sale", last_sale)
+    if first_day is not None:
+        reach = max((30 + 7 * m if m < 50 else 28 + m for m in models), default=0)
+        placed = placed.where(F.col("Date") >= F.date_sub(first_day, reach))
+    return placed.withColumn("preds", F.array(*[_stand_in(m) for m in models])).drop("_last_sale")
 
 
 def holdout_predictions(panel: DataFrame, last_day: Column, models: list[int] | None = None) -> DataFrame:
-    """Long prediction table over the trainable rows of the holdout."""
+    """Packed predictions ``(row_id, y, preds)`` over the trainable rows of the holdout."""
     models = list(range(MODELS)) if models is None else models
-    _, holdout = time_split(with_stand_ins(panel, models), last_day=last_day)
-    return trainable(holdout).select(
-        (F.col("Store") * ROW_STRIDE + F.col("_day")).alias("row_id"),
-        F.col("Sales").alias("y"),
-        F.posexplode("preds").alias("_at", "pred"),
-    ).select(
-        "row_id",
-        F.element_at(F.array(*[F.lit(m) for m in models]), F.col("_at") + 1).alias("model_id"),
-        "y",
-        "pred",
-    )
+    first_day = F.date_sub(last_day, 7 * HOLDOUT_WEEKS)
+    _, holdout = time_split(with_stand_ins(panel, models, first_day), last_day=last_day)
+    row_id = F.col("Store") * ROW_STRIDE + F.col("_day")
+    return trainable(holdout).select(row_id.alias("row_id"), F.col("Sales").alias("y"), "preds")
