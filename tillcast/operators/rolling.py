@@ -5,10 +5,10 @@ split key.  The block is then read 30 days later, so a row sees nothing of the l
 
 Cost.  A RANGE frame re-aggregated per row would cost N updates per row and statistic.
 Here each row pays a constant for counts and moments (a running total minus the running
-total at the frame's lower edge) and one primitive sort per horizon for the percentiles:
-the group's list of values is cut to the frame by position.  Everything is one shuffle by
-store, then windows inside the partition.  A store has at most one row per calendar day,
-so no window holds more than the calendar.
+total at the frame's lower edge) and a descent per percentile in an index over the values
+(``order_index``), read by the frame's first and last position: no row carries a list.
+Everything is one shuffle by store, then windows inside the partition.  A store has at most
+one row per calendar day, so no window holds more than the calendar.
 
 The expressions are SQL text: several hundred of them are needed, and text reaches the
 analyzer in one call per step.
@@ -16,10 +16,11 @@ analyzer in one call per step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import EPSILON, epoch_day, holiday_flag
+from tillcast.operators.order_index import frame_order
 from tillcast.session import by_store
 
 HORIZONS = {"q": 90, "h": 180, "y": 365, "y2": 730}
@@ -43,24 +44,15 @@ def feature_names(splits: list[str] | None = None) -> list[str]:
     ]
 
 
-def _percentile(ordered: str, fraction: float) -> str:
-    """Linear interpolation between the neighbours of ``(n - 1) * fraction`` in a sorted array."""
-    position = f"((size({ordered}) - 1) * {fraction}D)"
-    lower = f"int(floor({position}))"
-    below = f"get({ordered}, {lower})"
-    above = f"get({ordered}, least({lower} + 1, size({ordered}) - 1))"
-    return f"({below} * (1 - ({position} - {lower})) + {above} * ({position} - {lower}))"
-
-
 def _statistics(h: str) -> dict[str, str]:
     """The eight statistics of one horizon from the columns ``_frame_statistics`` prepares."""
-    mean, median, std, ordered = f"_mean_{h}", f"_median_{h}", f"_std_{h}", f"_sorted_{h}"
+    mean, median, std = f"_mean_{h}", f"_order.{h}_median", f"_std_{h}"
     return {
         "mean": mean,
         "median": median,
         "std": std,
-        "p10": f"CASE WHEN {mean} IS NOT NULL THEN {_percentile(ordered, 0.1)} END",
-        "p90": f"CASE WHEN {mean} IS NOT NULL THEN {_percentile(ordered, 0.9)} END",
+        "p10": f"_order.{h}_p10",
+        "p90": f"_order.{h}_p90",
         "skew": f"({mean} - {median}) / ({std} + {EPSILON}D)",
         "cv": f"try_divide({std}, {mean} + {EPSILON}D)",
         "harmonic_mean": f"CASE WHEN _nonzero_{h} >= {MIN_PERIODS} "
@@ -76,6 +68,7 @@ def _frame_statistics(parts: DataFrame, shift: int) -> DataFrame:
     group = "PARTITION BY Store, _split, _key"
     running = f"OVER ({group} ORDER BY _day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     whole = f"OVER ({group} ORDER BY _day ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    ordered = frame_order(list(HORIZONS), max(HORIZONS.values()) + shift, MIN_PERIODS)
     nonzero = "nullif(_value, 0)"
     # Deviations from a whole number near the mean keep the running squares small.
     deviation = "(_value - _centre)"
@@ -97,8 +90,14 @@ def _frame_statistics(parts: DataFrame, shift: int) -> DataFrame:
         "*",
         *[f"{total_until(shift + days)} AS _low_{h}" for h, days in HORIZONS.items()],
         f"{total_until(shift) if shift else '_total'} AS _high",
-        # The group's values in day order, collected once per group.
-        f"collect_list(_value) {whole} AS _values",
+    )
+
+    def count(total: str) -> Column:
+        return F.coalesce(F.col(f"{total}.n"), F.lit(0))
+
+    # Rows leave the windows group by group in day order, as the index reads them.
+    edges = edges.withColumn(
+        "_order", ordered("_value", count("_total"), count("_high"), *[count(f"_low_{h}") for h in HORIZONS])
     )
 
     def in_frame(field: str, h: str) -> str:
@@ -106,22 +105,17 @@ def _frame_statistics(parts: DataFrame, shift: int) -> DataFrame:
 
     frames = edges.selectExpr(
         *parts.columns,
+        "_order",
         *[in_frame(f, h) for f in ("n", "sum", "dev", "dev2", "inverse", "nonzero") for h in HORIZONS],
-        *[
-            f"sort_array(slice(_values, coalesce(_low_{h}.n, 0) + 1, coalesce(_high.n, 0) - coalesce(_low_{h}.n, 0)))"
-            f" AS _sorted_{h}"
-            for h in HORIZONS
-        ],
     )
     moments = []
     for h in HORIZONS:
-        constant = f"get(_sorted_{h}, 0) = get(_sorted_{h}, _n_{h} - 1)"
+        constant = f"_order.{h}_least = _order.{h}_most"
         variance = f"greatest(try_divide(_dev2_{h} - try_divide(_dev_{h} * _dev_{h}, _n_{h}), _n_{h} - 1), 0D)"
         for name, value in (
             # A constant frame takes its value as it is, free of what the running totals round off.
-            ("mean", f"CASE WHEN {constant} THEN get(_sorted_{h}, 0) ELSE try_divide(_sum_{h}, _n_{h}) END"),
+            ("mean", f"CASE WHEN {constant} THEN _order.{h}_least ELSE try_divide(_sum_{h}, _n_{h}) END"),
             ("std", f"CASE WHEN {constant} THEN 0D ELSE sqrt({variance}) END"),
-            ("median", _percentile(f"_sorted_{h}", 0.5)),
         ):
             moments.append(f"CASE WHEN _n_{h} >= {MIN_PERIODS} THEN {value} END AS _{name}_{h}")
     named = [f"'{h}_{stat}', {text}" for h in HORIZONS for stat, text in _statistics(h).items()]
