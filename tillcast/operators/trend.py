@@ -1,15 +1,15 @@
 """Monthly trend features: growth against last year and ridge trends in closed form.
 
-Every store-month looks back from its first day present, ``s``.  A history row reaches
-only the months whose ranges contain it: the store's month starts travel with the row as
-a short array, and an array filter keeps the exact matches.  Sums per (store, month)
-follow in the same partition, so the month-to-history match costs no join and no shuffle
-beyond the one by store.
+Every store-month looks back from its first day present, ``s``.  Each row carries the running
+moments of its store's positive sales (counts, sums, products); the history of a month is the
+difference of two such running totals, read ``k`` days before ``s`` by RANGE windows.  So a row
+costs a constant, no history row is copied, and everything happens in the partition that holds the
+store: no join and no shuffle beyond the one by store.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import epoch_day
@@ -18,7 +18,7 @@ from tillcast.session import by_store
 
 GAP = 30                      # days between the history and the month
 RIDGE_DAYS = {"q": 90, "y": 365}
-YOY_FROM, YOY_TO = 60 + 365, 30 + 365
+YOY_DAYS, YEAR = 30, 365
 MIN_HISTORY = 10
 ALPHA = 1.0
 REGRESSORS = ("day", "dow", "promo")
@@ -28,75 +28,113 @@ TREND_COLUMNS = (
 )
 
 _PAIRS = [(a, b) for i, a in enumerate(REGRESSORS) for b in REGRESSORS[i:]]
+# What is added up: of all positive sales, and of those whose regressors are known.
+_ALL = {"all_n": "1", "all_y": "_y"}
+_USABLE = (
+    {"n": "1", "y": "_y"}
+    | {a: f"_x_{a}" for a in REGRESSORS}
+    | {f"{a}_{b}": f"_x_{a} * _x_{b}" for a, b in _PAIRS}
+    | {f"{a}_y": f"_x_{a} * _y" for a in REGRESSORS}
+)
+_STORE = "PARTITION BY Store"
+_UP_TO_NOW = f"OVER ({_STORE} ORDER BY _day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
 
+def _with_moments(df: DataFrame) -> DataFrame:
+    """``_opens_month`` on a store's first row of a month, and ``_moments``, the running sums up to each row.
 
-def _with_month_start(df: DataFrame) -> DataFrame:
-    """``_month_start``: the store's first day present in the row's month."""
-    by_day = Window.partitionBy("Store").orderBy("_day")
-    month = F.trunc("Date", "MM")
-    opens_month = ~month.eqNullSafe(F.lag(month).over(by_day))
-    return df.withColumn("_opens_month", opens_month).withColumn(
-        "_month_start",
-        F.last(F.when(F.col("_opens_month"), F.col("_day")), ignorenulls=True).over(
-            by_day.rowsBetween(Window.unboundedPreceding, 0)
-        ),
+    Days count from the store's first, sales from a whole number near their mean: small summands keep the
+    differences of totals exact or nearly so.
+    """
+    month = "trunc(Date, 'MM')"
+    rows = df.selectExpr(
+        "*",
+        f"NOT ({month} <=> lag({month}) OVER ({_STORE} ORDER BY _day)) AS _opens_month",
+        f"_day - first(_day) {_UP_TO_NOW} AS _age",
+        f"coalesce(round(avg(CASE WHEN Sales > 0 THEN Sales END) OVER ({_STORE} ORDER BY _day "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)), 0D) AS _centre",
+    ).selectExpr(
+        "*",
+        "CASE WHEN Sales > 0 THEN Sales - _centre END AS _y",
+        "double(_age) AS _x_day",
+        "double(DayOfWeek) AS _x_dow",
+        "double(Promo) AS _x_promo",
     )
+    usable = "_y IS NOT NULL AND _x_dow IS NOT NULL AND _x_promo IS NOT NULL"
 
+    def totals(rule: str, named: dict[str, str]) -> str:
+        sums = [f"'{name}', sum(CASE WHEN {rule} THEN double({text}) END) {_UP_TO_NOW}" for name, text in named.items()]
+        return f"named_struct({', '.join(sums)})"
 
-def _history(df: DataFrame) -> DataFrame:
-    """Rows with positive sales, once per month whose look-back ranges contain them."""
-    starts = F.collect_list(F.when(F.col("_opens_month"), F.col("_day"))).over(Window.partitionBy("Store"))
-
-    def contains(start: Column) -> Column:
-        return (start > F.col("_reaches_after")) & (start <= F.col("_reaches_to"))
-
-    return (
-        df.select("Store", "_day", "Sales", "DayOfWeek", "Promo", "_opens_month")
-        .withColumn("_starts", starts)
-        .where("Sales > 0")
-        .withColumns({"_reaches_after": F.col("_day") + GAP, "_reaches_to": F.col("_day") + YOY_FROM})
-        .select(
-            "Store",
-            F.explode(F.filter("_starts", contains)).alias("_month_start"),
-            "_day",
-            F.col("Sales").alias("y"),
-            F.col("DayOfWeek").cast("double").alias("dow"),
-            F.col("Promo").cast("double").alias("promo"),
-        )
-        .withColumn("ago", F.col("_month_start") - F.col("_day"))
-        .withColumn("day", (-F.col("ago")).cast("double"))
+    return rows.selectExpr("*", f"{totals('_y IS NOT NULL', _ALL)} AS _all", f"{totals(usable, _USABLE)} AS _usable")
+
+
+def _edges() -> dict[str, set[int]]:
+    """Days before a month's start at which ranges begin or end, for each kind of total: one there holds all earlier days."""
+    return {
+        "_all": {GAP, GAP + YOY_DAYS, GAP + YEAR, GAP + YEAR + YOY_DAYS},
+        "_usable": {GAP, *(GAP + days for days in RIDGE_DAYS.values())},
+    }
+
+
+def _with_edges(df: DataFrame) -> DataFrame:
+    """On rows that open a month, the totals at the edges of its ranges; null elsewhere."""
+    return df.selectExpr(
+        "*",
+        *[
+            f"CASE WHEN _opens_month THEN last({kind}) OVER ({_STORE} ORDER BY _day "
+            f"RANGE BETWEEN UNBOUNDED PRECEDING AND {days + 1} PRECEDING) END AS {kind}_{days}"
+            for kind, edges in _edges().items()
+            for days in sorted(edges)
+        ],
     )
 
 
-def _sums(days: int, tf: str) -> list[str]:
-    """Sufficient statistics of the ridge fit over ``[s - days - 30, s - 30)``."""
-    usable = f"(ago <= {days + GAP} AND dow IS NOT NULL AND promo IS NOT NULL)"
-    products = {"y": "y"} | {a: a for a in REGRESSORS}
-    products |= {f"{a}_{b}": f"{a} * {b}" for a, b in _PAIRS} | {f"{a}_y": f"{a} * y" for a in REGRESSORS}
-    totals = [f"sum({value}) FILTER (WHERE {usable}) AS {tf}_{name}" for name, value in products.items()]
-    return [f"double(count_if({usable})) AS {tf}_n", *totals]
+def _between(kind: str, low: int, high: int, field: str) -> str:
+    return f"(coalesce({kind}_{high}.{field}, 0D) - coalesce({kind}_{low}.{field}, 0D))"
+
+
+def _growth() -> str:
+    """Mean of the last 30 days of history over that of the same days a year before, less one."""
+
+    def mean(low: int, high: int) -> str:
+        return f"(_centre + try_divide({_between('_all', low, high, 'all_y')}, {_between('_all', low, high, 'all_n')}))"
+
+    # Only positive sales count, so a year-before mean is positive wherever it exists.
+    return f"{mean(GAP + YOY_DAYS, GAP)} / {mean(GAP + YEAR + YOY_DAYS, GAP + YEAR)} - 1"
+
 
+def _let(steps: list[dict[str, str]], result: str, first: int = 0) -> str:
+    """``result`` after named steps, each a struct that later ones read as ``v0``, ``v1``, ... from ``first`` on.
+
+    Columns made in steps would be computed for every row; inside one expression they are computed
+    only where the row asks for them.
+    """
+    for i, step in reversed(list(enumerate(steps, first))):
+        fields = ", ".join(f"'{name}', {text}" for name, text in step.items())
+        result = f"element_at(transform(array(named_struct({fields})), v{i} -> {result}), 1)"
+    return result
 
-def _solve(sums: DataFrame, tf: str) -> DataFrame:
-    """Coefficients of standardised ridge (alpha 1, free intercept) from the sums.
+
+def _ridge(tf: str) -> str:
+    """Struct of the coefficients of standardised ridge (alpha 1, free intercept), null for a short history.
 
     With population deviations s_i (1 for a constant regressor) and correlations R, the
     normal equations are (n R + alpha I) w = n c / s; the 3 x 3 system is solved by its
-    adjugate.  ``<tf>_b0 + <tf>_b_i x_i`` is the fitted line in raw units.
+    adjugate.  ``b0 + b_i x_i`` is the fitted line in raw units.
     """
-    n = f"{tf}_n"
-
-    def col(name: str) -> str:
-        return f"{tf}_{name}"
+    steps: list[dict[str, str]] = []
+    place: dict[str, int] = {}
 
-    def cov(a: str, b: str) -> str:
-        return f"({n} * {col(f'{a}_{b}')} - {col(a)} * {col(b)}) / ({n} * {n})"
+    def step(fields: dict[str, str]) -> None:
+        place.update({name: len(steps) for name in fields})
+        steps.append(fields)
 
-    def when_enough(value: str, name: str) -> str:
-        return f"CASE WHEN {n} >= {MIN_HISTORY} THEN {value} END AS {col(name)}"
+    def v(name: str) -> str:
+        return f"v{place[name]}.{name}"
 
     def symmetric(kind: str, a: str, b: str) -> str:
-        return col(f"{kind}_{a}_{b}" if (a, b) in _PAIRS else f"{kind}_{b}_{a}")
+        return v(f"{kind}_{a}_{b}" if (a, b) in _PAIRS else f"{kind}_{b}_{a}")
 
     def cofactor(a: str, b: str) -> str:
         """Signed minor of the symmetric 3 x 3 matrix, by cyclic index shifts."""
@@ -107,61 +145,50 @@ def _solve(sums: DataFrame, tf: str) -> DataFrame:
             f"{symmetric('g', r1, c1)} * {symmetric('g', r2, c2)} - {symmetric('g', r1, c2)} * {symmetric('g', r2, c1)}"
         )
 
-    def dot(kind: str, a: str, right: str) -> str:
-        return " + ".join(f"{symmetric(kind, a, b)} * {right.format(b=b)}" for b in REGRESSORS)
+    def dot(kind: str, a: str, right: dict[str, str]) -> str:
+        return " + ".join(f"{symmetric(kind, a, b)} * {right[b]}" for b in REGRESSORS)
 
     first = REGRESSORS[0]
-    steps = [
-        [when_enough(f"{col(a)} / {n}", f"mean_{a}") for a in ("y", *REGRESSORS)]
-        + [when_enough(cov(a, b), f"cov_{a}_{b}") for a, b in _PAIRS]
-        + [when_enough(cov(a, "y"), f"cov_{a}_y") for a in REGRESSORS],
-        [
-            f"CASE WHEN {col(f'cov_{a}_{a}')} > 0 THEN sqrt({col(f'cov_{a}_{a}')}) ELSE 1D END AS {col(f'scale_{a}')}"
-            for a in REGRESSORS
-        ],
-        [
-            f"{n} * {col(f'cov_{a}_{b}')} / ({col(f'scale_{a}')} * {col(f'scale_{b}')})"
-            f"{f' + {ALPHA}D' if a == b else ''} AS {col(f'g_{a}_{b}')}"
+    step({name: _between("_usable", GAP + RIDGE_DAYS[tf], GAP, name) for name in _USABLE})
+    n = v("n")
+
+    def cov(product: str, a: str, b: str) -> str:
+        return f"({n} * {v(product)} - {v(a)} * {v(b)}) / ({n} * {n})"
+
+    step(
+        {f"mean_{a}": f"{v(a)} / {n}" for a in ("y", *REGRESSORS)}
+        | {f"cov_{a}_{b}": cov(f"{a}_{b}", a, b) for a, b in _PAIRS}
+        | {f"cov_{a}_y": cov(f"{a}_y", a, "y") for a in REGRESSORS}
+    )
+    squares = {a: v(f"cov_{a}_{a}") for a in REGRESSORS}
+    step({f"scale_{a}": f"CASE WHEN {s} > 0 THEN sqrt({s}) ELSE 1D END" for a, s in squares.items()})
+    step(
+        {
+            f"g_{a}_{b}": f"{n} * {v(f'cov_{a}_{b}')} / ({v(f'scale_{a}')} * {v(f'scale_{b}')})"
+            + (f" + {ALPHA}D" if a == b else "")
             for a, b in _PAIRS
-        ]
-        + [f"{n} * {col(f'cov_{a}_y')} / {col(f'scale_{a}')} AS {col(f'r_{a}')}" for a in REGRESSORS],
-        [f"{cofactor(a, b)} AS {col(f'k_{a}_{b}')}" for a, b in _PAIRS],
-        [f"{dot('g', first, col(f'k_{first}_' + '{b}'))} AS {col('det')}"],
-        [f"try_divide({dot('k', a, col('r_{b}'))}, {col('det')}) AS {col(f'w_{a}')}" for a in REGRESSORS],
-        [f"{col(f'w_{a}')} / {col(f'scale_{a}')} AS {col(f'b_{a}')}" for a in REGRESSORS],
-        [
-            f"{col('mean_y')} - ("
-            + " + ".join(f"{col(f'b_{a}')} * {col(f'mean_{a}')}" for a in REGRESSORS)
-            + f") AS {col('b0')}"
-        ],
-    ]
-    for step in steps:
-        sums = sums.selectExpr("*", *step)
-    return sums
-
-
-def month_coefficients(df: DataFrame) -> DataFrame:
-    """One row per store-month with any history: growth and ridge coefficients."""
-    year_before = f"avg(y) FILTER (WHERE ago <= {YOY_FROM} AND ago > {YOY_TO})"
-    current = f"avg(y) FILTER (WHERE ago <= 60 AND ago > {GAP})"
-    texts = [s for tf, days in RIDGE_DAYS.items() for s in _sums(days, tf)]
-    # Only positive sales are kept, so a year-before mean is positive wherever it exists.
-    sums = _history(df).groupBy("Store", "_month_start").agg(
-        F.expr(f"{current} / {year_before} - 1").alias("trend_yoy"), *[F.expr(t) for t in texts]
+        }
+        | {f"r_{a}": f"{n} * {v(f'cov_{a}_y')} / {v(f'scale_{a}')}" for a in REGRESSORS}
     )
-    for tf in RIDGE_DAYS:
-        sums = _solve(sums, tf)
-    kept = [f"{tf}_{c}" for tf in RIDGE_DAYS for c in ("b0", *(f"b_{a}" for a in REGRESSORS))]
-    return sums.select(
-        "Store",
-        "_month_start",
-        "trend_yoy",
-        F.col("q_w_day").alias("trend_q_slope"),
-        F.col("y_w_day").alias("trend_y_slope"),
-        F.col("q_w_dow").alias("trend_q_dow_coef"),
-        F.col("q_w_promo").alias("trend_q_promo_coef"),
-        *kept,
+    step({f"k_{a}_{b}": cofactor(a, b) for a, b in _PAIRS})
+    step({"det": dot("g", first, {b: symmetric("k", first, b) for b in REGRESSORS})})
+    right = {b: v(f"r_{b}") for b in REGRESSORS}
+    step({f"w_{a}": f"try_divide({dot('k', a, right)}, {v('det')})" for a in REGRESSORS})
+    step({f"b_{a}": f"{v(f'w_{a}')} / {v(f'scale_{a}')}" for a in REGRESSORS})
+    fitted = " + ".join(f"{v(f'b_{a}')} * {v(f'mean_{a}')}" for a in REGRESSORS)
+    found = [f"'{c}_{a}', {v(f'{c}_{a}')}" for c in ("w", "b") for a in REGRESSORS]
+    result = f"named_struct('b0', {v('mean_y')} - ({fitted}), {', '.join(found)})"
+    return _let(steps[:1], f"CASE WHEN {n} >= {MIN_HISTORY} THEN {_let(steps[1:], result, 1)} END")
+
+
+def _coefficients(df: DataFrame) -> DataFrame:
+    """``_month`` on every row: growth and both ridge fits of the row's month."""
+    fits = ", ".join(f"'{tf}', {_ridge(tf)}" for tf in RIDGE_DAYS)
+    opened = _with_edges(df).selectExpr(
+        *[c for c in df.columns if c not in ("_all", "_usable")],
+        f"CASE WHEN _opens_month THEN named_struct('yoy', {_growth()}, {fits}) END AS _month",
     )
+    return opened.withColumn("_month", F.expr(f"last(_month, true) {_UP_TO_NOW}"))
 
 
 def trend_blocks(placed: DataFrame, origin: Column) -> DataFrame:
@@ -175,17 +202,22 @@ def trend_blocks(placed: DataFrame, origin: Column) -> DataFrame:
         "Promo",
         F.struct(*placed.columns).alias("_row"),
     )
-    dated = _with_month_start(narrow)
-    joined = dated.join(month_coefficients(dated), ["Store", "_month_start"], "left")
+    months = _coefficients(_with_moments(narrow))
 
     def fitted(tf: str) -> str:
-        return (
-            f"{tf}_b0 + {tf}_b_day * (_day - _month_start) + {tf}_b_dow * DayOfWeek + {tf}_b_promo * Promo"
-            f" AS trend_{tf}_pred"
-        )
-
+        line = " + ".join(f"_month.{tf}.b_{a} * _x_{a}" for a in REGRESSORS)
+        return f"_centre + _month.{tf}.b0 + {line} AS trend_{tf}_pred"
+
+    read = {
+        "trend_yoy": "yoy",
+        "trend_q_slope": "q.w_day",
+        "trend_y_slope": "y.w_day",
+        "trend_q_dow_coef": "q.w_dow",
+        "trend_q_promo_coef": "q.w_promo",
+    }
     kept = [F.col(f"_row.{c}").alias(c) for c in placed.columns if c != "day_number"]
-    return joined.selectExpr("*", *[fitted(tf) for tf in RIDGE_DAYS]).select(
+    named = [f"_month.{path} AS {name}" for name, path in read.items()]
+    return months.selectExpr("*", *[fitted(tf) for tf in RIDGE_DAYS], *named).select(
         *kept,
         F.datediff(F.col("Date"), origin).cast("double").alias("day_number"),
         *TREND_COLUMNS,
