@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterable, Iterator
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.functions.scalars import months_between_opening, promo_age
+from tillcast.operators.bootstrap import mean_intervals
 from tillcast.operators.ranks import exact_median
 from tillcast.session import stored
 
 UNKNOWN = "Unknown"
+#: Deviations below this share of a column's squares are rounding.
+NO_SPREAD = 1e-12
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -83,12 +86,25 @@ def table_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def mean_by(df: DataFrame, value: str, keys: list[str], error: bool = True) -> DataFrame:
-    """Mean of a value per key combination; ``error`` adds the analytic standard error."""
+def mean_by(
+    df: DataFrame, value: str, keys: list[str], error: bool = True, identity: tuple[str, ...] = ("Store", "Date")
+) -> DataFrame:
+    """Mean of a value per key combination; ``error`` adds the analytic standard error and a bootstrap interval.
+
+    ``identity`` names the columns that tell rows apart.
+    """
     aggregates = [F.avg(value).alias(f"mean_{value}"), F.count(value).alias("n")]
-    if error:
-        aggregates.append((F.stddev_samp(value) / F.sqrt(F.count(value))).alias(f"se_{value}"))
-    return df.groupBy(*keys).agg(*aggregates)
+    if not error:
+        return df.groupBy(*keys).agg(*aggregates)
+    aggregates.append((F.stddev_samp(value) / F.sqrt(F.count(value))).alias(f"se_{value}"))
+    # Read once for the means and once for the replicates.
+    rows = stored(df.select(*keys, *[c for c in identity if c not in keys], value), "means")
+    means = rows.groupBy(*keys).agg(*aggregates)
+    intervals = mean_intervals(rows, value, keys, list(identity))
+    same = [means[k].eqNullSafe(intervals[k]) for k in keys]
+    return means.join(intervals, same, "left").select(
+        *[means[c] for c in means.columns], intervals.ci_low, intervals.ci_high
+    )
 
 
 def zero_filled(df: DataFrame) -> DataFrame:
@@ -114,39 +130,49 @@ def opening_times(df: DataFrame) -> DataFrame:
     )
 
 
-def _pairwise(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Correlations of pairs where a value may be absent, over the rows that have both."""
+def _moment_tiles(df: DataFrame, n_columns: int) -> DataFrame:
+    """``(first, second, n, x, y, xx, yy, xy)``: sums over the rows that have both columns, one tile of pairs per task, added up."""
+    names = ["n", "x", "y", "xx", "yy", "xy"]
 
-    def r(a: str, b: str) -> Column:
-        return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
+    def tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(names), n_columns, n_columns))
+        for batch in batches:
+            raw = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            known = ~np.isnan(raw)
+            value, there = np.where(known, raw, 0.0), known.astype(float)
+            square = value * value
+            total += np.stack(
+                [there.T @ there, value.T @ there, there.T @ value, square.T @ there, there.T @ square, value.T @ value]
+            )
+        first, second = np.tril_indices(n_columns, -1)
+        columns = [pa.array(first, pa.int32()), pa.array(second, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns + [pa.array(t[first, second]) for t in total], ["first", "second", *names])
 
-    rows = [F.struct(F.lit(a).alias("column_1"), F.lit(b).alias("column_2"), r(a, b).alias("r")) for a, b in pairs]
-    return df.agg(F.array(*rows).alias("_pairs")).select(F.inline("_pairs"))
+    sums = df.mapInArrow(tiles, "first int, second int, " + ", ".join(f"{name} double" for name in names))
+    return sums.groupBy("first", "second").agg(*[F.sum(name).alias(name) for name in names])
 
 
 def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Strict lower triangle of the Pearson matrix, ``(column_1, column_2, r)``.
 
-    Columns without absent values go through MLlib's distributed Gram matrix, the rest pair
-    by pair.  A constant column gives null.  What reaches the driver is the matrix itself,
-    columns by columns.
+    Values are taken less their column's mean, so that sums of products lose nothing far from zero;
+    each task adds up the moments of all pairs of columns, over the rows that have both values.  A pair
+    with a column that doesn't vary gives null.
     """
     columns = columns or [c for c in numeric_columns(df) if c != "Open"]
-    # Written once, so that profile, matrix and pairs don't build the rows again.
-    doubles = stored(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "correlations")
-    profile = doubles.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    complete = [c for c in columns if profile[c] == 0]
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    found = []
-    if len(complete) > 1:
-        vectors = VectorAssembler(inputCols=complete, outputCol="_v").transform(doubles).select("_v")
-        matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
-        at = {c: i for i, c in enumerate(complete)}
-        for a, b in pairs:
-            if a in at and b in at:
-                value = float(matrix[at[a], at[b]])
-                found.append((a, b, None if math.isnan(value) else value))
-    done = {(a, b) for a, b, _ in found}
-    out = df.sparkSession.createDataFrame(found, "column_1 string, column_2 string, r double")
-    rest = [p for p in pairs if p not in done]
-    return out.unionByName(_pairwise(doubles, rest)) if rest else out
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    means = doubles.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
+    centred = doubles.select(*[(F.col(c) - means.getField(c)).alias(c) for c in columns])
+    names = F.array(*[F.lit(c) for c in columns])
+
+    def spread(square: str, total: str) -> Column:
+        """n times the sum of squared deviations; null where nothing but rounding is left."""
+        rest = F.col("n") * F.col(square) - F.col(total) * F.col(total)
+        return F.when(rest > NO_SPREAD * F.col("n") * F.col(square), rest)
+
+    r = (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.sqrt(spread("xx", "x") * spread("yy", "y"))
+    return _moment_tiles(centred, len(columns)).select(
+        F.element_at(names, F.col("first") + 1).alias("column_1"),
+        F.element_at(names, F.col("second") + 1).alias("column_2"),
+        r.alias("r"),
+    )

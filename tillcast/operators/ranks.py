@@ -1,70 +1,72 @@
-"""Exact order statistics without ever sorting a whole column in one task.
+"""Exact order statistics without ever sorting a whole column in one task, each in one plan.
 
-Values are cut into buckets at approximate quantiles.  Counts per bucket (a tiny,
-map-side combined aggregate) give every bucket's offset, so ranks inside a bucket become
-global ranks.  Equal values are merged into one counted row before any sort, so a value
-that fills a third of the rows costs one row.
+A mergeable quantile summary (Spark's ``percentile_approx``, whose rank error is bounded) brackets what is
+wanted.  Rows outside the brackets fold into a few counts in the task that reads them; only the distinct values inside are
+sorted.  No job runs before the caller's action.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.session import cut_lineage, shuffle_width, stored
+from tillcast.session import shuffle_width
 
-def _bucketed(df: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
-    """Add ``_bucket``, increasing with ``value``.
-
-    There are four buckets for each shuffle partition unless ``buckets`` says otherwise, so
-    their number follows the width that the session was given for its data.
-    """
-    buckets = buckets or max(2, 4 * shuffle_width(df.sparkSession))
-    cuts = df.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.25 / buckets)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) == 2:  # no values at all
-        splits.insert(1, 0.0)
-    return Bucketizer(splits=splits, inputCol=value, outputCol="_bucket").transform(df)
+#: One over the largest error of a summary's ranks, as a share of the rows.
+ACCURACY = 10_000
 
 
 def ecdf(df: DataFrame, column: str) -> DataFrame:
-    """``(x, y)``: the share of non-null values that are at most ``x``, one row per distinct value."""
-    counts = cut_lineage(
-        df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("x")).count()
-    )
-    placed = _bucketed(counts, "x")
-    in_order = Window.orderBy("_bucket")  # one row per bucket
-    offsets = (
-        placed.groupBy("_bucket")
-        .agg(F.sum("count").alias("_in_bucket"))
-        .select(
-            "_bucket",
-            (F.sum("_in_bucket").over(in_order) - F.col("_in_bucket")).alias("_before"),
-            F.sum("_in_bucket").over(Window.partitionBy()).alias("_total"),
-        )
-    )
-    running = F.sum("count").over(Window.partitionBy("_bucket").orderBy("x"))
-    return placed.join(offsets, "_bucket").select(
-        "x", ((F.col("_before") + running) / F.col("_total")).alias("y")
-    )
-
-
-def exact_quantiles(df: DataFrame, column: str, fractions: dict[str, float], by: list[str]) -> DataFrame:
-    """Interpolated quantiles of a column per group, one output column per named fraction.
+    """``(x, y)``: the share of non-null values that are at most ``x``, one row per distinct value.
 
-    Only the buckets that hold a wanted rank are read again and sorted.
+    Distinct values are cut into ranges by a summary of them, four for each shuffle partition; the
+    ranges' sizes, a small aggregate, shift the running counts inside a range.
     """
-    rows = _bucketed(
-        df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_value")), "_value"
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("x")).count()
+    ranges = max(2, 4 * shuffle_width(df.sparkSession))
+    inner = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    # Both columns of the counts, so that the rows counted for the cuts are those read below.
+    summary = F.struct(F.percentile_approx("x", inner, ACCURACY).alias("cuts"), F.sum("count").alias("total"))
+    told = counts.withColumn("_told", counts.agg(summary).scalar())
+    placed = told.withColumn("_range", F.size(F.filter("_told.cuts", lambda c: c < F.col("x"))))
+    in_order = Window.orderBy("_range")  # one row per range
+    offsets = (
+        placed.groupBy("_range")
+        .agg(F.sum("count").alias("_inside"))
+        .select("_range", (F.sum("_inside").over(in_order) - F.col("_inside")).alias("_before"))
+    )
+    running = F.sum("count").over(Window.partitionBy("_range").orderBy("x"))
+    share = (F.col("_before") + running) / F.col("_told.total")
+    return placed.join(offsets, "_range").select("x", share.alias("y"))
+
+
+def _summaries(rows: DataFrame, fractions: dict[str, float], by: list[str], also: list[Column]) -> DataFrame:
+    """Per group the count ``_n``, further aggregates, and ``_brackets``: values around each wanted rank."""
+    slack = 3 / ACCURACY
+    places = [min(max(f + d, 0.0), 1.0) for f in fractions.values() for d in (-slack, slack)]
+    cuts = F.percentile_approx("_value", F.array(*[F.lit(p) for p in places]), ACCURACY)
+    brackets = F.array(
+        *[
+            F.struct(F.get("_cuts", F.lit(2 * i)).alias("low"), F.get("_cuts", F.lit(2 * i + 1)).alias("high"))
+            for i in range(len(fractions))
+        ]
     )
-    per_group = Window.partitionBy(*by)
-    sizes = rows.groupBy(*by, "_bucket").count().withColumns(
-        {
-            "_n": F.sum("count").over(per_group),
-            "_before": F.sum("count").over(per_group.orderBy("_bucket")) - F.col("count"),
-        }
+    return rows.groupBy(*by).agg(F.count("_value").alias("_n"), cuts.alias("_cuts"), *also).withColumn("_brackets", brackets)
+
+
+def _picked(rows: DataFrame, summaries: DataFrame, fractions: dict[str, float], by: list[str]) -> DataFrame:
+    """Interpolated quantiles of each group, one output column per named fraction."""
+    value = F.col("_value")
+    narrow = summaries.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_n", "_brackets")
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    joined = rows.where(value.isNotNull()).join(narrow, same)
+    inside = F.exists("_brackets", lambda b: (b["low"] <= value) & (value <= b["high"]))
+    gap = F.size(F.filter("_brackets", lambda b: b["high"] < value))
+    merged = joined.groupBy(*by, "_n", gap.alias("_gap"), F.when(inside, value).alias("_kept")).agg(
+        F.count(F.lit(1)).alias("_count"), F.min("_value").alias("_least"), F.max("_value").alias("_most")
     )
+    running = F.sum("_count").over(Window.partitionBy(*by).orderBy("_least"))
+    ranked = merged.withColumn("_start", running - F.col("_count"))
 
     def lower(fraction: float) -> Column:
         return F.floor((F.col("_n") - 1) * F.lit(fraction))
@@ -72,21 +74,17 @@ def exact_quantiles(df: DataFrame, column: str, fractions: dict[str, float], by:
     def upper(fraction: float) -> Column:
         return F.least(lower(fraction) + 1, F.col("_n") - 1)
 
-    def holds(rank: Column, start: Column, count: Column) -> Column:
-        return (rank >= start) & (rank < start + count)
-
-    wanted = F.lit(False)
-    for fraction in fractions.values():
-        for rank in (lower(fraction), upper(fraction)):
-            wanted = wanted | holds(rank, F.col("_before"), F.col("count"))
-    targets = sizes.where(wanted).select(*by, "_bucket", "_n", "_before")
-
-    values = rows.join(targets, [*by, "_bucket"]).groupBy(*by, "_bucket", "_n", "_before", "_value").count()
-    running = F.sum("count").over(Window.partitionBy(*by, "_bucket").orderBy("_value"))
-    ranked = values.withColumn("_start", F.col("_before") + running - F.col("count"))
-
     def at(rank: Column) -> Column:
-        return F.max(F.when(holds(rank, F.col("_start"), F.col("count")), F.col("_value")))
+        """The value of a rank: known where the row is one value, or at either end of what was folded."""
+        place = rank - F.col("_start")
+        held = (place >= 0) & (place < F.col("_count"))
+        missed = F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")
+        known = (
+            F.when(place == 0, F.col("_least"))
+            .when((place == F.col("_count") - 1) | (F.col("_least") == F.col("_most")), F.col("_most"))
+            .otherwise(missed)
+        )
+        return F.max(F.when(held, known))
 
     picked = ranked.groupBy(*by).agg(
         F.max("_n").alias("_n"),
@@ -101,21 +99,29 @@ def exact_quantiles(df: DataFrame, column: str, fractions: dict[str, float], by:
     return picked.select(*by, *[interpolated(name, f).alias(name) for name, f in fractions.items()])
 
 
+def exact_quantiles(df: DataFrame, column: str, fractions: dict[str, float], by: list[str]) -> DataFrame:
+    """Interpolated quantiles of a column per group with a value, one output column per named fraction."""
+    rows = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_value"))
+    return _picked(rows, _summaries(rows, fractions, by, []), fractions, by)
+
+
 def describe(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     """Count, mean, standard deviation, extremes and quartiles of a column, overall or per group."""
     label = by or "scope"
     grouped = df if by else df.withColumn(label, F.lit("all"))
-    # Three passes over one narrow column: cut points, bucket sizes with the summary, chosen buckets.
-    grouped = stored(grouped.select(label, F.col(column).cast("double").alias("_x")), "describe")
-    summary = grouped.groupBy(label).agg(
-        F.count("_x").alias("count"),
-        F.avg("_x").alias("mean"),
-        F.stddev_samp("_x").alias("std"),
-        F.min("_x").alias("min"),
-        F.max("_x").alias("max"),
-    )
-    quartiles = exact_quantiles(grouped, "_x", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, [label])
-    return summary.join(quartiles, label, "left")
+    rows = grouped.select(label, F.col(column).cast("double").alias("_value"))
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    measures = [
+        F.avg("_value").alias("mean"),
+        F.stddev_samp("_value").alias("std"),
+        F.min("_value").alias("min"),
+        F.max("_value").alias("max"),
+    ]
+    summaries = _summaries(rows, quartiles, [label], measures)
+    picked = _picked(rows, summaries, quartiles, [label]).withColumnRenamed(label, "_label")
+    names = ["mean", "std", "min", "max"]
+    joined = summaries.join(picked, F.col(label).eqNullSafe(F.col("_label")), "left")
+    return joined.select(label, F.col("_n").alias("count"), *names, *quartiles)
 
 
 def exact_median(df: DataFrame, column: str) -> Column:
