@@ -6,6 +6,8 @@ range joins, covariances) and share no formula with the Spark code.
 
 from __future__ import annotations
 
+import math
+
 PANEL = """
 lines AS (
   SELECT l_suppkey AS Store, CAST(l_shipdate AS DATE) AS Date, l_orderkey,
@@ -337,6 +339,88 @@ SELECT {by} AS {label}, count(Sales) AS count, round(avg(Sales), 4) AS mean, rou
   quantile_cont(Sales, 0.75) AS p75 FROM explored GROUP BY 1"""
 
 
+# ---------------------------------------------------------------- forests
+
+_FOREST_FEATURES = [
+    "DayOfWeek", "Promo", "SchoolHoliday", "month", "day_of_month", "days_into_summer",
+    "recent_q_all_mean", "recent_q_all_p90", "recent_h_all_mean", "recent_y_all_median",
+]
+
+
+def _forest(days: str, learns: str, asked: str, result: str) -> str:
+    """Trees drawn by rule, walked row by row, leaves averaged, forecasts per member.
+
+    ``days`` names the rows with their sales, ``learns`` and ``asked`` choose rows of ``feats``.
+    """
+    frames = {"q": 90, "h": 180, "y": 365}
+    windows = ", ".join(
+        f"w_{h} AS (PARTITION BY Store ORDER BY d RANGE BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for h, n in frames.items()
+    )
+    wanted = {
+        "recent_q_all_mean": ("q", "avg(Sales)"), "recent_q_all_p90": ("q", "quantile_cont(Sales, 0.9)"),
+        "recent_h_all_mean": ("h", "avg(Sales)"), "recent_y_all_median": ("y", "quantile_cont(Sales, 0.5)"),
+    }
+    stats = ", ".join(
+        f"CASE WHEN count(Sales) OVER w_{h} >= 2 THEN {f} OVER w_{h} END AS {name}" for name, (h, f) in wanted.items()
+    )
+    filled = ", ".join(f"coalesce(round(CAST({c} AS DOUBLE), 4), -999)" for c in _FOREST_FEATURES)
+    n = len(_FOREST_FEATURES)
+    places = ", ".join(str(i) for i, c in enumerate(_FOREST_FEATURES) if not c.startswith("recent_q_"))
+    return f"""
+, lagged AS (SELECT Store, d + 30 AS d, {stats} FROM {days} WINDOW {windows}),
+feats AS (
+  SELECT p.*, [{filled}] AS x
+  FROM (SELECT *, month(Date) AS month, day(Date) AS day_of_month,
+          CASE WHEN month(Date) >= 6 THEN Date - make_date(year(Date), 6, 1) ELSE 0 END AS days_into_summer FROM {days}) p
+  LEFT JOIN lagged l ON l.Store = p.Store AND l.d = p.d),
+known AS (SELECT *, CAST(round(ln(1 + Sales) / CAST(1e-8 AS DOUBLE)) AS BIGINT) AS label FROM feats WHERE {learns}),
+asked AS (SELECT * FROM feats WHERE {asked}),
+bounds AS (SELECT f, min(x[f + 1]) AS low, max(x[f + 1]) AS high FROM known CROSS JOIN range({n}) r(f) GROUP BY f),
+members AS (SELECT 0 AS m, [{', '.join(map(str, range(n)))}] AS fs UNION ALL SELECT 1, [{', '.join(map(str, range(n)))}]
+            UNION ALL SELECT 2, [{places}]),
+drawn AS (SELECT m, t, i, fs[(5 * t + 3 * i + m + t * i) % len(fs) + 1] AS f, (3 * t + 5 * i + m) % 7 + 1 AS eighth
+          FROM members CROSS JOIN range(5) a(t) CROSS JOIN range(7) b(i)),
+nodes AS (SELECT m, t, i, drawn.f, low + (high - low) * eighth / 8 AS cut FROM drawn JOIN bounds ON bounds.f = drawn.f),
+walkers AS (SELECT Store, Date, x, m, t FROM (SELECT * FROM known UNION ALL SELECT *, NULL FROM asked)
+            CROSS JOIN members CROSS JOIN range(5) a(t)),
+walk AS (
+  SELECT Store, Date, m, t, 0 AS depth, CAST(0 AS BIGINT) AS i, x FROM walkers
+  UNION ALL
+  SELECT w.Store, w.Date, w.m, w.t, w.depth + 1, CASE WHEN w.x[n.f + 1] <= n.cut THEN 2 * w.i + 1 ELSE 2 * w.i + 2 END, w.x
+  FROM walk w JOIN nodes n ON n.m = w.m AND n.t = w.t AND n.i = w.i WHERE w.depth < 3),
+ends AS (SELECT Store, Date, m, t, i FROM walk WHERE depth = 3),
+leaf AS (SELECT m, t, i, CAST(sum(label) AS DOUBLE) / count(*) AS v FROM ends JOIN known USING (Store, Date)
+         WHERE m <> 1 OR month(Date) BETWEEN 5 AND 9 GROUP BY ALL),
+overall AS (SELECT m, t, CAST(sum(label) AS DOUBLE) / count(*) AS v FROM ends JOIN known USING (Store, Date)
+            WHERE m <> 1 OR month(Date) BETWEEN 5 AND 9 GROUP BY ALL),
+single AS (SELECT e.Store, e.Date, e.m, exp(CAST(1e-8 AS DOUBLE) / 5 * sum(coalesce(l.v, o.v))) - 1 AS pred
+           FROM ends e JOIN asked a ON a.Store = e.Store AND a.Date = e.Date
+           LEFT JOIN leaf l ON l.m = e.m AND l.t = e.t AND l.i = e.i
+           JOIN overall o ON o.m = e.m AND o.t = e.t GROUP BY ALL),
+wide AS (SELECT Store, Date, max(pred) FILTER (WHERE m = 0) AS combined, max(pred) FILTER (WHERE m = 1) AS season,
+                max(pred) FILTER (WHERE m = 2) AS month_ahead,
+                CAST(0.985 AS DOUBLE) * 3 / sum(1 / greatest(pred, CAST(1e-6 AS DOUBLE))) AS pred FROM single GROUP BY ALL),
+forecast AS (SELECT asked.*, combined, season, month_ahead, pred FROM asked JOIN wide USING (Store, Date))
+{result}"""
+
+
+def _with_recursive(*parts: str) -> str:
+    return _with(*parts).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_TEXTS = ("StateHoliday", "StoreType", "Assortment", "PromoInterval")
+# What each row's features come from.
+_FEATURE_STATEMENTS = (
+    "recent_all", "recent_dow", "recent_promo", "recent_holiday", "recent_dow_promo", "calendar_parts", "summer_days",
+    "promo_cycles", "days_since_events", "days_until_events", "refurb_starts", "days_around_refurb", "competition_days",
+    "holiday_week_counts", "school_week_counts", "trend_yoy", "trend_ridge_q", "trend_ridge_y",
+)
+
+
+def _with_result(statement: str) -> str:
+    return f"WITH result AS ({statement})\n"
+
+
 def _ecdf(column: str) -> str:
     return f"""
 , counts AS (SELECT CAST({column} AS DOUBLE) AS x, count(*) AS c FROM shown WHERE {column} IS NOT NULL GROUP BY 1)
@@ -346,9 +430,28 @@ SELECT round(x, 6) AS x, round(CAST(sum(c) OVER (ORDER BY x) AS DOUBLE) / sum(c)
 _SHOWN = ", shown AS (SELECT *, Sales / nullif(Customers, 0) AS SalePerCustomer FROM panel)"
 
 
+# Poisson(1) steps of the bootstrap's weights.
+_POISSON = [int((2**31 - 1) * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(9)]
+
+
 def _mean(value: str, keys: str, error: bool = True) -> str:
-    se = f", round(stddev_samp({value}) / sqrt(count({value})), 4) AS se_{value}" if error else ""
-    return f"SELECT {keys}, round(avg({value}), 4) AS mean_{value}, count({value}) AS n{se} FROM explored GROUP BY ALL"
+    shown = f"{keys}, round(avg({value}), 4) AS mean_{value}, count({value}) AS n"
+    if not error:
+        return f"SELECT {shown} FROM explored GROUP BY ALL"
+    weight = " + ".join(f"(u >= {step})::INTEGER" for step in _POISSON)
+    return f"""
+, hashed AS (SELECT {keys}, {value} AS x,
+    CAST('0x' || substr(md5(Store || '|' || strftime(Date, '%Y-%m-%d')), 1, 8) AS BIGINT) % 2147483647 AS h
+  FROM explored WHERE {value} IS NOT NULL),
+turns AS (SELECT CAST(r AS BIGINT) AS r, r * 48271 % 2147483647 AS a, r * 69621 % 2147483647 AS b FROM range(1, 1001) t(r)),
+mixed AS (SELECT * EXCLUDE (h, a, b), (h * a + b) % 2147483647 AS v FROM hashed CROSS JOIN turns),
+drawn AS (SELECT * EXCLUDE (v), v * v % 2147483647 AS u FROM mixed),
+weighed AS (SELECT * EXCLUDE (u), {weight} AS w FROM drawn),
+replicates AS (SELECT {keys}, r, sum(w * x) / sum(w) AS m FROM weighed GROUP BY ALL HAVING sum(w) > 0),
+bounds AS (SELECT {keys}, round(quantile_cont(m, 0.025), 4) AS ci_low, round(quantile_cont(m, 0.975), 4) AS ci_high
+  FROM replicates GROUP BY ALL),
+means AS (SELECT {shown}, round(stddev_samp({value}) / sqrt(count({value})), 4) AS se_{value} FROM explored GROUP BY ALL)
+SELECT means.*, ci_low, ci_high FROM means LEFT JOIN bounds USING ({keys})"""
 
 
 def statements() -> dict[str, str]:
@@ -387,7 +490,48 @@ combined AS (SELECT DISTINCT feature FROM subsets WHERE model_id IN (SELECT mode
     Promo, StateHoliday, SchoolHoliday
   FROM panel WHERE Date >= (SELECT max(Date) - 41 FROM panel))"""
 
+    submission = (
+        _with(PANEL, DAYS)
+        + test_cte
+        + f"""
+, base AS (SELECT Store, d, CASE WHEN Date >= (SELECT max(Date) - 41 FROM panel) THEN NULL ELSE Sales END AS Sales, Date FROM days),
+lagged AS (SELECT Store, Date, {', '.join(
+            f"coalesce(last_value(nullif(Sales, 0) IGNORE NULLS) OVER (PARTITION BY Store ORDER BY d RANGE BETWEEN UNBOUNDED PRECEDING AND {30 + 7 * m} PRECEDING), 0) AS p{m}"
+            for m in range(5))} FROM base)
+SELECT s.Id, CASE WHEN coalesce(s.Open, 1) = 0 THEN 0 ELSE round(CAST(0.985 AS DOUBLE) * 5 / (
+  {' + '.join(f'1 / greatest(p{m}, CAST(1e-6 AS DOUBLE))' for m in range(5))}), 6) END AS Sales
+FROM scoring s JOIN lagged l ON l.Store = s.Store AND l.Date = s.Date"""
+    )
+
+    forest_job = _with_recursive(PANEL, DAYS, BOUNDARY)
+    trainable = "Open = 1 AND Sales > 0 AND Date"
+
+    def holdout_forest(result: str) -> str:
+        edge = "(SELECT e FROM edge)"
+        return forest_job + _forest("days", f"{trainable} < {edge}", f"{trainable} >= {edge}", result)
+
+    first_scored = "(SELECT max(Date) - 41 FROM panel)"
     out = {
+        "forest_holdout": holdout_forest(
+            "SELECT Store, Date, Sales, round(combined, 2) AS combined, round(season, 2) AS season, "
+            "round(month_ahead, 2) AS month_ahead, round(pred, 2) AS pred FROM forecast"
+        ),
+        "forest_scores": holdout_forest(
+            " UNION ALL ".join(
+                f"SELECT '{m}' AS model, round(sqrt(avg(pow((Sales - {m}) / Sales, 2))), 8) AS rmspe FROM forecast"
+                for m in ("combined", "season", "month_ahead", "pred")
+            )
+        ),
+        "forest_submission": forest_job
+        + test_cte
+        + f", unsold AS (SELECT * REPLACE (CASE WHEN Date < {first_scored} THEN Sales END AS Sales) FROM days)"
+        + _forest(
+            "unsold",
+            f"{trainable} < {first_scored}",
+            f"Date >= {first_scored}",
+            "SELECT s.Id, CASE WHEN coalesce(s.Open, 1) = 0 THEN 0 ELSE round(f.pred, 2) END AS Sales "
+            "FROM forecast f JOIN scoring s ON s.Store = f.Store AND s.Date = f.Date",
+        ),
         "panel_daily": _with(PANEL) + "SELECT * FROM panel",
         "csv_train_scan": _with(PANEL) + "SELECT * FROM panel",
         "csv_store_scan": _with(STORES) + "SELECT * FROM stores",
@@ -450,7 +594,15 @@ SELECT Store, Date, {_since('Promo = 1')} AS days_since_promo, {_since('Promo2 =
         + f"""
 SELECT Store, Date, {_until('Promo = 1')} AS days_until_promo,
   {_until('SchoolHoliday = 1')} AS days_until_school_holiday FROM days""",
-        "refurb_starts": _with(PANEL, DAYS, _RUNS) + "SELECT Store, Date, is_refurb_closure FROM flagged",
+        "refurb_starts": _with(PANEL, DAYS)
+        + """
+, closed AS (SELECT Store, Date, d, coalesce(d - lag(d) OVER w > 2, true) AS opens FROM days WHERE Open = 0
+             WINDOW w AS (PARTITION BY Store ORDER BY d)),
+numbered AS (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY Store ORDER BY d ROWS UNBOUNDED PRECEDING) AS run
+             FROM closed),
+sized AS (SELECT *, count(*) OVER (PARTITION BY Store, run) AS n FROM numbered)
+SELECT Store, Date, CAST(opens AND n >= 7 AS INTEGER) AS is_refurb_closure FROM sized
+UNION ALL SELECT Store, Date, 0 FROM days WHERE Open <> 0""",
         "closure_runs": _with(PANEL, DAYS, _RUNS)
         + "SELECT Store, CAST(min(d) AS INTEGER) AS start_day, count(*) AS closed_rows FROM runs GROUP BY Store, run",
         "days_around_refurb": _with(PANEL, DAYS, _RUNS)
@@ -541,19 +693,6 @@ FROM explored""",
         + " SELECT j.Store, j.Date, "
         + ", ".join(f"k_{c}.code AS {c}" for c in ("StateHoliday", "StoreType", "Assortment", "PromoInterval"))
         + f" FROM joined j {code_joins}",
-        "training_matrix": _with(PANEL, STORES)
-        + f", joined AS (SELECT {train}, {dim} FROM panel p LEFT JOIN stores s ON s.Store = p.Store"
-        + " WHERE p.Open = 1 AND p.Sales > 0)"
-        + code_tables
-        + " SELECT j.Store, j.Date, round(ln(1 + j.Sales), 8) AS log_Sales, "
-        + ", ".join(f"k_{c}.code AS {c}" for c in ("StateHoliday", "StoreType", "Assortment", "PromoInterval"))
-        + ", "
-        + ", ".join(
-            f"coalesce(CAST(j.{c} AS DOUBLE), -999.0) AS {c}"
-            for c in ("DayOfWeek", "Promo", "SchoolHoliday", "CompetitionDistance", "CompetitionOpenSinceMonth",
-                      "CompetitionOpenSinceYear", "Promo2", "Promo2SinceWeek", "Promo2SinceYear")
-        )
-        + f" FROM joined j {code_joins}",
         "feature_candidates": _with(PANEL, STORES, candidates) + " SELECT feature FROM cand",
         "random_feature_subsets": _with(PANEL, STORES, candidates)
         + subsets
@@ -587,15 +726,24 @@ WHERE Date < (SELECT e FROM edge) AND month(Date) BETWEEN 5 AND 9 AND Open = 1 A
   UNION ALL SELECT 'cross', sqrt(avg(pow((y - pred) / y, 2))), 1 FROM crossed)
 SELECT model, round(rmspe, 8) AS rmspe,
   CAST(model = (SELECT model FROM totals ORDER BY rmspe, pref LIMIT 1) AS INTEGER) AS recommended FROM totals""",
-        "submission": _with(PANEL, DAYS)
-        + test_cte
-        + f"""
-, base AS (SELECT Store, d, CASE WHEN Date >= (SELECT max(Date) - 41 FROM panel) THEN NULL ELSE Sales END AS Sales, Date FROM days),
-lagged AS (SELECT Store, Date, {', '.join(
-            f"coalesce(last_value(nullif(Sales, 0) IGNORE NULLS) OVER (PARTITION BY Store ORDER BY d RANGE BETWEEN UNBOUNDED PRECEDING AND {30 + 7 * m} PRECEDING), 0) AS p{m}"
-            for m in range(5))} FROM base)
-SELECT s.Id, CASE WHEN coalesce(s.Open, 1) = 0 THEN 0 ELSE round(CAST(0.985 AS DOUBLE) * 5 / (
-  {' + '.join(f'1 / greatest(p{m}, CAST(1e-6 AS DOUBLE))' for m in range(5))}), 6) END AS Sales
-FROM scoring s JOIN lagged l ON l.Store = s.Store AND l.Date = s.Date""",
+        "submission": submission,
+        "submission_summary": _with_result(submission)
+        + """SELECT count(*) AS total_rows, count(*) FILTER (WHERE Sales = 0) AS zero_rows,
+  min(Sales) AS least, max(Sales) AS most FROM result""",
     }
+    out["training_matrix"] = (
+        _with(PANEL, STORES)
+        + f", joined AS (SELECT {train}, {dim}, CAST(p.StateHoliday <> '0' AS INTEGER) AS is_holiday"
+        + " FROM panel p LEFT JOIN stores s ON s.Store = p.Store WHERE p.Open = 1 AND p.Sales > 0)"
+        + code_tables
+        + "".join(f", f_{name} AS ({out[name]})" for name in _FEATURE_STATEMENTS)
+        + ", featured AS (SELECT j.*, "
+        + ", ".join(f"f_{name}.* EXCLUDE (Store, Date)" for name in _FEATURE_STATEMENTS)
+        + " FROM joined j "
+        + " ".join(f"JOIN f_{n} ON f_{n}.Store = j.Store AND f_{n}.Date = j.Date" for n in _FEATURE_STATEMENTS)
+        + ") SELECT Store, Date, round(ln(1 + Sales), 8) AS log_Sales, "
+        + ", ".join(f"k_{c}.code AS {c}" for c in _TEXTS)
+        + f", coalesce(CAST(COLUMNS(j.* EXCLUDE (Store, Date, Sales, Customers, Open, {', '.join(_TEXTS)})) AS DOUBLE), -999.0)"
+        + f" FROM featured j {code_joins}"
+    )
     return out

@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillcast.functions.scalars import harmonic_of
+from tillcast.functions.scalars import harmonic_of, weighted_harmonic
 from tillcast.operators import ensemble, events, exploration, features, ranks, rolling, split, trend
-from tillcast.plans import build, explore, standins
+from tillcast.plans import build, drawn, explore, standins
 from tillcast.plans import train as training
 from tillcast.session import by_store, cut_lineage, shared_folder, stored, tune
 from tillcast.sources import panel as source
@@ -160,13 +160,14 @@ def trainable_rows(spark, folder):
 _DIGITS = {"std": 3, "skew": 6, "cv": 6, "p10": 3, "p90": 3, "harmonic_mean": 2}
 
 
+def _recent_digits(names: list[str]) -> dict[str, int]:
+    return {n: d for n in names for stat, d in _DIGITS.items() if n.endswith(f"_{stat}")}
+
+
 def _recent(spark, folder, split_name: str, **options) -> DataFrame:
     out = rolling.add_recent_features(_panel(spark, folder), splits=[split_name], **options)
     names = rolling.feature_names([split_name])
-    rounding = {
-        n: d for n in names for stat, d in _DIGITS.items() if n.endswith(f"_{split_name}_{stat}")
-    }
-    return _round(out.select("Store", "Date", *names), **rounding)
+    return _round(out.select("Store", "Date", *names), **_recent_digits(names))
 
 
 @query
@@ -375,7 +376,7 @@ def sum_by_type(spark, folder):
 
 def _means(spark, folder, value: str, keys: list[str], error: bool = True) -> DataFrame:
     means = exploration.mean_by(_explored(spark, folder), value, keys, error)
-    return _round(means, **{c: 4 for c in means.columns if c.startswith(("mean_", "se_"))})
+    return _round(means, **{c: 4 for c in means.columns if c.startswith(("mean_", "se_", "ci_"))})
 
 
 @query
@@ -455,10 +456,12 @@ def log_sales_split(spark, folder):
 # ---------------------------------------------------------------- feature names and codes
 
 
-def _candidates(spark, folder) -> DataFrame:
-    """Candidates of the featured frame with one more text, which has a value for every day."""
-    rows = _joined(spark, folder).withColumn("DayText", F.date_format("Date", "yyyy-MM-dd"))
-    return features.feature_candidates(rows, columns=[*build.feature_columns(), "DayText"])
+def _candidates(spark, folder, *more: str) -> DataFrame:
+    """Candidates of the featured frame, each text counted in the table that it comes from."""
+    days = source.calendar_days(spark, folder).withColumn("DayText", F.date_format("Date", "yyyy-MM-dd"))
+    return features.feature_candidates(
+        days, columns=[*build.feature_columns(), *more], text_sources=[days, _stores(spark, folder)]
+    )
 
 
 @query
@@ -467,23 +470,30 @@ def category_codes(spark, folder):
     return features.category_codes(_joined(spark, folder), texts).select("Store", "Date", *texts)
 
 
+_TREND_DIGITS = {"trend_yoy": 8} | {c: 2 for c in trend.TREND_COLUMNS if c != "trend_yoy"}
+
+
 @query
 def training_matrix(spark, folder):
-    """Model inputs of the trainable rows before they become vectors."""
-    rows = split.trainable(_joined(spark, folder))
-    candidates = [c for c in rows.columns if c not in features.EXCLUDED]
+    """All model inputs of the trainable rows, before they become vectors."""
+    first_day, _ = source.calendar_bounds(spark, folder)
+    rows = split.trainable(build.add_features(_joined(spark, folder), first_day))
+    candidates = [r.feature for r in _candidates(spark, folder).orderBy("position").collect()]
     texts = [c for c in exploration.string_columns(rows) if c in candidates]
+    digits = _recent_digits(rolling.feature_names()) | _TREND_DIGITS
+    rows = stored(_round(rows, **digits).select("Store", "Date", "Sales", *candidates), "featured")
     coded = features.category_codes(training.filled(rows, candidates, texts), texts)
     return coded.select("Store", "Date", F.round(F.log1p("Sales"), 8).alias("log_Sales"), *candidates)
 
 
 @query
 def feature_candidates(spark, folder):
-    return _candidates(spark, folder).select("feature")
+    # One more text, which has a value for every day.
+    return _candidates(spark, folder, "DayText").select("feature")
 
 
 def _subsets(spark, folder, n_models: int) -> DataFrame:
-    return features.random_subsets(_candidates(spark, folder), n_models)
+    return features.random_subsets(_candidates(spark, folder, "DayText"), n_models)
 
 
 @query
@@ -493,6 +503,8 @@ def random_feature_subsets(spark, folder):
 
 # ---------------------------------------------------------------- scores and ensembles
 
+_MODELS = list(range(standins.MODELS))
+
 
 def _predictions(spark, folder) -> DataFrame:
     _, last_day = source.calendar_bounds(spark, folder)
@@ -501,17 +513,17 @@ def _predictions(spark, folder) -> DataFrame:
 
 @query
 def model_scores(spark, folder):
-    return _round(ensemble.model_scores(_predictions(spark, folder)), rmspe=8)
+    return _round(ensemble.model_scores(_predictions(spark, folder), _MODELS), rmspe=8)
 
 
 @query
 def top_models(spark, folder):
-    return _round(ensemble.top_models(ensemble.model_scores(_predictions(spark, folder))), rmspe=8)
+    return _round(ensemble.top_models(ensemble.model_scores(_predictions(spark, folder), _MODELS)), rmspe=8)
 
 
 def _pairs(spark, folder) -> DataFrame:
     predictions = cut_lineage(_predictions(spark, folder))  # read twice
-    return ensemble.best_pairs(predictions, ensemble.model_scores(predictions))
+    return ensemble.best_pairs(predictions, _MODELS, ensemble.model_scores(predictions, _MODELS))
 
 
 @query
@@ -543,50 +555,82 @@ def season_rows(spark, folder):
     )
 
 
-def _family(predictions: DataFrame, members: tuple[int, ...]) -> DataFrame:
-    return predictions.where(F.col("model_id").isin(*members))
-
-
-def _families(spark, folder) -> tuple[DataFrame, DataFrame]:
-    predictions = cut_lineage(_predictions(spark, folder))  # read once per family and score
-    return _family(predictions, standins.FAMILY_A), _family(predictions, standins.FAMILY_B)
-
-
 @query
 def final_ensemble(spark, folder):
-    family = _family(_predictions(spark, folder), standins.FAMILY_A)
-    return _round(ensemble.final_ensemble(family), pred=6)
+    return _round(ensemble.final_ensemble(_predictions(spark, folder), _MODELS, standins.FAMILY_A), pred=6)
 
 
 @query
 def cross_ensemble(spark, folder):
-    return _round(ensemble.cross_ensemble(*_families(spark, folder)), pred=6)
+    families = (standins.FAMILY_A, standins.FAMILY_B)
+    return _round(ensemble.cross_ensemble(_predictions(spark, folder), _MODELS, *families), pred=6)
 
 
 @query
 def score_comparison(spark, folder):
-    a, b = _families(spark, folder)
-    totals = functools.reduce(
-        DataFrame.unionByName,
-        [
-            ensemble.total_score(ensemble.final_ensemble(a), "family_a"),
-            ensemble.total_score(ensemble.final_ensemble(b), "family_b"),
-            ensemble.total_score(ensemble.cross_ensemble(a, b), "cross"),
-        ],
+    a, b = (ensemble.harmonic(_MODELS, family) for family in (standins.FAMILY_A, standins.FAMILY_B))
+    preds = {"family_a": a, "family_b": b, "cross": weighted_harmonic(a, b, 0.5)}
+    totals = ensemble.total_scores(
+        _predictions(spark, folder), {name: pred * ensemble.CORRECTION for name, pred in preds.items()}
     )
     return _round(ensemble.recommend(totals, ["cross", "family_b", "family_a"]), rmspe=8)
 
 
+def _submission(spark, folder) -> DataFrame:
+    _, last_day = source.calendar_bounds(spark, folder)
+    rows = split.open_by_default(source.scoring_frame(_panel(spark, folder), last_day))
+    members = list(range(5))
+    members_of_row = [F.get("preds", F.lit(m)) for m in members]
+    scored = standins.with_stand_ins(rows, members).withColumn(
+        "Sales", F.round(harmonic_of(members_of_row) * ensemble.CORRECTION, 6)
+    )
+    return ensemble.close_stores(split.scoring_rows(scored)).select("Id", "Sales")
+
+
 @query
 def submission(spark, folder):
-    panel, (_, last_day) = _panel(spark, folder), source.calendar_bounds(spark, folder)
-    history, scoring = source.scoring_split(panel, last_day)
-    members = list(range(5))
+    return _submission(spark, folder).orderBy("Id")
+
+
+@query
+def submission_summary(spark, folder):
+    return ensemble.forecast_summary(_submission(spark, folder))
+
+
+# ---------------------------------------------------------------- forests
+
+
+def _holdout_forecasts(spark, folder) -> DataFrame:
+    _, last_day = source.calendar_bounds(spark, folder)
+    edge = F.date_sub(last_day, 7 * split.HOLDOUT_WEEKS)
+    # Read for the extremes, the leaves and the holdout.
+    rows = split.trainable(drawn.featured(_panel(spark, folder)))
+    rows = rows.select("Store", "Date", "Sales", "x", (F.col("Date") < edge).alias("learns"))
+    return drawn.forecasts(stored(rows, "forest-rows"), F.col("learns"), "Store", "Date", "Sales")
+
 
-    def forecast(df: DataFrame) -> DataFrame:
-        scored = standins.with_stand_ins(df, members)
-        members_of_row = [F.get("preds", F.lit(m)) for m in members]
-        return scored.withColumn("Sales", F.round(harmonic_of(members_of_row) * ensemble.CORRECTION, 6))
+@query
+def forest_holdout(spark, folder):
+    digits = {c: 2 for c in (*drawn.MEMBERS, "pred")}
+    return _round(_holdout_forecasts(spark, folder), **digits)
 
-    rows = split.with_context(history, split.open_by_default(scoring), forecast)
-    return ensemble.close_stores(split.scoring_rows(rows)).select("Id", "Sales").orderBy("Id")
+
+@query
+def forest_scores(spark, folder):
+    """Holdout errors of the members and their ensemble, in sales."""
+    preds = {m: F.col(m) for m in (*drawn.MEMBERS, "pred")}
+    scored = _holdout_forecasts(spark, folder).withColumnRenamed("Sales", "y")
+    return _round(ensemble.total_scores(scored, preds), rmspe=8)
+
+
+@query
+def forest_submission(spark, folder):
+    """Forecasts of the scoring rows by forests that learned from all history; closed stores sell nothing."""
+    _, last_day = source.calendar_bounds(spark, folder)
+    rows = split.open_by_default(source.scoring_frame(_panel(spark, folder), last_day))
+    sold = (F.col("Open") == 1) & (F.col("Sales") > 0)
+    rows = drawn.featured(rows.withColumn("learns", F.col("Id").isNull() & F.coalesce(sold, F.lit(False))))
+    rows = rows.where("learns or Id is not null").select("Id", "Open", "Date", "Sales", "x", "learns")
+    scored = drawn.forecasts(stored(rows, "forest-rows"), F.col("learns"), "Id", "Open")
+    closed = ensemble.close_stores(scored.withColumn("Sales", F.round("pred", 2)))
+    return closed.select("Id", "Sales").orderBy("Id")

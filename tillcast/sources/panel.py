@@ -23,11 +23,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def calendar_bounds(spark: SparkSession, folder: str) -> tuple[Column, Column]:
-    """First and last ship date as scalar subqueries over one narrow scan."""
-    days = read_table(spark, folder, "lineitem").agg(
-        F.to_date(F.min("l_shipdate")).alias("first"), F.to_date(F.max("l_shipdate")).alias("last")
-    )
-    return days.select("first").scalar(), days.select("last").scalar()
+    """First and last ship date, both read from one scalar subquery over one narrow scan."""
+    first, last = F.to_date(F.min("l_shipdate")).alias("first"), F.to_date(F.max("l_shipdate")).alias("last")
+    bounds = read_table(spark, folder, "lineitem").agg(F.struct(first, last).alias("bounds")).scalar()
+    return bounds.getField("first"), bounds.getField("last")
 
 
 def _hundredths(col: str) -> Column:
@@ -80,9 +79,20 @@ def densify(daily: DataFrame, first_day: Column, last_day: Column) -> DataFrame:
     )
 
 
+def state_holiday() -> Column:
+    month, dom = F.month("Date"), F.dayofmonth("Date")
+    return F.when((month == 1) & (dom == 1), "a").when((month == 12) & dom.isin(25, 26), "b").otherwise("0")
+
+
+def calendar_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The panel's days, each once, with the texts that depend on the day alone."""
+    first_day, last_day = calendar_bounds(spark, folder)
+    days = spark.range(1).select(F.explode(F.sequence(first_day, last_day)).alias("Date"))
+    return days.select("Date", state_holiday().alias("StateHoliday"))
+
+
 def with_calendar(panel: DataFrame) -> DataFrame:
     """Weekday and holiday columns that raw retail files carry."""
-    month, dom = F.month("Date"), F.dayofmonth("Date")
     return panel.select(
         "Store",
         (F.weekday("Date") + 1).cast("int").alias("DayOfWeek"),
@@ -91,11 +101,8 @@ def with_calendar(panel: DataFrame) -> DataFrame:
         "Customers",
         "Open",
         "Promo",
-        F.when((month == 1) & (dom == 1), "a")
-        .when((month == 12) & dom.isin(25, 26), "b")
-        .otherwise("0")
-        .alias("StateHoliday"),
-        month.isin(7, 8).cast("int").alias("SchoolHoliday"),
+        state_holiday().alias("StateHoliday"),
+        F.month("Date").isin(7, 8).cast("int").alias("SchoolHoliday"),
     )
 
 
@@ -145,22 +152,35 @@ def join_store(facts: DataFrame, stores: DataFrame, how: str = "left") -> DataFr
     return facts.join(stores.hint("shuffle_hash"), "Store", how)
 
 
-def scoring_split(panel: DataFrame, last_day: Column, days: int = SCORING_DAYS) -> tuple[DataFrame, DataFrame]:
-    """History rows and the last ``days`` days as rows to score (``Id``, no Sales, no Customers).
+def _scoring_columns(last_day: Column, days: int) -> tuple[Column, dict[str, Column]]:
+    """The first scored day, and ``Id`` and ``Open`` of scoring rows.
 
     ``Id`` is arithmetic on store and day, so it needs no global numbering.
     ``Open`` is absent on some days, as in raw scoring files.
     """
     first_scored = F.date_sub(last_day, days - 1)
     offset = F.datediff("Date", first_scored)
-    scored = panel.where(F.col("Date") >= first_scored).select(
-        (F.col("Store") * days + offset + 1).alias("Id"),
-        "Store",
-        "DayOfWeek",
-        "Date",
-        F.when((F.col("Store") + offset) % 11 != 0, F.col("Open")).cast("double").alias("Open"),
-        "Promo",
-        "StateHoliday",
-        "SchoolHoliday",
-    )
+    opened = F.when((F.col("Store") + offset) % 11 != 0, F.col("Open")).cast("double")
+    return first_scored, {"Id": F.col("Store") * days + offset + 1, "Open": opened}
+
+
+def scoring_split(panel: DataFrame, last_day: Column, days: int = SCORING_DAYS) -> tuple[DataFrame, DataFrame]:
+    """History rows and the last ``days`` days as rows to score (``Id``, no Sales, no Customers)."""
+    first_scored, own = _scoring_columns(last_day, days)
+    names = ["Store", "DayOfWeek", "Date", "Open", "Promo", "StateHoliday", "SchoolHoliday"]
+    scored = panel.where(F.col("Date") >= first_scored).withColumns(own).select("Id", *names)
     return panel.where(F.col("Date") < first_scored), scored
+
+
+def scoring_frame(panel: DataFrame, last_day: Column, days: int = SCORING_DAYS) -> DataFrame:
+    """Both parts of ``scoring_split`` as one frame, from one panel: history rows have no ``Id``, scoring rows no sales."""
+    first_scored, own = _scoring_columns(last_day, days)
+    scored = F.col("Date") >= first_scored
+    return panel.withColumns(
+        {
+            "Id": F.when(scored, own["Id"]),
+            "Open": F.when(scored, own["Open"]).otherwise(F.col("Open")),
+            "Sales": F.when(~scored, F.col("Sales")),
+            "Customers": F.when(~scored, F.col("Customers")),
+        }
+    )
