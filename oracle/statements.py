@@ -408,6 +408,42 @@ def _with_recursive(*parts: str) -> str:
     return _with(*parts).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
+def _featured_tables(scoring: str) -> str:
+    """Each table's features see their own frame only: the train rows, or 500 days of context and the target."""
+    parts = []
+    # Name, first and last day of the frame, first day of the target; sales are known before ``sold``.
+    for name, low, high, start in (
+        ("train_featured", "DATE '1900-01-01'", "(SELECT last - 43 FROM ends)", "DATE '1900-01-01'"),
+        ("holdout_featured", "(SELECT last - 43 - 500 FROM ends)", "(SELECT last FROM ends)", "(SELECT last - 42 FROM ends)"),
+        ("test_featured", "(SELECT last - 500 FROM ends)", "(SELECT last + 42 FROM ends)", "(SELECT last + 1 FROM ends)"),
+    ):
+        frame = f"""
+  SELECT *, CASE WHEN Date <= (SELECT last FROM ends) THEN Sales END AS known FROM days WHERE Date BETWEEN {low} AND {high}"""
+        parts.append(
+            f"""
+SELECT '{name}' AS name, count(*) AS total_rows, min(Date) AS first_date, max(Date) AS last_date, sum(known) AS sales,
+  count(h) AS with_harmonic, round(sum(md), 2) AS medians, sum(since) AS days_since_promo, count(yoy) AS with_growth,
+  sum(day_number) AS day_numbers
+FROM (SELECT f.*, l.h, l.md, g.yoy, CAST(f.Date - (SELECT min(Date) FROM ({frame})) AS DOUBLE) AS day_number,
+        CAST(f.Date - last_value(CASE WHEN f.Promo = 1 THEN f.Date END IGNORE NULLS)
+          OVER (PARTITION BY f.Store ORDER BY f.d ROWS UNBOUNDED PRECEDING) AS INTEGER) AS since
+      FROM ({frame}) f
+      LEFT JOIN (SELECT Store, d + 30 AS d,
+                   CASE WHEN count(nullif(known, 0)) OVER y2 >= 2 THEN 1 END AS h,
+                   CASE WHEN count(known) OVER q >= 2 THEN quantile_cont(known, 0.5) OVER q END AS md
+                 FROM ({frame}) WINDOW y2 AS (PARTITION BY Store ORDER BY d RANGE BETWEEN 729 PRECEDING AND CURRENT ROW),
+                   q AS (PARTITION BY Store ORDER BY d RANGE BETWEEN 89 PRECEDING AND CURRENT ROW)) l
+        ON l.Store = f.Store AND l.d = f.d
+      LEFT JOIN (SELECT m.Store, m.ym, avg(h.known) FILTER (WHERE h.d >= m.s - 60 AND h.d < m.s - 30)
+                   / avg(h.known) FILTER (WHERE h.d >= m.s - 425 AND h.d < m.s - 395) AS yoy
+                 FROM (SELECT Store, date_trunc('month', Date) AS ym, min(d) AS s FROM ({frame}) GROUP BY ALL) m
+                 JOIN ({frame}) h ON h.Store = m.Store AND h.d >= m.s - 425 AND h.d < m.s - 30 AND h.known > 0 GROUP BY ALL) g
+        ON g.Store = f.Store AND g.ym = date_trunc('month', f.Date)) featured
+WHERE Date >= {start}"""
+        )
+    return _with(PANEL, DAYS, "ends AS (SELECT max(Date) - 42 AS last FROM panel)") + " UNION ALL ".join(parts)
+
+
 _TEXTS = ("StateHoliday", "StoreType", "Assortment", "PromoInterval")
 # What each row's features come from.
 _FEATURE_STATEMENTS = (
@@ -727,6 +763,25 @@ WHERE Date < (SELECT e FROM edge) AND month(Date) BETWEEN 5 AND 9 AND Open = 1 A
 SELECT model, round(rmspe, 8) AS rmspe,
   CAST(model = (SELECT model FROM totals ORDER BY rmspe, pref LIMIT 1) AS INTEGER) AS recommended FROM totals""",
         "submission": submission,
+        "submission_file": submission,
+        "stored_scores": _with_result(
+            holdout_forest(
+                " UNION ALL ".join(
+                    f"SELECT '{m}' AS model, round(sqrt(avg(pow((Sales - {m}) / Sales, 2))), 8) AS value FROM forecast"
+                    for m in ("combined", "season", "month_ahead", "pred")
+                )
+            )
+        )
+        + "SELECT model, value, format('{:,.5f}', value) AS shown FROM result UNION ALL SELECT 'unscored', NULL, 'N/A'",
+        "feature_presence": _with(PANEL, STORES)
+        + """
+, names AS (SELECT column_name AS feature FROM (DESCRIBE SELECT p.* EXCLUDE (Sales, Customers, Open, Store, Date) FROM panel p)
+            UNION ALL SELECT column_name FROM (DESCRIBE SELECT * EXCLUDE (Store) FROM stores)),"""
+        + candidates.strip().rstrip(",")
+        + """
+SELECT c.feature, CAST(n.feature IS NOT NULL AS INTEGER) AS present
+FROM (SELECT feature FROM named WHERE feature <> 'DayText' UNION ALL SELECT 'Weather') c LEFT JOIN names n ON n.feature = c.feature""",
+        "featured_tables": _featured_tables(test_cte),
         "submission_summary": _with_result(submission)
         + """SELECT count(*) AS total_rows, count(*) FILTER (WHERE Sales = 0) AS zero_rows,
   min(Sales) AS least, max(Sales) AS most FROM result""",

@@ -28,7 +28,9 @@ def ecdf(df: DataFrame, column: str) -> DataFrame:
     # Both columns of the counts, so that the rows counted for the cuts are those read below.
     summary = F.struct(F.percentile_approx("x", inner, ACCURACY).alias("cuts"), F.sum("count").alias("total"))
     told = counts.withColumn("_told", counts.agg(summary).scalar())
-    placed = told.withColumn("_range", F.size(F.filter("_told.cuts", lambda c: c < F.col("x"))))
+    # Never null, so the join below asks nothing of the rows before they are counted.
+    below = F.coalesce(F.size(F.filter("_told.cuts", lambda c: c < F.col("x"))), F.lit(0))
+    placed = told.withColumn("_range", below)
     in_order = Window.orderBy("_range")  # one row per range
     offsets = (
         placed.groupBy("_range")

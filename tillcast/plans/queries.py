@@ -17,7 +17,7 @@ from tillcast.plans import build, drawn, explore, standins
 from tillcast.plans import train as training
 from tillcast.session import by_store, cut_lineage, shared_folder, stored, tune
 from tillcast.sources import panel as source
-from tillcast.sources import schema
+from tillcast.sources import schema, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -597,6 +597,46 @@ def submission_summary(spark, folder):
     return ensemble.forecast_summary(_submission(spark, folder))
 
 
+@query
+def submission_file(spark, folder):
+    """The submission written as ordered CSV files and read back."""
+    path = sinks.write_submission(_submission(spark, folder), shared_folder(spark, "submission"))
+    return spark.read.schema("Id long, Sales double").option("header", True).csv(path)
+
+
+@query
+def featured_tables(spark, folder):
+    """The feature job from raw tables to three stored ones, and what a reader finds in them."""
+    _, last_day = source.calendar_bounds(spark, folder)
+    history, scoring = source.scoring_split(_panel(spark, folder), last_day)
+    path = shared_folder(spark, "featured")
+    build.build_features(history, scoring, _stores(spark, folder), path)
+    found = [
+        df.agg(
+            F.lit(name).alias("name"),
+            F.count(F.lit(1)).alias("total_rows"),
+            F.min("Date").alias("first_date"),
+            F.max("Date").alias("last_date"),
+            F.sum(F.col("Sales")).alias("sales"),
+            F.count("recent_y2_all_harmonic_mean").alias("with_harmonic"),
+            F.round(F.sum("recent_q_all_median"), 2).alias("medians"),
+            F.sum("days_since_promo").alias("days_since_promo"),
+            F.count("trend_yoy").alias("with_growth"),
+            F.sum("day_number").alias("day_numbers"),
+        )
+        for name, df in schema.read_featured(spark, path).items()
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query
+def feature_presence(spark, folder):
+    """Requested features that the joined rows have, and those they lack."""
+    have, lack = features.present([*build.feature_columns(), "Weather"], _joined(spark, folder))
+    rows = [(name, 1) for name in have] + [(name, 0) for name in lack]
+    return spark.createDataFrame(rows, "feature string, present int")
+
+
 # ---------------------------------------------------------------- forests
 
 
@@ -634,3 +674,14 @@ def forest_submission(spark, folder):
     scored = drawn.forecasts(stored(rows, "forest-rows"), F.col("learns"), "Id", "Open")
     closed = ensemble.close_stores(scored.withColumn("Sales", F.round("pred", 2)))
     return closed.select("Id", "Sales").orderBy("Id")
+
+
+@query
+def stored_scores(spark, folder):
+    """Scores recorded run by run and read back: the latest of each model, none for one never scored."""
+    path = shared_folder(spark, "scores")
+    scored = forest_scores(spark, folder).collect()  # a row per member
+    for run_id, factor in (("run-1", 2.0), ("run-2", 1.0)):
+        for row in scored:
+            sinks.append_score(spark, path, run_id, row.model, row.rmspe * factor)
+    return sinks.read_scores(spark, path, [*(row.model for row in scored), "unscored"])
