@@ -1,20 +1,20 @@
 """Adaptive context-mixing range coder for token ids.
 
 Ids are cut into blocks that reset all state, so any block can be decoded alone.  Inside a
-block each id is predicted by three contexts:
+block the distinct ids are numbered as they appear, and each next one is predicted by three orders:
 
 * order 2: the id that last followed the two ids before,
 * order 1: the id that last followed the id before,
-* order 0: the ids seen lately, in a small table addressed by the id itself.
+* order 0: the counts of all ids of the block so far, with an escape for new ones.
 
-The mixture weighs the three predictions and the uniform distribution.  Its weights are
-adaptive frequencies, one set for each confidence of the order-2 prediction and each part of
-the mixture that held the id before, learned inside the block.  A range coder (64-bit state,
-32-bit output) codes which part of the mixture holds the id and, where that leaves a choice, the
-choice itself.
+The prediction is their mixture: an id's probability is the sum of the shares that the orders give it, so
+the guesses of orders 2 and 1 also get what order 0 holds for them, and both their shares where they agree.  The
+orders' weights are adaptive, one set for each pair of confidences in the two guesses, learned inside the
+block.  A range coder (64-bit state, 32-bit output) codes an id as one interval of the mixture.  A new id
+follows an escape, as the length of its number (adaptive counts) and the bits below.
 
 Blocks are coded side by side, one NumPy lane each, so the cost per id is that of a few array
-operations.  Every block carries a CRC of its ids.
+operations; ``LANES`` of them at a time bound the memory.  Every block carries a CRC of its ids.
 """
 
 from __future__ import annotations
@@ -23,78 +23,142 @@ import zlib
 
 import numpy as np
 
-BLOCK = 2048
+BLOCK = 4096  # 2^12 ids at most: three levels of sixteen
+LANES = 1024
 ID_BITS = 20  # ids below 2^20; fewer bits where the caller knows fewer
-_ORDER2, _ORDER1, _ORDER0 = 10, 9, 8  # log2 of table sizes of a lane
-_MIX1, _MIX2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
-# Four 16-bit weights lie in one integer, the first one lowest; times _SUMS gives their running sums.
-_FIRST, _SUMS, _ONES = np.uint64(8 << 48 | 8 << 32 | 2 << 16 | 2), np.uint64(0x0001000100010001), np.uint64(0x0001000100010001)
-_HALVES, _WEIGHT, _STEP, _LIMIT = np.uint64(0x7FFF7FFF7FFF7FFF), np.uint64(0xFFFF), np.uint64(16), 2000
-# A span of 2^32 and more leaves 21 bits below the weights, enough for any choice.
+_NUMBERS, _ORDER2 = 12, 12  # log2 of the numbers of a block's ids, and of the entries of a lane's order-2 table
+# Running sums of counts lie in three levels of sixteen places each, four 16-bit sums in an integer.  What is added
+# to a row of sums for each place and each step: one or two on all places above.
+_ABOVE = np.array([[n * (other > place) for other in range(16)] for n in (1, 2) for place in range(16)], np.uint16).view(np.uint64)
+_MIX1, _MIX2 = np.int64(40503), np.int64(30011)
+# Three 16-bit weights (orders 2, 1 and 0) lie in one integer, the first one lowest.
+_FIRST = np.uint64(8 << 32 | 4 << 16 | 4)
+_HALVES, _ONES = np.uint64(0x7FFF7FFF7FFF7FFF), np.uint64(0x000000100010001)
+_LIMIT = 2000
+# By hits of orders 2 (1) and 1 (2): credit to those that foresaw the id, or to order 0.
+_CREDITS = np.array([24 << 32, 24, 24 << 16, 24 << 16 | 24], np.uint64)
+# The mixture's total stays below 2^26, and 2^32 of span leave at least six bits beyond it.
 _BOTTOM, _LOW32, _WORD = np.uint64(1 << 32), np.uint64((1 << 32) - 1), np.uint64(32)
 
 
 class _Model:
-    """Prediction tables and mixture weights of all lanes; both directions update it alike."""
+    """Tables, counts and weights of all lanes; both directions read and update it alike."""
 
     def __init__(self, lanes: int):
-        lane = np.arange(lanes)
-        self.at2, self.at1, self.at0 = (lane << bits for bits in (_ORDER2, _ORDER1, _ORDER0))
-        # Keys are ids + 1, and zero is empty.  An order-2 entry is key * 8 + confidence.
-        self.table2 = np.zeros(lanes << _ORDER2, np.uint32)
-        self.table1 = np.zeros(lanes << _ORDER1, np.uint32)
-        self.table0 = np.zeros(lanes << _ORDER0, np.uint32)
-        self.weights = np.full(lanes * 32, _FIRST)
-        self.first_row = lane * 32
-        self.slot2, self.slot1 = self.at2, self.at1
-        self.before = np.zeros(lanes, np.uint32)
-        self.part = np.zeros(lanes, np.uint8)
-        self.step = 0
+        self.lane = np.arange(lanes)
+        self.at, self.at2, self.at_middle, self.at_inner = (self.lane << bits for bits in (_NUMBERS, _ORDER2, 4, 8))
+        # An entry is (number + 1) * 8 + confidence; zero is empty.
+        self.table2 = np.zeros(lanes << _ORDER2, np.uint16)
+        self.table1 = np.zeros(lanes << _NUMBERS, np.uint16)
+        self.count = np.zeros(lanes << _NUMBERS, np.uint16)
+        # Counts before each place among its sixteen, for single numbers, sixteens and 256s of them.
+        self.inner, self.middle, self.outer = (np.zeros((lanes * n, 4), np.uint64) for n in (256, 16, 1))
+        self.flat = [sums.view(np.uint16).ravel() for sums in (self.inner, self.middle, self.outer)]
+        self.seen, self.distinct = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.weights = np.full(lanes * 64, _FIRST)
+        self.first_row = self.lane * 64
+        self.slot2, self.slot1 = self.at2.copy(), self.at.copy()
+        self.before = np.zeros(lanes, np.int64)
+        # Counts of the lengths of new ids.
+        self.lengths = np.ones((lanes, ID_BITS + 1), np.int64)
+        self.steps = 0
+
+    def running(self, number: np.ndarray) -> np.ndarray:
+        """Counts of all numbers below."""
+        inner, middle, outer = self.flat
+        sums = inner.take(self.at + number) + middle.take(self.at_inner + (number >> 4))
+        return (sums + outer.take(self.at_middle + (number >> 8))).astype(np.int64)
 
     def predict(self) -> None:
-        """Both guesses, and the weights of the mixture's four parts with their running sums."""
-        self.entry2, self.guess1 = self.table2.take(self.slot2), self.table1.take(self.slot1)
-        self.sure = self.entry2 & 7
-        self.row = self.first_row + ((self.sure << 2) + self.part)
-        self.weight = self.weights.take(self.row)
-        self.sums = self.weight * _SUMS
-        self.total = self.sums >> 48
-
-    def share(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shift of each lane's part, its weight, and the sum of the weights before it."""
-        shift = part.astype(np.uint64) << 4
-        weight = (self.weight >> shift) & _WEIGHT
-        return shift, weight, ((self.sums >> shift) & _WEIGHT) - weight
-
-    def learn(self, key: np.ndarray, mixed: np.ndarray, place0: np.ndarray, hit2: np.ndarray, part: np.ndarray, shift: np.ndarray) -> None:
-        """mixed: the key's hash, place0: its place in the order-0 table, part: what held it, at which shift."""
-        self.weights[self.row] = self.weight + (_STEP << shift)
-        self.step += 1
-        if not self.step & 15:
-            full = (self.total > _LIMIT).nonzero()[0]
-            rows = self.row[full]
-            self.weights[rows] = ((self.weights[rows] >> 1) & _HALVES) | _ONES
-        missed = np.where(self.sure > 1, self.entry2 - 2, (key << 3) | 1)
-        self.table2[self.slot2] = np.where(hit2, self.entry2 + (self.sure < 7), missed)
-        self.table1[self.slot1] = key
-        self.table0[place0] = key
-        self.part = part
-        self.slot1 = self.at1 + (mixed >> (32 - _ORDER1))
-        self.slot2 = self.at2 + ((mixed + self.before) >> (32 - _ORDER2))
-        self.before = mixed * _MIX2
-
-
-def _columns(ids: np.ndarray) -> tuple[np.ndarray, int]:
-    """Ids + 1 as (step, lane); the last block is filled up with ones."""
-    blocks = max(1, -(-len(ids) // BLOCK))
+        """Both guesses (-1: none), and the sizes of their shares and of the whole mixture."""
+        entry2, entry1 = self.table2.take(self.slot2).astype(np.int64), self.table1.take(self.slot1).astype(np.int64)
+        self.entry2, self.entry1 = entry2, entry1
+        self.guess2, self.guess1 = (entry2 >> 3) - 1, (entry1 >> 3) - 1
+        self.sure2, self.sure1 = entry2 & 7, entry1 & 7
+        self.row = self.first_row + (self.sure2 << 3) + self.sure1
+        self.packed = self.weights.take(self.row)
+        packed = self.packed.view(np.int64)
+        weight2, weight1, self.weight0 = packed & 0xFFFF, packed >> 16 & 0xFFFF, packed >> 32
+        self.sum = weight2 + weight1 + self.weight0
+        self.total0 = self.seen + self.distinct + 1
+        known2, known1 = entry2 > 0, entry1 > 0
+        self.agree = known2 & (self.guess1 == self.guess2)
+        self.own1 = known1 & ~self.agree
+        # A guess of -1 reads a count of another lane, which the factor drops.
+        self.count2 = self.count[self.at + self.guess2] * known2.astype(np.int64)
+        self.count1 = self.count[self.at + self.guess1] * self.own1.astype(np.int64)
+        wide2, wide1 = weight2 * known2 + weight1 * self.agree, weight1 * self.own1
+        self.share2 = wide2 * self.total0 + self.weight0 * self.count2
+        self.guessed = self.share2 + wide1 * self.total0 + self.weight0 * self.count1
+        self.total = (wide2 + wide1 + self.weight0) * self.total0
+
+    def interval(self, number: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the number's part of the mixture begins, and its size."""
+        below = np.where(new, self.seen, self.running(number))
+        below -= (self.guess2 < number) * self.count2 + (self.guess1 < number) * self.count1
+        own = np.where(new, self.distinct + 1, self.count.take(self.at + number))
+        start = np.where(hit2, 0, np.where(hit1, self.share2, self.guessed + self.weight0 * below))
+        size = np.where(hit2, self.share2, np.where(hit1, self.guessed - self.share2, self.weight0 * own))
+        return start, size
+
+    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The number whose part holds a place of the mixture; whether a guess, and whether new."""
+        hit2 = target < self.share2
+        hit1 = ~hit2 & (target < self.guessed)
+        place = np.maximum(target - self.guessed, 0) // self.weight0
+        # What the guesses took out of order 0 is put back, the lower number first.
+        lower_is_1 = self.guess1 < self.guess2
+        for number, count in (
+            (np.where(lower_is_1, self.guess1, self.guess2), np.where(lower_is_1, self.count1, self.count2)),
+            (np.where(lower_is_1, self.guess2, self.guess1), np.where(lower_is_1, self.count2, self.count1)),
+        ):
+            place += count * (place >= self.running(np.maximum(number, 0)))
+        new = ~hit2 & ~hit1 & (place >= self.seen)
+        rest = np.minimum(place, np.maximum(self.seen - 1, 0)).astype(np.uint16)
+        held = np.zeros(len(rest), np.int64)
+        for sums, at in ((self.outer, self.lane), (self.middle, self.at_middle), (self.inner, self.at_inner)):
+            row = sums.take(at + held, axis=0).view(np.uint16)
+            inside = np.count_nonzero(row <= rest[:, None], axis=1) - 1
+            rest = rest - row.ravel().take(self.at_middle + inside)
+            held = (held << 4) + inside
+        number = np.where(hit2, self.guess2, np.where(hit1, self.guess1, np.where(new, self.distinct, held)))
+        return number, hit2, hit1, new
+
+    def learn(self, number: np.ndarray, hit2: np.ndarray, new: np.ndarray) -> None:
+        hit1 = (self.guess1 == number) & (self.sure1 > 0)
+        self.weights[self.row] = self.packed + _CREDITS.take(hit2 + (hit1 << np.int8(1)))
+        self.steps += 1
+        if not self.steps & 7:
+            rows = self.row[self.sum > _LIMIT]
+            self.weights[rows] = (self.weights[rows] >> np.uint64(1) & _HALVES) | _ONES
+        # New ids count once, others twice.
+        spot, more = self.at + number, 2 - new
+        self.count[spot] += more.astype(np.uint16)
+        step = (more - 1) << 4
+        self.outer += _ABOVE.take(step + (number >> 8), axis=0)
+        for sums, at, digit in ((self.middle, self.at_middle + (number >> 8), number >> 4), (self.inner, self.at_inner + (number >> 4), number)):
+            sums[at] = sums.take(at, axis=0) + _ABOVE.take(step + (digit & 15), axis=0)
+        self.seen += more
+        self.distinct += new
+        fresh = (number + 1 << 3) + 1
+        for table, slot, hit, sure, entry in (
+            (self.table2, self.slot2, hit2, self.sure2, self.entry2),
+            (self.table1, self.slot1, hit1, self.sure1, self.entry1),
+        ):
+            doubted = np.where(sure > 1, entry - (sure + 1 >> 1), fresh)
+            table[slot] = np.where(hit, entry + (sure < 7), doubted)
+        self.slot1 = spot
+        self.slot2 = self.at2 + ((number * _MIX1 + self.before) >> 3 & ((1 << _ORDER2) - 1))
+        self.before = (number + 1) * _MIX2
+
+
+def _columns(ids: np.ndarray) -> np.ndarray:
+    """Ids as (step, lane); the last block is filled up with its last id."""
+    blocks = -(-len(ids) // BLOCK)
     steps = BLOCK if blocks > 1 else len(ids)
-    keys = np.ones((steps, blocks), np.uint32)
-    whole = len(ids) // steps
-    keys[:, :whole] = ids[: whole * steps].reshape(whole, steps).T
-    keys[: len(ids) - whole * steps, whole:] = ids[whole * steps :, None]
-    keys[:, :whole] += np.uint32(1)
-    keys[: len(ids) - whole * steps, whole:] += np.uint32(1)
-    return keys, blocks
+    padded = np.full(steps * blocks, ids[-1], np.int64)
+    padded[: len(ids)] = ids
+    return np.ascontiguousarray(padded.reshape(blocks, steps).T)
 
 
 def _check(ids: np.ndarray) -> list[int]:
@@ -107,9 +171,78 @@ def _cut(low: np.ndarray, span: np.ndarray) -> np.ndarray:
     return np.where((low ^ (low + span)) < _BOTTOM, span, (np.uint64(0) - low) & _LOW32)
 
 
-def _choices(id_bits: int) -> np.ndarray:
-    """Bits of the choice that each part of the mixture leaves: none, none, a table slot, a whole id."""
-    return np.array([0, 0, _ORDER0, id_bits], np.uint64)
+def _unsigned(x: np.ndarray) -> np.ndarray:
+    """64-bit integers, none negative, as unsigned ones."""
+    return x.astype(np.int64, copy=False).view(np.uint64)
+
+
+class _Encoder:
+    def __init__(self, lanes: int, room: int):
+        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+        self.out, self.room = np.zeros(lanes * room, "<u4"), room
+        self.place = np.arange(lanes) * room
+
+    def narrow(self, lanes: np.ndarray | slice, start: np.ndarray, size: np.ndarray, total: np.ndarray, bits: np.ndarray | None = None, value: np.ndarray | None = None) -> None:
+        """Code an interval of the total, then a value of some bits."""
+        span = self.span[lanes] // _unsigned(total)
+        low = self.low[lanes] + span * _unsigned(start)
+        span = span * _unsigned(size)
+        if bits is not None:
+            span = span >> _unsigned(bits)
+            low = low + span * _unsigned(value)
+        self.low[lanes], self.span[lanes] = low, span
+        due = (self.span < _BOTTOM).nonzero()[0]
+        if due.size:
+            at, wide = self.low[due], self.span[due]
+            self.span[due] = _cut(at, wide) << _WORD
+            spot = self.place[due]
+            self.out[spot] = at >> _WORD
+            self.place[due] = spot + 1
+            self.low[due] = at << _WORD
+
+    def finish(self) -> list[bytes]:
+        for _ in range(2):
+            self.out[self.place] = self.low >> _WORD
+            self.place += 1
+            self.low <<= _WORD
+        rows = self.out.reshape(-1, self.room)
+        filled = self.place - np.arange(len(rows)) * self.room
+        return [rows[i, :n].tobytes() for i, n in enumerate(filled.tolist())]
+
+
+def _length(ids: np.ndarray) -> np.ndarray:
+    """Bits of each id's number, from 0."""
+    return np.frexp(ids.astype(np.float64))[1]
+
+
+def _encode_lanes(columns: np.ndarray, id_bits: int) -> list[bytes]:
+    steps, lanes = columns.shape
+    model, coder = _Model(lanes), _Encoder(lanes, 2 * steps + 4)
+    # Number + 1 of each id of a lane's block.
+    numbers = np.zeros(lanes << id_bits, np.uint16)
+    first = np.arange(lanes) << id_bits
+    for ids in columns:
+        model.predict()
+        spot = first + ids
+        number = numbers[spot].astype(np.int64) - 1
+        new = number < 0
+        number = np.where(new, model.distinct, number)
+        hit2 = (model.guess2 == number) & (model.sure2 > 0)
+        hit1 = (model.guess1 == number) & model.own1
+        start, size = model.interval(number, hit2, hit1, new)
+        coder.narrow(slice(None), start, size, model.total)
+        at = new.nonzero()[0]
+        if at.size:
+            numbers[spot[at]] = number[at] + 1
+            length = _length(ids[at])
+            counts = model.lengths[at]
+            below = np.where(np.arange(ID_BITS + 1)[None, :] < length[:, None], counts, 0).sum(axis=1)
+            bits = np.maximum(length - 1, 0)
+            value = np.where(length > 0, ids[at] - (1 << bits), 0)
+            coder.narrow(at, below, model.lengths[at, length], counts.sum(axis=1), bits, value)
+            model.lengths[at, length] += 1
+        model.learn(number, hit2, new)
+    return coder.finish()
 
 
 def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -118,93 +251,85 @@ def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray,
         return b"", np.zeros(0, np.int64), np.zeros(0, np.int64)
     if id_bits > ID_BITS or int(ids.max()) >> id_bits:
         raise ValueError(f"ids must lie below 2^{min(id_bits, ID_BITS)}")
-    columns, lanes = _columns(ids)
-    model, bits = _Model(lanes), _choices(id_bits)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    # A word holds 32 bits, and no id takes more than one.
-    room = len(columns) + 4
-    out = np.zeros(lanes * room, "<u4")
-    place = np.arange(lanes) * room
-    one = np.uint8(1)
-    for key in columns:
-        model.predict()
-        mixed = key * _MIX1
-        slot = mixed >> (32 - _ORDER0)
-        place0 = model.at0 + slot
-        # Nothing but the confidence may differ; no key is zero, so no empty entry matches.
-        hit2, hit1 = (model.entry2 ^ (key << 3)) < 8, model.guess1 == key
-        hit0 = model.table0.take(place0) == key
-        part = ~hit2 * (one + ~hit1 * (one + ~hit0))
-        shift, weight, start = model.share(part)
-        span //= model.total
-        low += span * start
-        span *= weight
-        span >>= bits.take(part)
-        low += span * (np.where(hit0, slot, key - 1) * (part > 1))
-        model.learn(key, mixed, place0, hit2, part, shift)
-        due = (span < _BOTTOM).nonzero()[0]
+    columns = _columns(ids)
+    # The table of numbers has an entry for each possible id, so wide ids take fewer lanes.
+    lanes = max(1, min(LANES, (LANES << 16) >> id_bits))
+    coded = [c for i in range(0, columns.shape[1], lanes) for c in _encode_lanes(columns[:, i : i + lanes], id_bits)]
+    return b"".join(coded), np.array(list(map(len, coded)), np.int64), np.array(_check(ids), np.int64)
+
+
+class _Decoder:
+    def __init__(self, words: np.ndarray, place: np.ndarray):
+        self.words, self.last = words, words.size - 1
+        lanes = len(place)
+        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+        self.code = (words[place].astype(np.uint64) << _WORD) | words[np.minimum(place + 1, self.last)]
+        self.place = place + 2
+
+    def target(self, lanes: np.ndarray | slice, total: np.ndarray) -> np.ndarray:
+        """The place of the total that the code points to; divides the span by it."""
+        self.span[lanes] //= _unsigned(total)
+        return np.minimum(((self.code[lanes] - self.low[lanes]) // self.span[lanes]).astype(np.int64), total - 1)
+
+    def narrow(self, lanes: np.ndarray | slice, start: np.ndarray, size: np.ndarray, bits: np.ndarray | None = None) -> np.ndarray | None:
+        """Take the interval found, then read a value of some bits."""
+        span = self.span[lanes]
+        low = self.low[lanes] + span * _unsigned(start)
+        span = span * _unsigned(size)
+        value = None
+        if bits is not None:
+            span = span >> _unsigned(bits)
+            most = (np.uint64(1) << _unsigned(bits)) - np.uint64(1)
+            value = np.minimum((self.code[lanes] - low) // span, most)
+            low = low + span * value
+            value = value.astype(np.int64)
+        self.low[lanes], self.span[lanes] = low, span
+        due = (self.span < _BOTTOM).nonzero()[0]
         if due.size:
-            at, wide = low[due], span[due]
-            span[due] = _cut(at, wide) << _WORD
-            spot = place[due]
-            out[spot] = at >> _WORD
-            place[due] = spot + 1
-            low[due] = at << _WORD
-    for _ in range(2):
-        out[place] = low >> _WORD
-        place += 1
-        low <<= _WORD
-    filled = place - np.arange(lanes) * room
-    rows = out.reshape(lanes, room)
-    payload = b"".join([rows[i, : filled[i]].tobytes() for i in range(lanes)])
-    return payload, filled * 4, np.array(_check(ids), np.int64)
+            at, wide = self.low[due], self.span[due]
+            self.span[due] = _cut(at, wide) << _WORD
+            spot = self.place[due]
+            self.code[due] = (self.code[due] << _WORD) | self.words[np.minimum(spot, self.last)]
+            self.place[due] = spot + 1
+            self.low[due] = at << _WORD
+        return value
+
+
+def _decode_lanes(words: np.ndarray, place: np.ndarray, steps: int) -> np.ndarray:
+    """Ids as (step, lane)."""
+    lanes = len(place)
+    model, coder = _Model(lanes), _Decoder(words, place)
+    known = np.zeros(lanes << _NUMBERS, np.int64)
+    out = np.empty((steps, lanes), "<u4")
+    for step in range(steps):
+        model.predict()
+        number, hit2, hit1, new = model.find(coder.target(slice(None), model.total))
+        coder.narrow(slice(None), *model.interval(number, hit2, hit1, new))
+        at = new.nonzero()[0]
+        if at.size:
+            counts = model.lengths[at]
+            sums = np.cumsum(counts, axis=1)
+            target = coder.target(at, sums[:, -1])
+            length = (sums <= target[:, None]).sum(axis=1)
+            size = counts[np.arange(len(at)), length]
+            bits = np.maximum(length - 1, 0)
+            value = coder.narrow(at, sums[np.arange(len(at)), length] - size, size, bits)
+            known[model.at[at] + number[at]] = np.where(length > 0, value + (1 << bits), 0)
+            model.lengths[at, length] += 1
+        out[step] = known[model.at + number]
+        model.learn(number, hit2, new)
+    return out
 
 
 def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id_bits: int = ID_BITS) -> np.ndarray:
     """The ids (uint32); a block whose CRC differs is an error."""
     if not count:
         return np.zeros(0, "<u4")
-    lanes = len(sizes)
-    steps = BLOCK if lanes > 1 else count
-    model, bits = _Model(lanes), _choices(id_bits)
-    most = (np.uint64(1) << bits) - np.uint64(1)
+    steps = BLOCK if len(sizes) > 1 else count
     words = np.concatenate([np.frombuffer(payload, "<u4"), np.zeros(4, "<u4")])
-    last = words.size - 1
     place = np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64) // 4)[:-1]])
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    code = (words[place].astype(np.uint64) << _WORD) | words[np.minimum(place + 1, last)]
-    place += 2
-    out = np.empty((steps, lanes), "<u4")
-    for step in range(steps):
-        model.predict()
-        span //= model.total
-        target = (code - low) // span
-        sums = model.sums
-        part = (target >= (sums & _WEIGHT)).view(np.uint8)
-        part = part + (target >= ((sums >> 16) & _WEIGHT)) + (target >= ((sums >> 32) & _WEIGHT))
-        shift, weight, start = model.share(part)
-        low += span * start
-        span *= weight
-        span >>= bits.take(part)
-        value = np.minimum((code - low) // span, most.take(part))
-        low += span * value
-        hit2 = part == 0
-        key = np.where(hit2, model.entry2 >> 3, np.where(part == 1, model.guess1, (value + np.uint64(1)).astype(np.uint32)))
-        held = (part == 2).nonzero()[0]
-        key[held] = model.table0[model.at0[held] + value[held].view(np.int64)]
-        out[step] = key
-        mixed = key * _MIX1
-        model.learn(key, mixed, model.at0 + (mixed >> (32 - _ORDER0)), hit2, part, shift)
-        due = (span < _BOTTOM).nonzero()[0]
-        if due.size:
-            at, wide = low[due], span[due]
-            span[due] = _cut(at, wide) << _WORD
-            spot = place[due]
-            code[due] = (code[due] << _WORD) | words[np.minimum(spot, last)]
-            place[due] = spot + 1
-            low[due] = at << _WORD
-    out -= np.uint32(1)
-    ids = out.T.reshape(-1)[:count]
+    parts = [_decode_lanes(words, place[i : i + LANES], steps).T.reshape(-1) for i in range(0, len(place), LANES)]
+    ids = np.concatenate(parts)[:count]
     for block, (found, check) in enumerate(zip(_check(ids), np.asarray(checks).tolist())):
         if found != check:
             raise ValueError(f"block {block}: the checksum of its ids differs")

@@ -33,7 +33,7 @@ from tillcast.llm.columns import whole
 from tillcast.llm.memo import parts
 from tillcast.llm.word_ids import loaded
 
-SEGMENT = 1 << 23
+SEGMENT = 1 << 22
 
 _SEGMENTS = (
     "part int, segment int, doc_ids binary, doc_known binary, doc_tokens binary, n_tokens long, "
@@ -72,7 +72,7 @@ def write(
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _ARROW.types)], schema=_ARROW)
 
         for batch in batches:
-            for rows in parts(batch, most=12_000_000):
+            for rows in parts(batch, most=8_000_000):
                 ids, edges = words.encode(rows.column(1), end_id)
                 keys.append(rows.column(0))
                 counts.append(np.diff(edges))
