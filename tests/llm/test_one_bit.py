@@ -44,7 +44,7 @@ def test_query_matches_other_engine(spark, folder):
 
 def test_recall_on_random_vectors(spark, monkeypatch):
     monkeypatch.setattr(one_bit, "ROWS", 700)
-    monkeypatch.setattr(one_bit, "QUERIES", 10)
+    monkeypatch.setattr(one_bit, "QUERIES", 3)
     x = np.random.default_rng(4).standard_normal((3000, 48)).astype(np.float32)
     ids = np.arange(3000)
     table = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
@@ -60,12 +60,44 @@ def test_codes_bound_the_inner_product():
     x, q = rng.standard_normal((2000, 64)), rng.standard_normal(64)
     turn = one_bit.rotation(64)
     assert np.allclose(turn @ turn.T, np.eye(64))
-    bits, norm, dot = one_bit._encode(x, np.zeros(64), turn)
-    signs = (np.unpackbits(bits, axis=1, count=64) * 2.0 - 1) / 8
-    guess = signs @ (turn @ (q / np.linalg.norm(q))) / dot
-    true = (x @ q) / norm / np.linalg.norm(q)
-    spread = one_bit.CERTAINTY * np.sqrt((1 - dot**2) / dot**2 / 63)
-    assert abs((guess - true).mean()) < 0.01 and (abs(guess - true) <= spread).mean() > 0.999
+    part = one_bit.Part(np.arange(2000), *one_bit.encode(x, np.zeros(64), turn), x)
+    units, far = one_bit._rotated(q[None, :], np.zeros(64), turn)
+    guess, deviation = part.estimates(units[0], far[0])
+    error = (guess - ((x - q) ** 2).sum(axis=1)) / deviation
+    assert abs(error.mean()) < 0.1 and 0.8 < error.std() < 1.1 and (error < one_bit.CERTAINTY).mean() > 0.97
+
+
+@pytest.mark.parametrize("dimension", [3, 64, 100])
+def test_packed_arithmetic_is_that_of_signs(dimension):
+    rng = np.random.default_rng(dimension)
+    x, q = rng.standard_normal((300, dimension)), rng.standard_normal((1, dimension))
+    centre, turn = x.mean(axis=0), one_bit.rotation(dimension)
+    part = one_bit.Part(np.arange(300), *one_bit.encode(x, centre, turn), x)
+    units, far = one_bit._rotated(q, centre, turn)
+    signs = np.where((x - centre) @ turn.T >= 0, 1.0, -1.0) / np.sqrt(dimension)
+    step = (units.max() - units.min()) / (2**one_bit.PLANES - 1)
+    rounded = np.rint((units[0] - units.min()) / step) * step + units.min()
+    plain = part.norm**2 + far[0] ** 2 - 2 * part.norm * far[0] * (signs @ rounded) / part.dot
+    assert np.allclose(part.estimates(units[0], far[0])[0], plain)
+
+
+def test_most_rows_are_never_compared():
+    """16,000 rows around 2,000 vectors: share of rows compared exactly, and recall."""
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((2000, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    x = base[rng.integers(0, len(base), 16_000)] + 0.1 * rng.standard_normal((16_000, base.shape[1]))
+    centre, turn, ids = x.mean(axis=0), one_bit.rotation(base.shape[1]), np.arange(16_000)
+    part = one_bit.Part(ids, *one_bit.encode(x, centre, turn), x)
+    units, far = one_bit._rotated(x[::400], centre, turn)
+    compared, hits = 0, 0
+    for unit, distance, i in zip(units, far, ids[::400]):
+        _, first = part.nearest(part.survivors(i, unit, distance, 10, None), x[i], 10)
+        places = part.survivors(i, unit, distance, 10, first[-1])
+        compared += len(places)
+        expected = brute(ids, x, [i])[int(i)]
+        hits += len({v for v, _ in expected} & set(part.nearest(places, x[i], 10)[0].tolist()))
+    assert compared / 40 / 16_000 < 0.3 and hits / 400 >= 0.99
 
 
 def test_edges(spark):

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillcast.llm.visits import parts_of, passing_by
 from tillcast.session import shuffle_width, stored
 
 #: Rows of one part, which a task holds while the anchors pass by.
@@ -85,8 +86,9 @@ def _least_negative(positive: int, low: tuple[int, int]) -> int:
 class _Part:
     """The rows of one part as matrices, one for each length of vector."""
 
-    def __init__(self, batches: list[pa.RecordBatch]):
-        rows = pa.Table.from_batches(batches).combine_chunks()
+    def __init__(self, rows: pa.Table):
+        # They come in the order of their ids.
+        rows = rows.combine_chunks()
         sizes = np.diff(rows["vector"].chunk(0).offsets.to_numpy()) if rows.num_rows else np.zeros(0, int)
         self.by_size = {}
         for size in np.unique(sizes).tolist():
@@ -129,51 +131,24 @@ def _matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
 
 
 def _visits(rows: DataFrame, anchors: DataFrame, parts: int, k: int, low: tuple[int, int]) -> DataFrame:
-    """Pairs of every anchor with the rows of every part.
-
-    Rows and anchors are shuffled by part, sorted with a part's rows first: a task holds these (a bounded
-    number) and lets the anchors pass by.  The rows move once; the anchors go to every part.
-    """
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part")
-    none = F.lit(None).cast("array<long>").alias("windows")
-    held = rows.select(part, F.lit(False).alias("asks"), "vec_id", "label", "vector", none)
-    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
-    asking = anchors.select(every, F.lit(True).alias("asks"), "vec_id", "label", "vector", "windows")
-
-    def visit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, matrices = None, [], None
-        for batch in batches:
-            part = batch.column("part").to_numpy()
-            asks = batch.column("asks").to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero((np.diff(part) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
-            for start, stop in zip([0, *edges], [*edges, len(part)]):
-                if start == stop:
-                    continue
-                if part[start] != now:
-                    now, held, matrices = part[start], [], None
-                if not asks[start]:
-                    held.append(batch.slice(start, stop - start))
-                    continue
-                if not held:
-                    continue
-                matrices = matrices or _Part(held)
-                for i in range(start, stop, _ANCHORS):
-                    found = list(matrices.pairs(batch.slice(i, min(_ANCHORS, stop - i)), k, low))
-                    sizes = [len(ids) for *_, ids in found]
-                    if not sum(sizes):
-                        continue
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat([a for a, *_ in found], sizes), pa.int64()),
-                            pa.array(np.repeat([p for _, p, *_ in found], sizes)),
-                            pa.array(np.concatenate([s for _, _, s, _ in found])),
-                            pa.array(np.concatenate([ids for *_, ids in found])),
-                        ],
-                        schema=_PAIR,
-                    )
-
-    meeting = held.unionByName(asking).repartition(parts, "part").sortWithinPartitions("part", "asks", "vec_id")
-    return meeting.mapInArrow(visit, _PAIR_DDL)
+    """Pairs of every anchor with the rows of every part: the rows move once, the anchors pass by."""
+
+    def answer(part: _Part, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = list(part.pairs(batch, k, low))
+        sizes = [len(ids) for *_, ids in found]
+        if not sum(sizes):
+            return
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat([a for a, *_ in found], sizes), pa.int64()),
+                pa.array(np.repeat([p for _, p, *_ in found], sizes)),
+                pa.array(np.concatenate([s for _, _, s, _ in found])),
+                pa.array(np.concatenate([ids for *_, ids in found])),
+            ],
+            schema=_PAIR,
+        )
+
+    return passing_by(rows, "vec_id", anchors, parts, _Part, answer, _PAIR_DDL, _ANCHORS)
 
 
 def _key(row) -> bytes:
@@ -206,7 +181,7 @@ def mine(rows: DataFrame, anchors: Column, positives: int = 5, negatives: int =
     """
     spark = rows.sparkSession
     rows = stored(rows, "mining-rows")
-    parts = max(1, -(-rows.count() // ROWS))
+    parts = parts_of(rows.count(), ROWS)
     asking = rows.where(anchors)
     own = _visits(rows, asking.withColumn("windows", F.lit(None).cast("array<long>")), parts, positives, low)
     order = Window.partitionBy("anchor_id").orderBy(F.desc("score"), "vec_id")
