@@ -1,4 +1,6 @@
 import datetime as dt
+import hashlib
+import random
 import re
 
 import pytest
@@ -157,3 +159,67 @@ def test_edges(edges, nothing):
     counted = pseudonyms.replace(edges, "k", count="n_words")
     assert counted.columns == [c for c in edges.columns if c != "n_words"] + ["n_words"]
     assert pseudonyms.replace(nothing, "k").count() == 0
+
+
+def test_addresses_of_any_script_are_whole(change):
+    texts = ["jürgen@x.com", "Иван.Петров7@почта.рф", "john@münchen.de", "x έρως@site.gr y", "jose\u0301@x.org", "李@例子.中国"]
+    for old, (new, n) in zip(texts, change(*texts)):
+        assert n == 1 or old.startswith("李")
+        top = old.split()[1 if " " in old else 0].rsplit(".", 1)[1]
+        assert len(new) == len(old) and re.search(rf"@\S*\.{top}\b", new)
+        local, was = (re.search(r"(\S+)@", t)[1] for t in (new, old))
+        assert n == 0 or local != was
+    new = change("jürgen@x.com")[0][0]
+    assert re.fullmatch(r"[a-z][ß-ÿ][a-z]{4}@[a-z]\.com", new)
+    assert change("danke, jürgen@x.com!")[0][0] == f"danke, {new}!"
+
+
+def test_listed_gaps_stay(change):
+    texts = ["212 555 0123", "0171 2345678", "2001:db8::ff00:42:8329", "41111111 11111111", "078051120"]
+    assert change(*texts) == [(t, 0) for t in texts]
+
+
+def drawn(key, kind, turn, other):
+    data = "|".join([key, kind, str(turn), str(other), key])
+    return int(hashlib.sha256(data.encode()).hexdigest()[:15], 16)
+
+
+def feistel(key, kind, a, b, lefts, rights):
+    """The network by itself: eight turns, each half moved by a keyed number drawn from the other."""
+    for turn in range(8):
+        if turn % 2 == 0:
+            a = (a + drawn(key, kind, turn, b)) % lefts
+        else:
+            b = (b + drawn(key, kind, turn, a)) % rights
+    return a, b
+
+
+def test_permutations_against_plain_python(change):
+    pick = random.Random(2)
+    key = "another key"
+    cards, areas = [], []
+    while len(cards) < 15:
+        digits = "".join(pick.choices("0123456789", k=16))
+        cards += [digits] if luhn(digits) else []
+    while len(areas) < 15:
+        area, group, serial = pick.randrange(1, 900), pick.randrange(1, 100), pick.randrange(1, 10_000)
+        areas += [(area, group, serial)] if area != 666 else []
+    new = [text for text, _ in change(*cards, *[f"{a:03}-{g:02}-{s:04}" for a, g, s in areas], key=key)]
+    for card, got in zip(cards, new):
+        a, b = feistel(key, "card", int(card[:7]), int(card[7:15]), 10**7, 10**8)
+        assert got == next(n for d in "0123456789" if luhn(n := f"{a:07}{b:08}{d}"))
+    for (area, group, serial), got in zip(areas, new[15:]):
+        a, b = feistel(key, "ssn", (area - (2 if area > 666 else 1)) * 99 + group - 1, serial - 1, 898 * 99, 9999)
+        at = a // 99
+        assert got == f"{at + (2 if at >= 665 else 1):03}-{a % 99 + 1:02}-{b + 1:04}"
+
+
+def test_the_key_is_needed_and_in_no_plan(spark, capsys):
+    docs = spark.createDataFrame([(1, "call 212-555-0123")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        pseudonyms.replace(docs, "")
+    new = pseudonyms.replace(docs, "a-very-secret-key")
+    new.explain("extended")
+    new.explain("codegen")
+    shown = capsys.readouterr().out
+    assert "subquery" in shown and "secret" not in shown

@@ -7,7 +7,8 @@ added modulo the size of their part, so the permutation is one-to-one on exactly
 * card numbers keep length and separators and stay Luhn-valid,
 * dates from 1800 to 2199 stay such dates and keep their layout,
 * IPv4 addresses, US social security numbers, IBANs and phone numbers stay well formed,
-* e-mail addresses keep the class of each character (letters and digits move inside their class).
+* e-mail addresses keep the class of each character (digits, small and capital letters move inside their class; so
+  do those of Latin-1, Cyrillic and Greek, other scripts' letters stay).
 
 Equal values get equal pseudonyms in every document, and only holders of the key can go back.
 Invalid candidates, such as a digit run that fails Luhn, are left as they are.
@@ -20,10 +21,14 @@ pseudonym and each text is read the way it was written; this much of a date is v
 unbroken or in groups of four with one blank or - between them, those in groups by the lengths of
 ``IBAN_LENGTHS``.  Not found: dates with month names, two-digit years or no marks, dates that touch a
 further number with -, / or . (such as ranges without blanks) or follow one of these marks, IBANs in
-small letters.
+small letters, phone numbers with blanks or nothing between their groups unless they begin with + or a bracket,
+cards in other groups than 4-4-4-4 and 4-6-5, social security numbers without marks, IPv6 addresses.
 
-Defined results: null stays null and has no values; an empty text stays empty; repeated rows
-are treated alike; an empty table gives an empty result; other columns pass through.
+The key is needed, and stays out of plans and event logs.
+
+Defined results: null stays null and has no values; an empty text stays empty; a text is read whole, however long; where
+candidates overlap the one that begins first counts; repeated rows are treated alike; an empty table gives an empty
+result; other columns pass through.
 """
 
 from __future__ import annotations
@@ -38,12 +43,20 @@ from tillcast.llm.columns import let
 ROUNDS = 8
 _EDGE, _NO_MORE = r"(?<![0-9A-Za-z.+-])", r"(?![0-9A-Za-z])"
 
-#: Begins after any punctuation that no letter or digit precedes, as in _john@x.com_.
+#: Letters and digits of any script, so that no address is cut.  Begins after any punctuation that no letter or digit
+#: precedes, as in _john@x.com_.
+_SIGN = r"\p{L}\p{M}\p{N}"
 EMAIL = (
-    r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}"
-    r"@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+    rf"(?<![{_SIGN}])(?<![{_SIGN}][._%+-])[\p{{L}}\p{{N}}][{_SIGN}._%+-]{{0,63}}"
+    rf"@(?:[{_SIGN}-]{{1,63}}\.){{1,8}}[\p{{L}}\p{{M}}]{{2,24}}"
 )
-#: Countries by the length of their IBANs, those outside the registry included.
+#: Further alphabets whose letters move inside their own one.  Fixed values: Latin-1, Cyrillic and Greek.
+ALPHABETS = (
+    "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ",
+    "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
+    "αβγδεζηθικλμνξοπρςστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+)
+#: Countries by the length of their IBANs, those outside the registry included.
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
     22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
@@ -91,8 +104,9 @@ def _is(value: Column, pattern: str) -> Column:
 
 
 def _drawn(key: Column, *parts: Column) -> Column:
-    """A keyed pseudo-random number below 2^60."""
-    return F.conv(F.substring(F.md5(F.concat_ws("|", key, *[p.cast("string") for p in parts])), 1, 15), 16, 10).cast("long")
+    """A keyed pseudo-random number below 2^60: the head of a SHA-256 with the key on both ends."""
+    digest = F.sha2(F.concat_ws("|", key, *[p.cast("string") for p in parts], key), 256)
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def _feistel(left: Column, right: Column, lefts: Column, rights: Column, key: Column, kind: str) -> Column:
@@ -272,9 +286,14 @@ def _classed(value: Column, key: Column, kind: str) -> Column:
             def inside(first: str, size: int) -> Column:
                 return F.char((code - ord(first) + pad % size) % size + ord(first))
 
-            return F.when(c.rlike("[0-9]"), inside("0", 10)).when(c.rlike("[a-z]"), inside("a", 26)).when(
+            new = F.when(c.rlike("[0-9]"), inside("0", 10)).when(c.rlike("[a-z]"), inside("a", 26)).when(
                 c.rlike("[A-Z]"), inside("A", 26)
-            ).otherwise(c)
+            )
+            for alphabet in ALPHABETS:
+                place = F.instr(F.lit(alphabet), c)
+                moved_to = ((place - 1 + pad % len(alphabet)) % len(alphabet) + 1).cast("int")
+                new = new.when(place > 0, F.substring(F.lit(alphabet), moved_to, F.lit(1)))
+            return new.otherwise(c)
 
         return F.transform(half, moved)
 
@@ -295,7 +314,7 @@ def _classed(value: Column, key: Column, kind: str) -> Column:
 
 def _email(value: Column, key: Column) -> Column:
     """All but the top-level domain, so that short local parts aren't guessed."""
-    top = F.regexp_extract(value, r"\.[A-Za-z]+$", 0)
+    top = F.regexp_extract(value, r"\.[\p{L}\p{M}]+$", 0)
     return F.concat(_classed(F.substring(value, F.lit(1), F.length(value) - F.length(top)), key, "email"), top)
 
 
@@ -335,12 +354,11 @@ _KINDS: tuple[tuple[str, str, Callable[[Column, Column], Column]], ...] = (
 )
 
 
-def pseudonym(value: Column, key: str) -> Column:
+def pseudonym(value: Column, key: Column) -> Column:
     """The pseudonym of one candidate, or the candidate itself where it isn't valid."""
-    secret = F.lit(key)
     chosen = F.when(F.lit(False), value)
     for _, pattern, permute in _KINDS:
-        chosen = chosen.when(_is(value, pattern), permute(value, secret))
+        chosen = chosen.when(_is(value, pattern), permute(value, key))
     return chosen.otherwise(value)
 
 
@@ -360,17 +378,25 @@ def _substituted(text: Column, pattern: str, new: Callable[[Column], Column]) ->
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), rebuilt)
 
 
-def replaced(text: Column, key: str) -> Column:
+def replaced(text: Column, key: Column) -> Column:
     """Struct of the new text and the number of values replaced."""
     unchanged = F.struct(text.alias("text"), F.lit(0).cast("long").alias("n"))
     return F.when(text.rlike("[0-9@]"), _substituted(text, ANY, lambda value: pseudonym(value, key))).otherwise(unchanged)
 
 
+def _secret(docs: DataFrame, key: str) -> Column:
+    """The key as a scalar subquery over a one-row relation, whose rows no plan or event log shows."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
+    return docs.sparkSession.sql("SELECT * FROM VALUES (:key) AS t(key)", args={"key": key}).scalar()
+
+
 def replace(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
     """The rows with pseudonyms in their texts; ``count`` names a column for the number of values."""
     old = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     # Apart from the input's columns, whose names may be anything.
-    rows = docs.select(old.alias("old"), replaced(F.col(f"`{text}`"), key).alias("new"))
+    rows = docs.select(old.alias("old"), F.col(f"`{text}`").alias("text"), _secret(docs, key).alias("key"))
+    rows = rows.select("old", replaced(F.col("text"), F.col("key")).alias("new"))
     kept = [
         F.col("new")["text"].alias(c) if c == text else F.col("old")[c].alias(c) for c in docs.columns if c != count
     ]
