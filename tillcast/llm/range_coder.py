@@ -35,6 +35,7 @@ _MIX1, _MIX2 = np.int64(40503), np.int64(30011)
 _FIRST = np.uint64(8 << 32 | 4 << 16 | 4)
 _HALVES, _ONES = np.uint64(0x7FFF7FFF7FFF7FFF), np.uint64(0x000000100010001)
 _LIMIT = 2000
+_LENGTHS = np.arange(ID_BITS + 1)[None, :]
 # By hits of orders 2 (1) and 1 (2): credit to those that foresaw the id, or to order 0.
 _CREDITS = np.array([24 << 32, 24, 24 << 16, 24 << 16 | 24], np.uint64)
 # The mixture's total stays below 2^26, and 2^32 of span leave at least six bits beyond it.
@@ -92,37 +93,36 @@ class _Model:
         self.guessed = self.share2 + wide1 * self.total0 + self.weight0 * self.count1
         self.total = (wide2 + wide1 + self.weight0) * self.total0
 
-    def interval(self, number: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the number's part of the mixture begins, and its size."""
-        below = np.where(new, self.seen, self.running(number))
-        below -= (self.guess2 < number) * self.count2 + (self.guess1 < number) * self.count1
+    def interval(self, number: np.ndarray, below: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the number's part of the mixture begins, and its size; ``below`` are the counts of all numbers below."""
+        below = below - (self.guess2 < number) * self.count2 - (self.guess1 < number) * self.count1
         own = np.where(new, self.distinct + 1, self.count.take(self.at + number))
         start = np.where(hit2, 0, np.where(hit1, self.share2, self.guessed + self.weight0 * below))
         size = np.where(hit2, self.share2, np.where(hit1, self.guessed - self.share2, self.weight0 * own))
         return start, size
 
-    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The number whose part holds a place of the mixture; whether a guess, and whether new."""
+    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The number whose part holds a place of the mixture, the counts below it, whether a guess, and whether new."""
         hit2 = target < self.share2
-        hit1 = ~hit2 & (target < self.guessed)
+        hit1 = (target < self.guessed) ^ hit2
         place = np.maximum(target - self.guessed, 0) // self.weight0
         # What the guesses took out of order 0 is put back, the lower number first.
         lower_is_1 = self.guess1 < self.guess2
         for number, count in (
-            (np.where(lower_is_1, self.guess1, self.guess2), np.where(lower_is_1, self.count1, self.count2)),
-            (np.where(lower_is_1, self.guess2, self.guess1), np.where(lower_is_1, self.count2, self.count1)),
+            (np.minimum(self.guess1, self.guess2), np.where(lower_is_1, self.count1, self.count2)),
+            (np.maximum(self.guess1, self.guess2), np.where(lower_is_1, self.count2, self.count1)),
         ):
             place += count * (place >= self.running(np.maximum(number, 0)))
-        new = ~hit2 & ~hit1 & (place >= self.seen)
-        rest = np.minimum(place, np.maximum(self.seen - 1, 0)).astype(np.uint16)
-        held = np.zeros(len(rest), np.int64)
+        new = ~(hit2 | hit1) & (place >= self.seen)
+        place = np.minimum(place, np.maximum(self.seen - 1, 0))
+        rest, held = place.astype(np.uint16), np.zeros(len(place), np.int64)
         for sums, at in ((self.outer, self.lane), (self.middle, self.at_middle), (self.inner, self.at_inner)):
             row = sums.take(at + held, axis=0).view(np.uint16)
             inside = np.count_nonzero(row <= rest[:, None], axis=1) - 1
             rest = rest - row.ravel().take(self.at_middle + inside)
             held = (held << 4) + inside
         number = np.where(hit2, self.guess2, np.where(hit1, self.guess1, np.where(new, self.distinct, held)))
-        return number, hit2, hit1, new
+        return number, np.where(new, self.seen, place - rest), hit2, hit1, new
 
     def learn(self, number: np.ndarray, hit2: np.ndarray, new: np.ndarray) -> None:
         hit1 = (self.guess1 == number) & (self.sure1 > 0)
@@ -152,13 +152,30 @@ class _Model:
         self.before = (number + 1) * _MIX2
 
 
-def _columns(ids: np.ndarray) -> np.ndarray:
-    """Ids as (step, lane); the last block is filled up with its last id."""
+def _blocks(ids: np.ndarray) -> np.ndarray:
+    """Ids as (block, step); the last block is filled up with its last id."""
     blocks = -(-len(ids) // BLOCK)
     steps = BLOCK if blocks > 1 else len(ids)
     padded = np.full(steps * blocks, ids[-1], np.int64)
     padded[: len(ids)] = ids
-    return np.ascontiguousarray(padded.reshape(blocks, steps).T)
+    return padded.reshape(blocks, steps)
+
+
+def _numbered(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id's number by first appearance in its block, and whether it is new there."""
+    order = np.sort((blocks << _NUMBERS | np.arange(blocks.shape[1])).astype(np.uint32), axis=1).astype(np.int64)
+    place, ids = order & (1 << _NUMBERS) - 1, order >> _NUMBERS
+    begins = np.ones(blocks.shape, bool)
+    begins[:, 1:] = ids[:, 1:] != ids[:, :-1]
+    # Places of one id ascend, so the first of a run is its first appearance.
+    first = place[begins][np.cumsum(begins).reshape(blocks.shape) - 1]
+    lane = np.arange(len(blocks))[:, None]
+    new = np.zeros(blocks.shape, bool)
+    new[lane, first] = True
+    number = np.cumsum(new, axis=1) - 1
+    out = np.empty(blocks.shape, np.int64)
+    out[lane, place] = number[lane, first]
+    return out, new
 
 
 def _check(ids: np.ndarray) -> list[int]:
@@ -215,31 +232,26 @@ def _length(ids: np.ndarray) -> np.ndarray:
     return np.frexp(ids.astype(np.float64))[1]
 
 
-def _encode_lanes(columns: np.ndarray, id_bits: int) -> list[bytes]:
-    steps, lanes = columns.shape
+def _encode_lanes(blocks: np.ndarray) -> list[bytes]:
+    lanes, steps = blocks.shape
     model, coder = _Model(lanes), _Encoder(lanes, 2 * steps + 4)
-    # Number + 1 of each id of a lane's block.
-    numbers = np.zeros(lanes << id_bits, np.uint16)
-    first = np.arange(lanes) << id_bits
-    for ids in columns:
+    columns = [np.ascontiguousarray(x.T) for x in (blocks, *_numbered(blocks))]
+    for ids, number, new in zip(*columns):
         model.predict()
-        spot = first + ids
-        number = numbers[spot].astype(np.int64) - 1
-        new = number < 0
-        number = np.where(new, model.distinct, number)
         hit2 = (model.guess2 == number) & (model.sure2 > 0)
         hit1 = (model.guess1 == number) & model.own1
-        start, size = model.interval(number, hit2, hit1, new)
+        below = np.where(new, model.seen, model.running(number))
+        start, size = model.interval(number, below, hit2, hit1, new)
         coder.narrow(slice(None), start, size, model.total)
         at = new.nonzero()[0]
         if at.size:
-            numbers[spot[at]] = number[at] + 1
             length = _length(ids[at])
             counts = model.lengths[at]
-            below = np.where(np.arange(ID_BITS + 1)[None, :] < length[:, None], counts, 0).sum(axis=1)
+            own = counts[np.arange(len(at)), length]
+            below = np.where(_LENGTHS < length[:, None], counts, 0).sum(axis=1)
             bits = np.maximum(length - 1, 0)
             value = np.where(length > 0, ids[at] - (1 << bits), 0)
-            coder.narrow(at, below, model.lengths[at, length], counts.sum(axis=1), bits, value)
+            coder.narrow(at, below, own, counts.sum(axis=1), bits, value)
             model.lengths[at, length] += 1
         model.learn(number, hit2, new)
     return coder.finish()
@@ -251,10 +263,8 @@ def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray,
         return b"", np.zeros(0, np.int64), np.zeros(0, np.int64)
     if id_bits > ID_BITS or int(ids.max()) >> id_bits:
         raise ValueError(f"ids must lie below 2^{min(id_bits, ID_BITS)}")
-    columns = _columns(ids)
-    # The table of numbers has an entry for each possible id, so wide ids take fewer lanes.
-    lanes = max(1, min(LANES, (LANES << 16) >> id_bits))
-    coded = [c for i in range(0, columns.shape[1], lanes) for c in _encode_lanes(columns[:, i : i + lanes], id_bits)]
+    blocks = _blocks(ids)
+    coded = [c for i in range(0, len(blocks), LANES) for c in _encode_lanes(blocks[i : i + LANES])]
     return b"".join(coded), np.array(list(map(len, coded)), np.int64), np.array(_check(ids), np.int64)
 
 
@@ -299,12 +309,12 @@ def _decode_lanes(words: np.ndarray, place: np.ndarray, steps: int) -> np.ndarra
     """Ids as (step, lane)."""
     lanes = len(place)
     model, coder = _Model(lanes), _Decoder(words, place)
-    known = np.zeros(lanes << _NUMBERS, np.int64)
+    known = np.zeros(lanes << _NUMBERS, np.uint32)
     out = np.empty((steps, lanes), "<u4")
     for step in range(steps):
         model.predict()
-        number, hit2, hit1, new = model.find(coder.target(slice(None), model.total))
-        coder.narrow(slice(None), *model.interval(number, hit2, hit1, new))
+        number, below, hit2, hit1, new = model.find(coder.target(slice(None), model.total))
+        coder.narrow(slice(None), *model.interval(number, below, hit2, hit1, new))
         at = new.nonzero()[0]
         if at.size:
             counts = model.lengths[at]
@@ -321,7 +331,7 @@ def _decode_lanes(words: np.ndarray, place: np.ndarray, steps: int) -> np.ndarra
     return out
 
 
-def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int, id_bits: int = ID_BITS) -> np.ndarray:
+def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int) -> np.ndarray:
     """The ids (uint32); a block whose CRC differs is an error."""
     if not count:
         return np.zeros(0, "<u4")

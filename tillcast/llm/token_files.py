@@ -33,7 +33,7 @@ from tillcast.llm.columns import whole
 from tillcast.llm.memo import parts
 from tillcast.llm.word_ids import loaded
 
-SEGMENT = 1 << 22
+SEGMENT = 1 << 23
 
 _SEGMENTS = (
     "part int, segment int, doc_ids binary, doc_known binary, doc_tokens binary, n_tokens long, "
@@ -117,7 +117,7 @@ def _decoded(batch: pa.RecordBatch) -> Iterator[tuple[list[pa.Array], np.ndarray
     """Part, segment, document ids, starts in the segment; then counts and all ids of each segment."""
     for row in batch.to_pylist():
         ids = range_coder.decode(
-            row["payload"], np.array(row["sizes"], np.int64), row["checks"], row["n_tokens"], row["id_bits"]
+            row["payload"], np.array(row["sizes"], np.int64), row["checks"], row["n_tokens"]
         )
         keys = [k if known else None for k, known in zip(np.frombuffer(row["doc_ids"], "<i8").tolist(), row["doc_known"])]
         counts = np.frombuffer(row["doc_tokens"], "<u4").astype(np.int64)
