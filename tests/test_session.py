@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 
 from tillcast import session
@@ -31,3 +33,21 @@ def test_a_cluster_must_name_a_shared_folder(master):
 
 def test_a_local_master_may_use_a_temporary_folder():
     assert session.shared_folder(_Session("local[4]"), "x") != session.shared_folder(_Session("local[4]"), "x")
+
+
+def test_scratch_removes_what_was_named_inside(spark):
+    def there(path):
+        return pathlib.Path(path.removeprefix("file:")).exists()
+
+    with session.scratch(spark) as kept:
+        path = session.shared_folder(spark, "outer")
+        outer = session.stored(spark.range(3), "outer", path)
+        with session.scratch(spark) as inner:
+            assert session.stored(spark.range(5), "inner").count() == 5
+            (gone,) = inner
+            assert there(gone)
+        assert not there(gone) and there(path)
+        session.stored(spark.range(5), "more")
+        more = kept[-1]
+        kept.remove(path)
+    assert outer.count() == 3 and there(path) and not there(more)

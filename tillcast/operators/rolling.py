@@ -16,11 +16,11 @@ analyzer in one call per step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import EPSILON, epoch_day, holiday_flag
-from tillcast.operators.order_index import frame_order
+from tillcast.operators.order_index import FRACTIONS, frame_order
 from tillcast.session import by_store
 
 HORIZONS = {"q": 90, "h": 180, "y": 365, "y2": 730}
@@ -44,31 +44,14 @@ def feature_names(splits: list[str] | None = None) -> list[str]:
     ]
 
 
-def _statistics(h: str) -> dict[str, str]:
-    """The eight statistics of one horizon from the columns ``_frame_statistics`` prepares."""
-    mean, median, std = f"_mean_{h}", f"_order.{h}_median", f"_std_{h}"
-    return {
-        "mean": mean,
-        "median": median,
-        "std": std,
-        "p10": f"_order.{h}_p10",
-        "p90": f"_order.{h}_p90",
-        "skew": f"({mean} - {median}) / ({std} + {EPSILON}D)",
-        "cv": f"try_divide({std}, {mean} + {EPSILON}D)",
-        "harmonic_mean": f"CASE WHEN _nonzero_{h} >= {MIN_PERIODS} "
-        f"THEN try_divide(_n_{h}, _inverse_{h} + {EPSILON}D) END",
-    }
-
-
-def _frame_statistics(parts: DataFrame, shift: int) -> DataFrame:
-    """Add ``_stats``: one struct ``<horizon>_<statistic>`` per row of a (Store, _split, _key) group.
+def _moment_sums(parts: DataFrame, shift: int) -> DataFrame:
+    """Add ``_sums``: per horizon the counts and sums of the frame of each row of a (Store, _split, _key) group.
 
     ``shift`` moves the upper edge of the frames that many days into the past.
     """
     group = "PARTITION BY Store, _split, _key"
     running = f"OVER ({group} ORDER BY _day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     whole = f"OVER ({group} ORDER BY _day ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-    ordered = frame_order(list(HORIZONS), max(HORIZONS.values()) + shift, MIN_PERIODS)
     nonzero = "nullif(_value, 0)"
     # Deviations from a whole number near the mean keep the running squares small.
     deviation = "(_value - _centre)"
@@ -92,36 +75,40 @@ def _frame_statistics(parts: DataFrame, shift: int) -> DataFrame:
         f"{total_until(shift) if shift else '_total'} AS _high",
     )
 
-    def count(total: str) -> Column:
-        return F.coalesce(F.col(f"{total}.n"), F.lit(0))
+    def in_frame(field: str, h: str) -> str:
+        return f"'{field}_{h}', coalesce(_high.{field}, 0) - coalesce(_low_{h}.{field}, 0)"
 
-    # Rows leave the windows group by group in day order, as the index reads them.
-    edges = edges.withColumn(
-        "_order", ordered("_value", count("_total"), count("_high"), *[count(f"_low_{h}") for h in HORIZONS])
-    )
+    sums = ", ".join(in_frame(f, h) for f in ("n", "sum", "dev", "dev2", "inverse", "nonzero") for h in HORIZONS)
+    # Rows with an absent split key belong to no group.
+    return edges.selectExpr(*parts.columns, f"CASE WHEN _key IS NOT NULL THEN named_struct({sums}) END AS _sums")
 
-    def in_frame(field: str, h: str) -> str:
-        return f"coalesce(_high.{field}, 0) - coalesce(_low_{h}.{field}, 0) AS _{field}_{h}"
 
-    frames = edges.selectExpr(
-        *parts.columns,
-        "_order",
-        *[in_frame(f, h) for f in ("n", "sum", "dev", "dev2", "inverse", "nonzero") for h in HORIZONS],
+def _moments(s: str, h: str) -> dict[str, str]:
+    """Mean and deviation of a frame from its sums; one that holds a single value takes it as it is, free of rounding."""
+    n, same = f"_at_{s}.n_{h}", f"_order.{s}_{h}_same"
+    variance = (
+        f"greatest(try_divide(_at_{s}.dev2_{h} - try_divide(_at_{s}.dev_{h} * _at_{s}.dev_{h}, {n}), {n} - 1), 0D)"
     )
-    moments = []
-    for h in HORIZONS:
-        constant = f"_order.{h}_least = _order.{h}_most"
-        variance = f"greatest(try_divide(_dev2_{h} - try_divide(_dev_{h} * _dev_{h}, _n_{h}), _n_{h} - 1), 0D)"
-        for name, value in (
-            # A constant frame takes its value as it is, free of what the running totals round off.
-            ("mean", f"CASE WHEN {constant} THEN _order.{h}_least ELSE try_divide(_sum_{h}, _n_{h}) END"),
-            ("std", f"CASE WHEN {constant} THEN 0D ELSE sqrt({variance}) END"),
-        ):
-            moments.append(f"CASE WHEN _n_{h} >= {MIN_PERIODS} THEN {value} END AS _{name}_{h}")
-    named = [f"'{h}_{stat}', {text}" for h in HORIZONS for stat, text in _statistics(h).items()]
-    # Rows with an absent split key belong to no group.
-    stats = f"CASE WHEN _key IS NOT NULL THEN named_struct({', '.join(named)}) END AS _stats"
-    return frames.selectExpr("*", *moments).selectExpr(*parts.columns, stats)
+    return {
+        "mean": f"CASE WHEN {n} >= {MIN_PERIODS} THEN coalesce({same}, try_divide(_at_{s}.sum_{h}, {n})) END",
+        "std": f"CASE WHEN {n} >= {MIN_PERIODS} THEN CASE WHEN {same} IS NOT NULL THEN 0D ELSE sqrt({variance}) END END",
+    }
+
+
+def _statistics(s: str, h: str) -> dict[str, str]:
+    """The eight statistics of one split and horizon."""
+    mean, std, median = f"_mean_{s}_{h}", f"_std_{s}_{h}", f"_order.{s}_{h}_median"
+    return {
+        "mean": mean,
+        "median": median,
+        "std": std,
+        "p10": f"_order.{s}_{h}_p10",
+        "p90": f"_order.{s}_{h}_p90",
+        "skew": f"({mean} - {median}) / ({std} + {EPSILON}D)",
+        "cv": f"try_divide({std}, {mean} + {EPSILON}D)",
+        "harmonic_mean": f"CASE WHEN _at_{s}.nonzero_{h} >= {MIN_PERIODS} "
+        f"THEN try_divide(_at_{s}.n_{h}, _at_{s}.inverse_{h} + {EPSILON}D) END",
+    }
 
 
 def recent_blocks(
@@ -130,11 +117,12 @@ def recent_blocks(
     """The work of ``add_recent_features`` on rows already placed by store.
 
     Every row becomes one part per split, all inside its partition; the parts go through
-    one pipeline, and one RANGE lookup brings the five blocks back to the row.  The columns
-    that take no part travel as a struct on the first part only.
+    one pipeline, and one RANGE lookup brings the five blocks of sums back to the row, which then
+    asks for its percentiles.  The columns that take no part travel as a struct on the first part only.
     """
     chosen = [s for s in SPLITS if not splits or s in splits]
     lagged = split_key == "source_row"
+    ago, shift = (lag_days, 0) if lagged else (0, lag_days)
     keyed = placed.withColumns({"is_holiday": holiday_flag("StateHoliday"), "_day": epoch_day("Date")})
     # concat is null as soon as one key is absent.
     key_texts = {s: ", '|', ".join([*SPLITS[s], "''"]) for s in chosen}
@@ -153,19 +141,32 @@ def recent_blocks(
         "_part.key AS _key",
         f"CASE WHEN _part.split = '{chosen[0]}' THEN _row END AS _row",
     )
-    stats = _frame_statistics(parts, 0 if lagged else lag_days)
-    ago = lag_days if lagged else 0
+    sums = _moment_sums(parts, shift)
     at_lag = Window.partitionBy("Store").orderBy("_day").rangeBetween(-ago, -ago)
-    looked_up = stats.withColumns(
-        {f"_at_{s}": F.first(F.when(F.col("_split") == s, F.col("_stats")), ignorenulls=True).over(at_lag) for s in chosen}
+    looked_up = sums.withColumns(
+        {f"_at_{s}": F.first(F.when(F.col("_split") == s, F.col("_sums")), ignorenulls=True).over(at_lag) for s in chosen}
+    ).where(F.col("_split") == chosen[0])
+
+    # Last, because rows leave the look-up store by store in day order, as the index reads them, and Spark doesn't
+    # know their placing after it.
+    keys = sorted({k for s in chosen for k in SPLITS[s]})
+    ordered = frame_order(
+        {s: [keys.index(k) for k in SPLITS[s]] for s in chosen},
+        HORIZONS,
+        {s: [name for name in FRACTIONS if name in SPLIT_STATS[s]] for s in chosen},
+        ago,
+        shift,
+        MIN_PERIODS,
     )
+    out = looked_up.withColumn("_order", ordered("Store", "_day", "_value", *[F.col(f"_row.{k}").cast("double") for k in keys]))
+    moments = [f"{text} AS _{name}_{s}_{h}" for h in HORIZONS for s in chosen for name, text in _moments(s, h).items()]
     names = [
-        f"_at_{s}.{h}_{stat} AS recent_{h}_{s}_{stat}"
+        f"{_statistics(s, h)[stat]} AS recent_{h}_{s}_{stat}"
         for h in HORIZONS
         for s in chosen
         for stat in SPLIT_STATS[s]
     ]
-    return looked_up.where(F.col("_split") == chosen[0]).selectExpr("_row.*", *names)
+    return out.selectExpr("_row", "_order", *[f"_at_{s}" for s in chosen], *moments).selectExpr("_row.*", *names)
 
 
 def add_recent_features(

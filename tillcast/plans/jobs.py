@@ -12,6 +12,7 @@ from tillcast.functions.scalars import rmspe
 from tillcast.operators import features
 from tillcast.operators.ensemble import recommend
 from tillcast.plans import train as training
+from tillcast.session import scratch
 from tillcast.sources.schema import read_featured, require_columns
 from tillcast.sources.sinks import append_score, write_submission
 
@@ -108,6 +109,11 @@ def train_and_submit(
     spark: SparkSession, featured: str, out: str, run_id: str, options: TrainOptions = TrainOptions()
 ) -> DataFrame:
     """Both families, their submissions and the weighted one, models, scores; returns the comparison."""
+    with scratch(spark):
+        return _train_and_submit(spark, featured, out, run_id, options)
+
+
+def _train_and_submit(spark: SparkSession, featured: str, out: str, run_id: str, options: TrainOptions) -> DataFrame:
     tables = read_featured(spark, featured)
     test = tables["test_featured"]
     runs, scores = train_families(tables, list(training.FAMILIES), options, f"{out}/progress/{run_id}")

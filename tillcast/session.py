@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Intermediate folders named inside the innermost ``scratch``.
+_NAMED: ContextVar[list[str] | None] = ContextVar("named", default=None)
+
 
 # Runtime settings the plans are written for; all can be set on a running session.
 SETTINGS = {
@@ -19,7 +26,21 @@ SETTINGS = {
 }
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers that run beside the driver import this package from where it lies.
+
+    On a cluster the package is installed or sent with the job, and this changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, root) if p)
+
+
 def tune(spark: SparkSession) -> SparkSession:
+    """The session with these settings, its workers able to import this package."""
+    importable(spark)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -67,7 +88,30 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError(f"spark.checkpoint.dir must name a folder shared by all executors of {master}")
         root = tempfile.mkdtemp(prefix="tillcast-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    named = _NAMED.get()
+    if named is not None:
+        named.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Intermediate folders named inside are removed at its end; those taken off the list it gives stay.
+
+    For work whose result doesn't depend on them any more: one that has been written or collected.  Results that
+    are returned as plans still read theirs.
+    """
+    named: list[str] = []
+    token = _NAMED.set(named)
+    try:
+        yield named
+    finally:
+        _NAMED.reset(token)
+        context = spark.sparkContext
+        for path in named:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -82,9 +126,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """The rows written once as Parquet in the shared folder and read back: column pruning
     and true sizes for what follows, and no recomputation when an executor is lost."""
-    path = shared_folder(df.sparkSession, purpose)
+    path = path or shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
