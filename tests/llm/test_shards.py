@@ -53,7 +53,10 @@ def test_growing_moves_little():
     moved = [slot for slot in old if old[slot] != new[slot]]
     assert len(moved) <= 1.05 * len(old) / 9 and all(new[slot] == 8 for slot in moved)
     back = shards.rebalanced(new, sizes, 8)
-    assert all(back[s] == new[s] or new[s] == 8 or held_by(back, sizes, 8) for s in back) and set(back.values()) == set(range(8))
+    assert set(back.values()) == set(range(8))
+    assert sum(back[s] != new[s] for s in back if new[s] != 8) <= 0.02 * len(back)
+    held = held_by(back, sizes, 8)
+    assert max(held) <= 1.01 * min(held)
 
 
 def test_versions_stay_readable(spark, tmp_path):

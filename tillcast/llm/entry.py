@@ -26,8 +26,7 @@ from tillcast.llm import (
     token_files,
 )
 from tillcast.llm.tables import table
-from tillcast.llm.workers import importable
-from tillcast.session import shared_folder
+from tillcast.session import importable, shared_folder
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_FILE = "word_bpe_49k.json"

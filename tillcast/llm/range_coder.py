@@ -71,65 +71,67 @@ class _Model:
         return (sums + outer.take(self.at_middle + (number >> 8))).astype(np.int64)
 
     def predict(self) -> None:
-        """Both guesses (-1: none), and the sizes of their shares and of the whole mixture."""
-        entry2, entry1 = self.table2.take(self.slot2).astype(np.int64), self.table1.take(self.slot1).astype(np.int64)
-        self.entry2, self.entry1 = entry2, entry1
-        self.guess2, self.guess1 = (entry2 >> 3) - 1, (entry1 >> 3) - 1
-        self.sure2, self.sure1 = entry2 & 7, entry1 & 7
+        """Both guesses (-1: none), what each adds to its number's part of the mixture, and the mixture's size.
+
+        All sizes are in units of a weight times an order-0 count; the mixture holds the numbers in their order, then
+        what order 0 leaves for new ids.
+        """
+        self.entry2, self.entry1 = (t.take(at).astype(np.int64) for t, at in ((self.table2, self.slot2), (self.table1, self.slot1)))
+        self.guess2, self.guess1 = (self.entry2 >> 3) - 1, (self.entry1 >> 3) - 1
+        self.sure2, self.sure1 = self.entry2 & 7, self.entry1 & 7
         self.row = self.first_row + (self.sure2 << 3) + self.sure1
         self.packed = self.weights.take(self.row)
         packed = self.packed.view(np.int64)
-        weight2, weight1, self.weight0 = packed & 0xFFFF, packed >> 16 & 0xFFFF, packed >> 32
-        self.sum = weight2 + weight1 + self.weight0
+        self.weight0 = packed >> 32
         self.total0 = self.seen + self.distinct + 1
-        known2, known1 = entry2 > 0, entry1 > 0
-        self.agree = known2 & (self.guess1 == self.guess2)
-        self.own1 = known1 & ~self.agree
-        # A guess of -1 reads a count of another lane, which the factor drops.
-        self.count2 = self.count[self.at + self.guess2] * known2.astype(np.int64)
-        self.count1 = self.count[self.at + self.guess1] * self.own1.astype(np.int64)
-        wide2, wide1 = weight2 * known2 + weight1 * self.agree, weight1 * self.own1
-        self.share2 = wide2 * self.total0 + self.weight0 * self.count2
-        self.guessed = self.share2 + wide1 * self.total0 + self.weight0 * self.count1
-        self.total = (wide2 + wide1 + self.weight0) * self.total0
-
-    def interval(self, number: np.ndarray, below: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # Without a guess its weight is no part of the mixture.
+        self.bonus2 = (packed & 0xFFFF) * (self.entry2 > 0) * self.total0
+        self.bonus1 = (packed >> 16 & 0xFFFF) * (self.entry1 > 0) * self.total0
+        self.total = self.weight0 * self.total0 + self.bonus2 + self.bonus1
+
+    def interval(self, number: np.ndarray, below: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the number's part of the mixture begins, and its size; ``below`` are the counts of all numbers below."""
-        below = below - (self.guess2 < number) * self.count2 - (self.guess1 < number) * self.count1
         own = np.where(new, self.distinct + 1, self.count.take(self.at + number))
-        start = np.where(hit2, 0, np.where(hit1, self.share2, self.guessed + self.weight0 * below))
-        size = np.where(hit2, self.share2, np.where(hit1, self.guessed - self.share2, self.weight0 * own))
+        start = self.weight0 * below + (self.guess2 < number) * self.bonus2 + (self.guess1 < number) * self.bonus1
+        size = self.weight0 * own + (self.guess2 == number) * self.bonus2 + (self.guess1 == number) * self.bonus1
         return start, size
 
-    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The number whose part holds a place of the mixture, the counts below it, whether a guess, and whether new."""
-        hit2 = target < self.share2
-        hit1 = (target < self.guessed) ^ hit2
-        place = np.maximum(target - self.guessed, 0) // self.weight0
-        # What the guesses took out of order 0 is put back, the lower number first.
-        lower_is_1 = self.guess1 < self.guess2
-        for number, count in (
-            (np.minimum(self.guess1, self.guess2), np.where(lower_is_1, self.count1, self.count2)),
-            (np.maximum(self.guess1, self.guess2), np.where(lower_is_1, self.count2, self.count1)),
-        ):
-            place += count * (place >= self.running(np.maximum(number, 0)))
-        new = ~(hit2 | hit1) & (place >= self.seen)
+    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number whose part holds a place of the mixture, the counts below it, and whether it is new."""
+        swap = self.guess1 < self.guess2
+        guesses = np.minimum(self.guess1, self.guess2), np.maximum(self.guess1, self.guess2)
+        bonuses = np.where(swap, self.bonus1, self.bonus2), np.where(swap, self.bonus2, self.bonus1)
+        rest, number = target, np.full(len(target), -1)
+        for guess, bonus in zip(guesses, bonuses):
+            # Inside the guess's part, or beyond it: what the guess adds is taken out.
+            start = self.weight0 * self.running(np.maximum(guess, 0))
+            beyond = rest - start
+            inside = (beyond >= 0) & (beyond < bonus)
+            number = np.where(inside & (number < 0), guess, number)
+            rest = rest - bonus * (beyond >= bonus)
+        place = rest // self.weight0
+        new = (number < 0) & (place >= self.seen)
         place = np.minimum(place, np.maximum(self.seen - 1, 0))
-        rest, held = place.astype(np.uint16), np.zeros(len(place), np.int64)
+        held, left = np.zeros(len(place), np.int64), place.astype(np.uint16)
         for sums, at in ((self.outer, self.lane), (self.middle, self.at_middle), (self.inner, self.at_inner)):
             row = sums.take(at + held, axis=0).view(np.uint16)
-            inside = np.count_nonzero(row <= rest[:, None], axis=1) - 1
-            rest = rest - row.ravel().take(self.at_middle + inside)
+            inside = np.count_nonzero(row <= left[:, None], axis=1) - 1
+            left = left - row.ravel().take(self.at_middle + inside)
             held = (held << 4) + inside
-        number = np.where(hit2, self.guess2, np.where(hit1, self.guess1, np.where(new, self.distinct, held)))
-        return number, np.where(new, self.seen, place - rest), hit2, hit1, new
-
-    def learn(self, number: np.ndarray, hit2: np.ndarray, new: np.ndarray) -> None:
-        hit1 = (self.guess1 == number) & (self.sure1 > 0)
+        guessed = number >= 0
+        number = np.where(guessed, number, np.where(new, self.distinct, held))
+        below = np.where(new, self.seen, place - left)
+        if guessed.any():
+            below = np.where(guessed, self.running(number), below)
+        return number, below, new
+
+    def learn(self, number: np.ndarray, new: np.ndarray) -> None:
+        hit2, hit1 = self.guess2 == number, self.guess1 == number
         self.weights[self.row] = self.packed + _CREDITS.take(hit2 + (hit1 << np.int8(1)))
         self.steps += 1
         if not self.steps & 7:
-            rows = self.row[self.sum > _LIMIT]
+            packed = self.packed.view(np.int64)
+            rows = self.row[(packed & 0xFFFF) + (packed >> 16 & 0xFFFF) + self.weight0 > _LIMIT]
             self.weights[rows] = (self.weights[rows] >> np.uint64(1) & _HALVES) | _ONES
         # New ids count once, others twice.
         spot, more = self.at + number, 2 - new
@@ -238,11 +240,8 @@ def _encode_lanes(blocks: np.ndarray) -> list[bytes]:
     columns = [np.ascontiguousarray(x.T) for x in (blocks, *_numbered(blocks))]
     for ids, number, new in zip(*columns):
         model.predict()
-        hit2 = (model.guess2 == number) & (model.sure2 > 0)
-        hit1 = (model.guess1 == number) & model.own1
         below = np.where(new, model.seen, model.running(number))
-        start, size = model.interval(number, below, hit2, hit1, new)
-        coder.narrow(slice(None), start, size, model.total)
+        coder.narrow(slice(None), *model.interval(number, below, new), model.total)
         at = new.nonzero()[0]
         if at.size:
             length = _length(ids[at])
@@ -253,7 +252,7 @@ def _encode_lanes(blocks: np.ndarray) -> list[bytes]:
             value = np.where(length > 0, ids[at] - (1 << bits), 0)
             coder.narrow(at, below, own, counts.sum(axis=1), bits, value)
             model.lengths[at, length] += 1
-        model.learn(number, hit2, new)
+        model.learn(number, new)
     return coder.finish()
 
 
@@ -313,8 +312,8 @@ def _decode_lanes(words: np.ndarray, place: np.ndarray, steps: int) -> np.ndarra
     out = np.empty((steps, lanes), "<u4")
     for step in range(steps):
         model.predict()
-        number, below, hit2, hit1, new = model.find(coder.target(slice(None), model.total))
-        coder.narrow(slice(None), *model.interval(number, below, hit2, hit1, new))
+        number, below, new = model.find(coder.target(slice(None), model.total))
+        coder.narrow(slice(None), *model.interval(number, below, new))
         at = new.nonzero()[0]
         if at.size:
             counts = model.lengths[at]
@@ -327,7 +326,7 @@ def _decode_lanes(words: np.ndarray, place: np.ndarray, steps: int) -> np.ndarra
             known[model.at[at] + number[at]] = np.where(length > 0, value + (1 << bits), 0)
             model.lengths[at, length] += 1
         out[step] = known[model.at + number]
-        model.learn(number, hit2, new)
+        model.learn(number, new)
     return out
 
 
