@@ -49,7 +49,7 @@ def test_good_labels_stay_and_no_mail_is_left(spark, folder, stages, documents):
         for mail in re.findall(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[a-z]+", text_of[row["doc_id"]]):
             mails.add(mail)
             assert mail not in row["text"]
-    assert len(mails) > 5
+    assert mails
 
 
 def test_run(spark, folder, stages):
