@@ -124,3 +124,32 @@ def test_exploration_job(spark, raw, tmp_path, fmt):
     whole, fit, holdout = (t.count() for t in tables)
     assert whole == 2 * 45 and fit + holdout == whole and holdout == 2 * sum(n % 4 > 0 for n in range(18, 60))
     assert all(v is not None for row in tables[0].collect() for v in row)
+
+
+def shuffles(df):
+    """Shuffles of the plan that place rows, those of subqueries left out."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    prepared = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    return [line for line in prepared.splitlines() if "Exchange hashpartitioning" in line], plan
+
+
+def test_features_of_a_table_by_store_need_no_shuffle(spark, raw, day, tmp_path):
+    rows = raw([(store, n, dict(Sales=float(100 * store + n), Open=int(n % 9 > 0))) for store in range(1, 6) for n in range(150)])
+    path = f"{tmp_path}/rows"
+    table = sinks.write_by_store(rows, "rows_by_store", path, 3)
+    try:
+        origin = F.lit(day(0))
+        found = build.add_features(table, origin, placed=True)
+        assert shuffles(found)[0] == [] and shuffles(build.add_features(table, origin))[0] != []
+        names = ["Store", "Date", "recent_q_dow_median", "trend_q_slope", "days_since_promo", "holidays_next_week"]
+        got, want = (
+            sorted(map(tuple, df.select(*names).collect())) for df in (found, build.add_features(rows, origin))
+        )
+        assert str(got) == str(want) and len(got) == 750
+        # A file per bucket; a session that doesn't know the table finds it again.
+        assert len([p for p in (tmp_path / "rows").iterdir() if p.suffix == ".parquet"]) <= 3
+        spark.sql("DROP TABLE rows_by_store")
+        again = sinks.read_by_store(spark, "rows_by_store", path, rows.schema, 3)
+        assert shuffles(build.add_features(again, origin, placed=True))[0] == [] and again.count() == 750
+    finally:
+        spark.sql("DROP TABLE IF EXISTS rows_by_store")

@@ -19,7 +19,7 @@ from tillcast.functions.scalars import (
     iso_weekday,
     summer_flag,
 )
-from tillcast.session import by_store
+from tillcast.session import by_store, unpacked
 
 PROMO_CYCLE = 14
 PROMO2_CYCLE = 91
@@ -202,7 +202,7 @@ def temporal_blocks(df: DataFrame, origin: Column) -> DataFrame:
         rows = rows.withColumn("days_since_refurb", days_since(refurb))
 
     windowed = [c for c in (*TEMPORAL_COLUMNS, "state_holiday_flag") if c in rows.columns]
-    out = rows.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns if c not in windowed], *windowed)
+    out = rows.select(*unpacked([c for c in df.columns if c not in windowed]), *windowed)
     out = competition(summer(promo_cycles(calendar_parts(out), origin)))
     added = [c for c in (*TEMPORAL_COLUMNS, "state_holiday_flag") if c in out.columns]
     return out.select(*[c for c in df.columns if c not in added], *added)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import EPSILON, epoch_day, holiday_flag
 from tillcast.operators.order_index import FRACTIONS, frame_order
-from tillcast.session import by_store
+from tillcast.session import by_store, unpacked
 
 HORIZONS = {"q": 90, "h": 180, "y": 365, "y2": 730}
 SPLITS = {
@@ -166,7 +166,8 @@ def recent_blocks(
         for s in chosen
         for stat in SPLIT_STATS[s]
     ]
-    return out.selectExpr("_row", "_order", *[f"_at_{s}" for s in chosen], *moments).selectExpr("_row.*", *names)
+    stats = out.selectExpr("Store", "_row", "_order", *[f"_at_{s}" for s in chosen], *moments)
+    return stats.select(*unpacked([*placed.columns, "is_holiday"]), *[F.expr(n) for n in names])
 
 
 def add_recent_features(

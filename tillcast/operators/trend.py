@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import epoch_day
 from tillcast.operators.events import first_date
-from tillcast.session import by_store
+from tillcast.session import by_store, unpacked
 
 GAP = 30                      # days between the history and the month
 RIDGE_DAYS = {"q": 90, "y": 365}
@@ -215,7 +215,7 @@ def trend_blocks(placed: DataFrame, origin: Column) -> DataFrame:
         "trend_q_dow_coef": "q.w_dow",
         "trend_q_promo_coef": "q.w_promo",
     }
-    kept = [F.col(f"_row.{c}").alias(c) for c in placed.columns if c != "day_number"]
+    kept = unpacked([c for c in placed.columns if c != "day_number"])
     named = [f"_month.{path} AS {name}" for name, path in read.items()]
     return months.selectExpr("*", *[fitted(tf) for tf in RIDGE_DAYS], *named).select(
         *kept,

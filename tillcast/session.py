@@ -9,7 +9,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Intermediate folders named inside the innermost ``scratch``.
 _NAMED: ContextVar[list[str] | None] = ContextVar("named", default=None)
@@ -75,6 +76,11 @@ def by_store(df: DataFrame) -> DataFrame:
     return df.repartition(shuffle_width(df.sparkSession), "Store")
 
 
+def unpacked(columns: list[str], packed: str = "_row") -> list[Column]:
+    """Columns of a packed row, but for the store: read from the struct, it would no longer be known to place the rows."""
+    return [F.col("Store") if c == "Store" else F.col(f"{packed}.{c}").alias(c) for c in columns]
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate data that the driver and every executor can reach.
 
