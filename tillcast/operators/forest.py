@@ -163,7 +163,9 @@ def leaves(forests: Iterable[Forest], names: list[str], features: Column) -> Col
     return _over_rows(_Arrays(list(forests), names), "leaves", pa.int32(), "array<int>")(features)
 
 
-def fit_leaves(rows: DataFrame, structures: dict[str, Forest], names: list[str], features: Column, uses: dict[str, Column]) -> dict[str, Forest]:
+def fit_leaves(
+    rows: DataFrame, structures: dict[str, Forest], names: list[str], features: Column, uses: dict[str, Column]
+) -> dict[str, Forest]:
     """The same trees with the mean ``label`` of their rows in the leaves, all models in one pass.
 
     ``uses`` says which rows a model learns from.  A leaf that none of them reaches takes the mean of all of its

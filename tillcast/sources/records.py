@@ -12,7 +12,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FIT = "kind string, model_id int, rounds int, done boolean, rmspe double, losses array<double>, features array<string>, nodes string, base double, weight double"
+FIT = (
+    "kind string, model_id int, rounds int, done boolean, rmspe double, losses array<double>, "
+    "features array<string>, nodes string, base double, weight double"
+)
 VERSION = "path string"
 _HEAD = "key string, turn int, "
 
