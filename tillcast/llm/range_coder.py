@@ -138,7 +138,8 @@ class _Model:
         self.count[spot] += more.astype(np.uint16)
         step = (more - 1) << 4
         self.outer += _ABOVE.take(step + (number >> 8), axis=0)
-        for sums, at, digit in ((self.middle, self.at_middle + (number >> 8), number >> 4), (self.inner, self.at_inner + (number >> 4), number)):
+        sixteens = number >> 4
+        for sums, at, digit in ((self.middle, self.at_middle + (number >> 8), sixteens), (self.inner, self.at_inner + sixteens, number)):
             sums[at] = sums.take(at, axis=0) + _ABOVE.take(step + (digit & 15), axis=0)
         self.seen += more
         self.distinct += new
@@ -201,7 +202,10 @@ class _Encoder:
         self.out, self.room = np.zeros(lanes * room, "<u4"), room
         self.place = np.arange(lanes) * room
 
-    def narrow(self, lanes: np.ndarray | slice, start: np.ndarray, size: np.ndarray, total: np.ndarray, bits: np.ndarray | None = None, value: np.ndarray | None = None) -> None:
+    def narrow(
+        self, lanes: np.ndarray | slice, start: np.ndarray, size: np.ndarray, total: np.ndarray,
+        bits: np.ndarray | None = None, value: np.ndarray | None = None,
+    ) -> None:
         """Code an interval of the total, then a value of some bits."""
         span = self.span[lanes] // _unsigned(total)
         low = self.low[lanes] + span * _unsigned(start)
