@@ -160,7 +160,8 @@ def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     with a column that doesn't vary gives null.
     """
     columns = columns or [c for c in numeric_columns(df) if c != "Open"]
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    # Read for the means and for the moments.
+    doubles = stored(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "correlations")
     means = doubles.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
     centred = doubles.select(*[(F.col(c) - means.getField(c)).alias(c) for c in columns])
     names = F.array(*[F.lit(c) for c in columns])
