@@ -113,3 +113,8 @@ def test_recent_month_is_never_seen(raw, day):
         for r in (rows, changed)
     )
     assert before == after and before.recent_q_all_mean is not None
+
+
+def test_rows_are_sorted_once_and_never_multiplied(raw):
+    plan = rolling.add_recent_features(raw([(1, 0, {})]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Sort [") == 1 and "Window" not in plan and "Generate" not in plan
