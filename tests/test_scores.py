@@ -188,3 +188,36 @@ def test_random_subsets(spark):
     assert min(sizes) >= 20 and max(sizes) <= 60 and len(sizes) > 5
     assert all(len(set(f)) == len(f) for f in first.values())
     assert features.without_short_term(["recent_q_all_mean", "recent_h_all_mean"]) == ["recent_h_all_mean"]
+
+
+def test_replicates_of_many_groups_leave_a_task_once(spark):
+    df = spark.range(4000, numPartitions=1).selectExpr("id", "id % 500 AS k", "double(id) AS v")
+    means = bootstrap.replicate_means(df, "v", ["k"], ["id"], 3)
+    means.collect()
+    node = means._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            return walk(plan.executedPlan())
+        if plan.nodeName().endswith("QueryStage"):
+            return walk(plan.plan())
+        if plan.nodeName() == "MapInArrow":
+            found.append(plan.metrics().get("pythonNumRowsReceived").get().value())
+        children = plan.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(node)
+    assert found == [500 * 3]
+
+
+def test_one_group_is_described_without_a_join(spark):
+    df = spark.range(0, 1001, 1, 4).selectExpr("double(id) AS v")
+    described = ranks.describe(df, "v")
+    assert "Join" not in described._jdf.queryExecution().optimizedPlan().toString()
+    assert described.collect() == [("all", 1001, 500.0, pytest.approx(289.1081, abs=1e-3), 0.0, 1000.0, 250.0, 500.0, 750.0)]
+    assert ranks.describe(df.where("v < 0"), "v").collect() == []
+    absent = ranks.describe(df.limit(1).selectExpr("double(NULL) AS v"), "v").first()
+    assert absent["count"] == 0 and absent.p50 is None
+    assert df.select(ranks.exact_median(df.where("v < 0"), "v").alias("m")).first().m is None

@@ -2,13 +2,14 @@
 
 A replicate weighs each row by a Poisson(1) number instead of drawing rows, so rows needn't be gathered or
 counted first: weights come from a hash of the row's identity and the replicate's number, the same on any
-cluster.  A task adds up its rows' weights and weighted values per group and replicate, and only these
-sums are shuffled.
+cluster.  A task sorts its rows by group, adds up their weights and weighted values per group and replicate,
+and passes each group's sums on once; only these sums are shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 from math import exp, factorial
 
 import numpy as np
@@ -24,9 +25,8 @@ PRIME, MULTIPLIER, SHIFT = 2**31 - 1, 48271, 69621
 #: Where the Poisson(1) distribution passes from one weight to the next, in parts of the prime.
 STEPS = [int(PRIME * sum(exp(-1) / factorial(j) for j in range(k + 1))) for k in range(9)]
 
-# Groups whose sums a task holds before it passes them on.
-_GROUPS = 200
-_ROWS = 1024
+# Rows whose weights are drawn together, few enough to stay in the processor's cache.
+_ROWS = 64
 
 
 def row_hash(*identity: str | Column) -> Column:
@@ -35,18 +35,25 @@ def row_hash(*identity: str | Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % PRIME
 
 
-def _modulo(x: np.ndarray) -> np.ndarray:
-    """Remainder by the prime, which is all ones in binary: high and low bits are added."""
-    x = (x & PRIME) + (x >> 31)
-    x = (x & PRIME) + (x >> 31)
-    return np.where(x == PRIME, 0, x)
+def _folded(x: np.ndarray) -> np.ndarray:
+    """The same remainder by the prime, which is all ones in binary: high and low bits are added, twice, in place."""
+    for _ in range(2):
+        high = x >> 31
+        x &= PRIME
+        x += high
+    return x
 
 
 def weights(hashes: np.ndarray, replicates: int) -> np.ndarray:
     """Rows by replicates: a linear and a quadratic step modulo the prime, then the Poisson steps."""
     number = np.arange(1, replicates + 1, dtype=np.int64)
-    mixed = _modulo(hashes[:, None] * (number * MULTIPLIER % PRIME) + number * SHIFT % PRIME)
-    place = _modulo(mixed * mixed).astype(np.int32)
+    mixed = hashes[:, None] * (number * MULTIPLIER % PRIME)
+    mixed += number * SHIFT % PRIME
+    mixed = _folded(mixed)
+    mixed *= mixed
+    place = _folded(mixed)
+    place[place == PRIME] = 0
+    place = place.astype(np.int32)
     out = np.zeros(place.shape, np.uint8)
     for step in STEPS:
         out += place >= step
@@ -62,33 +69,31 @@ def replicate_means(df: DataFrame, value: str, keys: list[str], identity: list[s
     sums = [T.StructField("replicate", T.IntegerType()), T.StructField("_w", T.DoubleType()), T.StructField("_wx", T.DoubleType())]
 
     def tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, np.ndarray] = {}
+        held, total = None, np.zeros((2, replicates))
 
-        def passed_on() -> Iterator[pa.RecordBatch]:
-            for key, total in held.items():
-                columns = [pa.array([v] * replicates, batch.schema.field(i).type) for i, v in enumerate(key)]
-                columns += [pa.array(np.arange(replicates, dtype=np.int32)), pa.array(total[0]), pa.array(total[1])]
-                yield pa.RecordBatch.from_arrays(columns, [*keys, "replicate", "_w", "_wx"])
-            held.clear()
+        def passed_on() -> pa.RecordBatch:
+            columns = [pa.array([v] * replicates, batch.schema.field(i).type) for i, v in enumerate(held)]
+            columns += [pa.array(np.arange(replicates, dtype=np.int32)), pa.array(total[0]), pa.array(total[1])]
+            return pa.RecordBatch.from_arrays(columns, [*keys, "replicate", "_w", "_wx"])
 
-        batch = None
         for batch in batches:
-            for i in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(i, _ROWS)
-                drawn = weights(part.column("_hash").to_numpy(), replicates).astype(float)
-                x = part.column("_value").to_numpy(zero_copy_only=False)
-                groups: dict[tuple, list[int]] = {}
-                for at, key in enumerate(zip(*[part.column(k).to_pylist() for k in keys])):
-                    groups.setdefault(key, []).append(at)
-                for key, at in groups.items():
-                    total = held.setdefault(key, np.zeros((2, replicates)))
-                    total += np.stack([np.ones(len(at)), x[at]]) @ drawn[at]
-                if len(held) > _GROUPS:
-                    yield from passed_on()
-        if batch is not None:
-            yield from passed_on()
-
-    summed = rows.mapInArrow(tiles, T.StructType(fields + sums)).groupBy(*keys, "replicate")
+            hashes = batch.column("_hash").to_numpy()
+            measured = np.stack([np.ones(batch.num_rows), batch.column("_value").to_numpy()])
+            at = 0
+            for key, run in groupby(zip(*[batch.column(k).to_pylist() for k in keys])):
+                if key != held:
+                    if held is not None:
+                        yield passed_on()
+                    held, total = key, np.zeros((2, replicates))
+                stop = at + sum(1 for _ in run)
+                for i in range(at, stop, _ROWS):
+                    block = slice(i, min(i + _ROWS, stop))
+                    total += measured[:, block] @ weights(hashes[block], replicates).astype(float)
+                at = stop
+        if held is not None:
+            yield passed_on()
+
+    summed = rows.sortWithinPartitions(*keys).mapInArrow(tiles, T.StructType(fields + sums)).groupBy(*keys, "replicate")
     totals = summed.agg(F.sum("_w").alias("_w"), F.sum("_wx").alias("_wx"))
     return totals.where("_w > 0").select(*keys, "replicate", (F.col("_wx") / F.col("_w")).alias("mean"))
 
