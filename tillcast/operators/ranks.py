@@ -57,11 +57,18 @@ def _summaries(rows: DataFrame, fractions: dict[str, float], by: list[str], also
 
 
 def _picked(rows: DataFrame, summaries: DataFrame, fractions: dict[str, float], by: list[str]) -> DataFrame:
-    """Interpolated quantiles of each group, one output column per named fraction."""
+    """Interpolated quantiles of each group, one output column per named fraction.
+
+    Without ``by`` there is one summary, which every task gets as a scalar: a join would meet in one.
+    """
     value = F.col("_value")
-    narrow = summaries.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_n", "_brackets")
-    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
-    joined = rows.where(value.isNotNull()).join(narrow, same)
+    known = rows.where(value.isNotNull())
+    if by:
+        narrow = summaries.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_n", "_brackets")
+        joined = known.join(narrow, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+    else:
+        told = summaries.select(F.struct("_n", "_brackets").alias("_told")).scalar()
+        joined = known.withColumn("_told", told).select("_value", "_told._n", "_told._brackets")
     inside = F.exists("_brackets", lambda b: (b["low"] <= value) & (value <= b["high"]))
     gap = F.size(F.filter("_brackets", lambda b: b["high"] < value))
     merged = joined.groupBy(*by, "_n", gap.alias("_gap"), F.when(inside, value).alias("_kept")).agg(
@@ -109,24 +116,27 @@ def exact_quantiles(df: DataFrame, column: str, fractions: dict[str, float], by:
 
 def describe(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     """Count, mean, standard deviation, extremes and quartiles of a column, overall or per group."""
-    label = by or "scope"
-    grouped = df if by else df.withColumn(label, F.lit("all"))
-    rows = grouped.select(label, F.col(column).cast("double").alias("_value"))
+    groups = [by] if by else []
+    rows = df.select(*groups, F.col(column).cast("double").alias("_value"))
     quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     measures = [
         F.avg("_value").alias("mean"),
         F.stddev_samp("_value").alias("std"),
         F.min("_value").alias("min"),
         F.max("_value").alias("max"),
+        F.count(F.lit(1)).alias("_rows"),
     ]
-    summaries = _summaries(rows, quartiles, [label], measures)
-    picked = _picked(rows, summaries, quartiles, [label]).withColumnRenamed(label, "_label")
-    names = ["mean", "std", "min", "max"]
-    joined = summaries.join(picked, F.col(label).eqNullSafe(F.col("_label")), "left")
-    return joined.select(label, F.col("_n").alias("count"), *names, *quartiles)
+    summaries = _summaries(rows, quartiles, groups, measures)
+    picked = _picked(rows, summaries, quartiles, groups)
+    names = [F.col("_n").alias("count"), "mean", "std", "min", "max"]
+    if by:
+        picked = picked.withColumnRenamed(by, "_label")
+        return summaries.join(picked, F.col(by).eqNullSafe(F.col("_label")), "left").select(by, *names, *quartiles)
+    # A table without rows is described by none.
+    found = summaries.where("_rows > 0").withColumn("_picked", picked.select(F.struct(*quartiles).alias("_picked")).scalar())
+    return found.select(F.lit("all").alias("scope"), *names, *[f"_picked.{q}" for q in quartiles])
 
 
 def exact_median(df: DataFrame, column: str) -> Column:
     """Median of a column as a scalar subquery."""
-    one_group = df.select(F.lit(1).alias("_all"), column)
-    return exact_quantiles(one_group, column, {"median": 0.5}, ["_all"]).select("median").scalar()
+    return exact_quantiles(df, column, {"median": 0.5}, []).select("median").scalar()
