@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tillcast.functions import scalars
 from tillcast.operators import bootstrap, ensemble, exploration, features, ranks
 
 PACKED = "row_id long, y double, preds array<double>"
@@ -221,3 +222,15 @@ def test_one_group_is_described_without_a_join(spark):
     absent = ranks.describe(df.limit(1).selectExpr("double(NULL) AS v"), "v").first()
     assert absent["count"] == 0 and absent.p50 is None
     assert df.select(ranks.exact_median(df.where("v < 0"), "v").alias("m")).first().m is None
+
+
+@pytest.mark.parametrize("digits", [2, 3, 8])
+def test_rounded_is_round_without_decimals(spark, digits):
+    rng = np.random.default_rng(digits)
+    whole = rng.integers(-(10**7), 10**7, 3000)
+    values = [*(whole / 10**digits), *(whole + 0.5) / 10**digits, *rng.normal(0, 1e5, 3000), *(10.0 ** rng.uniform(-12, 18, 300))]
+    values += [1.005, 2.675, -0.5, -0.0004, 0.0, -0.0, 1e300, float("inf"), float("nan")]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    got = df.select(scalars.rounded("v", digits).alias("fast"), F.round("v", digits).alias("exact"))
+    assert got.where("NOT (fast <=> exact)").collect() == []
+    assert "floor" in got._jdf.queryExecution().optimizedPlan().toString().lower()
