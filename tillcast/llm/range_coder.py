@@ -1,17 +1,18 @@
-"""Adaptive context-mixing range coder for token ids.
+"""Context-mixing range coder for token ids.
 
-Ids are cut into blocks that reset all state, so any block can be decoded alone.  Inside a
-block the distinct ids are numbered as they appear, and each next one is predicted by three orders:
+Ids are cut into blocks that reset all state, so any block can be decoded alone.  A block begins with its distinct
+ids in ascending order and the count of each (Exp-Golomb codes of the gaps and of the counts).  They number the
+ids, and each next number is predicted by three orders:
 
-* order 2: the id that last followed the two ids before,
-* order 1: the id that last followed the id before,
-* order 0: the counts of all ids of the block so far, with an escape for new ones.
+* order 2: the number that last followed the two before,
+* order 1: the number that last followed the one before,
+* order 0: how often each number is left in the block, brought up to date wherever a third of the rest is coded.
 
-The prediction is their mixture: an id's probability is the sum of the shares that the orders give it, so
+The prediction is their mixture: a number's probability is the sum of the shares that the orders give it, so
 the guesses of orders 2 and 1 also get what order 0 holds for them, and both their shares where they agree.  The
-orders' weights are adaptive, one set for each pair of confidences in the two guesses, learned inside the
-block.  A range coder (64-bit state, 32-bit output) codes an id as one interval of the mixture.  A new id
-follows an escape, as the length of its number (adaptive counts) and the bits below.
+orders' weights are adaptive, one set for each pair of confidences in the two guesses and for whether these agree,
+learned inside the block.  A guess of which nothing is left gets nothing.  A range coder (64-bit state, 32-bit
+output) codes a number as one interval of the mixture: the guesses' parts come first, then all others in their order.
 
 Blocks are coded side by side, one NumPy lane each, so the cost per id is that of a few array
 operations; ``LANES`` of them at a time bound the memory.  Every block carries a CRC of its ids.
@@ -23,162 +24,144 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096  # 2^12 ids at most: three levels of sixteen
-LANES = 1024
+BLOCK = 4096  # 2^12 ids at most: an entry of a number and its confidence fits 16 bits
+LANES = 2048
 ID_BITS = 20  # ids below 2^20; fewer bits where the caller knows fewer
-_NUMBERS, _ORDER2 = 12, 12  # log2 of the numbers of a block's ids, and of the entries of a lane's order-2 table
-# Running sums of counts lie in three levels of sixteen places each, four 16-bit sums in an integer.  What is added
-# to a row of sums for each place and each step: one or two on all places above.
-_ABOVE = np.array([[n * (other > place) for other in range(16)] for n in (1, 2) for place in range(16)], np.uint16).view(np.uint64)
-_MIX1, _MIX2 = np.int64(40503), np.int64(30011)
-# Three 16-bit weights (orders 2, 1 and 0) lie in one integer, the first one lowest.
-_FIRST = np.uint64(8 << 32 | 4 << 16 | 4)
-_HALVES, _ONES = np.uint64(0x7FFF7FFF7FFF7FFF), np.uint64(0x000000100010001)
-_LIMIT = 2000
-_LENGTHS = np.arange(ID_BITS + 1)[None, :]
-# By hits of orders 2 (1) and 1 (2): credit to those that foresaw the id, or to order 0.
-_CREDITS = np.array([24 << 32, 24, 24 << 16, 24 << 16 | 24], np.uint64)
-# The mixture's total stays below 2^26, and 2^32 of span leave at least six bits beyond it.
-_BOTTOM, _LOW32, _WORD = np.uint64(1 << 32), np.uint64((1 << 32) - 1), np.uint64(32)
+_PLACES, _ORDER2 = 12, 12  # log2 of a block's places, and of the entries of a lane's order-2 table
+_REST = 32  # order 0 stays as it is over so many last ids
+_GAP_BITS = np.array([8, 4, 2, 1])  # the lowest bits of a gap, written as they are
+_MIX1, _MIX2 = 2741, 1597
+# Shares of orders 2 and 1 are in units of 2^-12; order 0 has the rest, which is never less than one unit.
+_SHARE, _DECAY, _CREDIT = 12, 5, 127
+# A guess's confidence (0 to 7) moves by so much after a miss (first eight) or a hit; the lowest ones are replaced at a miss.
+_MOVES = np.array([0, 0, -1, -2, -2, -3, -3, -4, 1, 1, 1, 1, 1, 1, 1, 0]).astype(np.uint16)
+# The range coder's state has 63 bits, so that a carry shows above them; spans below 2^31 are widened by a word.
+_BOTTOM, _TOP, _WORD, _KEPT = np.uint64(1 << 31), np.uint64(31), np.uint64(32), np.uint64((1 << 31) - 1)
+_LOW32 = np.uint64((1 << 32) - 1)
+
+
+def _first() -> np.ndarray:
+    """Shares of orders 2 and 1 at a block's start by (agreement, confidence of order 2, of order 1)."""
+    sure2 = np.array([0, 0.04, 0.3, 0.55, 0.65, 0.7, 0.75, 0.8])[:, None]
+    sure1 = np.array([0, 0.04, 0.2, 0.45, 0.6, 0.65, 0.7, 0.8])[None, :]
+    apart = np.stack([sure2 + 0 * sure1, (1 - sure2) * sure1], axis=-1)
+    agreed = np.stack([np.minimum(sure2 + sure1, 0.95), 0 * sure1 * sure2], axis=-1)
+    # Equal guesses are one, that of order 2.
+    shares = np.stack([apart, agreed])
+    return (shares * ((1 << _SHARE) - 1)).astype(np.uint16).ravel()
+
+
+_FIRST = _first()
 
 
 class _Model:
-    """Tables, counts and weights of all lanes; both directions read and update it alike."""
-
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.at, self.at2, self.at_middle, self.at_inner = (self.lane << bits for bits in (_NUMBERS, _ORDER2, 4, 8))
-        # An entry is (number + 1) * 8 + confidence; zero is empty.
-        self.table2 = np.zeros(lanes << _ORDER2, np.uint16)
-        self.table1 = np.zeros(lanes << _NUMBERS, np.uint16)
-        self.count = np.zeros(lanes << _NUMBERS, np.uint16)
-        # Counts before each place among its sixteen, for single numbers, sixteens and 256s of them.
-        self.inner, self.middle, self.outer = (np.zeros((lanes * n, 4), np.uint64) for n in (256, 16, 1))
-        self.flat = [sums.view(np.uint16).ravel() for sums in (self.inner, self.middle, self.outer)]
-        self.seen, self.distinct = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.weights = np.full(lanes * 64, _FIRST)
-        self.first_row = self.lane * 64
-        self.slot2, self.slot1 = self.at2.copy(), self.at.copy()
+    """Tables, counts and weights of all lanes; both directions read and update it alike.
+
+    Arrays of two rows hold order 2 in the first and order 1 in the second.  Numbers begin at one; zero is no guess.
+    """
+
+    def __init__(self, counts: np.ndarray, steps: int):
+        lanes, self.width = counts.shape
+        self.left, self.rest = counts, steps
+        lane = np.arange(lanes)
+        self.at = lane * self.width
+        after = lanes * self.width
+        self.at2 = after + (lane << _ORDER2)
+        self.at_row = np.stack([lane * len(_FIRST), lane * len(_FIRST) + 1])
+        # An entry is number * 8 + confidence.
+        self.table = np.zeros(after + (lanes << _ORDER2), np.uint16)
+        self.weights = np.tile(_FIRST, lanes)
+        self.slot = np.stack([self.at2, self.at])
         self.before = np.zeros(lanes, np.int64)
-        # Counts of the lengths of new ids.
-        self.lengths = np.ones((lanes, ID_BITS + 1), np.int64)
-        self.steps = 0
-
-    def running(self, number: np.ndarray) -> np.ndarray:
-        """Counts of all numbers below."""
-        inner, middle, outer = self.flat
-        sums = inner.take(self.at + number) + middle.take(self.at_inner + (number >> 4))
-        return (sums + outer.take(self.at_middle + (number >> 8))).astype(np.int64)
+        self.parts = np.empty((2, lanes), np.uint32)
+        # Arrays are cheaper operands than single numbers.
+        self.three, self.seven, self.two, self.credit, self.decay = (
+            np.full((2, lanes), n, np.uint16) for n in (3, 7, 2, _CREDIT, _DECAY)
+        )
+        self.one = np.ones(lanes, np.uint16)
+        self.low, self.high = (np.full((2, lanes), n, np.uint32) for n in (0xFFFF, 16))
+        # Where the weights lie by agreement and confidences, two in each place.
+        self.strides, self.agreed = np.repeat([[16], [2]], lanes, axis=1).astype(np.uint16), np.full(lanes, 128, np.uint16)
+        self.whole = np.full(lanes, 1 << _SHARE, np.uint32)
+        self.mix1, self.mix2, self.mask2 = (np.full(lanes, n) for n in (_MIX1, _MIX2, (1 << _ORDER2) - 1))
+        self._lay()
+
+    def _lay(self) -> None:
+        """The line of order 0: where each number begins (upper 16 bits) and how often it is left."""
+        ends = np.cumsum(self.left, axis=1, dtype=np.uint32)
+        self.line = ((ends - self.left) << 16 | self.left).ravel()
+        self.rests = np.full((2, len(self.left)), self.rest, np.uint32)
+        self.total = np.uint64(self.rest << _SHARE)
+
+    def take_out(self, numbers: np.ndarray) -> None:
+        """Order 0 without the numbers (step, lane) coded since the last time."""
+        used = np.bincount((numbers + self.at).ravel(), minlength=self.left.size)
+        self.left = self.left - used.reshape(self.left.shape).astype(np.uint32)
+        self.rest -= len(numbers)
+        self._lay()
+
+    def places(self) -> np.ndarray:
+        """The number at each place of the lines of all lanes."""
+        names = np.broadcast_to(np.arange(self.width, dtype=np.uint16), self.left.shape).ravel()
+        return np.repeat(names, self.left.ravel())
 
     def predict(self) -> None:
-        """Both guesses (-1: none), what each adds to its number's part of the mixture, and the mixture's size.
-
-        All sizes are in units of a weight times an order-0 count; the mixture holds the numbers in their order, then
-        what order 0 leaves for new ids.
-        """
-        self.entry2, self.entry1 = (t.take(at).astype(np.int64) for t, at in ((self.table2, self.slot2), (self.table1, self.slot1)))
-        self.guess2, self.guess1 = (self.entry2 >> 3) - 1, (self.entry1 >> 3) - 1
-        self.sure2, self.sure1 = self.entry2 & 7, self.entry1 & 7
-        self.row = self.first_row + (self.sure2 << 3) + self.sure1
-        self.packed = self.weights.take(self.row)
-        packed = self.packed.view(np.int64)
-        self.weight0 = packed >> 32
-        self.total0 = self.seen + self.distinct + 1
-        # Without a guess its weight is no part of the mixture.
-        self.bonus2 = (packed & 0xFFFF) * (self.entry2 > 0) * self.total0
-        self.bonus1 = (packed >> 16 & 0xFFFF) * (self.entry1 > 0) * self.total0
-        self.total = self.weight0 * self.total0 + self.bonus2 + self.bonus1
-
-    def interval(self, number: np.ndarray, below: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the number's part of the mixture begins, and its size; ``below`` are the counts of all numbers below."""
-        own = np.where(new, self.distinct + 1, self.count.take(self.at + number))
-        start = self.weight0 * below + (self.guess2 < number) * self.bonus2 + (self.guess1 < number) * self.bonus1
-        size = self.weight0 * own + (self.guess2 == number) * self.bonus2 + (self.guess1 == number) * self.bonus1
-        return start, size
-
-    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The number whose part holds a place of the mixture, the counts below it, and whether it is new."""
-        swap = self.guess1 < self.guess2
-        guesses = np.minimum(self.guess1, self.guess2), np.maximum(self.guess1, self.guess2)
-        bonuses = np.where(swap, self.bonus1, self.bonus2), np.where(swap, self.bonus2, self.bonus1)
-        rest, number = target, np.full(len(target), -1)
-        for guess, bonus in zip(guesses, bonuses):
-            # Inside the guess's part, or beyond it: what the guess adds is taken out.
-            start = self.weight0 * self.running(np.maximum(guess, 0))
-            beyond = rest - start
-            inside = (beyond >= 0) & (beyond < bonus)
-            number = np.where(inside & (number < 0), guess, number)
-            rest = rest - bonus * (beyond >= bonus)
-        place = rest // self.weight0
-        new = (number < 0) & (place >= self.seen)
-        place = np.minimum(place, np.maximum(self.seen - 1, 0))
-        held, left = np.zeros(len(place), np.int64), place.astype(np.uint16)
-        for sums, at in ((self.outer, self.lane), (self.middle, self.at_middle), (self.inner, self.at_inner)):
-            row = sums.take(at + held, axis=0).view(np.uint16)
-            inside = np.count_nonzero(row <= left[:, None], axis=1) - 1
-            left = left - row.ravel().take(self.at_middle + inside)
-            held = (held << 4) + inside
-        guessed = number >= 0
-        number = np.where(guessed, number, np.where(new, self.distinct, held))
-        below = np.where(new, self.seen, place - left)
-        if guessed.any():
-            below = np.where(guessed, self.running(number), below)
-        return number, below, new
-
-    def learn(self, number: np.ndarray, new: np.ndarray) -> None:
-        hit2, hit1 = self.guess2 == number, self.guess1 == number
-        self.weights[self.row] = self.packed + _CREDITS.take(hit2 + (hit1 << np.int8(1)))
-        self.steps += 1
-        if not self.steps & 7:
-            packed = self.packed.view(np.int64)
-            rows = self.row[(packed & 0xFFFF) + (packed >> 16 & 0xFFFF) + self.weight0 > _LIMIT]
-            self.weights[rows] = (self.weights[rows] >> np.uint64(1) & _HALVES) | _ONES
-        # New ids count once, others twice.
-        spot, more = self.at + number, 2 - new
-        self.count[spot] += more.astype(np.uint16)
-        step = (more - 1) << 4
-        self.outer += _ABOVE.take(step + (number >> 8), axis=0)
-        sixteens = number >> 4
-        for sums, at, digit in ((self.middle, self.at_middle + (number >> 8), sixteens), (self.inner, self.at_inner + sixteens, number)):
-            sums[at] = sums.take(at, axis=0) + _ABOVE.take(step + (digit & 15), axis=0)
-        self.seen += more
-        self.distinct += new
-        fresh = (number + 1 << 3) + 1
-        for table, slot, hit, sure, entry in (
-            (self.table2, self.slot2, hit2, self.sure2, self.entry2),
-            (self.table1, self.slot1, hit1, self.sure1, self.entry1),
-        ):
-            doubted = np.where(sure > 1, entry - (sure + 1 >> 1), fresh)
-            table[slot] = np.where(hit, entry + (sure < 7), doubted)
-        self.slot1 = spot
-        self.slot2 = self.at2 + ((number * _MIX1 + self.before) >> 3 & ((1 << _ORDER2) - 1))
-        self.before = (number + 1) * _MIX2
+        """Both guesses and the sizes of their parts; all sizes are in units of a share times an order-0 count."""
+        self.entry = self.table.take(self.slot, mode="clip")
+        self.guess, self.sure = self.entry >> self.three, self.entry & self.seven
+        same = self.guess[0] == self.guess[1]
+        context = self.sure * self.strides
+        self.row = self.at_row + (context[0] + context[1] + self.agreed * same)
+        self.weight = self.weights.take(self.row, mode="clip")
+        part = self.line.take(self.at + self.guess, mode="clip")
+        np.copyto(part[1], 0, where=same)
+        left = part & self.low
+        # Nothing where none is left.
+        share = np.minimum(self.weight, left * self.whole)
+        # What each order-0 count is worth.
+        self.unit = self.whole - share[0] - share[1]
+        self.size = share * self.rests + self.unit * left
+        self.guessed = self.size[0] + self.size[1]
+        np.minimum(part[0], part[1], out=self.parts[0])
+        np.maximum(part[0], part[1], out=self.parts[1])
+
+    def learn(self, number: np.ndarray, index: np.ndarray, credit: np.ndarray) -> None:
+        """Take in the number (as uint16 and int64); ``credit`` says whose part it was."""
+        self.weights[self.row] = self.weight - (self.weight >> self.decay) + self.credit * credit
+        hit = self.guess == number
+        entry = self.entry + _MOVES.take((hit.view(np.uint8) << self.three) + self.sure, mode="clip")
+        np.copyto(entry, number << self.three[0] | self.one, where=(self.sure < self.two) > hit)
+        self.table[self.slot] = entry
+        np.add(self.at2, index * self.mix1 + self.before & self.mask2, out=self.slot[0])
+        np.add(self.at, index, out=self.slot[1])
+        self.before = index * self.mix2
+
+
+def _windows(steps: int) -> list[tuple[int, int]]:
+    """Steps between which order 0 stays as it is: a third of the rest each time."""
+    edges = [0]
+    while steps - edges[-1] > _REST:
+        edges.append(edges[-1] + (steps - edges[-1] + 2) // 3)
+    return list(zip(edges, edges[1:] + [steps]))
 
 
 def _blocks(ids: np.ndarray) -> np.ndarray:
     """Ids as (block, step); the last block is filled up with its last id."""
     blocks = -(-len(ids) // BLOCK)
     steps = BLOCK if blocks > 1 else len(ids)
-    padded = np.full(steps * blocks, ids[-1], np.int64)
+    padded = np.full(steps * blocks, ids[-1], np.uint32)
     padded[: len(ids)] = ids
     return padded.reshape(blocks, steps)
 
 
-def _numbered(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each id's number by first appearance in its block, and whether it is new there."""
-    order = np.sort((blocks << _NUMBERS | np.arange(blocks.shape[1])).astype(np.uint32), axis=1).astype(np.int64)
-    place, ids = order & (1 << _NUMBERS) - 1, order >> _NUMBERS
-    begins = np.ones(blocks.shape, bool)
-    begins[:, 1:] = ids[:, 1:] != ids[:, :-1]
-    # Places of one id ascend, so the first of a run is its first appearance.
-    first = place[begins][np.cumsum(begins).reshape(blocks.shape) - 1]
-    lane = np.arange(len(blocks))[:, None]
-    new = np.zeros(blocks.shape, bool)
-    new[lane, first] = True
-    number = np.cumsum(new, axis=1) - 1
-    out = np.empty(blocks.shape, np.int64)
-    out[lane, place] = number[lane, first]
-    return out, new
+def _numbered(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids, their counts, and each id's number, from 1."""
+    order = np.sort(block << np.uint32(_PLACES) | np.arange(len(block), dtype=np.uint32))
+    ids = order >> np.uint32(_PLACES)
+    begins = np.concatenate([[True], ids[1:] != ids[:-1]])
+    number = np.empty(len(block), np.uint16)
+    number[order & np.uint32((1 << _PLACES) - 1)] = np.cumsum(begins, dtype=np.uint16)
+    return ids[begins].astype(np.int64), np.diff(np.flatnonzero(begins), append=len(block)), number
 
 
 def _check(ids: np.ndarray) -> list[int]:
@@ -186,78 +169,123 @@ def _check(ids: np.ndarray) -> list[int]:
     return [zlib.crc32(ids[i : i + BLOCK].astype("<u4").tobytes()) for i in range(0, len(ids), BLOCK)]
 
 
-def _cut(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Spans below 2^32 whose interval straddles a boundary of the output word, cut to it."""
-    return np.where((low ^ (low + span)) < _BOTTOM, span, (np.uint64(0) - low) & _LOW32)
-
-
-def _unsigned(x: np.ndarray) -> np.ndarray:
-    """64-bit integers, none negative, as unsigned ones."""
-    return x.astype(np.int64, copy=False).view(np.uint64)
+def _head(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """A block's distinct ids and their counts: how many, 32-bit words, lengths and bits of all codes, low bits of gaps."""
+    n, low = len(ids), len(_GAP_BITS)
+    gaps = np.diff(ids, prepend=-1) - 1
+    codes = np.concatenate([(gaps >> low) + 1, counts])
+    width = np.frexp(codes.astype(np.float64))[1] - 1
+    ones, ends = np.cumsum(width + 1) - 1, np.cumsum(width)
+    begin = ones[-1] + 1
+    end = begin + ends[-1]
+    bits = np.zeros(-(-(end + low * n) // 32) * 32, np.uint8)
+    bits[ones] = 1
+    bits[begin:end] = np.repeat(codes, width) >> np.repeat(ends, width) - 1 - np.arange(ends[-1]) & 1
+    bits[end : end + low * n].reshape(n, low)[:] = gaps[:, None] & _GAP_BITS > 0
+    return np.array([n, bits.size // 32], "<u2").tobytes() + np.packbits(bits).tobytes()
+
+
+def _read_head(words: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """Distinct ids, counts, and the words that they take; None if these can't be a block's."""
+    n, size = words[:1].view("<u2").tolist()
+    bits, low = np.unpackbits(words[1 : 1 + size].view(np.uint8)), len(_GAP_BITS)
+    ones = np.flatnonzero(bits)[: 2 * n]
+    if not 0 < n <= steps or len(ones) < 2 * n:
+        return None
+    width = np.diff(ones, prepend=-1) - 1
+    ends = np.cumsum(width)
+    begin = ones[-1] + 1
+    end = begin + ends[-1]
+    if width.max() > ID_BITS or end + low * n > bits.size:
+        return None
+    sums = np.zeros(ends[-1] + 1, np.int64)
+    np.cumsum(bits[begin:end].astype(np.int64) << np.repeat(ends, width) - 1 - np.arange(ends[-1]), out=sums[1:])
+    codes = sums[ends] - sums[ends - width] + (1 << width)
+    if codes[n:].sum() != steps:
+        return None
+    gaps = (codes[:n] - 1 << low) + bits[end : end + low * n].reshape(n, low) @ _GAP_BITS
+    return (np.cumsum(gaps + 1) - 1).astype("<u4"), codes[n:], 1 + size
+
+
+def _by_number(counts: list[np.ndarray]) -> np.ndarray:
+    """Counts as (block, number)."""
+    out = np.zeros((len(counts), max(map(len, counts)) + 1), np.uint32)
+    for row, count in zip(out, counts):
+        row[1 : len(count) + 1] = count
+    return out
 
 
 class _Encoder:
     def __init__(self, lanes: int, room: int):
-        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-        self.out, self.room = np.zeros(lanes * room, "<u4"), room
+        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, 2**63 - 1, np.uint64)
+        # Words with the carry to the one before.
+        self.out, self.room = np.zeros(lanes * room, np.uint64), room
         self.place = np.arange(lanes) * room
 
-    def narrow(
-        self, lanes: np.ndarray | slice, start: np.ndarray, size: np.ndarray, total: np.ndarray,
-        bits: np.ndarray | None = None, value: np.ndarray | None = None,
-    ) -> None:
-        """Code an interval of the total, then a value of some bits."""
-        span = self.span[lanes] // _unsigned(total)
-        low = self.low[lanes] + span * _unsigned(start)
-        span = span * _unsigned(size)
-        if bits is not None:
-            span = span >> _unsigned(bits)
-            low = low + span * _unsigned(value)
-        self.low[lanes], self.span[lanes] = low, span
+    def narrow(self, start: np.ndarray, size: np.ndarray, total: np.uint64) -> None:
+        """Code an interval of the total."""
+        self.span //= total
+        self.low += self.span * start
+        self.span *= size
         due = (self.span < _BOTTOM).nonzero()[0]
         if due.size:
-            at, wide = self.low[due], self.span[due]
-            self.span[due] = _cut(at, wide) << _WORD
-            spot = self.place[due]
-            self.out[spot] = at >> _WORD
+            low, spot = self.low.take(due), self.place.take(due)
+            self.out[spot] = low >> _TOP
             self.place[due] = spot + 1
-            self.low[due] = at << _WORD
+            self.low[due] = (low & _KEPT) << _WORD
+            self.span[due] = self.span.take(due) << _WORD
 
     def finish(self) -> list[bytes]:
-        for _ in range(2):
-            self.out[self.place] = self.low >> _WORD
-            self.place += 1
-            self.low <<= _WORD
-        rows = self.out.reshape(-1, self.room)
-        filled = self.place - np.arange(len(rows)) * self.room
-        return [rows[i, :n].tobytes() for i, n in enumerate(filled.tolist())]
-
-
-def _length(ids: np.ndarray) -> np.ndarray:
-    """Bits of each id's number, from 0."""
-    return np.frexp(ids.astype(np.float64))[1]
+        """The words of each lane; the last one is left out where the span covers whatever may follow."""
+        wide = self.span >> _WORD > 0
+        self.low += wide * _KEPT
+        self.out[self.place] = self.low >> _TOP
+        self.out[self.place + 1] = np.where(wide, 0, (self.low & _KEPT) << np.uint64(1))
+        filled = self.place - np.arange(len(self.low)) * self.room + np.where(wide, 1, 2)
+        coded = []
+        for row, n in zip(self.out.reshape(-1, self.room), filled.tolist()):
+            words = row[:n]
+            carry = words >> _WORD
+            while carry.any():
+                words = words & _LOW32
+                words[:-1] += carry[1:]
+                carry = words >> _WORD
+            coded.append(words.astype("<u4").tobytes())
+        return coded
 
 
 def _encode_lanes(blocks: np.ndarray) -> list[bytes]:
     lanes, steps = blocks.shape
-    model, coder = _Model(lanes), _Encoder(lanes, 2 * steps + 4)
-    columns = [np.ascontiguousarray(x.T) for x in (blocks, *_numbered(blocks))]
-    for ids, number, new in zip(*columns):
-        model.predict()
-        below = np.where(new, model.seen, model.running(number))
-        coder.narrow(slice(None), *model.interval(number, below, new), model.total)
-        at = new.nonzero()[0]
-        if at.size:
-            length = _length(ids[at])
-            counts = model.lengths[at]
-            own = counts[np.arange(len(at)), length]
-            below = np.where(_LENGTHS < length[:, None], counts, 0).sum(axis=1)
-            bits = np.maximum(length - 1, 0)
-            value = np.where(length > 0, ids[at] - (1 << bits), 0)
-            coder.narrow(at, below, own, counts.sum(axis=1), bits, value)
-            model.lengths[at, length] += 1
-        model.learn(number, new)
-    return coder.finish()
+    ids, counts, numbers = zip(*map(_numbered, blocks))
+    heads, numbers = list(map(_head, ids, counts)), np.stack(numbers, axis=1)
+    # A step narrows the span to 2^-24 of it at least, so it puts out one word at most.
+    model, coder = _Model(_by_number(counts), steps), _Encoder(lanes, steps + 4)
+    credit = np.empty((2, lanes), bool)
+    for begin, end in _windows(steps):
+        if begin:
+            model.take_out(numbers[steps - model.rest : begin])
+        for number in numbers[begin:end]:
+            model.predict()
+            index = number.astype(np.int64)
+            part = model.line.take(model.at + index, mode="clip")
+            first = part > model.parts
+            first = (model.parts & model.low) * first
+            start = model.guessed + model.unit * ((part >> model.high[0]) - first[0] - first[1])
+            size = model.unit * (part & model.low[0])
+            np.equal(model.guess[0], number, out=credit[0])
+            np.greater(model.guess[1] == number, credit[0], out=credit[1])
+            np.copyto(start, model.size[0], where=credit[1])
+            np.copyto(size, model.size[1], where=credit[1])
+            np.copyto(start, 0, where=credit[0])
+            np.copyto(size, model.size[0], where=credit[0])
+            coder.narrow(start.astype(np.uint64), size.astype(np.uint64), model.total)
+            model.learn(number, index, credit)
+    return [head + coded for head, coded in zip(heads, coder.finish())]
+
+
+def _batches(blocks: np.ndarray) -> list[np.ndarray]:
+    """Blocks in batches of ``LANES`` at most, of almost equal size."""
+    return np.array_split(blocks, -(-len(blocks) // LANES))
 
 
 def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -266,72 +294,75 @@ def encode(ids: np.ndarray, id_bits: int = ID_BITS) -> tuple[bytes, np.ndarray,
         return b"", np.zeros(0, np.int64), np.zeros(0, np.int64)
     if id_bits > ID_BITS or int(ids.max()) >> id_bits:
         raise ValueError(f"ids must lie below 2^{min(id_bits, ID_BITS)}")
-    blocks = _blocks(ids)
-    coded = [c for i in range(0, len(blocks), LANES) for c in _encode_lanes(blocks[i : i + LANES])]
+    coded = [c for blocks in _batches(_blocks(ids)) for c in _encode_lanes(blocks)]
     return b"".join(coded), np.array(list(map(len, coded)), np.int64), np.array(_check(ids), np.int64)
 
 
 class _Decoder:
     def __init__(self, words: np.ndarray, place: np.ndarray):
-        self.words, self.last = words, words.size - 1
-        lanes = len(place)
-        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-        self.code = (words[place].astype(np.uint64) << _WORD) | words[np.minimum(place + 1, self.last)]
-        self.place = place + 2
-
-    def target(self, lanes: np.ndarray | slice, total: np.ndarray) -> np.ndarray:
+        # The state begins with 63 bits, so each further word lies one bit beside a stored one.
+        self.words = words << np.uint32(31)
+        self.words[:-1] |= words[1:] >> np.uint32(1)
+        self.span = np.full(len(place), 2**63 - 1, np.uint64)
+        # The code less the low end of the span.
+        self.code = words[place].astype(np.uint64) << _TOP | self.words.take(place, mode="clip") & _KEPT
+        self.place = place + 1
+
+    def target(self, total: np.uint64) -> np.ndarray:
         """The place of the total that the code points to; divides the span by it."""
-        self.span[lanes] //= _unsigned(total)
-        return np.minimum(((self.code[lanes] - self.low[lanes]) // self.span[lanes]).astype(np.int64), total - 1)
-
-    def narrow(self, lanes: np.ndarray | slice, start: np.ndarray, size: np.ndarray, bits: np.ndarray | None = None) -> np.ndarray | None:
-        """Take the interval found, then read a value of some bits."""
-        span = self.span[lanes]
-        low = self.low[lanes] + span * _unsigned(start)
-        span = span * _unsigned(size)
-        value = None
-        if bits is not None:
-            span = span >> _unsigned(bits)
-            most = (np.uint64(1) << _unsigned(bits)) - np.uint64(1)
-            value = np.minimum((self.code[lanes] - low) // span, most)
-            low = low + span * value
-            value = value.astype(np.int64)
-        self.low[lanes], self.span[lanes] = low, span
+        self.span //= total
+        return np.minimum(self.code // self.span, total - np.uint64(1)).astype(np.uint32)
+
+    def narrow(self, start: np.ndarray, size: np.ndarray) -> None:
+        """Take the interval found."""
+        self.code -= self.span * start
+        self.span *= size
         due = (self.span < _BOTTOM).nonzero()[0]
         if due.size:
-            at, wide = self.low[due], self.span[due]
-            self.span[due] = _cut(at, wide) << _WORD
-            spot = self.place[due]
-            self.code[due] = (self.code[due] << _WORD) | self.words[np.minimum(spot, self.last)]
+            spot = self.place.take(due)
+            self.code[due] = self.code.take(due) << _WORD | self.words.take(spot, mode="clip")
+            self.span[due] = self.span.take(due) << _WORD
             self.place[due] = spot + 1
-            self.low[due] = at << _WORD
-        return value
 
 
-def _decode_lanes(words: np.ndarray, place: np.ndarray, steps: int) -> np.ndarray:
-    """Ids as (step, lane)."""
+def _decode_lanes(words: np.ndarray, place: np.ndarray, steps: int, first: int) -> np.ndarray:
+    """Ids as (lane, step); ``first`` is the number of the first block."""
     lanes = len(place)
-    model, coder = _Model(lanes), _Decoder(words, place)
-    known = np.zeros(lanes << _NUMBERS, np.uint32)
-    out = np.empty((steps, lanes), "<u4")
-    for step in range(steps):
-        model.predict()
-        number, below, new = model.find(coder.target(slice(None), model.total))
-        coder.narrow(slice(None), *model.interval(number, below, new))
-        at = new.nonzero()[0]
-        if at.size:
-            counts = model.lengths[at]
-            sums = np.cumsum(counts, axis=1)
-            target = coder.target(at, sums[:, -1])
-            length = (sums <= target[:, None]).sum(axis=1)
-            size = counts[np.arange(len(at)), length]
-            bits = np.maximum(length - 1, 0)
-            value = coder.narrow(at, sums[np.arange(len(at)), length] - size, size, bits)
-            known[model.at[at] + number[at]] = np.where(length > 0, value + (1 << bits), 0)
-            model.lengths[at, length] += 1
-        out[step] = known[model.at + number]
-        model.learn(number, new)
-    return out
+    heads = [_read_head(words[p:], steps) for p in place.tolist()]
+    if any(head is None for head in heads):
+        raise ValueError(f"block {first + [head is None for head in heads].index(True)}: its counts are damaged")
+    ids, counts, taken = zip(*heads)
+    model, coder = _Model(_by_number(counts), steps), _Decoder(words, place + np.array(taken))
+    numbers = np.empty((steps, lanes), np.uint16)
+    credit = np.empty((2, lanes), bool)
+    for begin, end in _windows(steps):
+        if begin:
+            model.take_out(numbers[steps - model.rest : begin])
+        places, at_place = model.places(), np.arange(lanes) * (steps - begin)
+        for step in range(begin, end):
+            model.predict()
+            target = coder.target(model.total)
+            np.less(target, model.size[0], out=credit[0])
+            np.greater(target < model.guessed, credit[0], out=credit[1])
+            # The place on the line without both guesses, then on the whole line; of no use inside their parts.
+            rank = (target - model.guessed) // model.unit
+            left, edge = model.parts & model.low, model.parts >> model.high
+            edge[1] -= left[0]
+            left *= rank >= edge
+            spot = rank + left[0]
+            spot += left[1]
+            number = places.take(at_place + spot, mode="clip")
+            part = model.line.take(model.at + number, mode="clip")
+            start = model.guessed + model.unit * (rank + (part >> model.high[0]) - spot)
+            size = model.unit * (part & model.low[0])
+            for order, before in ((1, model.size[0]), (0, 0)):
+                np.copyto(start, before, where=credit[order])
+                np.copyto(size, model.size[order], where=credit[order])
+                np.copyto(number, model.guess[order], where=credit[order])
+            numbers[step] = number
+            coder.narrow(start.astype(np.uint64), size.astype(np.uint64))
+            model.learn(number, number.astype(np.int64), credit)
+    return np.stack([known.take(number) for known, number in zip(ids, np.ascontiguousarray(numbers.T) - np.uint16(1))])
 
 
 def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int) -> np.ndarray:
@@ -339,9 +370,12 @@ def decode(payload: bytes, sizes: np.ndarray, checks: np.ndarray, count: int) ->
     if not count:
         return np.zeros(0, "<u4")
     steps = BLOCK if len(sizes) > 1 else count
-    words = np.concatenate([np.frombuffer(payload, "<u4"), np.zeros(4, "<u4")])
+    words = np.frombuffer(payload, "<u4")
     place = np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64) // 4)[:-1]])
-    parts = [_decode_lanes(words, place[i : i + LANES], steps).T.reshape(-1) for i in range(0, len(place), LANES)]
+    parts, first = [], 0
+    for batch in _batches(place):
+        parts.append(_decode_lanes(words, batch, steps, first).reshape(-1))
+        first += len(batch)
     ids = np.concatenate(parts)[:count]
     for block, (found, check) in enumerate(zip(_check(ids), np.asarray(checks).tolist())):
         if found != check:
