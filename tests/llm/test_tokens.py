@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -73,6 +74,46 @@ def test_mixture_beats_counts_alone_on_real_ids(documents):
     assert np.array_equal(range_coder.decode(payload, sizes, checks, len(ids)), ids)
 
 
+def test_coder_takes_little_time(monkeypatch, documents):
+    monkeypatch.setattr(range_coder, "BLOCK", 1024)
+    texts = pa.array([text for _, text in documents], pa.string())
+    ids, _ = word_ids.loaded(public_tokenizers.path(entry.WORD_FILE)).encode(texts, 1)
+    ids = np.resize(ids, 1024 * 1024)
+    ratios = []
+    for _ in range(2):
+        start = time.process_time()
+        raw = ids.astype("<u2").tobytes()
+        for at in range(0, len(raw), 8192):
+            zlib.compress(raw[at : at + 8192], 9)
+        middle = time.process_time()
+        assert np.array_equal(range_coder.decode(*range_coder.encode(ids, 16), len(ids)), ids)
+        ratios.append((time.process_time() - middle) / (middle - start))
+    assert min(ratios) < 20
+
+
+def test_carries_reach_words_put_out():
+    coder = range_coder._Encoder(2, 8)
+    coder.out[:3], coder.place[0] = (5, 2**32 - 1, 2**32), 3
+    coder.low[0] = np.uint64(1 << 63)
+    words = [np.frombuffer(coded, "<u4").tolist() for coded in coder.finish()]
+    assert words[0][:3] == [6, 0, 1] and words[1] == [0]
+
+
+def test_damaged_counts_name_their_block():
+    ids = np.random.default_rng(6).integers(0, 300, 2 * range_coder.BLOCK).astype(np.uint32)
+    payload, sizes, checks = range_coder.encode(ids, 16)
+    for at in range(0, 200, 7):
+        broken = bytearray(payload)
+        broken[sizes[0] + at] ^= 0x5A
+        with pytest.raises(ValueError, match="block 1"):
+            range_coder.decode(bytes(broken), sizes, checks, len(ids))
+
+
+def test_blocks_are_dealt_evenly(monkeypatch):
+    monkeypatch.setattr(range_coder, "LANES", 1024)
+    assert [len(part) for part in range_coder._batches(np.arange(1150))] == [575, 575]
+
+
 @pytest.mark.parametrize("lanes", [1, 3])
 def test_lanes_and_wide_ids(monkeypatch, lanes):
     monkeypatch.setattr(range_coder, "LANES", lanes)

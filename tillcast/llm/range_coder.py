@@ -305,7 +305,7 @@ class _Decoder:
         self.words[:-1] |= words[1:] >> np.uint32(1)
         self.span = np.full(len(place), 2**63 - 1, np.uint64)
         # The code less the low end of the span.
-        self.code = words[place].astype(np.uint64) << _TOP | self.words.take(place, mode="clip") & _KEPT
+        self.code = words.take(place, mode="clip").astype(np.uint64) << _TOP | self.words.take(place, mode="clip") & _KEPT
         self.place = place + 1
 
     def target(self, total: np.uint64) -> np.ndarray:
@@ -329,8 +329,9 @@ def _decode_lanes(words: np.ndarray, place: np.ndarray, steps: int, first: int)
     """Ids as (lane, step); ``first`` is the number of the first block."""
     lanes = len(place)
     heads = [_read_head(words[p:], steps) for p in place.tolist()]
-    if any(head is None for head in heads):
-        raise ValueError(f"block {first + [head is None for head in heads].index(True)}: its counts are damaged")
+    for block, head in enumerate(heads, first):
+        if head is None:
+            raise ValueError(f"block {block}: its counts are damaged")
     ids, counts, taken = zip(*heads)
     model, coder = _Model(_by_number(counts), steps), _Decoder(words, place + np.array(taken))
     numbers = np.empty((steps, lanes), np.uint16)
