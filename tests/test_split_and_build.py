@@ -153,3 +153,21 @@ def test_features_of_a_table_by_store_need_no_shuffle(spark, raw, day, tmp_path)
         assert shuffles(build.add_features(again, origin, placed=True))[0] == [] and again.count() == 750
     finally:
         spark.sql("DROP TABLE IF EXISTS rows_by_store")
+
+
+def test_featured_rows_are_written_without_a_shuffle_or_sort(spark, raw, tmp_path):
+    rows = raw([(store, 8 * n, dict(Sales=float(store + n))) for store in range(1, 30) for n in range(100)])
+    path = sinks.write_featured(build.add_features(rows), str(tmp_path), "train_featured")
+    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plan = executions.apply(executions.size() - 1).physicalPlanDescription().split("\n\n\n")[0]
+    write = plan[plan.index("WriteFiles"):].split("ArrowEvalPython")[0]
+    assert "Exchange" not in write and "Sort" not in write
+    years = sorted(p for p in (tmp_path / "train_featured").iterdir() if p.is_dir())
+    assert [p.name for p in years] == ["sales_year=2015", "sales_year=2016", "sales_year=2017"]
+    for year in years:
+        files = [spark.read.parquet(str(p)).select("Store", "Date").collect() for p in year.glob("*.parquet")]
+        # A store's rows of a year lie in one file, in the order of days.
+        stores = [store for rows in files for store in {r.Store for r in rows}]
+        assert sorted(stores) == list(range(1, 30)) and len(files) <= 4
+        assert all(rows == sorted(rows) for rows in files)
+    assert spark.read.parquet(path).count() == 2900
