@@ -118,3 +118,24 @@ def test_recent_month_is_never_seen(raw, day):
 def test_rows_are_sorted_once_and_never_multiplied(raw):
     plan = rolling.add_recent_features(raw([(1, 0, {})]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Sort [") == 1 and "Window" not in plan and "Generate" not in plan
+
+
+def test_only_wanted_rows_are_worked_out(spark, raw, day, history):
+    from pyspark.sql import functions as F
+
+    from tillcast.operators import split
+    from tillcast.plans import build
+
+    rows, origin = raw(history), F.lit(day(0))
+    asked = split.is_trainable(rows)
+    found = build.add_features(rows, origin, wanted=asked)
+    names = [c for c in found.columns if c not in ("Store", "Date")]
+    few, whole = (
+        sorted(map(tuple, split.trainable(df).select("Store", "Date", *names).collect()))
+        for df in (found, build.add_features(rows, origin))
+    )
+    assert str(few) == str(whole) and 0 < len(few) == found.count() < len(history)
+    # Struct columns of the other rows are null, so nothing was worked out for them.
+    order = rolling.frame_order({"all": []}, {"q": 90}, {"all": ["median", "mean"]}, 30, 0, 2, True)
+    read = rows.sortWithinPartitions("Store", "Date").select(asked.alias("asked"), order("Store", F.unix_date("Date"), "Sales", asked).alias("o"))
+    assert all((r.o is not None) == bool(r.asked) for r in read.collect())

@@ -58,3 +58,34 @@ def test_nine_rows_are_too_few(raw, day):
     rows = [(1, n, {}) for n in range(9)] + [(1, 60, {})]
     last = trend.add_trend_features(raw(rows)).where(f"Date = date'{day(60)}'").first()
     assert last.trend_q_pred is None and last.trend_q_slope is None and last.day_number == 60.0
+
+
+@pytest.mark.parametrize("size", [7, 10_000])
+def test_stores_and_months_across_batches(spark, raw, size):
+    rng = np.random.default_rng(11)
+    rows = {}
+    for store, level in ((1, 1e9), (2, 50.0), (3, 4000.0)):
+        for n in range(700):
+            if rng.random() < 0.9:
+                promo = None if rng.random() < 0.05 else int(rng.random() < 0.3)
+                rows[store, n] = dict(Sales=None if rng.random() < 0.05 else level + float(rng.integers(0, 40)), Promo=promo)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        table = raw([(store, n, over) for (store, n), over in rows.items()])
+        together = trend.add_trend_features(table)
+        plan = together._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and plan.count("Sort [") == 1
+        names = ["Store", "Date", *trend.TREND_COLUMNS]
+        got = sorted(map(tuple, together.select(*names).collect()))
+    finally:
+        spark.conf.set(name, before)
+    alone = sorted(
+        tuple(r) for store in (1, 2, 3) for r in trend.add_trend_features(table.where(f"Store = {store}")).select(*names).collect()
+    )
+    assert len(got) == len(rows) and sum(r[2] is not None for r in got) > 1500
+    for a, b in zip(got, alone):
+        assert a[:2] == b[:2]
+        assert [x is None for x in a] == [x is None for x in b]
+        assert [x for x in a[2:] if x is not None] == pytest.approx([x for x in b[2:] if x is not None], rel=1e-6, abs=1e-6)
