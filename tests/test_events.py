@@ -1,9 +1,11 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from tillcast.functions import scalars
 from tillcast.operators import events
+from tillcast.session import by_store
 
 
 def by_offset(df, day, *names):
@@ -75,3 +77,33 @@ def test_all_columns(raw):
     assert len(events.TEMPORAL_COLUMNS) == 25 and out.count() == 40
     bare = events.add_temporal_features(df.drop("Promo2", "Open", "CompetitionOpenSinceYear"))
     assert not {"days_since_promo2", "is_refurb_closure", "days_since_competition"} & set(bare.columns)
+
+
+def test_calendar_features_sort_once_each_way(spark, raw, day):
+    rows = raw([(store, n, dict(Open=int(n % 11 < 3), Promo=int(n % 5 == 0))) for store in (1, 2) for n in range(60)])
+    found = events.ordered_temporal(by_store(rows), F.lit(day(0)))
+    # A sort in the order that the rows have already isn't carried out.
+    plan = found.sortWithinPartitions("Store", "_day")._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Sort [") == 2
+    got = events.temporal_blocks(by_store(rows), F.lit(day(0)))
+    assert "_day" not in got.columns
+    starts = got.where("is_refurb_closure = 1").collect()
+    assert sorted((r.Store, (r.Date - day(0)).days) for r in starts) == [(s, n) for s in (1, 2) for n in (3, 14, 25, 36, 47)]
+    at = got.where(f"Store = 1 and Date = date'{day(20)}'").first()
+    assert (at.days_since_refurb, at.days_until_refurb, at.days_since_promo, at.days_until_promo) == (6, 5, 0, 0)
+
+
+def test_closure_runs_over_random_days(spark, raw, day):
+    rng = random.Random(4)
+    kept = {(s, n): int(rng.random() > shut) for s, shut in ((1, 0.6), (2, 0.9), (3, 0.2)) for n in range(300) if rng.random() < 0.9}
+    rows = raw([(s, n, dict(Open=is_open)) for (s, n), is_open in kept.items()])
+    found = events.closure_starts(events.with_day(rows)).where("is_refurb_closure = 1").collect()
+    want = set()
+    for store in (1, 2, 3):
+        run = []
+        for n in [*sorted(n for (s, n), is_open in kept.items() if s == store and not is_open), 10_000]:
+            if run and n - run[-1] > 2:
+                want |= {(store, run[0])} if len(run) >= 7 else set()
+                run = []
+            run.append(n)
+    assert {(r.Store, (r.Date - day(0)).days) for r in found} == want and len(want) > 10
